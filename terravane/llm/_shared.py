@@ -67,8 +67,11 @@ class WordTable:
         if len(self.rows) > CACHE_ENTRIES:
             self.clear()
         rows = self.rows
-        new = list({w for w in words if w not in rows})
-        if new:
+        at = list(map(rows.get, words))
+        new = []
+        if None in at:
+            gaps = [i for i, x in enumerate(at) if x is None]
+            new = list({words[i] for i in gaps})
             first = len(rows)
             rows.update(zip(new, range(first, first + len(new)), strict=True))
             if len(rows) > len(self.values):
@@ -76,7 +79,9 @@ class WordTable:
             for i in range(0, len(new), 50_000):
                 part = new[i : i + 50_000]
                 self.values[first + i : first + i + len(part)] = self.score(part)
-        out = self.values[np.fromiter(map(rows.__getitem__, words), np.int64, len(words))]
+            for i in gaps:
+                at[i] = rows[words[i]]
+        out = self.values[np.array(at, np.int64)] if words else self.values[:0]
         if any(len(w) > CACHE_WORD_BYTES for w in new):
             self.clear()
         return out

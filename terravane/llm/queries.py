@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import _shared
+from . import _shared, language_id, toxicity
 from .mixture_packing import pack_by_mixture
+from .simhash import near_duplicates
 
 
 def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +17,31 @@ def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_by_mixture(_shared.table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by trees fitted on the rows that are not held out."""
+    docs = _shared.table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language_id.fit(docs.where(~F.coalesce(held_out, F.lit(False))))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document by models fitted on the labelled rows that are not held out."""
+    docs = _shared.table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    labels = _shared.table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
+    found = toxicity.score(docs, toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id")))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return near_duplicates(_shared.table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixture_packing,)}
+    return {f.__name__: f for f in (op2_mixture_packing, op4_language_id, op5_toxicity, op8_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
