@@ -48,31 +48,30 @@ class ToxicityModels:
     def __init__(self, words: list[bytes], counts: np.ndarray, order: int = ORDER):
         """``counts``: a row for each word, of its counts in ordinary and in toxic documents."""
         self.order, self.id = order, uuid.uuid4().hex
-        at, keys, _ = keys_of(words, order)
-        self.tables: list[tuple] = []  # by order: grams, contexts, share and backoff (one column, at the top two)
+        at, keys, depth = keys_of(words, order)
         weight = np.asarray(counts, np.float64)[at]
-        grams, number = np.unique(keys[order], return_inverse=True)
-        top = np.stack([np.bincount(number, weight[:, c], len(grams)) for c in range(2)], axis=1)
-        keep = grams != 0
-        grams, top = grams[keep], top[keep]
-        by_class = [_discounted(grams, top[:, c]) for c in range(2)]
-        upper = (grams, by_class[0][0], np.stack([x[2] for x in by_class], axis=1), np.stack([x[3] for x in by_class], axis=1))
-        lower = grams
-        for k in range(order - 1, -1, -1):
-            # Continuation count of a gram: how many different bytes stand before it, at a word's start its own words.
-            mask = np.uint64((1 << 9 * (k + 1)) - 1)
-            starts = np.unique(keys[k][(keys[k] != 0) & (keys[k + 1] == 0)])
-            both = np.concatenate([lower & mask, starts])
-            lower, n = np.unique(both, return_counts=True)
-            self.tables.append((lower, *[x[..., None] if i != 0 else x for i, x in enumerate(_discounted(lower, n.astype(np.float64))) if i != 1]))
-        self.tables = self.tables[::-1] + [upper]
+        grams, number = np.unique(self._longest(keys, depth), return_inverse=True)
+        by_class = [_discounted(grams, np.bincount(number, weight[:, c], len(grams))) for c in range(2)]
+        #: By order: grams, contexts, discounted shares and backoff weights (a column for all or for each class).
+        self.tables = []
+        for k in range(order):
+            # Continuation count of a gram: how many different bytes, a word's first space included, stand before it.
+            longer = np.unique(keys[k + 1])
+            lower, n = np.unique(longer[longer != 0] & np.uint64((1 << 9 * (k + 1)) - 1), return_counts=True)
+            contexts, _, share, back = _discounted(lower, n.astype(np.float64))
+            self.tables.append((lower, contexts, share[:, None], back[:, None]))
+        self.tables.append((grams, by_class[0][0], np.stack([x[2] for x in by_class], axis=1), np.stack([x[3] for x in by_class], axis=1)))
         self.curve = np.zeros(4)
 
+    def _longest(self, keys: list[np.ndarray], depth: np.ndarray) -> np.ndarray:
+        """The class-conditional gram of each byte: with ``order`` bytes before it, or all back to the word's space."""
+        return np.choose(np.minimum(depth, self.order), keys)
+
     def difference(self, words: list[bytes]) -> np.ndarray:
         at, keys, depth = keys_of(words, self.order)
         chance = np.full((len(at), 2), 1 / 257)
-        for key, (grams, contexts, share, back) in zip(keys, self.tables, strict=True):
-            # Near a word's start the context is shorter: the last order that fits is then the one that counts.
+        for k, (grams, contexts, share, back) in enumerate(self.tables):
+            key = np.where(depth > k, keys[k], 0) if k < self.order else self._longest(keys, depth)
             row = np.minimum(np.searchsorted(grams, key), len(grams) - 1)
             known = (grams[row] == key) & (key != 0)
             above = np.minimum(np.searchsorted(contexts, key >> np.uint64(9)), len(contexts) - 1)
@@ -100,9 +99,9 @@ class ToxicityModels:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of a lightly shrunk logistic regression in which both classes weigh the same, by Newton's method."""
+    """Weights of a lightly shrunk logistic regression by Newton's method; a class weighs as the root of its rows."""
     w = np.zeros(x.shape[1])
-    each = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
+    each = np.where(y == 1, max(y.sum(), 1) ** -0.5, max((1 - y).sum(), 1) ** -0.5) * len(y) ** 0.5
     shrink = np.diag([1e-3, *[1e-2] * (x.shape[1] - 1)])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
