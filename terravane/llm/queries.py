@@ -8,8 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _shared, language_id, toxicity
+from .bfd_packing import pack_best_fit
+from .cover_tree import top_k
+from .media import to_transport_streams
 from .mixture_packing import pack_by_mixture
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
+
+
+def op1_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed best-fit-decreasing into rows of 4096 ids."""
+    return pack_best_fit(_shared.table(spark, sf_dir, "documents"))
 
 
 def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +26,12 @@ def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_by_mixture(_shared.table(spark, sf_dir, "documents"))
 
 
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best integer inner products of every twentieth vector with all others."""
+    vectors = _shared.table(spark, sf_dir, "embeddings")
+    return top_k(vectors, F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document by trees fitted on the rows that are not held out."""
     docs = _shared.table(spark, sf_dir, "documents")
@@ -35,13 +50,23 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings that earlier documents hold."""
+    return remove_repeats(_shared.table(spark, sf_dir, "documents"), width=50)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return near_duplicates(_shared.table(spark, sf_dir, "documents"))
 
 
+def op10_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes as a transport stream, read back."""
+    return to_transport_streams(_shared.table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixture_packing, op4_language_id, op5_toxicity, op8_simhash)}
+    return {f.__name__: f for f in (op1_bfd_packing, op2_mixture_packing, op3_cover_tree, op4_language_id, op5_toxicity, op7_suffix_dedup, op8_simhash, op10_transport_streams)}
 
 
 def oracle_sql() -> dict[str, str]:
