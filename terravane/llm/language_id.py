@@ -23,11 +23,11 @@ from . import _shared
 
 ORDER = 4
 #: The trees are fitted on about this many documents of each language (whole texts, chosen by a hash of the text).
-FIT_DOCUMENTS = 1500
+FIT_DOCUMENTS = 500
 #: Languages that are learned at most, those with the most training documents first.
 MOST_LANGUAGES = 64
-#: Distinct words of a language whose counts are fitted: the most frequent ones of the fitted documents.
-FIT_WORDS = 150_000
+#: Distinct words whose counts are fitted: the most frequent ones of the fitted documents.
+FIT_WORDS = 200_000
 #: Bytes of a word that is sent to be fitted; what goes beyond is seldom prose. Scores read whole words.
 FIT_WORD_BYTES = 64
 
@@ -53,10 +53,10 @@ def keys_of(words: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray
 class ContextTrees:
     """Frozen trees of all languages: for each order the contexts' totals and distinct bytes, and each byte's counts."""
 
-    def __init__(self, words: list[tuple[bytes, np.ndarray]], languages: list[str], order: int = ORDER):
+    def __init__(self, words: list[bytes], counts: np.ndarray, languages: list[str], order: int = ORDER):
+        """``counts``: a row for each word, of its counts in each language."""
         self.languages, self.order, self.id = languages, order, uuid.uuid4().hex
-        at, keys, _ = keys_of([w for w, _ in words], order)
-        counts = np.array([c for _, c in words], np.float64).reshape(len(words), len(languages))
+        at, keys, _ = keys_of(words, order)
         self.grams, self.seen = [], []
         for key in keys:
             grams, number = np.unique(key, return_inverse=True)
@@ -144,12 +144,12 @@ def fit(docs: DataFrame, order: int = ORDER) -> ContextTrees | None:
     chosen = F.lit(False)
     for r in sizes:
         chosen = chosen | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, FIT_DOCUMENTS / r["count"]))))
-    words = _shared.cut(known.where(chosen).mapInArrow(count_words("lang", "text"), "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    merged: dict[bytes, np.ndarray] = {}
-    for i, language in enumerate(languages):
-        for word, n in words.where(F.col("lang") == language).orderBy(F.desc("n"), "word").limit(FIT_WORDS).select("word", "n").toPandas().itertuples(index=False):
-            merged.setdefault(bytes(word), np.zeros(len(languages)))[i] = n
-    return ContextTrees(sorted(merged.items()), languages, order) if merged else None
+    counted = known.where(chosen).mapInArrow(count_words("lang", "text"), "lang string, word binary, n long")
+    by_word = counted.groupBy("word").agg(*(F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)), F.sum("n").alias("n"))
+    words = by_word.orderBy(F.desc("n"), "word").limit(FIT_WORDS).toArrow()
+    if not words.num_rows:
+        return None
+    return ContextTrees(words["word"].to_pylist(), np.stack([words[f"n{i}"].to_numpy() for i in range(len(languages))], axis=1), languages, order)
 
 
 def _classify(model):

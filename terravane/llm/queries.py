@@ -46,7 +46,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _shared.table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     labels = _shared.table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
-    found = toxicity.score(docs, toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id")))
+    found = toxicity.score(docs, toxicity.fit(docs, labels))
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 

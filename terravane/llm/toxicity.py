@@ -24,10 +24,10 @@ from .language_id import count_words, keys_of, split_words
 #: Bytes of context in the class-conditional order.
 ORDER = 5
 #: Labelled documents of a class, about, on which models are counted, and on which the curve is fitted (whole texts).
-FIT_DOCUMENTS = 2500
+FIT_DOCUMENTS = 1500
 CURVE_DOCUMENTS = 1500
-#: Distinct words of a class whose counts are fitted, the most frequent first; cut as in language identification.
-FIT_WORDS = 400_000
+#: Distinct words whose counts are fitted, the most frequent first; cut as in language identification.
+FIT_WORDS = 250_000
 DISCOUNT = 0.75
 
 
@@ -112,37 +112,36 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame) -> ToxicityModels | None:
-    """Models from labelled rows (text, toxic: 0 or 1); null labels teach nothing. None if a class has no row.
+def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModels | None:
+    """Models from documents (doc_id, text) and labels (doc_id, toxic: 0 or 1). None if a class has no label.
 
-    By a hash of the text a quarter of the rows is left for the curve; the models count on the others. Copies of a
-    text fall on the same side.
+    Labels that are null or neither 0 nor 1 teach nothing. By a hash of doc_id a quarter of the labels is left for the
+    curve; the models count on the others.
     """
-    known = docs.where("toxic is not null").select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.withColumn("hash", F.xxhash64("text"))
-    for_curve = F.pmod(F.col("hash"), F.lit(4)) == 0
-    sizes = {(r["toxic"], r["curve"]): r["count"] for r in known.groupBy("toxic", for_curve.alias("curve")).count().collect()}
+    marks = labels.where("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("hash"))
+    marks = marks.select("of", "toxic", "hash", (F.pmod(F.col("hash"), F.lit(4)) == 0).alias("curve"))
+    sizes = {(r["toxic"], r["curve"]): r["count"] for r in marks.groupBy("toxic", "curve").count().collect()}
     if any((toxic, False) not in sizes for toxic in (0, 1)):
         return None
     draw = F.pmod(F.shiftright("hash", 2), F.lit(1 << 30))
     chosen = F.lit(False)
     for (toxic, curve), n in sizes.items():
-        if toxic in (0, 1):
-            most = int((1 << 30) * min(1.0, (CURVE_DOCUMENTS if curve else FIT_DOCUMENTS) / n))
-            chosen = chosen | ((F.col("toxic") == toxic) & (for_curve == curve) & (draw < most))
-    sample = _shared.cut(known.where(chosen).withColumn("curve", for_curve))
-    words = _shared.cut(sample.where("not curve").select("toxic", "text").mapInArrow(count_words("toxic", "text"), "toxic int, word binary, n long").groupBy("toxic", "word").agg(F.sum("n").alias("n")))
-    merged: dict[bytes, np.ndarray] = {}
-    for toxic in (0, 1):
-        for word, n in words.where(F.col("toxic") == toxic).orderBy(F.desc("n"), "word").limit(FIT_WORDS).select("word", "n").toPandas().itertuples(index=False):
-            merged.setdefault(bytes(word), np.zeros(2))[toxic] = n
-    if not merged:
+        most = int((1 << 30) * min(1.0, (CURVE_DOCUMENTS if curve else FIT_DOCUMENTS) / n))
+        chosen = chosen | ((F.col("toxic") == toxic) & (F.col("curve") == curve) & (draw < most))
+    # By its draw a sample of about 2 * (FIT_DOCUMENTS + CURVE_DOCUMENTS) labels, whatever the number of labels.
+    marks = F.broadcast(marks.where(chosen).select("of", "toxic", "curve"))
+    given = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    sample = _shared.cut(given.join(marks, given["doc_id"] == marks["of"]).select("text", "toxic", "curve"))
+    counted = sample.where("not curve").select("toxic", "text").mapInArrow(count_words("toxic", "text"), "toxic int, word binary, n long")
+    by_word = counted.groupBy("word").agg(*(F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)))
+    words = by_word.orderBy(F.desc(F.col("n0") + F.col("n1")), "word").limit(FIT_WORDS).toArrow()
+    if not words.num_rows:
         return None
-    listed = sorted(merged.items())
-    model = ToxicityModels([w for w, _ in listed], np.array([c for _, c in listed]))
+    model = ToxicityModels(words["word"].to_pylist(), np.stack([words["n0"].to_numpy(), words["n1"].to_numpy()], axis=1))
+    del words
     shared = docs.sparkSession.sparkContext.broadcast(model)
     # At most two times CURVE_DOCUMENTS rows of five numbers, about.
-    rows = sample.select("text", "toxic", "curve").where("curve" if any(c for _, c in sizes) else "true").mapInArrow(_features(shared), "toxic int, mean double, two double, one double").toPandas()
+    rows = sample.where("curve" if any(c for _, c in sizes) else "true").mapInArrow(_features(shared), "toxic int, mean double, two double, one double").toPandas()
     model.curve = _logistic(np.column_stack([np.ones(len(rows)), rows[["mean", "two", "one"]].to_numpy()]), rows["toxic"].to_numpy(np.float64))
     return model
 
