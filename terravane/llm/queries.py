@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import _shared, language_id, toxicity
+from . import _shared, language_id, piece_viterbi, toxicity
 from .bfd_packing import pack_best_fit
 from .cover_tree import top_k
 from .media import to_transport_streams
 from .mixture_packing import pack_by_mixture
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
+from .token_counts import count_by_line
 
 
 def op1_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op6_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids by the best path over pieces, and whether they decode to its text."""
+    return piece_viterbi.encode(_shared.table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 50-byte strings that earlier documents hold."""
     return remove_repeats(_shared.table(spark, sf_dir, "documents"), width=50)
@@ -60,13 +66,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_shared.table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document and of each of its lines, crossing tokens going to the line with most of them."""
+    return count_by_line(_shared.table(spark, sf_dir, "documents"), rule="majority")
+
+
 def op10_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes as a transport stream, read back."""
     return to_transport_streams(_shared.table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bfd_packing, op2_mixture_packing, op3_cover_tree, op4_language_id, op5_toxicity, op7_suffix_dedup, op8_simhash, op10_transport_streams)}
+    return {f.__name__: f for f in (op1_bfd_packing, op2_mixture_packing, op3_cover_tree, op4_language_id, op5_toxicity, op6_piece_viterbi, op7_suffix_dedup, op8_simhash, op9_token_counts, op10_transport_streams)}
 
 
 def oracle_sql() -> dict[str, str]:
