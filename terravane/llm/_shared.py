@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -36,6 +37,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of steps that are over: it keeps them until the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null becomes the empty text."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

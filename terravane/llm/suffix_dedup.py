@@ -133,18 +133,18 @@ def _gram_hashes(text: np.ndarray, n: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def anchors(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text's index, first window, windows) of each run of windows with the same anchor, in order.
+def anchors(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
+    """(hash, text's index, first window, windows, anchor's offset) of each run of windows with the same anchor, in order.
 
-    A run is (anchor's gram hash, document, start of its first window, number of windows); its context is the bytes
-    from the first window's start to the last one's end. All windows of all texts are in exactly one run.
+    A run's context is the bytes from its first window's start to its last one's end; the anchor's gram stands at the
+    offset in it. All windows of all texts are in exactly one run.
     """
     pieces: list[tuple[int, int, bytes]] = []
     for d, text in enumerate(texts):
         for at in range(0, max(1, len(text) - width + 1), _PIECE // 2):  # long texts go in overlapping pieces
             if len(text) - at >= width:
                 pieces.append((d, at, text[at : at + _PIECE // 2 + width - 1]))
-    out: list[list[np.ndarray]] = [[], [], [], []]
+    out: list[list[np.ndarray]] = [[], [], [], [], []]
     group: list[tuple[int, int, bytes]] = []
     size = 0
     for k, piece in enumerate(pieces):
@@ -154,7 +154,7 @@ def anchors(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.
             for whole, part in zip(out, _runs(group, width), strict=True):
                 whole.append(part)
             group, size = [], 0
-    kinds = (np.uint64, np.int64, np.int64, np.int64)
+    kinds = (np.uint64, np.int64, np.int64, np.int64, np.int64)
     return tuple(np.concatenate(x) if x else np.zeros(0, k) for x, k in zip(out, kinds, strict=True))
 
 
@@ -178,7 +178,7 @@ def _runs(group: list[tuple[int, int, bytes]], width: int) -> tuple[np.ndarray,
     count = np.diff(np.append(first, len(windows)))
     doc = np.array([d for d, *_ in group])[piece]
     offset = np.array([a for _, a, _ in group])[piece]
-    return h[chosen[first]], doc, windows[first] - start[piece] + offset, count
+    return h[chosen[first]], doc, windows[first] - start[piece] + offset, count, chosen[first] - windows[first]
 
 
 def _ids(rows: pa.Table) -> np.ndarray:
@@ -222,7 +222,7 @@ def _list_grams(width: int, parts: int):
         for batch in batches:
             for shard, blob in zip(batch["shard"].to_pylist(), batch["rows"], strict=True):
                 rows = _rows(blob.as_py())
-                h, doc, _, _ = anchors(_shared.texts(rows["text"]), width)
+                h, doc, *_ = anchors(_shared.texts(rows["text"]), width)
                 g = _Grams(h, _ids(rows)[doc])
                 for part, at in _dealt(_parts(g.hash, parts)):
                     steps = np.diff(g.hash[at], prepend=np.uint64(0))
@@ -273,33 +273,34 @@ class _Contexts:
 
     def __init__(self, rows: pa.Table, answers: list[bytes], hot: np.ndarray, width: int):
         texts, ids = _shared.texts(rows["text"]), _ids(rows)
-        h, doc, first, windows = anchors(texts, width)
+        h, doc, first, windows, offset = anchors(texts, width)
         known = np.unique(np.concatenate([np.cumsum(_unpack(b)[0], dtype=np.uint64) for b in answers])) if answers else np.zeros(0, np.uint64)
         near = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
         wanted = np.flatnonzero(known[near] == h) if len(known) else np.zeros(0, np.int64)
         alone = np.isin(h[wanted], hot)
-        h, doc, first, windows = h[wanted], doc[wanted], first[wanted], windows[wanted]
+        h, doc, first, windows, offset = (x[wanted] for x in (h, doc, first, windows, offset))
         if alone.any():  # windows of hot grams stand for themselves
             times = np.where(alone, windows, 1)
             inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            h, doc, first, windows, alone = (np.repeat(x, times) for x in (h, doc, first, windows, alone))
-            first, windows = np.where(alone, first + inner, first), np.where(alone, 1, windows)
+            h, doc, first, windows, offset, alone = (np.repeat(x, times) for x in (h, doc, first, windows, offset, alone))
+            first, windows, offset = np.where(alone, first + inner, first), np.where(alone, 1, windows), np.where(alone, offset - inner, offset)
         numbers: dict[bytes, int] = {}
-        strings, keys, least, count = [], [], [], []
+        strings, keys, least, count, where = [], [], [], [], []
         at = np.empty(len(h), np.int64)
-        for i, (d, f, w, g, single) in enumerate(zip(doc.tolist(), first.tolist(), windows.tolist(), h.tolist(), alone.tolist(), strict=True)):
+        for i, (d, f, w, g, o, single) in enumerate(zip(doc.tolist(), first.tolist(), windows.tolist(), h.tolist(), offset.tolist(), alone.tolist(), strict=True)):
             string = texts[d][f : f + w + width - 1]
             k = numbers.setdefault(string, len(strings))
             if k == len(strings):
                 strings.append(string)
                 keys.append(int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little") if single else g)
                 count.append(w)
+                where.append(o)
                 least.append(ids[d])
             elif ids[d] < least[k]:
                 least[k] = ids[d]
             at[i] = k
         self.strings, self.keys, self.windows = strings, np.array(keys, np.uint64), np.array(count, np.int64)
-        self.least = np.array(least, np.int64)
+        self.least, self.offset = np.array(least, np.int64), np.array(where, np.int64)
         self.texts, self.ids, self.doc, self.first, self.at = texts, ids, doc, first, at
 
 
@@ -313,7 +314,7 @@ def _send_contexts(hot: np.ndarray, width: int, parts: int):
                 for part, at in _dealt(_parts(c.keys, parts)):
                     at = at[np.argsort(c.keys[at], kind="stable")]
                     text = b"".join([c.strings[i] for i in at.tolist()])
-                    numbers = _pack(at.astype("<i8"), np.diff(c.keys[at], prepend=np.uint64(0)), c.windows[at].astype("<u4"), c.least[at])
+                    numbers = _pack(at.astype("<i8"), np.diff(c.keys[at], prepend=np.uint64(0)), c.windows[at].astype("<u4"), c.least[at], c.offset[at].astype("<u4"))
                     yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard]), pa.array([numbers], pa.binary()), pa.array([_press(text)], pa.binary())], ["part", "shard", "numbers", "texts"])
 
     return run
@@ -451,14 +452,33 @@ def _find_repeats(width: int):
     return run
 
 
+def _with_neighbours(beside: np.ndarray, strings: list[bytes], keys: np.ndarray, offsets: list[int], width: int) -> np.ndarray:
+    """Of contexts of the same anchor those that can have a window in common with another.
+
+    A window holds ``width - GRAM`` bytes beside the gram, so at least half of them on one side: contexts that agree with
+    no other in as many bytes on either side of the gram have no window in common with any.
+    """
+    half = (width - GRAM) // 2
+    sides: tuple[dict, dict] = {}, {}
+    found = np.zeros(len(beside), bool)
+    for j, i in enumerate(beside.tolist()):
+        text, at, key = strings[i], offsets[i], keys[i]
+        for side, part in zip(sides, (text[at - half : at] if at >= half else b"", text[at + GRAM : at + GRAM + half]), strict=True):
+            if len(part) == half:
+                other = side.setdefault((key, part), j)
+                if other != j:
+                    found[j] = found[other] = True
+    return beside[found]
+
+
 def _one_part(blobs: list[tuple[int, bytes, bytes]], width: int) -> Iterator[pa.RecordBatch]:
     known: dict[bytes, int] = {}
     strings: list[bytes] = []
-    entry_of, entry_shard, entry_at, entry_least, keys, windows = [], [], [], [], [], []
+    entry_of, entry_shard, entry_at, entry_least, keys, windows, offsets = [], [], [], [], [], [], []
     for k, (_, numbers, texts) in enumerate(blobs):
-        at, steps, count, least = _unpack(numbers)
+        at, steps, count, least, offset = _unpack(numbers)
         text, stop = _unpress(texts), 0
-        key = np.cumsum(steps, dtype=np.uint64).tolist()
+        key, offset = np.cumsum(steps, dtype=np.uint64).tolist(), offset.tolist()
         of = np.empty(len(at), np.int64)
         for i, w in enumerate(count.tolist()):
             start, stop = stop, stop + w + width - 1
@@ -468,6 +488,7 @@ def _one_part(blobs: list[tuple[int, bytes, bytes]], width: int) -> Iterator[pa.
                 strings.append(string)
                 keys.append(key[i])
                 windows.append(w)
+                offsets.append(offset[i])
             of[i] = n
         entry_of.append(of)
         entry_shard.append(np.full(len(at), k))
@@ -483,6 +504,7 @@ def _one_part(blobs: list[tuple[int, bytes, bytes]], width: int) -> Iterator[pa.
     start = np.concatenate([[0], np.flatnonzero(keys[order][1:] != keys[order][:-1]) + 1])
     size = np.diff(np.append(start, len(order)))
     beside = order[np.repeat(size > 1, size)]
+    beside = _with_neighbours(beside, strings, keys, offsets, width)
     window_low = {}
     if len(beside):
         begin, value = repeated_windows([strings[i] for i in beside.tolist()], windows[beside], low[beside], width)
@@ -525,7 +547,10 @@ def _remove(hot: np.ndarray, width: int, kept: tuple[str, ...], with_text: bool)
                         told.setdefault(k, []).append((s, n))
                 spans: dict[int, list[tuple[int, int]]] = {}
                 ids, least = c.ids, c.least
-                for d, f, k in zip(c.doc.tolist(), c.first.tolist(), c.at.tolist(), strict=True):
+                few = np.zeros(len(least), bool)
+                few[list(told)] = True
+                few = np.flatnonzero(few[c.at] | (ids[c.doc] > least[c.at])) if len(c.at) else np.zeros(0, np.int64)
+                for d, f, k in zip(c.doc[few].tolist(), c.first[few].tolist(), c.at[few].tolist(), strict=True):
                     if ids[d] > least[k]:  # an earlier document of this shard has the whole context
                         spans.setdefault(d, []).append((f, f + int(c.windows[k]) + width - 1))
                     else:
@@ -579,10 +604,12 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, keep: tuple[str, ...] =
     answers = _shared.cut(grams.repartition(tasks, "part").mapInArrow(_shared_grams(hot_from), "shard long, grams binary"))
     often = [_unpack(bytes(r[0]))[0] for r in answers.where("shard is null").select("grams").collect()]  # some thousand at most
     hot = np.concatenate(often) if often else np.zeros(0, np.uint64)
+    _shared.release(docs.sparkSession)
     by_shard = answers.where("shard is not null").groupBy("shard").agg(F.collect_list("grams").alias("answers"))
     asked = shards.select("shard", "rows").join(by_shard, "shard", "left")
     contexts = asked.mapInArrow(_send_contexts(hot, width, parts), "part int, shard long, numbers binary, texts binary")
     repeats = _shared.cut(contexts.repartition(tasks, "part").mapInArrow(_find_repeats(width), "shard long, repeats binary"))
+    _shared.release(docs.sparkSession)
     told = asked.join(repeats.groupBy("shard").agg(F.collect_list("repeats").alias("repeats")), "shard", "left")
     kept = [f"`{c}` {kinds[c]}" for c in keep]
     schema = ", ".join([*kept, "n_bytes long, n_removed long, n_spans long, kept_sha256 string", *["kept binary"] * with_text])
