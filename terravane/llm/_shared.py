@@ -31,12 +31,18 @@ def cut(df: DataFrame) -> DataFrame:
     The folder is the one that spark.checkpoint.dir names. Only where that is unset (tests on one machine) a
     temporary folder is made for the session.
     """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="terravane-"))
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, set if it is not."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="terravane-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of steps that are over: it keeps them until the driver collects garbage."""
     gc.collect()

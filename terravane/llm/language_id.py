@@ -152,29 +152,33 @@ def fit(docs: DataFrame, order: int = ORDER) -> ContextTrees | None:
     return ContextTrees(words["word"].to_pylist(), np.stack([words[f"n{i}"].to_numpy() for i in range(len(languages))], axis=1), languages, order)
 
 
+def _judge(trees: ContextTrees, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's language, ``und`` without letters, and the winner's share, 0 for ``und``."""
+    seen = _shared.per_worker(f"ppm:{trees.id}", lambda: _shared.WordTable(trees.cost, len(trees.languages)))
+    words = [split_words(x) for x in texts]
+    n = np.array([len(w) for w in words])
+    bits = np.zeros((len(texts), len(trees.languages)))
+    costs = seen.look_up([w for ws in words for w in ws]).astype(np.float64)
+    if len(costs):
+        full = np.flatnonzero(n)
+        bits[full] = np.add.reduceat(costs, (np.cumsum(n) - n)[full], axis=0)
+    # The share of the winner if languages were equally likely, at the text's mean bits a word times eight words at
+    # most: bits of one text's words are far from independent.
+    apart = (bits - bits.min(axis=1, keepdims=True)) / np.maximum(n, 1)[:, None] * np.clip(n, 1, 8)[:, None]
+    share = 1 / np.exp2(-np.minimum(apart, 1000)).sum(axis=1)
+    und = np.array([_LETTER.search(x.decode("utf-8", "replace")) is None for x in texts], bool)
+    names = np.array(trees.languages, object)[bits.argmin(axis=1)]
+    names[und] = "und"
+    return names, np.where(und, 0.0, share)
+
+
 def _classify(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = model.value
-        seen = _shared.per_worker(f"ppm:{trees.id}", lambda: _shared.WordTable(trees.cost, len(trees.languages)))
         for batch in batches:
             docs = _shared.texts(batch["text"])
             for i, j in _shared.by_bytes(docs):
-                words = [split_words(x) for x in docs[i:j]]
-                n = np.array([len(w) for w in words])
-                bits = np.zeros((j - i, len(trees.languages)))
-                costs = seen.look_up([w for ws in words for w in ws]).astype(np.float64)
-                if len(costs):
-                    full = np.flatnonzero(n)
-                    bits[full] = np.add.reduceat(costs, (np.cumsum(n) - n)[full], axis=0)
-                best = bits.argmin(axis=1)
-                # Share of the winner if languages were equally likely, at the text's mean bits a word times two:
-                # bits of one text's words are far from independent.
-                per_word = (bits - bits.min(axis=1, keepdims=True)) / np.maximum(n, 1)[:, None] * np.minimum(np.maximum(n, 1), 8)[:, None]
-                share = 1 / np.exp2(-np.minimum(per_word, 1000)).sum(axis=1)
-                und = np.array([_LETTER.search(x.decode("utf-8", "replace")) is None for x in docs[i:j]])
-                names = np.array(trees.languages, object)[best]
-                names[und] = "und"
-                yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in batch.schema.names if c != "text"), pa.array(names, pa.string()), pa.array(np.where(und, 0.0, share))], [*(c for c in batch.schema.names if c != "text"), "lang_pred", "score"])
+                names, share = _judge(model.value, docs[i:j])
+                yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in batch.schema.names if c != "text"), pa.array(names, pa.string()), pa.array(share)], [*(c for c in batch.schema.names if c != "text"), "lang_pred", "score"])
 
     return run
 
@@ -195,3 +199,20 @@ def identify(docs: DataFrame, model: ContextTrees | None) -> DataFrame:
     kind = dict(given.dtypes)["doc_id"]
     run = _classify(docs.sparkSession.sparkContext.broadcast(model)) if model else _unknown
     return given.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def _kept(model, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs = _shared.texts(batch["text"])
+            for i, j in _shared.by_bytes(docs):
+                names, share = _judge(model.value, docs[i:j])
+                yield batch.slice(i, j - i).filter(pa.array((names != "und") & (share >= least)))
+
+    return run
+
+
+def keep(docs: DataFrame, model: ContextTrees | None, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns, that have letters and a best language of at least this share; all of them
+    without a model."""
+    return docs.mapInArrow(_kept(docs.sparkSession.sparkContext.broadcast(model), least), docs.schema) if model else docs

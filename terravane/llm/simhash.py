@@ -6,6 +6,11 @@ block's covering radius R of exactly one codeword, its home. If two fingerprints
 home of the one lies within R + t of the other in each block, over all blocks with t to spend together. So every
 fingerprint goes once to its home anchor and as a replica to every anchor within covering radius plus threshold, and
 is compared per anchor, homes against replicas. No linked pair is missed, whatever the bits.
+
+Texts that share 0.8 of their word shingles differ in about an eighth of their bits, more than any covering within one
+fingerprint can bridge. For these, ``similar`` votes on further bits with hashes derived from the same shingles and
+lays anchors over many blocks of bits, a table each, with a threshold of one bit in each table; how many tables it takes
+follows from the share of pairs that may be missed. Links are still judged by the 64-bit fingerprint.
 """
 
 from __future__ import annotations
@@ -13,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from itertools import product
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -39,23 +45,28 @@ HAMMING = (7, 1, 0b1011)
 # --- fingerprints -----------------------------------------------------------------------------------------------------
 
 
-def fingerprints(texts: list[bytes], shingle: int = 3) -> np.ndarray:
-    """A 64-bit fingerprint of each text; zero where there is no word."""
+def fingerprints(texts: list[bytes], shingle: int = 3, rounds: int = 1) -> np.ndarray:
+    """A 64-bit fingerprint of each text; zero where there is no word. With more ``rounds`` further 64 bits each, voted
+    by multiples of the shingles' hashes: a row for each text."""
     hash_of = xxhash.xxh64_intdigest
-    out = np.zeros(len(texts), np.uint64)
+    out = np.zeros((len(texts), rounds), np.uint64)
     hashes, owners, votes = [], [], []
 
     def count() -> None:
         if not hashes:
             return
         h = np.array(hashes, np.uint64)
-        bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         starts = np.concatenate([[0], np.cumsum(votes)[:-1]])
-        for lo in range(0, len(owners), 256):  # sums of a few texts at once stay in the processor's cache
-            hi = min(lo + 256, len(owners))
-            part = bits[starts[lo] : starts[hi] if hi < len(owners) else len(h)]
-            ones = np.add.reduceat(part, starts[lo:hi] - starts[lo], axis=0, dtype=np.int32)
-            out[owners[lo:hi]] = ((2 * ones > np.array(votes[lo:hi])[:, None]) * _WEIGHT).sum(axis=1, dtype=np.uint64)
+        for r in range(rounds):
+            if r:
+                h = (h ^ h >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93)
+                h ^= h >> np.uint64(29)
+            bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            for lo in range(0, len(owners), 256):  # sums of a few texts at once stay in the processor's cache
+                hi = min(lo + 256, len(owners))
+                part = bits[starts[lo] : starts[hi] if hi < len(owners) else len(h)]
+                ones = np.add.reduceat(part, starts[lo:hi] - starts[lo], axis=0, dtype=np.int32)
+                out[owners[lo:hi], r] = ((2 * ones > np.array(votes[lo:hi])[:, None]) * _WEIGHT).sum(axis=1, dtype=np.uint64)
         hashes.clear(), owners.clear(), votes.clear()
 
     for i, text in enumerate(texts):
@@ -78,15 +89,17 @@ def fingerprints(texts: list[bytes], shingle: int = 3) -> np.ndarray:
         if len(hashes) >= 100_000:
             count()
     count()
-    return out
+    return out if rounds > 1 else out[:, 0]
 
 
-def _fingerprint_batches(shingle: int):
+def _fingerprint_batches(shingle: int, rounds: int = 1):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs = _shared.texts(batch["text"])
             for i, j in _shared.by_bytes(docs, 4 << 20):
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), pa.array(fingerprints(docs[i:j], shingle).view(np.int64))], ["doc_id", "bits"])
+                f = fingerprints(docs[i:j], shingle, rounds).reshape(j - i, rounds)
+                more = [pa.array([x.tobytes() for x in np.ascontiguousarray(f[:, 1:])], pa.binary())] * (rounds > 1)
+                yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in batch.schema.names if c != "text"), pa.array(f[:, 0].copy().view(np.int64)), *more], [*(c for c in batch.schema.names if c != "text"), "bits", *["more"] * len(more)])
 
     return run
 
@@ -218,6 +231,84 @@ def _distance(code: tuple[int, int, int], words: np.ndarray, numbers: np.ndarray
 # --- links ------------------------------------------------------------------------------------------------------------
 
 
+class Tables:
+    """One product of perfect codes after another over a long row of bits, with a threshold for each alone."""
+
+    #: Share of differing bits at which tables are planned, and pairs so far apart that may be missed.
+    APART, MISSED = 0.12, 0.02
+
+    def __init__(self, codes: tuple[tuple[int, int, int], ...], number: int):
+        self.anchors, self.number = Anchors(codes, 1), number
+        self.width = sum(n for n, *_ in codes)
+        self.size = int(np.prod(self.anchors.sizes))
+        self.rounds = -(-self.width * number // 64)
+
+    @staticmethod
+    def for_rows(rows: int) -> Tables:
+        codes = Anchors.for_rows(rows, 1).codes
+        n, p = sum(c[0] for c in codes), Tables.APART
+        found = (1 - p) ** n + n * p * (1 - p) ** (n - 1)
+        return Tables(codes, int(np.ceil(np.log(Tables.MISSED) / np.log(1 - found))))
+
+    def blocks(self, words: np.ndarray) -> Iterator[np.ndarray]:
+        """The bits of each table, from rows of 64-bit words."""
+        for t in range(self.number):
+            at, shift = divmod(t * self.width, 64)
+            low = words[:, at] >> np.uint64(shift)
+            if shift + self.width > 64:
+                low = low | words[:, at + 1] << np.uint64(64 - shift)
+            yield low
+
+    def home(self, words: np.ndarray) -> np.ndarray:
+        return np.stack([self.anchors.home(b) + t * self.size for t, b in enumerate(self.blocks(words))], axis=1)
+
+    def near(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index, anchor, whether it is the home) over all tables."""
+        index, anchor, home = [], [], []
+        for t, block in enumerate(self.blocks(words)):
+            i, k = self.anchors.near(block)
+            index.append(i)
+            anchor.append(k + t * self.size)
+            home.append(self.anchors.home(block)[i] == k)
+        return np.concatenate(index), np.concatenate(anchor), np.concatenate(home)
+
+
+def _replicate_tables(tables: Tables, threshold: int, hot: np.ndarray, parts: int):
+    """As ``_replicate``, but an entry also says whether its anchor is the fingerprint's home there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_bits = batch["bits"].to_numpy().view(np.uint64)
+            more = np.frombuffer(b"".join(batch["more"].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            for i in range(0, len(all_bits), 1024):
+                bits = all_bits[i : i + 1024]
+                at, anchor, home = tables.near(np.column_stack([bits, more[i : i + 1024]]))
+                entry = np.empty(len(at), _HOMED)
+                entry["anchor"], entry["bits"], entry["home"] = anchor, bits[at], home
+                yield _blobs(*_deal(entry, anchor, hot, threshold, parts))
+
+    return run
+
+
+def _deal(entry: np.ndarray, anchor: np.ndarray, hot: np.ndarray, threshold: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries and their parts; those of hot anchors once for each band."""
+    part = _part(anchor, parts)
+    many = np.flatnonzero(np.isin(anchor, hot))
+    if len(many):
+        bands = [(entry["bits"][many] >> shift & mask) for shift, mask in _bands(threshold)]
+        dealt = [_part(anchor[many] * 0x10001 + 1 + b + (key.view(np.int64) << 20), parts) for b, key in enumerate(bands)]
+        rest = np.delete(np.arange(len(entry)), many)
+        entry, part = np.concatenate([entry[rest], *[entry[many]] * len(bands)]), np.concatenate([part[rest], *dealt])
+    return entry, part
+
+
+def _blobs(entry: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(part, kind="stable")
+    entry, part = entry[order], part[order]
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    return pa.RecordBatch.from_arrays([pa.array(part[np.concatenate([[0], cuts])], pa.int32()), pa.array([x.tobytes() for x in np.split(entry, cuts)], pa.binary())], ["part", "entries"])
+
+
 def _replicate(anchors: Anchors, hot: np.ndarray, parts: int):
     """Fingerprints to (part, entries) rows, an entry being an anchor and the fingerprint. Entries of hot anchors go to
     a part for each of threshold + 1 bands of bits: linked pairs share a band, and meet in that part."""
@@ -230,22 +321,13 @@ def _replicate(anchors: Anchors, hot: np.ndarray, parts: int):
                 at, anchor = anchors.near(bits)
                 entry = np.empty(len(at), _ENTRY)
                 entry["anchor"], entry["bits"] = anchor, bits[at]
-                part = _part(anchor, parts)
-                many = np.flatnonzero(np.isin(anchor, hot))
-                if len(many):
-                    bands = [(entry["bits"][many] >> shift & mask) for shift, mask in _bands(anchors.threshold)]
-                    dealt = [_part(anchor[many] * 0x10001 + 1 + b + (key.view(np.int64) << 20), parts) for b, key in enumerate(bands)]
-                    rest = np.delete(np.arange(len(at)), many)
-                    entry, part = np.concatenate([entry[rest], *[entry[many]] * len(bands)]), np.concatenate([part[rest], *dealt])
-                order = np.argsort(part, kind="stable")
-                entry, part = entry[order], part[order]
-                cuts = np.flatnonzero(np.diff(part)) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(part[np.concatenate([[0], cuts])], pa.int32()), pa.array([x.tobytes() for x in np.split(entry, cuts)], pa.binary())], ["part", "entries"])
+                yield _blobs(*_deal(entry, anchor, hot, anchors.threshold, parts))
 
     return run
 
 
-_ENTRY = np.dtype([("anchor", "<u4"), ("bits", "<u8")])
+_ENTRY = np.dtype([("anchor", "<u8"), ("bits", "<u8")])
+_HOMED = np.dtype([("anchor", "<u8"), ("home", "?"), ("bits", "<u8")])
 
 
 def _bands(threshold: int) -> list[tuple[np.uint64, np.uint64]]:
@@ -266,25 +348,35 @@ def _home_of(anchors: Anchors):
     return run
 
 
-def _links(anchors: Anchors):
-    """Entries of whole anchors to links that connect what the anchors' comparisons connect."""
+def _links(anchors: Anchors | None, threshold: int):
+    """Entries of whole anchors to links that connect what the anchors' comparisons connect. Without ``anchors`` the
+    entries say themselves which are at home."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [x for batch in batches for x in batch["entries"].to_pylist()]
         if not blobs:
             return
-        entry = np.frombuffer(b"".join(blobs), _ENTRY)
+        entry = np.frombuffer(b"".join(blobs), _ENTRY if anchors else _HOMED)
         del blobs
         entry = entry[np.argsort(entry["anchor"], kind="stable")]
-        number, bits = entry["anchor"], entry["bits"]
-        at_home = anchors.home(bits) == number
+        number, bits = entry["anchor"], np.ascontiguousarray(entry["bits"])
+        at_home = anchors.home(bits) == number if anchors else entry["home"]
         starts = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(number)]])
+        left, right = [], []
         for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             ours = np.sort(bits[s:e][at_home[s:e]])
-            if len(ours):
-                a, b = near_pairs(ours, bits[s:e], anchors.threshold)
+            if len(ours) and e - s > 1:
+                a, b = near_pairs(ours, bits[s:e], threshold)
                 if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+                    left.append(a)
+                    right.append(b)
+            if len(left) >= 1000 or left and e == len(number):
+                a, b = _forest(np.concatenate(left), np.concatenate(right))
+                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+                left, right = [], []
+        if left:
+            a, b = _forest(np.concatenate(left), np.concatenate(right))
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     return run
 
@@ -354,13 +446,62 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 2, shingle: int = 3) ->
     classes = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id")))
     rows = classes.count()
     anchors = Anchors.for_rows(rows, threshold)
-    homes = classes.select("bits").mapInArrow(_home_of(anchors), "anchor long")
-    hot = np.array([r[0] for r in homes.groupBy("anchor").count().where(F.col("count") > HOT_HOMES).select("anchor").collect()], np.int64)
+    hot = _hot(classes.select("bits").mapInArrow(_home_of(anchors), "anchor long"))
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows * 64 // TASK_ROWS)
     entries = classes.select("bits").mapInArrow(_replicate(anchors, hot, 16 * tasks), "part int, entries binary")
-    links = _shared.cut(entries.repartition(tasks, "part").mapInArrow(_links(anchors), "a long, b long").distinct())
-    roots = connected_components(links)
+    placed = _components(classes, entries.repartition(tasks, "part").mapInArrow(_links(anchors, threshold), "a long, b long"))
+    return marked.join(placed, marked["bits"] == placed["of_bits"]).select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _hot(homes: DataFrame) -> np.ndarray:
+    """Anchors that are home to more than HOT_HOMES fingerprints: a HOT_HOMES-th of the fingerprints at most."""
+    return np.array([r[0] for r in homes.groupBy("anchor").count().where(F.col("count") > HOT_HOMES).select("anchor").collect()], np.int64)
+
+
+def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(of_bits, component_id) of each class (bits, first_id)."""
+    roots = connected_components(_shared.cut(links.distinct()))
     placed = classes.join(roots, classes["bits"] == roots["node"], "left").select("bits", "first_id", F.coalesce("root", "bits").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    placed = placed.join(smallest, "root").select(F.col("bits").alias("of_bits"), "component_id")
-    return marked.join(placed, marked["bits"] == placed["of_bits"]).select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+    return placed.join(smallest, "root").select(F.col("bits").alias("of_bits"), "component_id")
+
+
+def similar(docs: DataFrame, *, threshold: int = 10, shingle: int = 3) -> DataFrame:
+    """(doc_id, component_id) for each document: groups of texts that are alike, as of 0.8 of their five-word shingles on.
+
+    That similarity leaves about an eighth of the bits of a fingerprint on three-word shingles different, with a
+    spread of two or three bits: hence ``threshold``. Nulls, empty texts and repeats fare as in ``near_duplicates``.
+    """
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    number = docs.count()
+    tables = Tables.for_rows(number)
+    marked = _shared.cut(given.mapInArrow(_fingerprint_batches(shingle, max(2, tables.rounds)), "doc_id long, bits long, more binary"))
+    classes = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.min("more").alias("more")))
+    hot = _hot(classes.select("bits", "more").mapInArrow(_homes_of(tables), "anchor long"))
+    per_row = sum(_reach(tables.anchors.codes)) * tables.number
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(number * per_row) // TASK_ROWS)
+    entries = classes.select("bits", "more").mapInArrow(_replicate_tables(tables, threshold, hot, 16 * tasks), "part int, entries binary")
+    placed = _components(classes, entries.repartition(tasks, "part").mapInArrow(_links(None, threshold), "a long, b long"))
+    return marked.select("doc_id", "bits").join(placed, marked["bits"] == placed["of_bits"]).select("doc_id", "component_id")
+
+
+def _reach(codes: tuple[tuple[int, int, int], ...]) -> list[float]:
+    """Anchors of a fingerprint on average: its home, and those that one bit more reaches in each code."""
+    return [1.0, *(comb(n, r + 1) / 2 ** (g.bit_length() - 1) for n, r, g in codes)]
+
+
+def _homes_of(tables: Tables):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            more = np.frombuffer(b"".join(batch["more"].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(tables.home(np.column_stack([batch["bits"].to_numpy().view(np.uint64), more])).ravel())], ["anchor"])
+
+    return run
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose doc_id is the smallest of its group of similar documents. Rows without
+    doc_id stay only where their group has no other; rows that repeat a doc_id share its fate."""
+    groups = similar(docs, **options)
+    lost = groups.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("lost_id")).distinct()
+    return docs.join(lost, docs["doc_id"].eqNullSafe(lost["lost_id"]), "left_anti")

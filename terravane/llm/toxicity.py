@@ -185,3 +185,21 @@ def score(docs: DataFrame, model: ToxicityModels | None) -> DataFrame:
     kind = dict(given.dtypes)["doc_id"]
     run = _scores(docs.sparkSession.sparkContext.broadcast(model)) if model else _undecided
     return given.mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+
+
+def _kept(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        seen = _shared.per_worker(f"toxic:{m.id}", lambda: _shared.WordTable(m.difference, 1))
+        for batch in batches:
+            docs = _shared.texts(batch["text"])
+            for i, j in _shared.by_bytes(docs):
+                clean = m.score(m.features(docs[i:j], seen)) < 0.5
+                yield batch.slice(i, j - i).filter(pa.array(clean))
+
+    return run
+
+
+def keep(docs: DataFrame, model: ToxicityModels | None) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not predicted toxic; all of them without a model."""
+    return docs.mapInArrow(_kept(docs.sparkSession.sparkContext.broadcast(model)), docs.schema) if model else docs
