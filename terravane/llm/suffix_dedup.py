@@ -41,7 +41,7 @@ _NONE = np.iinfo(np.int64).max
 
 
 def _press(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(1).compress(data)
+    return zstandard.ZstdCompressor(3).compress(data)
 
 
 def _unpress(data: bytes) -> bytes:
@@ -599,16 +599,14 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, keep: tuple[str, ...] =
     size = shards.agg(F.sum("bytes")).first()[0] or 0
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
     parts = PARTS_PER_TASK * tasks
-    grams = shards.select("shard", "rows").mapInArrow(_list_grams(width, parts), "part int, shard long, grams binary")
     hot_from = HOT_SHARE * size / (0.5 * (width - GRAM + 2))  # a window of so many grams has an anchor every half of it
-    answers = _shared.cut(grams.repartition(tasks, "part").mapInArrow(_shared_grams(hot_from), "shard long, grams binary"))
+    answers = _shared.cut(shards.select("shard", "rows").mapInArrow(_list_grams(width, parts), "part int, shard long, grams binary").repartition(tasks, "part").mapInArrow(_shared_grams(hot_from), "shard long, grams binary"))
     often = [_unpack(bytes(r[0]))[0] for r in answers.where("shard is null").select("grams").collect()]  # some thousand at most
     hot = np.concatenate(often) if often else np.zeros(0, np.uint64)
     _shared.release(docs.sparkSession)
     by_shard = answers.where("shard is not null").groupBy("shard").agg(F.collect_list("grams").alias("answers"))
     asked = shards.select("shard", "rows").join(by_shard, "shard", "left")
-    contexts = asked.mapInArrow(_send_contexts(hot, width, parts), "part int, shard long, numbers binary, texts binary")
-    repeats = _shared.cut(contexts.repartition(tasks, "part").mapInArrow(_find_repeats(width), "shard long, repeats binary"))
+    repeats = _shared.cut(asked.mapInArrow(_send_contexts(hot, width, parts), "part int, shard long, numbers binary, texts binary").repartition(tasks, "part").mapInArrow(_find_repeats(width), "shard long, repeats binary"))
     _shared.release(docs.sparkSession)
     told = asked.join(repeats.groupBy("shard").agg(F.collect_list("repeats").alias("repeats")), "shard", "left")
     kept = [f"`{c}` {kinds[c]}" for c in keep]
