@@ -147,9 +147,9 @@ def _roads(spark: SparkSession, d: str) -> DataFrame:
 _ROADS = f"select p_partkey, {_NAMES}[p_partkey % 15 + 1] as highway, case when p_partkey % 5 = 0 then p_size::varchar || ',5 m' end as width, case when p_partkey % 3 = 0 then (p_partkey % 4)::varchar || ';2' end as lanes from part"
 
 
-@_query("select p_partkey, (case " + " ".join(f"when contains(highway, '{k}') then {v}" for k, v in features.ROAD_SUBTYPES) + " end)::bigint as subtype, case when " + " or ".join(f"contains(highway, '{k}')" for k in features.PAVED) + " then 'asphalt' else 'dirt' end as surface, coalesce(try_cast(trim(replace(replace(width, 'm', ''), ',', '.')) as double), greatest(try_cast(split_part(lanes, ';', 1) as int) * 3.5, case when lanes is not null then 4.0 end)::double, case " + " ".join(f"when highway = '{k}' then {v}" for k, v in features.ROAD_WIDTHS) + f" end::double, 6.0) as metres from ({_ROADS})")
+@_query("select p_partkey, (case " + " ".join(f"when contains(highway, '{k}') then {v}" for k, v in features.ROAD_SUBTYPES) + " else -1 end)::bigint as subtype, case when " + " or ".join(f"contains(highway, '{k}')" for k in features.PAVED) + " then 'asphalt' else 'dirt' end as surface, coalesce(try_cast(trim(replace(replace(width, 'm', ''), ',', '.')) as double), greatest(try_cast(split_part(lanes, ';', 1) as int) * 3.5, case when lanes is not null then 4.0 end)::double, case " + " ".join(f"when highway = '{k}' then {v}" for k, v in features.ROAD_WIDTHS) + f" end::double, 6.0) as metres from ({_ROADS})")
 def p4_p5_roads(spark: SparkSession, d: str) -> DataFrame:
-    return _roads(spark, d).select("p_partkey", features.first_match(F.col("highway"), features.ROAD_SUBTYPES).cast("long").alias("subtype"), features.road_surface(F.col("highway")).alias("surface"), features.road_width(F.col("width"), F.col("lanes"), F.col("highway")).alias("metres"))
+    return _roads(spark, d).select("p_partkey", features.first_match(F.col("highway"), (*features.ROAD_SUBTYPES, ("", -1))).cast("long").alias("subtype"), features.road_surface(F.col("highway")).alias("surface"), features.road_width(F.col("width"), F.col("lanes"), F.col("highway")).alias("metres"))
 
 
 @_query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, round_even(least(1.0, greatest(0.0, (l_quantity - 5) / 40.0)), 6) + 0.0 as u from lineitem")
@@ -286,11 +286,13 @@ def _named(spark: SparkSession, d: str) -> DataFrame:
 _NAMED = "select p_partkey, case p_partkey % 4 when 0 then 'tile_r' || p_size || '_c' || p_partkey % 50 || '.png' when 1 then 'tile_' || p_size || '_' || p_partkey % 50 || '.png' when 2 then 'tile_x' || p_size * 512 || '_y' || (p_partkey % 50) * 512 || '.png' else 'tile_' || lpad(p_partkey::varchar, 7, '0') || '.png' end as name from part"
 
 
-@_query("select p_partkey, name, case p_partkey % 4 when 0 then nullif(regexp_extract(name, 'r(\\d+)_c(\\d+)', 1), '')::bigint when 1 then nullif(regexp_extract(name, '_(\\d+)_(\\d+)', 1), '')::bigint end as \"row\", case p_partkey % 4 when 0 then nullif(regexp_extract(name, 'r(\\d+)_c(\\d+)', 2), '')::bigint when 1 then nullif(regexp_extract(name, '_(\\d+)_(\\d+)', 2), '')::bigint end as col, nullif(regexp_extract(name, 'x(\\d+)_y(\\d+)', 1), '')::bigint as x, nullif(regexp_extract(name, 'x(\\d+)_y(\\d+)', 2), '')::bigint as y, case when p_partkey % 4 in (1, 3) then nullif(regexp_extract(name, '_(\\d+)\\.\\w+$', 1), '')::bigint end as flat from (" + _NAMED + ")")
+@_query("select p_partkey, name, coalesce(case p_partkey % 4 when 0 then nullif(regexp_extract(name, 'r(\\d+)_c(\\d+)', 1), '')::bigint when 1 then nullif(regexp_extract(name, '_(\\d+)_(\\d+)', 1), '')::bigint end, -1) as \"row\", coalesce(case p_partkey % 4 when 0 then nullif(regexp_extract(name, 'r(\\d+)_c(\\d+)', 2), '')::bigint when 1 then nullif(regexp_extract(name, '_(\\d+)_(\\d+)', 2), '')::bigint end, -1) as col, coalesce(nullif(regexp_extract(name, 'x(\\d+)_y(\\d+)', 1), '')::bigint, -1) as x, coalesce(nullif(regexp_extract(name, 'x(\\d+)_y(\\d+)', 2), '')::bigint, -1) as y, coalesce(case when p_partkey % 4 in (1, 3) then nullif(regexp_extract(name, '_(\\d+)\\.\\w+$', 1), '')::bigint end, -1) as flat from (" + _NAMED + ")")
 def p8_tile_names(spark: SparkSession, d: str) -> DataFrame:
+    """What each parser finds in a name, -1 where it finds nothing."""
     n = F.col("name")
     rc, xy = tiles.row_col(n), tiles.x_y(n)
-    return _named(spark, d).select("p_partkey", "name", rc["a"].alias("row"), rc["b"].alias("col"), xy["a"].alias("x"), xy["b"].alias("y"), tiles.flat_index(n).alias("flat"))
+    found = {"row": rc["a"], "col": rc["b"], "x": xy["a"], "y": xy["b"], "flat": tiles.flat_index(n)}
+    return _named(spark, d).select("p_partkey", "name", *(F.coalesce(c, F.lit(-1).cast("long")).alias(k) for k, c in found.items()))
 
 
 _GRID = "select p_partkey, p_size as r, p_partkey % 50 as c from part"
