@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import features, geodesy
-from ..operators import evaluation, frames, raster, spatial, tiles
+from ..operators import evaluation, frames, raster, spatial, tile_kernels, tiles
+from ..sources import writers
+from ..streaming import frames as stream_frames
 from . import adapters
 from .adapters import table, with_tables
 
@@ -532,3 +533,97 @@ def x1_union_distinct(spark: SparkSession, d: str) -> DataFrame:
 def j16_f66_priority(spark: SparkSession, d: str) -> DataFrame:
     o, c = table(spark, d, "orders"), table(spark, d, "customer")
     return o.join(c, o["o_custkey"] == c["c_custkey"], "left").select("o_orderkey", F.coalesce(F.nullif("o_totalprice", F.lit(100000.0)), F.nullif("c_acctbal", F.lit(0.0)), F.lit(-1.0)).alias("altitude"))
+
+
+# --- kernels, files and streams ---------------------------------------------------------------------------------------
+
+
+def _rings(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of matched boxes as rings."""
+    ring = lambda p: F.array(*(F.array(F.col(f"{p}{x}"), F.col(f"{p}{y}")) for x, y in (("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"))))
+    pairs = spatial.box_join(adapters.truth_boxes(spark, d), adapters.found_boxes(spark, d), 16.0).where("id = r_id")
+    return pairs.select("id", ring("").alias("truth"), ring("r_").alias("found"))
+
+
+@_query(with_tables("select id, (xmax - xmin) * (ymax - ymin) as area, round((xmin + xmax) / 2, 6) as cx, round((ymin + ymax) / 2, 6) as cy, round(sqrt(pow(dx, 2) + pow(dy, 2)), 6) as hausdorff, round(sqrt(pow(dx, 2) + pow(dy, 2)), 6) as centroid_distance, round((xmax - xmin - dx) * (ymax - ymin - dy), 6) as common_area from (select t.*, f.xmin - t.xmin as dx, f.ymin - t.ymin as dy from truth t join found f using (id)) where dx <= xmax - xmin and dy <= ymax - ymin", "truth", "found"))
+def f13_f19_ring_measures(spark: SparkSession, d: str) -> DataFrame:
+    out = tile_kernels.ring_measures(_rings(spark, d), ["id"], "truth", "found")
+    return out.select("id", "area", *(_r(F.col(c)).alias(c) for c in ("cx", "cy", "hausdorff", "centroid_distance", "common_area")))
+
+
+@_query()
+def a2_f20_boundary_scores(spark: SparkSession, d: str) -> DataFrame:
+    return tile_kernels.boundary_scores(_rings(spark, d), ["id"], "truth", "found", 1.0)
+
+
+@_query()
+def f22_f24_f25_mask_objects(spark: SparkSession, d: str) -> DataFrame:
+    return tile_kernels.mask_objects(adapters.rasters(spark, d), ["vec_id"], "px", 8, 0.02, 0, 1, 3)
+
+
+@_query()
+def w6_f47_f50_refine(spark: SparkSession, d: str) -> DataFrame:
+    return tile_kernels.refine(adapters.rasters(spark, d), ["vec_id"], "px", 8, -32768.0)
+
+
+@_query()
+def f57_suppression(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem")
+    x, y = F.call_function("mod", F.col("l_partkey"), F.lit(20)).cast("double"), F.call_function("mod", F.col("l_suppkey"), F.lit(20)).cast("double")
+    box = F.struct(F.col("l_linenumber").alias("n"), F.array(x, y, x + 8, y + 8).alias("box"), (F.col("l_quantity") / 50).alias("score"))
+    grouped = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(box)).alias("b")).select("l_orderkey", F.transform("b", lambda v: v["box"]).alias("boxes"), F.transform("b", lambda v: v["score"]).alias("scores"))
+    return tile_kernels.keep_best_boxes(grouped, ["l_orderkey"], "boxes", "scores")
+
+
+@_query("select l_orderkey, count(*) as total, sum(l_quantity) as quantity, min(l_partkey) as first_part from lineitem group by 1")
+def s5_s8_k5_nested_json(spark: SparkSession, d: str) -> DataFrame:
+    """Items of an order to one JSON document and back."""
+    li = table(spark, d, "lineitem")
+    docs = writers.nested_json(li, ["l_orderkey"], ["l_partkey", "l_quantity"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "items")
+    back = docs.select(F.from_json("json", "l_orderkey long, total long, items array<struct<l_partkey: long, l_quantity: double>>").alias("j")).select("j.*")
+    return back.select("l_orderkey", "total", F.explode("items").alias("i")).groupBy("l_orderkey", "total").agg(F.sum("i.l_quantity").alias("quantity"), F.min("i.l_partkey").alias("first_part"))
+
+
+@_query()
+def k9_network_text(spark: SparkSession, d: str) -> DataFrame:
+    s = adapters.segments(spark, d)
+    seq = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "x2"))
+    roads = s.select(F.floor(F.col("l_orderkey") / 100).alias("tile"), F.col("l_orderkey").alias("road"), F.lit(50).alias("subtype"), seq.alias("seq"), (29 + F.col("x1") / 100).alias("lon"), (41 + F.col("y1") / 100).alias("lat"))
+    return writers.network_text(roads, ["tile"])
+
+
+@_query()
+def k9_facade_text(spark: SparkSession, d: str) -> DataFrame:
+    b = adapters.truth_boxes(spark, d)
+    point = lambda x, y: F.struct((29 + F.col(x) / 1e4).alias("lon"), (41 + F.col(y) / 1e4).alias("lat"))
+    ring = F.array(point("xmin", "ymin"), point("xmax", "ymin"), point("xmax", "ymax"), point("xmin", "ymax"))
+    height = geodesy.building_height(F.col("xmax") - F.col("xmin"), F.lit(None).cast("double"))
+    facade = F.concat(F.lit("facades/"), features.size_bucket(spatial.box_area() * 20), F.lit(".fac"))
+    return writers.facade_text(b.select(F.floor(F.col("ymin") / 120).alias("tile"), "id", facade.alias("facade"), ring.alias("ring"), height.alias("height")), ["tile"])
+
+
+@_query("select p_size, p_brand as layer, rank() over (partition by p_size, p_brand order by p_partkey) - 1 as number, rank() over (partition by p_size order by p_brand, p_partkey) - 1 as joined, p_partkey from part")
+def x5_join_overlays(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part").select("p_size", F.col("p_brand").alias("layer"), (F.row_number().over(Window.partitionBy("p_size", "p_brand").orderBy("p_partkey")) - 1).cast("long").alias("number"), "p_partkey")
+    return writers.join_overlays(p, ["p_size"])
+
+
+@_query(with_tables("", "truth", "found").rstrip() + ", " + _MATCHES + " select 'Objects' as section, metric, value, case when metric = 'tp' then 'accepted' else '' end as notes from (select (select count(*) from truth)::double as n_gt, (select count(*) from found)::double as n_pred, (select count(*) from matches)::double as tp) unpivot (value for metric in (n_gt, n_pred, tp))")
+def k6_metric_rows(spark: SparkSession, d: str) -> DataFrame:
+    m = evaluation.object_metrics(adapters.truth_boxes(spark, d), adapters.found_boxes(spark, d), _matches(spark, d))
+    return writers.metric_rows(m.select(*(F.col(c).cast("double").alias(c) for c in ("n_gt", "n_pred", "tp"))), "Objects", {"tp": "accepted"})
+
+
+@_query("select time_bucket(interval '1 hour', ts) as start, count(*) as samples, round(avg(value), 6) as average_fps, min(value) as min_fps, max(value) as max_fps from events where value > 0 group by 1")
+def t2_windowed_rates(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = stream_frames.windowed_rates(e, "ts", "value", "1 hour")
+    return out.withColumn("average_fps", _r(F.col("average_fps"))).withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@_query()
+def k2_k3_s4_s17_images(spark: SparkSession, d: str) -> DataFrame:
+    """Tiles to PNG, TIFF and height files as bytes, with their sizes."""
+    t = adapters.rasters(spark, d).select(F.col("vec_id").cast("string").alias("name"), raster.stretch(F.col("px"), F.lit(-0.5), F.lit(0.5)).alias("px"))
+    out = [writers.image_bytes(t, k, 8).select("name", F.lit(k).alias("kind"), F.length("content").alias("size"), F.sha2("content", 256).alias("sha256")) for k in ("png", "tiff", "heights")]
+    return out[0].unionByName(out[1]).unionByName(out[2])
