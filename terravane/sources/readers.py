@@ -55,7 +55,7 @@ def tile_metadata(spark: SparkSession, path: str) -> DataFrame:
 def frame_data(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
     """Headers and rows (file, line, values) of pipe-separated samples. The first line of a file names its columns;
     rows of another length or with a cell that is no number go."""
-    lines = spark.read.text(path).where("trim(value) != ''").select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"), F.filter(F.transform(F.split("value", r"\|"), F.trim), lambda x: x != "").alias("cells"))
+    lines = spark.read.text(path).where("trim(value) != ''").select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"), F.filter(F.transform(F.split("value", r"\|"), lambda x: F.trim(x)), lambda x: x != "").alias("cells"))
     first = lines.orderBy("line").first()
     if first is None:
         raise ValueError(f"no rows in {path}")
