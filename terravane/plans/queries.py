@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import features, geodesy
-from ..operators import evaluation, frames, raster, spatial, tile_kernels, tiles
+from ..operators import evaluation, frames, raster, scenery, spatial, tile_kernels, tiles
 from ..sources import writers
 from ..streaming import frames as stream_frames
 from . import adapters
@@ -627,3 +627,122 @@ def k2_k3_s4_s17_images(spark: SparkSession, d: str) -> DataFrame:
     t = adapters.rasters(spark, d).select(F.col("vec_id").cast("string").alias("name"), raster.stretch(F.col("px"), F.lit(-0.5), F.lit(0.5)).alias("px"))
     out = [writers.image_bytes(t, k, 8).select("name", F.lit(k).alias("kind"), F.length("content").alias("size"), F.sha2("content", 256).alias("sha256")) for k in ("png", "tiff", "heights")]
     return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+# --- scenery ----------------------------------------------------------------------------------------------------------
+
+
+@_query("select v, i as idx from (select distinct o_totalprice as v from orders where o_orderkey % 20 = 0), (select at, row_number() over (order by at) - 1 as i from (select distinct c_acctbal * 40 as at from customer where c_custkey % 5 = 0)) qualify row_number() over (partition by v order by abs(v - at), i) = 1")
+def j9_nearest(spark: SparkSession, d: str) -> DataFrame:
+    values = table(spark, d, "orders").where("o_orderkey % 20 = 0").select(F.col("o_totalprice").alias("v"))
+    nodes = table(spark, d, "customer").where("c_custkey % 5 = 0").select((F.col("c_acctbal") * 40).alias("at"))
+    return scenery.nearest(values, "v", nodes, "at").withColumn("idx", F.col("idx").cast("long"))
+
+
+@_query(with_tables("", "truth").rstrip() + ", grid as (select distinct p_size as x, p_partkey % 10 as y from part) select g.x, g.y, n.x as near_x, n.y as near_y from grid g join grid n on abs(g.x - n.x) <= 1 and abs(g.y - n.y) <= 1 and (g.x <> n.x or g.y <> n.y)")
+def j17_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    grid = table(spark, d, "part").select(F.col("p_size").alias("x"), F.call_function("mod", F.col("p_partkey"), F.lit(10)).alias("y"))
+    return scenery.neighbours(grid, "x", "y")
+
+
+@_query()
+def a21_quadtree(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of at most 200 places each."""
+    p = table(spark, d, "lineitem").select(F.col("l_orderkey"), (F.call_function("mod", F.col("l_partkey") * 7919, F.lit(10007)) / 10007).alias("x"), (F.call_function("mod", F.col("l_suppkey") * 104729 + F.col("l_orderkey"), F.lit(10009)) / 10009).alias("y"))
+    return scenery.quadtree(p, "x", "y", 200)[1]
+
+
+@_query("select p_partkey, sum(h * w)::bigint as tiles, max((h - 1) * 512)::bigint as last_row, max((w - 1) * 512)::bigint as last_col from (select p_partkey, ceil(p_size * 100 / 512.0)::bigint as w, ceil((p_size * 70 + 1) / 512.0)::bigint as h from part) group by 1")
+def f41_slices(spark: SparkSession, d: str) -> DataFrame:
+    s = scenery.slices(F.col("p_size") * 100, F.col("p_size") * 70 + 1, 512)
+    return table(spark, d, "part").select("p_partkey", s.alias("s")).select("p_partkey", F.size("s").cast("long").alias("tiles"), F.array_max(F.transform("s", lambda t: t["row"])).alias("last_row"), F.array_max(F.transform("s", lambda t: t["col"])).alias("last_col"))
+
+
+@_query("select a as asked, max(z) as zoom from (select distinct p_size / 4.0 as a from part), (select z, 156543.0 / pow(2, z) as r from range(31) t(z)) where r <= 1.1 * a and r = (select max(156543.0 / pow(2, q)) from range(31) u(q) where 156543.0 / pow(2, q) <= 1.1 * a) group by a")
+def f67_finest_level(spark: SparkSession, d: str) -> DataFrame:
+    asked = table(spark, d, "part").select((F.col("p_size") / 4.0).alias("asked")).distinct()
+    levels = spark.range(31).select(F.col("id").alias("zoom"), (156543.0 / F.pow(F.lit(2.0), F.col("id"))).alias("resolution"))
+    return scenery.finest(levels, asked)
+
+
+@_query("select a.x, a.y, a.zoom, m.l as levels, a.x - (a.x // (1 << m.l)) * (1 << m.l) as qx, a.y - (a.y // (1 << m.l)) * (1 << m.l) as qy from (select p_partkey as x, p_partkey * 3 % 512 as y, 12::bigint as zoom from part) a join (select p.p_partkey as x, min(l)::int as l from part p, range(6) t(l) where (p.p_partkey // (1 << l), (p.p_partkey * 3 % 512) // (1 << l), 12 - l) in (select (s_suppkey // (1 << (s_suppkey % 5 + 1)), (s_suppkey * 3 % 512) // (1 << (s_suppkey % 5 + 1)), 11 - s_suppkey % 5) from supplier) group by 1) m on m.x = a.x")
+def f67_parent_tiles(spark: SparkSession, d: str) -> DataFrame:
+    k, s = F.col("p_partkey"), F.col("s_suppkey")
+    tiles_ = table(spark, d, "part").select(k.alias("x"), F.call_function("mod", k * 3, F.lit(512)).alias("y"), F.lit(12).cast("long").alias("zoom"))
+    n = F.pow(F.lit(2), F.call_function("mod", s, F.lit(5)) + 1).cast("long")
+    held = table(spark, d, "supplier").select(F.floor(s / n).alias("x"), F.floor(F.call_function("mod", s * 3, F.lit(512)) / n).alias("y"), (11 - F.call_function("mod", s, F.lit(5))).alias("zoom"))
+    return scenery.with_parents(tiles_, held).where("levels is not null")
+
+
+@_query("select l_partkey, l_suppkey, avg(v) as v from (select l_partkey % 100 as l_partkey, l_suppkey % 10 as l_suppkey, l_quantity as v from lineitem) group by 1, 2")
+def a20_blend(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem").select(F.call_function("mod", F.col("l_partkey"), F.lit(100)).alias("l_partkey"), F.call_function("mod", F.col("l_suppkey"), F.lit(10)).alias("l_suppkey"), F.col("l_quantity").alias("v"))
+    return scenery.blend(li, ["l_partkey", "l_suppkey"], "v")
+
+
+@_query("select p_partkey, p_retailprice >= 1500 and p_brand not in ('Brand#1', 'Brand#2') as masked from part")
+def p16_large_lakes(spark: SparkSession, d: str) -> DataFrame:
+    return scenery.large_lakes(table(spark, d, "part"), "p_brand", "p_retailprice", 1500.0, ["Brand#1", "Brand#2"]).select("p_partkey", "masked")
+
+
+@_query("select s_suppkey, s_suppkey * 7 % 400 - 200 between -90 and 90 and s_suppkey * 11 % 500 - 250 between -180 and 180 as good, s_suppkey * 7 % 400 - 200 between -90 and 89 and s_suppkey * 11 % 500 - 250 between -180 and 179 as tile, s_suppkey in (1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048) as power from supplier where s_suppkey < 4096")
+def p19_p22_validation(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    lat, lon = F.call_function("mod", k * 7, F.lit(400)) - 200, F.call_function("mod", k * 11, F.lit(500)) - 250
+    text = F.concat_ws(",", lat.cast("string"), lon.cast("string"))
+    return table(spark, d, "supplier").where("s_suppkey < 4096").select("s_suppkey", scenery.coordinates(text).isNotNull().alias("good"), scenery.tile_degrees(lat, lon).alias("tile"), scenery.power_of_two(k).alias("power"))
+
+
+@_query(with_tables("select vec_id, list_max(list_transform(px, lambda x: trunc(least(1.0, greatest(0.0, (x + 0.25) / 0.5)) * 255)::int)) > 230 as high from rasters", "rasters"))
+def p21_needs_mask(spark: SparkSession, d: str) -> DataFrame:
+    px = F.transform(raster.stretch(F.col("px"), F.lit(-0.25), F.lit(0.25)), lambda v: v - 200)
+    return adapters.rasters(spark, d).select("vec_id", scenery.needs_mask(px).alias("high"))
+
+
+@_query("select p_partkey from part where p_retailprice >= 400 and p_retailprice / (p_size * 40.0) >= 0.8")
+def p11_fill_ratio(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").where(scenery.fill_ratio(F.col("p_retailprice"), F.col("p_size"), F.lit(40.0), 0.8)).select("p_partkey")
+
+
+@_query("select t.id, coalesce(c.n, 0)::bigint as cuts, (case coalesce(c.n, 0) when 0 then 1 when 1 then 2 when 2 then 3 else 6 end)::int as parts from (select p_partkey as id from part) t left join (select id, count(*) as n from (select p_partkey as id, unnest([[p_partkey, p_partkey + 1], [p_partkey + 1, p_partkey + 2], [p_partkey, p_partkey + 2]]) as e from part) where (e[1], e[2]) in (select (s_suppkey * 2, s_suppkey * 2 + 1 + s_suppkey % 2) from supplier) group by 1) c using (id)")
+def f34_recut(spark: SparkSession, d: str) -> DataFrame:
+    k, s = F.col("p_partkey"), F.col("s_suppkey")
+    triangles = table(spark, d, "part").select(k.alias("id"), k.alias("a"), (k + 1).alias("b"), (k + 2).alias("c"))
+    return scenery.recut(triangles, table(spark, d, "supplier").select((s * 2).alias("u"), (s * 2 + 1 + F.call_function("mod", s, F.lit(2))).alias("v")))
+
+
+@_query(with_tables("select id, cx as cell_x, cy as cell_y, 'tex' || cx || '_' || cy as texture from (select id, floor((xmin * 2 + xmax) / 3 / 10)::bigint as cx, floor((ymin * 2 + ymax) / 3 / 10)::bigint as cy from truth)", "truth"))
+def j14_triangle_textures(spark: SparkSession, d: str) -> DataFrame:
+    b = adapters.truth_boxes(spark, d)
+    t = b.select("id", F.col("xmin").alias("x1"), F.col("ymin").alias("y1"), F.col("xmax").alias("x2"), F.col("ymin").alias("y2"), F.col("xmin").alias("x3"), F.col("ymax").alias("y3"))
+    cells = t.select(F.floor((F.col("x1") * 2 + F.col("x2")) / 3 / 10).alias("cell_x"), F.floor((F.col("y1") * 2 + F.col("y3")) / 3 / 10).alias("cell_y")).distinct()
+    named = cells.withColumn("texture", F.concat(F.lit("tex"), F.col("cell_x").cast("string"), F.lit("_"), F.col("cell_y").cast("string")))
+    return scenery.triangle_textures(t, named, 10.0).select("id", "cell_x", "cell_y", "texture")
+
+
+@_query()
+def j8_merge_overlapping(spark: SparkSession, d: str) -> DataFrame:
+    return scenery.merge_overlapping(adapters.road_boxes(spark, d), 16.0)
+
+
+@_query()
+def f38_w7_densify(spark: SparkSession, d: str) -> DataFrame:
+    s = adapters.segments(spark, d)
+    seq = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "x2"))
+    return scenery.densify(s.select("l_orderkey", seq.alias("seq"), F.col("x1").alias("x"), F.col("y1").alias("y")), ["l_orderkey"], "seq", 20.0)
+
+
+@_query(with_tables("select vec_id, k, x, y from (select vec_id, k::int as k, (vec_id * 7 + k * 13) % 100 / 100.0 as x, (vec_id * 11 + k * 17) % 100 / 100.0 as y, px from rasters, range(5) t(k)) where px[(floor(y * 8) * 8 + floor(x * 8))::int + 1] >= 0.02", "rasters"))
+def j6_j15_positions_on_mask(spark: SparkSession, d: str) -> DataFrame:
+    t = adapters.rasters(spark, d)
+    place = lambda a, b: F.call_function("mod", F.col("vec_id") * a + F.col("k") * b, F.lit(100)) / 100.0
+    trees = t.select(F.col("vec_id").alias("tile"), "vec_id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k")).select("tile", "vec_id", "k", place(7, 13).alias("x"), place(11, 17).alias("y"))
+    masks = t.select(F.col("vec_id").alias("tile"), F.lit(8).alias("width"), F.lit(8).alias("height"), raster.threshold_mask(F.col("px"), 0.02).alias("px"))
+    return tiles.positions_on_mask(trees, masks).select("vec_id", "k", "x", "y")
+
+
+@_query("select o_orderkey, row_number() over (order by o_totalprice desc, o_orderkey) as k from orders qualify k <= 50")
+def o1_o3_first_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The first 50 tiles of an order, as a debugging limit takes them."""
+    top = table(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(50)
+    return top.select("o_orderkey", F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_orderkey")).cast("long").alias("k"))
