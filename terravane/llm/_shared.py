@@ -55,15 +55,18 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 
 
 def per_worker(key: str, make: Callable[[], object]) -> object:
-    """The worker's object under ``key``, made on first use; one object is kept for each kind (text before ':')."""
+    """The worker's object under ``key``, made on first use. A worker keeps one object only, as tasks of an operator use one."""
     if key not in _WORKER:
-        kind = key.split(":")[0]
-        for old in [k for k in _WORKER if k.split(":")[0] == kind]:
-            del _WORKER[old]
+        _WORKER.clear()
         _WORKER[key] = make()
     return _WORKER[key]
 
 
+def forget() -> None:
+    """Drops what an earlier operator left in this worker."""
+    _WORKER.clear()
+
+
 class WordTable:
     """Maps words to rows of a float table that ``score`` fills for words not met before."""
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import _shared
 from .components import connected_components
 
-_WEIGHT = 1 << np.arange(64, dtype=np.uint64)
+_LANES = np.uint64(0x0101010101010101)
 #: Fingerprints of one anchor that are compared at once, a side; larger anchors are compared by parts.
 BLOCK = 2048
 #: Entries that one reducing task takes, as planned from their number.
@@ -45,6 +45,19 @@ HAMMING = (7, 1, 0b1011)
 # --- fingerprints -----------------------------------------------------------------------------------------------------
 
 
+def majorities(hashes: np.ndarray, votes: np.ndarray) -> np.ndarray:
+    """The bits set in over half of each run of ``votes`` hashes, eight bits counted at once in the bytes of a word."""
+    starts, pieces = np.cumsum(votes) - votes, -(-votes // 255)  # a byte counts to 255
+    first = np.cumsum(pieces) - pieces
+    cuts = np.repeat(starts, pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(first, pieces))
+    ones = np.empty((len(votes), 8, 8), np.int64)
+    for b in range(8):
+        lanes = np.add.reduceat(hashes >> np.uint64(b) & _LANES, cuts)
+        ones[:, :, b] = np.add.reduceat(lanes.astype("<u8").view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
+    over = 2 * ones.reshape(len(votes), 64) > votes[:, None]
+    return np.packbits(over, axis=1, bitorder="little").view("<u8")[:, 0]
+
+
 def fingerprints(texts: list[bytes], shingle: int = 3, rounds: int = 1) -> np.ndarray:
     """A 64-bit fingerprint of each text; zero where there is no word. With more ``rounds`` further 64 bits each, voted
     by multiples of the shingles' hashes: a row for each text."""
@@ -55,18 +68,12 @@ def fingerprints(texts: list[bytes], shingle: int = 3, rounds: int = 1) -> np.nd
     def count() -> None:
         if not hashes:
             return
-        h = np.array(hashes, np.uint64)
-        starts = np.concatenate([[0], np.cumsum(votes)[:-1]])
+        h, n = np.array(hashes, np.uint64), np.array(votes)
         for r in range(rounds):
             if r:
                 h = (h ^ h >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93)
                 h ^= h >> np.uint64(29)
-            bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            for lo in range(0, len(owners), 256):  # sums of a few texts at once stay in the processor's cache
-                hi = min(lo + 256, len(owners))
-                part = bits[starts[lo] : starts[hi] if hi < len(owners) else len(h)]
-                ones = np.add.reduceat(part, starts[lo:hi] - starts[lo], axis=0, dtype=np.int32)
-                out[owners[lo:hi], r] = ((2 * ones > np.array(votes[lo:hi])[:, None]) * _WEIGHT).sum(axis=1, dtype=np.uint64)
+            out[owners, r] = majorities(h, n)
         hashes.clear(), owners.clear(), votes.clear()
 
     for i, text in enumerate(texts):
@@ -94,9 +101,10 @@ def fingerprints(texts: list[bytes], shingle: int = 3, rounds: int = 1) -> np.nd
 
 def _fingerprint_batches(shingle: int, rounds: int = 1):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         for batch in batches:
             docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs, 4 << 20):
+            for i, j in _shared.by_bytes(docs, 1 << 20):
                 f = fingerprints(docs[i:j], shingle, rounds).reshape(j - i, rounds)
                 more = [pa.array([x.tobytes() for x in np.ascontiguousarray(f[:, 1:])], pa.binary())] * (rounds > 1)
                 yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in batch.schema.names if c != "text"), pa.array(f[:, 0].copy().view(np.int64)), *more], [*(c for c in batch.schema.names if c != "text"), "bits", *["more"] * len(more)])
@@ -280,9 +288,9 @@ def _replicate_tables(tables: Tables, threshold: int, hot: np.ndarray, parts: in
         for batch in batches:
             all_bits = batch["bits"].to_numpy().view(np.uint64)
             more = np.frombuffer(b"".join(batch["more"].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            for i in range(0, len(all_bits), 1024):
-                bits = all_bits[i : i + 1024]
-                at, anchor, home = tables.near(np.column_stack([bits, more[i : i + 1024]]))
+            for i in range(0, len(all_bits), 2048):
+                bits = all_bits[i : i + 2048]
+                at, anchor, home = tables.near(np.column_stack([bits, more[i : i + 2048]]))
                 entry = np.empty(len(at), _HOMED)
                 entry["anchor"], entry["bits"], entry["home"] = anchor, bits[at], home
                 yield _blobs(*_deal(entry, anchor, hot, threshold, parts))

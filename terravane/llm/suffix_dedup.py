@@ -71,6 +71,7 @@ def _unpack(data: bytes) -> list[np.ndarray]:
 
 def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows to shards: (shard, bytes, rows): Arrow's stream format, compressed."""
+    _shared.forget()
     number = TaskContext.get().partitionId() << 32
     held, size = [], 0
 
