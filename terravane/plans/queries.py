@@ -632,7 +632,7 @@ def k2_k3_s4_s17_images(spark: SparkSession, d: str) -> DataFrame:
 # --- scenery ----------------------------------------------------------------------------------------------------------
 
 
-@_query("select v, i as idx from (select distinct o_totalprice as v from orders where o_orderkey % 20 = 0), (select at, row_number() over (order by at) - 1 as i from (select distinct c_acctbal * 40 as at from customer where c_custkey % 5 = 0)) qualify row_number() over (partition by v order by abs(v - at), i) = 1")
+@_query("select v, i as idx from (select distinct o_totalprice as v from orders where o_orderkey % 20 = 0), (select n, row_number() over (order by n) - 1 as i from (select distinct c_acctbal * 40 as n from customer where c_custkey % 5 = 0)) qualify row_number() over (partition by v order by abs(v - n), i) = 1")
 def j9_nearest(spark: SparkSession, d: str) -> DataFrame:
     values = table(spark, d, "orders").where("o_orderkey % 20 = 0").select(F.col("o_totalprice").alias("v"))
     nodes = table(spark, d, "customer").where("c_custkey % 5 = 0").select((F.col("c_acctbal") * 40).alias("at"))
