@@ -162,3 +162,52 @@ def merge_overlapping(boxes: DataFrame, cell: float) -> DataFrame:
         root = new.select("id", "root")
         if new.where("old != root").isEmpty():
             return root
+
+
+def weight_map(rectangles: DataFrame, side: int, base: float) -> DataFrame:
+    """(row, col, weight) of the nodes that rectangles (row0, row1, col0, col1, weight; both ends in) cover: the greatest
+    weight; nodes outside all have ``base``, and are not listed."""
+    inside = lambda c: F.least(F.greatest(F.col(c), F.lit(0)), F.lit(side - 1))
+    rows = rectangles.withColumn("row", F.explode(F.sequence(inside("row0"), inside("row1")))).withColumn("col", F.explode(F.sequence(inside("col0"), inside("col1"))))
+    return rows.groupBy("row", "col").agg(F.greatest(F.max("weight"), F.lit(base)).alias("weight"))
+
+
+def ortho_lines(tiles: DataFrame, zoom: int) -> DataFrame:
+    """(lat, lon, axis, n, at) of the texture grid's lines inside each degree tile: axis x at longitudes, y at latitudes,
+    every 16 tiles of the zoom; ``at`` is the place in the tile, 0 to 1, to nine places."""
+    from ..functions.geodesy import lat_lon_to_orthogrid, tile_to_lat_lon
+
+    z = F.lit(zoom)
+    west, north = lat_lon_to_orthogrid(F.col("lat") + 1.0, F.col("lon") + 0.0, z)
+    east, south = lat_lon_to_orthogrid(F.col("lat") + 0.0, F.col("lon") + 1.0, z)
+    lines = lambda axis, a, b: tiles.select("lat", "lon", F.lit(axis).alias("axis"), F.explode(F.sequence(a, b, F.lit(16).cast("long"))).alias("n"))
+    both = lines("x", west, east).unionByName(lines("y", north, south))
+    place_lat, place_lon = tile_to_lat_lon(F.col("n"), F.col("n"), z)
+    at = F.when(F.col("axis") == "x", place_lon - F.col("lon")).otherwise(place_lat - F.col("lat"))
+    return both.withColumn("at", F.bround(at, 9)).where("at >= 0 and at <= 1")
+
+
+def stitch_rings(ways: DataFrame) -> DataFrame:
+    """(relation, ring, closed) of ways (relation, way, first, last: node ids): ways that share end nodes form rings. A
+    ring is closed if every end node in it is met twice; relations whose ends do not pair have open rings."""
+    ends = ways.select("relation", "way", F.explode(F.array("first", "last")).alias("node"))
+    pairs = ends.alias("p").join(ends.alias("q"), (F.col("p.relation") == F.col("q.relation")) & (F.col("p.node") == F.col("q.node")) & (F.col("p.way") < F.col("q.way")))
+    links = _lineage.settle(pairs.select(F.col("p.relation").alias("relation"), F.col("p.way").alias("a"), F.col("q.way").alias("b")).distinct())
+    both = _lineage.settle(links.unionByName(links.select("relation", F.col("b").alias("a"), F.col("a").alias("b"))))
+    root = ways.select("relation", "way", F.col("way").alias("ring"))
+    while True:
+        near = both.join(root.select("relation", F.col("way").alias("b"), "ring"), ["relation", "b"]).groupBy("relation", F.col("a").alias("way")).agg(F.min("ring").alias("near"))
+        new = _lineage.settle(root.join(near, ["relation", "way"], "left").select("relation", "way", F.col("ring").alias("old"), F.least("ring", F.coalesce("near", "ring")).alias("ring")))
+        root = new.select("relation", "way", "ring")
+        if new.where("old != ring").isEmpty():
+            break
+    met = ends.join(root, ["relation", "way"]).groupBy("relation", "ring", "node").agg(F.count("*").alias("n"))
+    return met.groupBy("relation", "ring").agg(F.bool_and(F.col("n") % 2 == 0).alias("closed"))
+
+
+def node_levels(nodes: DataFrame, water: str, sea: str, mode: str = "zero") -> DataFrame:
+    """Altitudes after class: sea nodes at 0, at the sea's mean, or no lower than 0, by mode; inland water at the mean of
+    its body. ``nodes`` has body, kind and z."""
+    mean = F.avg("z").over(Window.partitionBy("body", "kind"))
+    at_sea = {"zero": F.lit(0.0), "mean": mean, "clamp": F.greatest(F.col("z"), F.lit(0.0))}[mode]
+    return nodes.withColumn("level", F.when(F.col("kind") == sea, at_sea).when(F.col("kind") == water, mean).otherwise(F.col("z")))

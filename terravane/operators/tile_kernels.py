@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import kernels
 
@@ -14,18 +15,16 @@ from ..functions import kernels
 def map_rows(df: DataFrame, columns: list[str], kernel: Callable[..., tuple], schema: str, keep: list[str]) -> DataFrame:
     """``keep`` and what ``kernel`` returns for the values of ``columns``; a null value gives nulls."""
     kinds = dict(df.dtypes)
-    out_names = [x.strip().split()[0] for x in _top_level(schema)]
+    names = [x.strip().split()[0] for x in _top_level(schema)]
+    types = [f.type for f in to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)]
+    nothing = tuple(None for _ in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [tuple(None for _ in out_names) if any(v is None for v in values) else kernel(*values) for values in zip(*(batch[c].to_pylist() for c in columns), strict=True)]
+            rows = [nothing if any(v is None for v in values) else kernel(*values) for values in zip(*(batch[c].to_pylist() for c in columns), strict=True)]
             made = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *made], [*keep, *out_names])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *made], [*keep, *names])
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    full = df.sparkSession.createDataFrame([], schema).schema
-    types = [f.type for f in to_arrow_schema(full)]
     return df.select(*dict.fromkeys([*keep, *columns])).mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), schema]))
 
 

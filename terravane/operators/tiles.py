@@ -50,7 +50,7 @@ def complete(grid: DataFrame, entries: DataFrame, keys: list[str], zeros: dict[s
     return out.select(*keys, *(F.coalesce(F.col(c), F.lit(z)).alias(c) for c, z in zeros.items()))
 
 
-def unity_indices(names: DataFrame, raw_row: str, raw_col: str) -> DataFrame:
+def grid_indices(names: DataFrame, raw_row: str, raw_col: str) -> DataFrame:
     """Pixel offsets to tile indices: ranks of distinct values, the axes swapped. Distinct offsets are ranked first, so
     that the windows hold a grid's side and not its tiles."""
     by = lambda c, out: names.select(c).distinct().select(c, (F.dense_rank().over(Window.orderBy(c)) - 1).alias(out))

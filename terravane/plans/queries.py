@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import features, geodesy
+from ..functions import colours, features, geodesy
 from ..operators import evaluation, frames, raster, scenery, spatial, tile_kernels, tiles
 from ..sources import writers
 from ..streaming import frames as stream_frames
@@ -136,11 +136,12 @@ def f14_p3_buildings(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", geodesy.building_height(F.col("p_size") / 1.5, F.lit(None).cast("double")).alias("height"), features.size_bucket(F.col("p_retailprice")).alias("bucket"))
 
 
-_NAMES = "['motorway','trunk','primary','secondary','tertiary','residential','living_street','unclassified','service','track','path','footway','cycleway','pedestrian','alley']"
+_KINDS = [*(k for k, _ in features.ROAD_SUBTYPES), "alley"]
+_NAMES = str(_KINDS)
 
 
 def _roads(spark: SparkSession, d: str) -> DataFrame:
-    kinds = F.array(*(F.lit(x) for x in eval(_NAMES)))  # noqa: S307  a list written above
+    kinds = F.array(*map(F.lit, _KINDS))
     k = F.col("p_partkey")
     return table(spark, d, "part").select("p_partkey", F.element_at(kinds, (F.call_function("mod", k, F.lit(15)) + 1).cast("int")).alias("highway"), F.when(F.call_function("mod", k, F.lit(5)) == 0, F.concat(F.col("p_size").cast("string"), F.lit(",5 m"))).alias("width"), F.when(F.call_function("mod", k, F.lit(3)) == 0, F.concat(F.call_function("mod", k, F.lit(4)).cast("string"), F.lit(";2"))).alias("lanes"))
 
@@ -314,9 +315,9 @@ def j4_f65_complete(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query("select p_partkey, dense_rank() over (order by p_partkey % 50 * 512) - 1 as tile_x, dense_rank() over (order by p_size * 512) - 1 as tile_y from part")
-def j18_unity_indices(spark: SparkSession, d: str) -> DataFrame:
+def j18_grid_indices(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "part").select("p_partkey", (F.col("p_size") * 512).alias("raw_row"), (F.call_function("mod", F.col("p_partkey"), F.lit(50)) * 512).alias("raw_col"))
-    return tiles.unity_indices(raw, "raw_row", "raw_col").select("p_partkey", F.col("tile_x").cast("long").alias("tile_x"), F.col("tile_y").cast("long").alias("tile_y"))
+    return tiles.grid_indices(raw, "raw_row", "raw_col").select("p_partkey", F.col("tile_x").cast("long").alias("tile_x"), F.col("tile_y").cast("long").alias("tile_y"))
 
 
 @_query("select b::int as bin, count(x) as n from (select unnest(range(6)) as b) left join (select case when v < 0 then null when v < .5 then 0 when v < .6 then 1 when v < .7 then 2 when v < .8 then 3 when v < .9 then 4 when v < 1.01 then 5 end as x from (select l_quantity / 50.0 as v from lineitem)) on x = b group by 1")
@@ -746,3 +747,47 @@ def o1_o3_first_rows(spark: SparkSession, d: str) -> DataFrame:
     """The first 50 tiles of an order, as a debugging limit takes them."""
     top = table(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(50)
     return top.select("o_orderkey", F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_orderkey")).cast("long").alias("k"))
+
+
+@_query(with_tables("select vec_id, list_transform(px, lambda v: trunc((v - list_min(px)) / (list_max(px) - list_min(px)) * 255)::int) as bytes from rasters", "rasters"))
+def f43_eight_bits(spark: SparkSession, d: str) -> DataFrame:
+    return adapters.rasters(spark, d).select("vec_id", colours.to_eight_bits(F.col("px")).alias("bytes"))
+
+
+@_query(f"select {_K}, trunc((1 - s) * 255)::int as red, trunc(s * 255)::int as green, (l_partkey * 37 % 65536 // 256)::int as upper, round(least(255.0, greatest(0.0, (l_quantity * 5 + 10 - 128) * 1.5 + 128)), 6) as c, round(20 + pow(least(1.0, greatest(0.0, (l_quantity - 5) / 40)), 1 / 2.2) * 200, 6) as level, round(3 * s * s - 2 * s * s * s, 6) as spline, round(2 * s - s * s, 6) as parabola from (select *, least(1.0, greatest(0.0, (l_quantity - 1) / 49)) as s from lineitem)")
+def f49_f52_f54_colours(spark: SparkSession, d: str) -> DataFrame:
+    q = F.col("l_quantity")
+    red, green = colours.red_green(q, F.lit(1.0), F.lit(50.0))
+    upper = colours.from_uint16(F.call_function("mod", F.col("l_partkey") * 37, F.lit(65536)))
+    share = (q - 1) / 49
+    return table(spark, d, "lineitem").select(*KEY, red.alias("red"), green.alias("green"), upper.alias("upper"), F.round(colours.contrast(q * 5, 10, 1.5), 6).alias("c"), F.round(colours.levels(q, 5, 2.2, 45, 20, 220), 6).alias("level"), F.round(colours.transition(share, "spline"), 6).alias("spline"), F.round(colours.transition(share, "parabolic"), 6).alias("parabola"))
+
+
+@_query("select r as \"row\", c as col, greatest(max(w), 0.5::double) as weight from (select s_suppkey * 37 % 990 as r0, s_suppkey * 53 % 990 as c0, (1.0 + s_suppkey % 3)::double as w, s_suppkey % 6 as n from supplier), range(1001) a(r), range(1001) b(c) where r between r0 and least(r0 + n, 1000) and c between c0 and least(c0 + 4, 1000) group by 1, 2")
+def f55_weight_map(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    m = lambda a, n: F.call_function("mod", k * a, F.lit(n))
+    boxes = table(spark, d, "supplier").select(m(37, 990).alias("row0"), (m(37, 990) + m(1, 6)).alias("row1"), m(53, 990).alias("col0"), (m(53, 990) + 4).alias("col1"), (1.0 + m(1, 3)).alias("weight"))
+    return scenery.weight_map(boxes, 1001, 0.5)
+
+
+@_query()
+def f64_ortho_lines(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    return scenery.ortho_lines(table(spark, d, "nation").select((k - 10).alias("lat"), (k * 7 - 80).alias("lon")), 13)
+
+
+@_query("select p_size as relation, min(p_partkey) as ring, true as closed from part group by 1, p_partkey % 3")
+def j12_rings(spark: SparkSession, d: str) -> DataFrame:
+    """Ways of a size and remainder in a circle: each ends where the next begins."""
+    by = Window.partitionBy("p_size", F.call_function("mod", F.col("p_partkey"), F.lit(3))).orderBy("p_partkey")
+    whole = Window.partitionBy("p_size", F.call_function("mod", F.col("p_partkey"), F.lit(3)))
+    ways = table(spark, d, "part").select(F.col("p_size").alias("relation"), F.col("p_partkey").alias("way"), F.col("p_partkey").alias("first"), F.coalesce(F.lead("p_partkey").over(by), F.min("p_partkey").over(whole)).alias("last"))
+    return scenery.stitch_rings(ways)
+
+
+@_query("select p_partkey, round(case p_size % 3 when 0 then 0.0 when 1 then avg(p_retailprice) over (partition by p_brand, p_size % 3) else p_retailprice end, 6) as level from part")
+def f33_node_levels(spark: SparkSession, d: str) -> DataFrame:
+    kind = F.element_at(F.array(F.lit("sea"), F.lit("water"), F.lit("land")), F.col("p_size") % 3 + 1)
+    nodes = table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("body"), kind.alias("kind"), F.col("p_retailprice").alias("z"))
+    return scenery.node_levels(nodes, "water", "sea").select("p_partkey", F.round("level", 6).alias("level"))
