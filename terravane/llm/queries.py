@@ -17,14 +17,18 @@ from .suffix_dedup import remove_repeats
 from .token_counts import count_by_line
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shared.spread(_shared.table(spark, sf_dir, "documents"))
+
+
 def op1_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed best-fit-decreasing into rows of 4096 ids."""
-    return pack_best_fit(_shared.table(spark, sf_dir, "documents"))
+    return pack_best_fit(_documents(spark, sf_dir))
 
 
 def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 4096 ids that mirror the sources' shares of the corpus."""
-    return pack_by_mixture(_shared.table(spark, sf_dir, "documents"))
+    return pack_by_mixture(_documents(spark, sf_dir))
 
 
 def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +39,7 @@ def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document by trees fitted on the rows that are not held out."""
-    docs = _shared.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     model = language_id.fit(docs.where(~F.coalesce(held_out, F.lit(False))))
     found = language_id.identify(docs, model)
@@ -44,7 +48,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document by models fitted on the labelled rows that are not held out."""
-    docs = _shared.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     labels = _shared.table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
     found = toxicity.score(docs, toxicity.fit(docs, labels))
@@ -53,27 +57,27 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids by the best path over pieces, and whether they decode to its text."""
-    return piece_viterbi.encode(_shared.table(spark, sf_dir, "documents"))
+    return piece_viterbi.encode(_documents(spark, sf_dir))
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 50-byte strings that earlier documents hold."""
-    return remove_repeats(_shared.table(spark, sf_dir, "documents"), width=50)
+    return remove_repeats(_documents(spark, sf_dir), width=50)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
-    return near_duplicates(_shared.table(spark, sf_dir, "documents"))
+    return near_duplicates(_documents(spark, sf_dir))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and of each of its lines, crossing tokens going to the line with most of them."""
-    return count_by_line(_shared.table(spark, sf_dir, "documents"), rule="majority")
+    return count_by_line(_documents(spark, sf_dir), rule="majority")
 
 
 def op10_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes as a transport stream, read back."""
-    return to_transport_streams(_shared.table(spark, sf_dir, "documents"))
+    return to_transport_streams(_documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
