@@ -32,6 +32,8 @@ from .components import connected_components
 _LANES = np.uint64(0x0101010101010101)
 #: Fingerprints of one anchor that are compared at once, a side; larger anchors are compared by parts.
 BLOCK = 2048
+#: Homes of an anchor up to which a code is not made longer: replicas then cost more than the comparisons they save.
+HOMES = 128
 #: Entries that one reducing task takes, as planned from their number.
 TASK_ROWS = 2_000_000
 #: An anchor that is home to more fingerprints is dealt out by bands of bits, so that no task takes it whole.
@@ -162,7 +164,7 @@ class Anchors:
         codes = [GOLAY]
         for more in (HAMMING, HAMMING, GOLAY, HAMMING):
             size = np.prod([2.0 ** (n - g.bit_length() + 1) for n, _, g in codes])
-            if rows / size < 40 or sum(n for n, *_ in codes) + more[0] > 64:
+            if rows / size < HOMES or sum(n for n, *_ in codes) + more[0] > 64:
                 break
             codes.append(more)
         return Anchors(tuple(codes), threshold)
