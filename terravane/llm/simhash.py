@@ -7,10 +7,9 @@ home of the one lies within R + t of the other in each block, over all blocks wi
 fingerprint goes once to its home anchor and as a replica to every anchor within covering radius plus threshold, and
 is compared per anchor, homes against replicas. No linked pair is missed, whatever the bits.
 
-Texts that share 0.8 of their word shingles differ in about an eighth of their bits, more than any covering within one
-fingerprint can bridge. For these, ``similar`` votes on further bits with hashes derived from the same shingles and
-lays anchors over many blocks of bits, a table each, with a threshold of one bit in each table; how many tables it takes
-follows from the share of pairs that may be missed. Links are still judged by the 64-bit fingerprint.
+No distance of fingerprints says that two texts share 0.8 of their word shingles, so ``similar`` does not ask them: it
+joins the texts' sets of shingle hashes. If all sets are put in one order, here the rarest first, then two so similar
+have a hash in common within the first fifth of each: texts that meet there are candidates, each decided by its sets.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from itertools import product
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -60,56 +58,53 @@ def majorities(hashes: np.ndarray, votes: np.ndarray) -> np.ndarray:
     return np.packbits(over, axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def fingerprints(texts: list[bytes], shingle: int = 3, rounds: int = 1) -> np.ndarray:
-    """A 64-bit fingerprint of each text; zero where there is no word. With more ``rounds`` further 64 bits each, voted
-    by multiples of the shingles' hashes: a row for each text."""
+def grams_of(text: bytes, shingle: int) -> list[bytes]:
+    """The text's word shingles in order; all its words as one where there are no more than ``shingle``."""
+    words = text.lower().split()  # of bytes: A-Z, and white space 09-0D and 20
+    if len(words) <= shingle:
+        return [b" ".join(words)] if words else []
+    line, at, ends = b" ".join(words), 0, []
+    for w in words:
+        at += len(w)
+        ends.append(at)
+        at += 1
+    starts = [0, *(e + 1 for e in ends[: len(words) - shingle])]
+    return [line[a:b] for a, b in zip(starts, ends[shingle - 1 :], strict=True)]
+
+
+def fingerprints(texts: list[bytes], shingle: int = 3) -> np.ndarray:
+    """A 64-bit fingerprint of each text; zero where there is no word."""
     hash_of = xxhash.xxh64_intdigest
-    out = np.zeros((len(texts), rounds), np.uint64)
+    out = np.zeros(len(texts), np.uint64)
     hashes, owners, votes = [], [], []
 
     def count() -> None:
         if not hashes:
             return
-        h, n = np.array(hashes, np.uint64), np.array(votes)
-        for r in range(rounds):
-            if r:
-                h = (h ^ h >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93)
-                h ^= h >> np.uint64(29)
-            out[owners, r] = majorities(h, n)
+        out[owners] = majorities(np.array(hashes, np.uint64), np.array(votes))
         hashes.clear(), owners.clear(), votes.clear()
 
     for i, text in enumerate(texts):
-        words = text.lower().split()  # of bytes: A-Z, and white space 09-0D and 20
-        if not words:
+        grams = grams_of(text, shingle)
+        if not grams:
             continue
-        if len(words) <= shingle:
-            grams = [b" ".join(words)]
-        else:
-            line, at, ends = b" ".join(words), 0, []
-            for w in words:
-                at += len(w)
-                ends.append(at)
-                at += 1
-            starts = [0, *(e + 1 for e in ends[: len(words) - shingle])]
-            grams = [line[a:b] for a, b in zip(starts, ends[shingle - 1 :], strict=True)]
         hashes.extend([hash_of(g, 42) for g in grams])
         owners.append(i)
         votes.append(len(grams))
         if len(hashes) >= 100_000:
             count()
     count()
-    return out if rounds > 1 else out[:, 0]
+    return out
 
 
-def _fingerprint_batches(shingle: int, rounds: int = 1):
+def _fingerprint_batches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _shared.forget()
         for batch in batches:
             docs = _shared.texts(batch["text"])
             for i, j in _shared.by_bytes(docs, 1 << 20):
-                f = fingerprints(docs[i:j], shingle, rounds).reshape(j - i, rounds)
-                more = [pa.array([x.tobytes() for x in np.ascontiguousarray(f[:, 1:])], pa.binary())] * (rounds > 1)
-                yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in batch.schema.names if c != "text"), pa.array(f[:, 0].copy().view(np.int64)), *more], [*(c for c in batch.schema.names if c != "text"), "bits", *["more"] * len(more)])
+                f = fingerprints(docs[i:j], shingle)
+                yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in batch.schema.names if c != "text"), pa.array(f.view(np.int64))], [*(c for c in batch.schema.names if c != "text"), "bits"])
 
     return run
 
@@ -241,65 +236,6 @@ def _distance(code: tuple[int, int, int], words: np.ndarray, numbers: np.ndarray
 # --- links ------------------------------------------------------------------------------------------------------------
 
 
-class Tables:
-    """One product of perfect codes after another over a long row of bits, with a threshold for each alone."""
-
-    #: Share of differing bits at which tables are planned, and pairs so far apart that may be missed.
-    APART, MISSED = 0.12, 0.02
-
-    def __init__(self, codes: tuple[tuple[int, int, int], ...], number: int):
-        self.anchors, self.number = Anchors(codes, 1), number
-        self.width = sum(n for n, *_ in codes)
-        self.size = int(np.prod(self.anchors.sizes))
-        self.rounds = -(-self.width * number // 64)
-
-    @staticmethod
-    def for_rows(rows: int) -> Tables:
-        codes = Anchors.for_rows(rows, 1).codes
-        n, p = sum(c[0] for c in codes), Tables.APART
-        found = (1 - p) ** n + n * p * (1 - p) ** (n - 1)
-        return Tables(codes, int(np.ceil(np.log(Tables.MISSED) / np.log(1 - found))))
-
-    def blocks(self, words: np.ndarray) -> Iterator[np.ndarray]:
-        """The bits of each table, from rows of 64-bit words."""
-        for t in range(self.number):
-            at, shift = divmod(t * self.width, 64)
-            low = words[:, at] >> np.uint64(shift)
-            if shift + self.width > 64:
-                low = low | words[:, at + 1] << np.uint64(64 - shift)
-            yield low
-
-    def home(self, words: np.ndarray) -> np.ndarray:
-        return np.stack([self.anchors.home(b) + t * self.size for t, b in enumerate(self.blocks(words))], axis=1)
-
-    def near(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(index, anchor, whether it is the home) over all tables."""
-        index, anchor, home = [], [], []
-        for t, block in enumerate(self.blocks(words)):
-            i, k = self.anchors.near(block)
-            index.append(i)
-            anchor.append(k + t * self.size)
-            home.append(self.anchors.home(block)[i] == k)
-        return np.concatenate(index), np.concatenate(anchor), np.concatenate(home)
-
-
-def _replicate_tables(tables: Tables, threshold: int, hot: np.ndarray, parts: int):
-    """As ``_replicate``, but an entry also says whether its anchor is the fingerprint's home there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            all_bits = batch["bits"].to_numpy().view(np.uint64)
-            more = np.frombuffer(b"".join(batch["more"].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            for i in range(0, len(all_bits), 2048):
-                bits = all_bits[i : i + 2048]
-                at, anchor, home = tables.near(np.column_stack([bits, more[i : i + 2048]]))
-                entry = np.empty(len(at), _HOMED)
-                entry["anchor"], entry["bits"], entry["home"] = anchor, bits[at], home
-                yield _blobs(*_deal(entry, anchor, hot, threshold, parts))
-
-    return run
-
-
 def _deal(entry: np.ndarray, anchor: np.ndarray, hot: np.ndarray, threshold: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Entries and their parts; those of hot anchors once for each band."""
     part = _part(anchor, parts)
@@ -337,7 +273,6 @@ def _replicate(anchors: Anchors, hot: np.ndarray, parts: int):
 
 
 _ENTRY = np.dtype([("anchor", "<u8"), ("bits", "<u8")])
-_HOMED = np.dtype([("anchor", "<u8"), ("home", "?"), ("bits", "<u8")])
 
 
 def _bands(threshold: int) -> list[tuple[np.uint64, np.uint64]]:
@@ -358,19 +293,18 @@ def _home_of(anchors: Anchors):
     return run
 
 
-def _links(anchors: Anchors | None, threshold: int):
-    """Entries of whole anchors to links that connect what the anchors' comparisons connect. Without ``anchors`` the
-    entries say themselves which are at home."""
+def _links(anchors: Anchors, threshold: int):
+    """Entries of whole anchors to links that connect what the anchors' comparisons connect."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [x for batch in batches for x in batch["entries"].to_pylist()]
         if not blobs:
             return
-        entry = np.frombuffer(b"".join(blobs), _ENTRY if anchors else _HOMED)
+        entry = np.frombuffer(b"".join(blobs), _ENTRY)
         del blobs
         entry = entry[np.argsort(entry["anchor"], kind="stable")]
         number, bits = entry["anchor"], np.ascontiguousarray(entry["bits"])
-        at_home = anchors.home(bits) == number if anchors else entry["home"]
+        at_home = anchors.home(bits) == number
         starts = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(number)]])
         left, right = [], []
         for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
@@ -476,39 +410,177 @@ def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
     return placed.join(smallest, "root").select(F.col("bits").alias("of_bits"), "component_id")
 
 
-def similar(docs: DataFrame, *, threshold: int = 10, shingle: int = 3) -> DataFrame:
-    """(doc_id, component_id) for each document: groups of texts that are alike, as of 0.8 of their five-word shingles on.
+# --- similar texts ----------------------------------------------------------------------------------------------------
 
-    That similarity leaves about an eighth of the bits of a fingerprint on three-word shingles different, with a
-    spread of two or three bits: hence ``threshold``. Nulls, empty texts and repeats fare as in ``near_duplicates``.
-    """
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    number = docs.count()
-    tables = Tables.for_rows(number)
-    marked = _shared.cut(given.mapInArrow(_fingerprint_batches(shingle, max(2, tables.rounds)), "doc_id long, bits long, more binary"))
-    classes = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.min("more").alias("more")))
-    hot = _hot(classes.select("bits", "more").mapInArrow(_homes_of(tables), "anchor long"))
-    per_row = sum(_reach(tables.anchors.codes)) * tables.number
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(number * per_row) // TASK_ROWS)
-    entries = classes.select("bits", "more").mapInArrow(_replicate_tables(tables, threshold, hot, 16 * tasks), "part int, entries binary")
-    placed = _components(classes, entries.repartition(tasks, "part").mapInArrow(_links(None, threshold), "a long, b long"))
-    return marked.select("doc_id", "bits").join(placed, marked["bits"] == placed["of_bits"]).select("doc_id", "component_id")
+#: Texts are similar from this share of their shingles on, as a fraction: what both have of what either has.
+ALIKE = (4, 5)
+#: Texts whose shingles are counted to tell frequent ones, and frequent shingles that are told at most. Neither changes
+#: what is found: a frequent shingle that is taken for a rare one makes more candidates.
+COUNTED_TEXTS = 4000
+FREQUENT = 500_000
 
+_KEYED = np.dtype([("key", "<u8"), ("bits", "<u8"), ("n", "<u4"), ("at", "<u2")])
+_MET = "key long, bits long, n long, at long, beside long"
 
-def _reach(codes: tuple[tuple[int, int, int], ...]) -> list[float]:
-    """Anchors of a fingerprint on average: its home, and those that one bit more reaches in each code."""
-    return [1.0, *(comb(n, r + 1) / 2 ** (g.bit_length() - 1) for n, r, g in codes)]
 
+def _shingle_batches(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
+        hash_of = xxhash.xxh64_intdigest
+        for batch in batches:
+            docs = _shared.texts(batch["text"])
+            for i, j in _shared.by_bytes(docs, 1 << 20):
+                sets = [np.unique(np.array([hash_of(g, 42) for g in grams_of(x, shingle)], "<u8")).tobytes() for x in docs[i:j]]
+                bits = np.array([hash_of(x) for x in sets], np.uint64)
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), pa.array(bits.view(np.int64)), pa.array(sets, pa.binary())], ["doc_id", "bits", "shingles"])
+
+    return run
+
+
+def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = batch["shingles"].to_pylist()
+        for i, j in _shared.by_bytes(sets, 1 << 22):
+            key, n = np.unique(np.frombuffer(b"".join(sets[i:j]), np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+
+
+def _first_keys(frequent, parts: int):
+    """Each set's first fifth in the common order, as blobs by the key's part."""
 
-def _homes_of(tables: Tables):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, count = frequent.value
         for batch in batches:
-            more = np.frombuffer(b"".join(batch["more"].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(tables.home(np.column_stack([batch["bits"].to_numpy().view(np.uint64), more])).ravel())], ["anchor"])
+            all_bits, sets = batch["bits"].to_numpy().view(np.uint64), batch["shingles"].to_pylist()
+            for i, j in _shared.by_bytes(sets, 1 << 23):
+                found = []
+                for bits, raw in zip(all_bits[i:j], sets[i:j], strict=True):
+                    keys = np.frombuffer(raw, np.uint64)  # in order of the hash
+                    if not len(keys):
+                        continue
+                    if len(known):
+                        row = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                        keys = keys[np.argsort(np.where(known[row] == keys, count[row], 0), kind="stable")]
+                    first = len(keys) - -(-ALIKE[0] * len(keys) // ALIKE[1]) + 1
+                    entry = np.empty(first, _KEYED)
+                    entry["key"], entry["bits"], entry["n"], entry["at"] = keys[:first], bits, len(keys), np.minimum(np.arange(first), 65535)
+                    found.append(entry)
+                if found:
+                    entry = np.concatenate(found)
+                    yield _blobs(entry, _part(entry["key"], parts))
 
     return run
 
 
+def _can_be(n: np.ndarray, at: np.ndarray, m: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Whether sets of n and m keys can be similar if their first common keys have ``at`` and ``to`` keys before."""
+    up, down = ALIKE
+    return (down * np.minimum(n, m) >= up * np.maximum(n, m)) & ((up + down) * np.minimum(n - at, m - to) >= up * (n + m))
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys that two sets or more have among their first ones, a row for each set, with the next set there that can be
+    similar to it if it is the next at all."""
+    blobs = [x for batch in batches for x in batch["entries"].to_pylist()]
+    if not blobs:
+        return
+    entry = np.frombuffer(b"".join(blobs), _KEYED)
+    del blobs
+    entry = entry[np.lexsort((entry["bits"], entry["key"]))]
+    new = np.concatenate([[True], (entry["key"][1:] != entry["key"][:-1]) | (entry["bits"][1:] != entry["bits"][:-1])])
+    entry = entry[new]  # equal sets are one
+    same = entry["key"][1:] == entry["key"][:-1]
+    met = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    n, at = entry["n"].astype(np.int64), entry["at"].astype(np.int64)
+    chained = np.concatenate([same & _can_be(n[:-1], at[:-1], n[1:], at[1:]), [False]])
+    beside = np.concatenate([entry["bits"][1:], entry["bits"][:1]]).view(np.int64)
+    for i in range(0, len(entry), 100_000):
+        k = np.flatnonzero(met[i : i + 100_000]) + i
+        yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(entry[c][k]).view(np.int64)) for c in ("key", "bits")), pa.array(n[k]), pa.array(at[k]), pa.array(beside[k], mask=~chained[k])], ["key", "bits", "n", "at", "beside"])
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of sets that meet at a key, can be similar and have different roots."""
+    rows = [pa.Table.from_batches([b]) for b in batches]
+    if not rows:
+        return
+    table = pa.concat_tables(rows)
+    del rows
+    key, bits, n, at, root = (table[c].to_numpy() for c in ("key", "bits", "n", "at", "root"))
+    order = np.lexsort((bits, key))
+    key, bits, n, at, root = key[order], bits[order], n[order], at[order], root[order]
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+    left, right, held = [], [], 0
+
+    def distinct() -> pa.RecordBatch:
+        pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+
+    for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if (root[s:e] == root[s]).all():
+            continue
+        for x in range(s, e, BLOCK):
+            for y in range(x, e, BLOCK):
+                u, v = np.arange(x, min(x + BLOCK, e))[:, None], np.arange(y, min(y + BLOCK, e))[None, :]
+                i, j = np.nonzero((u < v) & (root[u] != root[v]) & _can_be(n[u], at[u], n[v], at[v]))
+                left.append(bits[x + i])
+                right.append(bits[y + j])
+                held += len(i)
+                if held >= 1_000_000:
+                    yield distinct()
+                    left, right, held = [], [], 0
+    if held:
+        yield distinct()
+
+
+def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    up, down = ALIKE
+    for batch in batches:
+        similar = []
+        for x, y in zip(batch["one"], batch["two"], strict=True):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            similar.append((up + down) * len(np.intersect1d(x, y, assume_unique=True)) >= up * (len(x) + len(y)))
+        yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
+
+
+def _similar_pairs(marked: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar."""
+    asked = pairs.select(F.col("a").alias("bits")).union(pairs.select(F.col("b").alias("bits"))).distinct()
+    sets = _shared.cut(marked.select("bits", "shingles").join(asked, "bits", "left_semi").groupBy("bits").agg(F.first("shingles").alias("shingles")))
+    one, two = sets.select(F.col("bits").alias("a"), F.col("shingles").alias("one")), sets.select(F.col("bits").alias("b"), F.col("shingles").alias("two"))
+    return _shared.cut(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_decide, "a long, b long"))
+
+
+def similar(docs: DataFrame, *, shingle: int = 5) -> DataFrame:
+    """(doc_id, component_id) for each document: what links between texts of similar sets of word shingles reach, as of
+    ``ALIKE`` of the shingles that either has; component_id is the smallest doc_id there.
+
+    No pair is missed and none is linked below. Sets are of 64-bit hashes, and equal ones one. Of sets that meet at a key,
+    neighbours are decided first; then only those are compared each with each that are not linked yet, so large groups of
+    copies take no more than their size. Nulls, empty texts and repeats fare as in ``near_duplicates``.
+    """
+    spark = docs.sparkSession
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marked = _shared.cut(given.mapInArrow(_shingle_batches(shingle), "doc_id long, bits long, shingles binary"))
+    classes = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.max(F.octet_length("shingles")).alias("size")))
+    number, size = classes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    counted = F.pmod(F.xxhash64("bits"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, COUNTED_TEXTS / max(number, 1)))
+    often = marked.where(counted).dropDuplicates(["bits"]).select("shingles").mapInArrow(_key_counts, "key long, n long")
+    often = often.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    known, count = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
+    order = np.argsort(known)
+    frequent = spark.sparkContext.broadcast((known[order], count[order]))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 40 // TASK_ROWS)  # a fifth of the keys
+    entries = marked.select("bits", "shingles").mapInArrow(_first_keys(frequent, 16 * tasks), "part int, entries binary")
+    met = _shared.cut(entries.repartition(tasks, "part").mapInArrow(_meetings, _MET))
+    links = _similar_pairs(marked, _shared.cut(met.where("beside is not null").select(F.col("bits").alias("a"), F.col("beside").alias("b")).distinct()))
+    roots = connected_components(links)
+    rooted = met.join(roots, met["bits"] == roots["node"], "left").select("key", "bits", "n", "at", F.coalesce("root", "bits").alias("root"))
+    pairs = _shared.cut(rooted.repartition(tasks, "key").mapInArrow(_candidates, "a long, b long").distinct())
+    placed = _components(classes.select("bits", "first_id"), links.union(_similar_pairs(marked, pairs)))
+    return marked.select("doc_id", "bits").join(placed, marked["bits"] == placed["of_bits"]).select("doc_id", "component_id")
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, whose doc_id is the smallest of its group of similar documents. Rows without
     doc_id stay only where their group has no other; rows that repeat a doc_id share its fate."""

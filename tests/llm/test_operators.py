@@ -354,6 +354,40 @@ def test_similar_texts_meet(spark):
     assert set(range(30)) <= kept and sum(100 + i in kept for i in range(30)) <= 1 and 500 in kept and 501 not in kept and None not in kept
 
 
+def _similar_groups(rows, n=5):
+    """The smallest id that links of 0.8 of the shingles reach, by comparing each with each."""
+    words = [(text or "").lower().split() for _, text in rows]
+    sets = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} for w in words]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    return {d: rows[c][0] for (d, _), c in zip(rows, label, strict=True)}
+
+
+@pytest.mark.parametrize("frequent", [500_000, 0])
+def test_similar_is_exact(spark, monkeypatch, frequent):
+    monkeypatch.setattr(simhash, "FREQUENT", frequent)
+    r = random.Random(5)
+    rows, boilerplate = [], [f"b{i}" for i in range(30)]
+    for _ in range(60):
+        words = [f"w{r.randrange(5000)}" for _ in range(r.choice([6, 40, 150, 300]))] + boilerplate * r.randrange(2)
+        rows.append((len(rows), " ".join(words)))
+        near, at = list(words), r.randrange(len(words))
+        for k in range(r.randrange(1, 2 + len(words) // 12)):  # a passage rewritten, or words here and there
+            near[(at + k) % len(near) if len(rows) % 4 else r.randrange(len(near))] = f"x{k}"
+        rows.append((len(rows), " ".join(near)))
+    group = [f"g{i}" for i in range(120)]
+    rows += [(len(rows) + i, " ".join([*group, f"end{i}", f"of{i}"])) for i in range(30)]
+    rows += [(len(rows) + i, x) for i, x in enumerate(["one two", "one  Two", "one two three", "", " \n", *[" ".join(group[: 90 + i]) for i in range(0, 30, 3)]])]
+    expected = _similar_groups(rows)
+    assert 30 < len(set(expected.values())) < len(rows) - 30
+    got = {x.doc_id: x.component_id for x in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == expected
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 3), (5, 6), (6, 5), (7, 7), (None, 1), *((i, i + 1) for i in range(20, 60))]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
