@@ -21,6 +21,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -414,48 +415,73 @@ def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 #: Texts are similar from this share of their shingles on, as a fraction: what both have of what either has.
 ALIKE = (4, 5)
+#: Sets that meet at a key up to which all of them are compared at once.
+FEW = 8
 #: Texts whose shingles are counted to tell frequent ones, and frequent shingles that are told at most. Neither changes
 #: what is found: a frequent shingle that is taken for a rare one makes more candidates.
 COUNTED_TEXTS = 4000
 FREQUENT = 500_000
 
 _KEYED = np.dtype([("key", "<u8"), ("bits", "<u8"), ("n", "<u4"), ("at", "<u2")])
+_PARITIES = [f"p{i}" for i in range(8)]
 _MET = "key long, bits long, n long, at long, beside long"
 
 
+def _sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
+    """The hashes of each text's shingles, in order and once each."""
+    hash_of = xxhash.xxh64_intdigest
+    return [np.unique(np.array([hash_of(g, 42) for g in grams_of(x, shingle)], np.uint64)) for x in texts]
+
+
+def _parities(keys: np.ndarray) -> np.ndarray:
+    """Eight words of the parities of the keys that fall on each bit: sets that differ in d keys differ in d bits at most."""
+    bit, n = np.unique(keys >> np.uint64(55), return_counts=True)
+    out = np.zeros(512, np.uint8)
+    out[bit] = n & 1
+    return np.packbits(out).view(np.int64)
+
+
+def _unpacked(packed: list[bytes]) -> list[bytes]:
+    return list(map(zstandard.ZstdDecompressor().decompress, packed))
+
+
 def _shingle_batches(shingle: int):
+    """Texts go on packed: their sets would take more room, and are soon made again."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _shared.forget()
-        hash_of = xxhash.xxh64_intdigest
+        press = zstandard.ZstdCompressor(3).compress
         for batch in batches:
             docs = _shared.texts(batch["text"])
             for i, j in _shared.by_bytes(docs, 1 << 20):
-                sets = [np.unique(np.array([hash_of(g, 42) for g in grams_of(x, shingle)], "<u8")).tobytes() for x in docs[i:j]]
-                bits = np.array([hash_of(x) for x in sets], np.uint64)
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), pa.array(bits.view(np.int64)), pa.array(sets, pa.binary())], ["doc_id", "bits", "shingles"])
+                sets = _sets(docs[i:j], shingle)
+                bits = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64)
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), pa.array(bits.view(np.int64)), pa.array(map(len, sets), pa.int64()), pa.array(map(press, docs[i:j]), pa.binary()), *(pa.array(x) for x in np.array([_parities(x) for x in sets]).T.copy())], ["doc_id", "bits", "n", "packed", *_PARITIES])
 
     return run
 
 
-def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = batch["shingles"].to_pylist()
-        for i, j in _shared.by_bytes(sets, 1 << 22):
-            key, n = np.unique(np.frombuffer(b"".join(sets[i:j]), np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+def _key_counts(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = batch["packed"].to_pylist()
+            for i, j in _shared.by_bytes(packed, 1 << 18):
+                key, n = np.unique(np.concatenate(_sets(_unpacked(packed[i:j]), shingle)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+
+    return run
 
 
-def _first_keys(frequent, parts: int):
+def _first_keys(frequent, shingle: int, parts: int):
     """Each set's first fifth in the common order, as blobs by the key's part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, count = frequent.value
         for batch in batches:
-            all_bits, sets = batch["bits"].to_numpy().view(np.uint64), batch["shingles"].to_pylist()
-            for i, j in _shared.by_bytes(sets, 1 << 23):
+            all_bits, packed = batch["bits"].to_numpy().view(np.uint64), batch["packed"].to_pylist()
+            for i, j in _shared.by_bytes(packed, 1 << 18):
                 found = []
-                for bits, raw in zip(all_bits[i:j], sets[i:j], strict=True):
-                    keys = np.frombuffer(raw, np.uint64)  # in order of the hash
+                for bits, keys in zip(all_bits[i:j], _sets(_unpacked(packed[i:j]), shingle), strict=True):
                     if not len(keys):
                         continue
                     if len(known):
@@ -479,8 +505,8 @@ def _can_be(n: np.ndarray, at: np.ndarray, m: np.ndarray, to: np.ndarray) -> np.
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys that two sets or more have among their first ones, a row for each set, with the next set there that can be
-    similar to it if it is the next at all."""
+    """Keys that two sets or more have among their first ones, a row for each set; where more than ``FEW`` meet, with the
+    next set there if it can be similar."""
     blobs = [x for batch in batches for x in batch["entries"].to_pylist()]
     if not blobs:
         return
@@ -492,7 +518,8 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     same = entry["key"][1:] == entry["key"][:-1]
     met = np.concatenate([same, [False]]) | np.concatenate([[False], same])
     n, at = entry["n"].astype(np.int64), entry["at"].astype(np.int64)
-    chained = np.concatenate([same & _can_be(n[:-1], at[:-1], n[1:], at[1:]), [False]])
+    many = np.bincount(np.cumsum(np.append(True, ~same)) - 1)[np.cumsum(np.append(True, ~same)) - 1] > FEW
+    chained = many & np.concatenate([same & _can_be(n[:-1], at[:-1], n[1:], at[1:]), [False]])
     beside = np.concatenate([entry["bits"][1:], entry["bits"][:1]]).view(np.int64)
     for i in range(0, len(entry), 100_000):
         k = np.flatnonzero(met[i : i + 100_000]) + i
@@ -533,51 +560,63 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield distinct()
 
 
-def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    up, down = ALIKE
-    for batch in batches:
-        similar = []
-        for x, y in zip(batch["one"], batch["two"], strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            similar.append((up + down) * len(np.intersect1d(x, y, assume_unique=True)) >= up * (len(x) + len(y)))
-        yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
+def _decide(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up, down = ALIKE
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1000):
+                part, similar, held = batch.slice(i, 1000), [], {}
+                for a, b, one, two in zip(*(part[c].to_pylist() for c in ("a", "b", "one", "two")), strict=True):
+                    for bits, packed in ((a, one), (b, two)):
+                        if bits not in held:
+                            held[bits] = _sets(_unpacked([packed]), shingle)[0]
+                    x, y = held[a], held[b]
+                    similar.append((up + down) * len(np.intersect1d(x, y, assume_unique=True)) >= up * (len(x) + len(y)))
+                yield part.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
+
+    return run
 
 
-def _similar_pairs(marked: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+def _similar_pairs(marked: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar; parities first tell most of the others."""
+    up, down = ALIKE
+    one, two = (classes.select(F.col("bits").alias(x), F.col("n").alias(f"{x}_n"), *(F.col(c).alias(f"{x}_{c}") for c in _PARITIES)) for x in ("a", "b"))
+    apart = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in _PARITIES), F.lit(0))
+    pairs = _shared.cut(pairs.join(one, "a").join(two, "b").where((up + down) * apart <= (down - up) * (F.col("a_n") + F.col("b_n"))).select("a", "b"))
     asked = pairs.select(F.col("a").alias("bits")).union(pairs.select(F.col("b").alias("bits"))).distinct()
-    sets = _shared.cut(marked.select("bits", "shingles").join(asked, "bits", "left_semi").groupBy("bits").agg(F.first("shingles").alias("shingles")))
-    one, two = sets.select(F.col("bits").alias("a"), F.col("shingles").alias("one")), sets.select(F.col("bits").alias("b"), F.col("shingles").alias("two"))
-    return _shared.cut(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_decide, "a long, b long"))
+    texts = _shared.cut(marked.select("bits", "packed").join(asked, "bits", "left_semi").dropDuplicates(["bits"]))
+    one, two = texts.select(F.col("bits").alias("a"), F.col("packed").alias("one")), texts.select(F.col("bits").alias("b"), F.col("packed").alias("two"))
+    return _shared.cut(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_decide(shingle), "a long, b long"))
 
 
 def similar(docs: DataFrame, *, shingle: int = 5) -> DataFrame:
     """(doc_id, component_id) for each document: what links between texts of similar sets of word shingles reach, as of
     ``ALIKE`` of the shingles that either has; component_id is the smallest doc_id there.
 
-    No pair is missed and none is linked below. Sets are of 64-bit hashes, and equal ones one. Of sets that meet at a key,
-    neighbours are decided first; then only those are compared each with each that are not linked yet, so large groups of
-    copies take no more than their size. Nulls, empty texts and repeats fare as in ``near_duplicates``.
+    No pair is missed and none is linked below. Sets are of 64-bit hashes, and equal ones one. Where many sets
+    meet at a key, neighbours are decided first; then only those are compared each with each that are not linked yet, so
+    large groups of copies take no more than their size. Nulls, empty texts and repeats fare as in ``near_duplicates``.
     """
     spark = docs.sparkSession
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = _shared.cut(given.mapInArrow(_shingle_batches(shingle), "doc_id long, bits long, shingles binary"))
-    classes = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.max(F.octet_length("shingles")).alias("size")))
-    number, size = classes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    marked = _shared.cut(given.mapInArrow(_shingle_batches(shingle), "doc_id long, bits long, n long, packed binary, " + ", ".join(f"{c} long" for c in _PARITIES)))
+    classes = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), *(F.max(c).alias(c) for c in _PARITIES)))
+    number, size = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     counted = F.pmod(F.xxhash64("bits"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, COUNTED_TEXTS / max(number, 1)))
-    often = marked.where(counted).dropDuplicates(["bits"]).select("shingles").mapInArrow(_key_counts, "key long, n long")
+    often = marked.where(counted).dropDuplicates(["bits"]).select("packed").mapInArrow(_key_counts(shingle), "key long, n long")
     often = often.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
     known, count = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
     order = np.argsort(known)
     frequent = spark.sparkContext.broadcast((known[order], count[order]))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 40 // TASK_ROWS)  # a fifth of the keys
-    entries = marked.select("bits", "shingles").mapInArrow(_first_keys(frequent, 16 * tasks), "part int, entries binary")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 5 // TASK_ROWS)  # a fifth of the keys
+    entries = marked.select("bits", "packed").mapInArrow(_first_keys(frequent, shingle, 16 * tasks), "part int, entries binary")
     met = _shared.cut(entries.repartition(tasks, "part").mapInArrow(_meetings, _MET))
-    links = _similar_pairs(marked, _shared.cut(met.where("beside is not null").select(F.col("bits").alias("a"), F.col("beside").alias("b")).distinct()))
+    _shared.release(spark)
+    links = _similar_pairs(marked, classes, _shared.cut(met.where("beside is not null").select(F.col("bits").alias("a"), F.col("beside").alias("b")).distinct()), shingle)
     roots = connected_components(links)
     rooted = met.join(roots, met["bits"] == roots["node"], "left").select("key", "bits", "n", "at", F.coalesce("root", "bits").alias("root"))
     pairs = _shared.cut(rooted.repartition(tasks, "key").mapInArrow(_candidates, "a long, b long").distinct())
-    placed = _components(classes.select("bits", "first_id"), links.union(_similar_pairs(marked, pairs)))
+    placed = _components(classes.select("bits", "first_id"), links.union(_similar_pairs(marked, classes, pairs, shingle)))
     return marked.select("doc_id", "bits").join(placed, marked["bits"] == placed["of_bits"]).select("doc_id", "component_id")
 
 

@@ -388,6 +388,19 @@ def test_similar_is_exact(spark, monkeypatch, frequent):
     assert got == expected
 
 
+def test_no_similar_pair_is_missed_among_many(spark):
+    r = random.Random(8)
+    rows = []
+    for i in range(80):
+        words = [f"w{r.randrange(9000)}" for _ in range(200)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:179], *(f"x{i}y{k}" for k in range(21))]))]
+    rows += [(1000 + i, " ".join(f"w{r.randrange(9000)}" for _ in range(30))) for i in range(1000)]
+    expected = _similar_groups(rows[:160])
+    assert all(expected[2 * i + 1] == 2 * i for i in range(80))
+    got = {x.doc_id: x.component_id for x in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected | {d: d for d, _ in rows[160:]}
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 3), (5, 6), (6, 5), (7, 7), (None, 1), *((i, i + 1) for i in range(20, 60))]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
