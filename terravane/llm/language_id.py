@@ -28,8 +28,10 @@ FIT_DOCUMENTS = 500
 MOST_LANGUAGES = 64
 #: Distinct words whose counts are fitted: the most frequent ones of the fitted documents.
 FIT_WORDS = 200_000
-#: Bytes of a word that is sent to be fitted; what goes beyond is seldom prose. Scores read whole words.
+#: Bytes of a piece of a word that is sent to be fitted; longer words, as of scripts without spaces, go as several.
 FIT_WORD_BYTES = 64
+#: Marks a piece's side that is not the word's end; no word has this byte.
+_CUT = b"\t"
 
 _LETTER = regex.compile(r"\p{L}")
 
@@ -50,13 +52,32 @@ def keys_of(words: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray
     return word, keys, depth
 
 
+def pieces_of(word: bytes, order: int) -> list[bytes]:
+    """A word as pieces of about ``FIT_WORD_BYTES``. Each after the first repeats ``order`` bytes as context only."""
+    if len(word) <= FIT_WORD_BYTES:
+        return [word]
+    step = max(1, FIT_WORD_BYTES - order)
+    cuts = [*range(order + step, len(word), step), len(word)]
+    return [(_CUT + word[a - order : b] if a else word[:b]) + (_CUT if b < len(word) else b"") for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+
+
+def keys_of_pieces(pieces: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """``keys_of`` for the bytes that pieces of words stand for: over all pieces of a word, those of the whole word."""
+    word, keys, depth = keys_of([x.strip(_CUT) for x in pieces], order)
+    after = np.array([x.startswith(_CUT) for x in pieces], bool)[word]
+    open_ = np.array([x.endswith(_CUT) for x in pieces], bool)[word]
+    last = np.append(word[1:] != word[:-1], True)
+    coded = ~(after & (depth <= order)) & ~(open_ & last)
+    return word[coded], [k[coded] for k in keys], depth[coded]
+
+
 class ContextTrees:
     """Frozen trees of all languages: for each order the contexts' totals and distinct bytes, and each byte's counts."""
 
     def __init__(self, words: list[bytes], counts: np.ndarray, languages: list[str], order: int = ORDER):
-        """``counts``: a row for each word, of its counts in each language."""
+        """``counts``: a row for each word or piece, of its counts in each language."""
         self.languages, self.order, self.id = languages, order, uuid.uuid4().hex
-        at, keys, _ = keys_of(words, order)
+        at, keys, _ = keys_of_pieces(words, order)
         self.grams, self.seen = [], []
         for key in keys:
             grams, number = np.unique(key, return_inverse=True)
@@ -120,14 +141,14 @@ def split_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def count_words(key: str, value: str):
-    """(key, word, n) of each task's texts; counts are combined before the shuffle. Long words are cut for fitting."""
+def count_words(key: str, value: str, order: int):
+    """(key, word, n) of each task's texts; counts are combined before the shuffle. Long words are counted by pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[object, Counter] = {}
             for k, text in zip(batch[key].to_pylist(), _shared.texts(batch["text"]), strict=True):
-                counts.setdefault(k, Counter()).update(w[:FIT_WORD_BYTES] for w in split_words(text))
+                counts.setdefault(k, Counter()).update(x for w in split_words(text) for x in pieces_of(w, order))
             for k, words in counts.items():
                 yield pa.RecordBatch.from_arrays([pa.array([k] * len(words), batch.schema.field(key).type), pa.array(words.keys(), pa.binary()), pa.array(words.values(), pa.int64())], [key, "word", "n"])
 
@@ -144,9 +165,9 @@ def fit(docs: DataFrame, order: int = ORDER) -> ContextTrees | None:
     chosen = F.lit(False)
     for r in sizes:
         chosen = chosen | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, FIT_DOCUMENTS / r["count"]))))
-    counted = known.where(chosen).mapInArrow(count_words("lang", "text"), "lang string, word binary, n long")
+    counted = known.where(chosen).mapInArrow(count_words("lang", "text", order), "lang string, word binary, n long")
     by_word = counted.groupBy("word").agg(*(F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)), F.sum("n").alias("n"))
-    words = by_word.orderBy(F.desc("n"), "word").limit(FIT_WORDS).toArrow()
+    words = by_word.orderBy(F.desc("n"), F.xxhash64("word"), "word").limit(FIT_WORDS).toArrow()
     if not words.num_rows:
         return None
     return ContextTrees(words["word"].to_pylist(), np.stack([words[f"n{i}"].to_numpy() for i in range(len(languages))], axis=1), languages, order)

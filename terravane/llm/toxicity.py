@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _shared
-from .language_id import count_words, keys_of, split_words
+from .language_id import count_words, keys_of, keys_of_pieces, split_words
 
 #: Bytes of context in the class-conditional order.
 ORDER = 5
 #: Labelled documents of a class, about, on which models are counted, and on which the curve is fitted (whole texts).
 FIT_DOCUMENTS = 1500
 CURVE_DOCUMENTS = 1500
-#: Distinct words whose counts are fitted, the most frequent first; cut as in language identification.
+#: Distinct words whose counts are fitted, the most frequent first; long ones by pieces, as in language identification.
 FIT_WORDS = 250_000
 DISCOUNT = 0.75
 
@@ -46,9 +46,9 @@ class ToxicityModels:
     """The two models; ``difference`` gives a word's log-likelihood as toxic less that as ordinary."""
 
     def __init__(self, words: list[bytes], counts: np.ndarray, order: int = ORDER):
-        """``counts``: a row for each word, of its counts in ordinary and in toxic documents."""
+        """``counts``: a row for each word or piece, of its counts in ordinary and in toxic documents."""
         self.order, self.id = order, uuid.uuid4().hex
-        at, keys, depth = keys_of(words, order)
+        at, keys, depth = keys_of_pieces(words, order)
         weight = np.asarray(counts, np.float64)[at]
         grams, number = np.unique(self._longest(keys, depth), return_inverse=True)
         by_class = [_discounted(grams, np.bincount(number, weight[:, c], len(grams))) for c in range(2)]
@@ -132,9 +132,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModels | None:
     marks = F.broadcast(marks.where(chosen).select("of", "toxic", "curve"))
     given = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sample = _shared.cut(given.join(marks, given["doc_id"] == marks["of"]).select("text", "toxic", "curve"))
-    counted = sample.where("not curve").select("toxic", "text").mapInArrow(count_words("toxic", "text"), "toxic int, word binary, n long")
+    counted = sample.where("not curve").select("toxic", "text").mapInArrow(count_words("toxic", "text", ORDER), "toxic int, word binary, n long")
     by_word = counted.groupBy("word").agg(*(F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)))
-    words = by_word.orderBy(F.desc(F.col("n0") + F.col("n1")), "word").limit(FIT_WORDS).toArrow()
+    words = by_word.orderBy(F.desc(F.col("n0") + F.col("n1")), F.xxhash64("word"), "word").limit(FIT_WORDS).toArrow()
     if not words.num_rows:
         return None
     model = ToxicityModels(words["word"].to_pylist(), np.stack([words["n0"].to_numpy(), words["n1"].to_numpy()], axis=1))

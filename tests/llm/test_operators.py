@@ -175,6 +175,32 @@ def test_language_id(spark):
     assert {r.doc_id for r in language_id.keep(docs, model, 0.0).collect()} == set(found) - {900, 901, 902}
 
 
+@pytest.mark.parametrize("order", [4, 5])
+def test_pieces_count_what_whole_words_do(order):
+    r = random.Random(order)
+    for n in (9, 63, 64, 65, 66, 123, 124, 125, 1000):
+        word = bytes(r.choice(b"abcd\xe6\x97") for _ in range(n))
+        _, whole, depth = language_id.keys_of([word], order)
+        _, keys, deep = language_id.keys_of_pieces(language_id.pieces_of(word, order), order)
+        assert all(np.array_equal(np.sort(a), np.sort(b)) for a, b in zip(whole, keys, strict=True))
+        assert np.array_equal(np.sort(np.minimum(depth, order)), np.sort(np.minimum(deep, order)))
+
+
+def test_runs_without_spaces_are_learned_whole(spark):
+    """Languages, and toxic expressions, that differ only far from a run's start."""
+    r = random.Random(4)
+    same = "日本語文" * 8
+    text = lambda a: same + "".join(r.choice(a) for _ in range(60))
+    rows = [(i, text("春夏秋冬" if i % 2 else "東西南北"), "xx" if i % 2 else "yy") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs.where("doc_id < 60"))
+    found = {x.doc_id: x.lang_pred for x in language_id.identify(docs, model).collect()}
+    assert all(found[i] == lang for i, _, lang in rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    toxic = {x.doc_id: x.predicted for x in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert all(toxic[i] == i % 2 for i in range(80))
+
+
 def test_code_lengths_are_exact():
     """Every byte's code in every state sums to at most one, and a word's bits are those of a plain walk up the tree."""
     words, counts = [b"abab", b"abc", b"b"], np.array([[3, 0], [1, 2], [0, 5]])
