@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Entries a worker's word cache may hold before it is emptied (about 150 bytes each). A cache is only a
-#: shortcut: an emptied one is filled again and results do not change.
+#: shortcut: an emptied one is filled again and results do not change. Wider rows than ``CACHE_WIDTH`` are fewer.
 CACHE_ENTRIES = 500_000
+CACHE_WIDTH = 64
 #: Words longer than this many bytes are computed each time rather than cached.
 CACHE_WORD_BYTES = 48
 
@@ -86,7 +87,7 @@ class WordTable:
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
         """A row of values for each word, in order."""
-        if len(self.rows) > CACHE_ENTRIES:
+        if len(self.rows) * max(self.width, CACHE_WIDTH) > CACHE_ENTRIES * CACHE_WIDTH:
             self.clear()
         rows = self.rows
         at = list(map(rows.get, words))

@@ -24,9 +24,9 @@ from . import _shared
 ORDER = 4
 #: The trees are fitted on about this many documents of each language (whole texts, chosen by a hash of the text).
 FIT_DOCUMENTS = 500
-#: Languages that are learned at most, those with the most training documents first.
-MOST_LANGUAGES = 64
-#: Distinct words whose counts are fitted: the most frequent ones of the fitted documents.
+#: Languages whose trees share tables; further ones have tables of their own, so all are learned.
+LANGUAGES_AT_ONCE = 64
+#: Distinct words whose counts are fitted, for so many languages: the most frequent ones of the fitted documents.
 FIT_WORDS = 200_000
 #: Bytes of a piece of a word that is sent to be fitted; longer words, as of scripts without spaces, go as several.
 FIT_WORD_BYTES = 64
@@ -155,22 +155,38 @@ def count_words(key: str, value: str, order: int):
     return run
 
 
-def fit(docs: DataFrame, order: int = ORDER) -> ContextTrees | None:
+class Languages:
+    """Trees of any number of languages. What a text costs in one does not depend on the others of its trees."""
+
+    def __init__(self, trees: list[ContextTrees]):
+        self.trees, self.id = trees, uuid.uuid4().hex
+        self.languages = [x for t in trees for x in t.languages]
+
+    def cost(self, words: list[bytes]) -> np.ndarray:
+        """Bits of each word in each language."""
+        return np.concatenate([t.cost(words) for t in self.trees], axis=1)
+
+
+def fit(docs: DataFrame, order: int = ORDER) -> Languages | None:
     """Trees of the languages in ``docs`` (text, lang); rows without text or lang teach nothing. None if no row does."""
     known = docs.select("text", "lang").where("text is not null and lang is not null")
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().orderBy("lang").collect()
     if not sizes:
         return None
-    languages = sorted(r["lang"] for r in sizes)
-    chosen = F.lit(False)
-    for r in sizes:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, FIT_DOCUMENTS / r["count"]))))
-    counted = known.where(chosen).mapInArrow(count_words("lang", "text", order), "lang string, word binary, n long")
-    by_word = counted.groupBy("word").agg(*(F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)), F.sum("n").alias("n"))
-    words = by_word.orderBy(F.desc("n"), F.xxhash64("word"), "word").limit(FIT_WORDS).toArrow()
-    if not words.num_rows:
-        return None
-    return ContextTrees(words["word"].to_pylist(), np.stack([words[f"n{i}"].to_numpy() for i in range(len(languages))], axis=1), languages, order)
+    most = docs.sparkSession.createDataFrame([(r["lang"], int((1 << 30) * min(1.0, FIT_DOCUMENTS / r["count"]))) for r in sizes], "of_lang string, most long")
+    chosen = known.join(F.broadcast(most), (F.col("lang") == F.col("of_lang")) & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("most")))
+    counted = chosen.select("lang", "text").mapInArrow(count_words("lang", "text", order), "lang string, word binary, n long")
+    names = sorted(r["lang"] for r in sizes)
+    if len(names) > LANGUAGES_AT_ONCE:
+        counted = _shared.cut(counted)
+    trees = []
+    for i in range(0, len(names), LANGUAGES_AT_ONCE):
+        languages = names[i : i + LANGUAGES_AT_ONCE]
+        by_word = counted.where(F.col("lang").isin(languages)).groupBy("word").agg(*(F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{k}") for k, x in enumerate(languages)), F.sum("n").alias("n"))
+        words = by_word.orderBy(F.desc("n"), F.xxhash64("word"), "word").limit(FIT_WORDS).toArrow()
+        if words.num_rows:
+            trees.append(ContextTrees(words["word"].to_pylist(), np.stack([words[f"n{k}"].to_numpy() for k in range(len(languages))], axis=1), languages, order))
+    return Languages(trees) if trees else None
 
 
 def _judge(trees: ContextTrees, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +226,7 @@ def _unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(["und"] * batch.num_rows), pa.array([0.0] * batch.num_rows)], [*kept, "lang_pred", "score"])
 
 
-def identify(docs: DataFrame, model: ContextTrees | None) -> DataFrame:
+def identify(docs: DataFrame, model: Languages | None) -> DataFrame:
     """(doc_id, lang_pred, score) for each row's whole text: the learned language of the shortest code and its share.
 
     ``und`` and score 0 where the text is null or has no letter, and everywhere if no language was learned. Ties go to
@@ -233,7 +249,7 @@ def _kept(model, least: float):
     return run
 
 
-def keep(docs: DataFrame, model: ContextTrees | None, least: float) -> DataFrame:
+def keep(docs: DataFrame, model: Languages | None, least: float) -> DataFrame:
     """The rows of ``docs``, all columns, that have letters and a best language of at least this share; all of them
     without a model."""
     return docs.mapInArrow(_kept(docs.sparkSession.sparkContext.broadcast(model), least), docs.schema) if model else docs

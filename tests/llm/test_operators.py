@@ -175,6 +175,21 @@ def test_language_id(spark):
     assert {r.doc_id for r in language_id.keep(docs, model, 0.0).collect()} == set(found) - {900, 901, 902}
 
 
+def test_all_languages_are_learned(spark, monkeypatch):
+    r = random.Random(6)
+    rows = []
+    for i in range(70):
+        words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)]
+        rows += [(i * 10 + k, " ".join(r.choice(words) for _ in range(20)), f"l{i:02}") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert model.languages == [f"l{i:02}" for i in range(70)]
+    found = {x.doc_id: (x.lang_pred, x.score) for x in language_id.identify(docs, model).collect()}
+    assert all(found[i][0] == lang for i, _, lang in rows)
+    monkeypatch.setattr(language_id, "LANGUAGES_AT_ONCE", 100)
+    assert found == {x.doc_id: (x.lang_pred, x.score) for x in language_id.identify(docs, language_id.fit(docs)).collect()}
+
+
 @pytest.mark.parametrize("order", [4, 5])
 def test_pieces_count_what_whole_words_do(order):
     r = random.Random(order)
