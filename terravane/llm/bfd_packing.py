@@ -2,8 +2,10 @@
 
 Documents longer than a sequence are first split into full sequences and a rest, losslessly. The pieces of a group of
 documents are then placed longest first, each into the fullest open sequence that still takes it; a segment tree
-over remaining capacities finds that one in a number of steps that is the logarithm of the length. Groups are runs of one task's
-rows with a bounded number of tokens, so memory is bounded and no row is shuffled.
+over remaining capacities finds that one in a number of steps that is the logarithm of the length.
+
+Groups follow from the data, so any cluster gives the same sequences: documents are dealt to groups by a hash, so many
+that a group has a bounded size, and go by doc_id in a group. Ids are shuffled once, text is not.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ from pyspark.sql import functions as F
 
 from . import _shared, tokens
 
-#: Tokens that are packed together. More would not fill sequences better to speak of.
+#: Bytes of text of a group, about: its documents are packed together. More would not fill sequences better to speak of.
+GROUP_BYTES = 8 << 20
+#: Tokens at which a group is packed in parts, should it be larger all the same.
 GROUP_TOKENS = 8_000_000
 
 
@@ -71,16 +75,31 @@ def best_fit(lengths: list[int], width: int) -> list[list[int]]:
     return sequences
 
 
+_ENCODED = "doc_id long, mark long, grp long, ids binary"
 _PACKED = "sequence_id long, n_tokens int, input_ids binary, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, doc_starts array<long>"
 
 
-def _pack(path: str, end_id: int | None, pad_id: int, width: int):
+def _encode(path: str, end_id: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = tokens.encoder(path)
+        end = b"" if end_id is None else np.array([end_id], encode.dtype).tobytes()
+        for batch in batches:
+            docs = _shared.texts(batch["text"])
+            for i, j in _shared.by_bytes(docs):
+                ids = [x + end for x in encode.encode(docs[i:j])]
+                yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in ("doc_id", "mark", "grp")), pa.array(ids, pa.binary())], ["doc_id", "mark", "grp", "ids"])
+
+    return run
+
+
+def _pack(kind: np.dtype, pad_id: int, width: int):
+    """Rows of whole groups, sorted, to sequences."""
     names = [x.split()[0] for x in _PACKED.split(", ")]
 
-    def packed(ids: list[np.ndarray], owners: list[int | None], first: int, dtype: np.dtype) -> pa.RecordBatch:
+    def packed(ids: list[np.ndarray], owners: list[int | None], first: int) -> pa.RecordBatch:
         pieces = [(d, s, min(width, len(x) - s)) for d, x in enumerate(ids) for s in range(0, len(x), width)]
         sequences = best_fit([n for *_, n in pieces], width)
-        matrix, columns = np.full((len(sequences), width), pad_id, dtype), [[] for _ in range(5)]
+        matrix, columns = np.full((len(sequences), width), pad_id, kind), [[] for _ in range(5)]
         for row, members in zip(matrix, sequences, strict=True):
             ends = [0]
             for p in members:
@@ -95,22 +114,21 @@ def _pack(path: str, end_id: int | None, pad_id: int, width: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path)
-        end = b"" if end_id is None else np.array([end_id], encode.dtype).tobytes()
-        ids, owners, size, first = [], [], 0, TaskContext.get().partitionId() << 36
+        _shared.forget()
+        now, ids, owners, size, first = None, [], [], 0, 0
         for batch in batches:
-            docs, names_ = _shared.texts(batch["text"]), batch["doc_id"].to_pylist()
-            for i, j in _shared.by_bytes(docs):
-                for x, owner in zip(encode.encode(docs[i:j]), names_[i:j], strict=True):
-                    ids.append(np.frombuffer(x + end, encode.dtype))
-                    owners.append(owner)
-                    size += len(ids[-1])
-                if size >= GROUP_TOKENS:
-                    out = packed(ids, owners, first, encode.dtype)
+            for group, owner, raw in zip(batch["grp"].to_pylist(), batch["doc_id"].to_pylist(), batch["ids"].to_pylist(), strict=True):
+                if ids and (group != now or size >= GROUP_TOKENS):
+                    out = packed(ids, owners, first)
                     ids, owners, size, first = [], [], 0, first + out.num_rows
                     yield from (out.slice(k, 500) for k in range(0, out.num_rows, 500))
-        if size:
-            out = packed(ids, owners, first, encode.dtype)
+                if group != now:
+                    now, first = group, group << 36
+                ids.append(np.frombuffer(raw, kind))
+                owners.append(owner)
+                size += len(ids[-1])
+        if ids:
+            out = packed(ids, owners, first)
             yield from (out.slice(k, 500) for k in range(0, out.num_rows, 500))
 
     return run
@@ -123,10 +141,19 @@ def pack_best_fit(docs: DataFrame, *, width: int = 4096, end_id: int | None = 2,
 
     A document is its text's ids and then ``end_id``; every id is in exactly one segment. Null text is the empty
     text; without an end id it gives no segment. Rows repeated or without doc_id are packed as they come. Other
-    columns are ignored; an empty table gives no rows. sequence_id is unique, not gapless.
+    columns are ignored; an empty table gives no rows. sequence_id is unique, not gapless. The same documents give the
+    same sequences on any cluster.
     """
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(_pack(tokenizer or tokens.vocabulary(), end_id, pad_id, width), _PACKED)
+    path = tokenizer or tokens.vocabulary()
+    kind = tokens.WordEncoder(path).dtype
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    groups, mark = max(1, -(-size // GROUP_BYTES)), F.xxhash64(text)
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark.alias("mark"), text.alias("text"))
+    dealt = given.select("doc_id", "mark", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(groups).cast("long")).alias("grp"), "text")
+    encoded = dealt.mapInArrow(_encode(path, end_id), _ENCODED)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(groups, 20_000))
+    return encoded.repartition(tasks, "grp").sortWithinPartitions("grp", "doc_id", "mark").mapInArrow(_pack(kind, pad_id, width), _PACKED)
 
 
 def write_matrices(packed: DataFrame, path: str) -> None:
