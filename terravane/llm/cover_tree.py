@@ -30,8 +30,10 @@ MOST_PIVOTS = 1024
 PIVOT_SAMPLE = 20_000
 #: Queries of a query group, about.
 GROUP_QUERIES = 4096
-#: Products up to here are exact in double precision.
-_EXACT = float(1 << 53)
+#: If the norms' product is no greater, every sum on the way to an inner product is exact in double precision; up to the
+#: second limit it is exact in whole numbers of 64 bits.
+EXACT = float(1 << 53)
+LARGEST = float(1 << 62)
 
 
 class CoverTree:
@@ -120,13 +122,18 @@ def _narrow(points: np.ndarray) -> np.ndarray:
 
 
 class BestK:
-    """The k best (score, id) of each query of a tree: higher scores first, smaller ids among equal ones."""
+    """The k best (score, id) of each query of a tree: higher scores first, smaller ids among equal ones. ``whole``: scores
+    are 64-bit whole numbers, for products beyond what double precision holds."""
 
-    def __init__(self, queries: CoverTree, k: int):
-        self.k, self.ids = k, queries.ids
-        self.score = np.full((len(self.ids), k), -np.inf)
+    def __init__(self, queries: CoverTree, k: int, whole: bool = False):
+        self.k, self.ids, self.whole = k, queries.ids, whole
+        self.none = np.iinfo(np.int64).min if whole else -np.inf
+        self.score = np.full((len(self.ids), k), self.none)
         self.found = np.full((len(self.ids), k), np.iinfo(np.int64).max)
 
+    def products(self, queries: np.ndarray, data: np.ndarray) -> np.ndarray:
+        return queries.astype(np.int64) @ data.astype(np.int64).T if self.whole else queries @ data.T
+
     def offer(self, start: int, stop: int, scores: np.ndarray, ids: np.ndarray) -> None:
         worst, last = self.score[start:stop, -1:], self.found[start:stop, -1:]
         better = (scores > worst) | (scores == worst) & (ids < last)
@@ -135,8 +142,8 @@ class BestK:
             return
         counts = better.sum(axis=1)
         if counts.max() > 2 * self.k:  # keep what can be among a query's best, ties included
-            part = np.where(better, scores, -np.inf)
-            least = np.partition(part, part.shape[1] - self.k, axis=1)[:, part.shape[1] - self.k, None] if part.shape[1] > self.k else -np.inf
+            part = np.where(better, scores, self.none)
+            least = np.partition(part, part.shape[1] - self.k, axis=1)[:, part.shape[1] - self.k, None] if part.shape[1] > self.k else self.none
             better &= scores >= least
         row, col = np.nonzero(better)
         touched = np.unique(row)
@@ -144,7 +151,7 @@ class BestK:
         rows = np.concatenate([held, row])
         score = np.concatenate([self.score[start + touched].ravel(), scores[row, col]])
         found = np.concatenate([self.found[start + touched].ravel(), ids[col]])
-        order = np.lexsort((found, -score, rows))
+        order = np.lexsort((found, ~score if self.whole else -score, rows))  # ~ falls as its number rises, the least one too
         rows, score, found = rows[order], score[order], found[order]
         first = np.searchsorted(rows, touched)
         take = first[:, None] + np.arange(self.k)
@@ -167,12 +174,12 @@ def search(queries: CoverTree, data: CoverTree, best: BestK) -> int:
     while stack:
         bound, q, c = stack.pop()
         start, stop, s, below = queries.nodes[q]
-        if bound * (1 + 1e-12) + 1e-6 < best.score[start:stop, -1].min():
+        if bound + abs(bound) * 1e-12 + 1e-6 < best.score[start:stop, -1].min():  # beyond what rounding may have taken
             continue
         first, last, r, under = data.nodes[c]
         if not below and not under:
             compared += 1
-            best.offer(start, stop, queries.points[start:stop] @ data.points[first:last].T, data.ids[first:last])
+            best.offer(start, stop, best.products(queries.points[start:stop], data.points[first:last]), data.ids[first:last])
             continue
         if under and (r >= s or not below):
             pairs = [(q, x) for x in under]
@@ -210,15 +217,13 @@ def _trees(table: pa.Table) -> pa.Table:
     return pa.table({"dims": pa.array([d], pa.int32()), "cell": table["cell"][:1], "salt": table["salt"][:1], "data": pa.array([CoverTree(points, ids).dump()], pa.binary()), "queries": pa.array([queries and queries.dump()], pa.binary())})
 
 
-def _search_groups(k: int):
+def _search_groups(k: int, whole: bool):
     """(group, dims, tree, is_query) rows of whole groups, queries first, to partial answers."""
 
     def answers(trees: list[CoverTree], best: list[BestK]) -> Iterator[pa.RecordBatch]:
         for b in best:
-            row, rank = np.nonzero(np.isfinite(b.score))
+            row, rank = np.nonzero(b.score != b.none)
             if len(row):
-                if np.abs(b.score[row, rank]).max() > _EXACT:
-                    raise OverflowError("an inner product is beyond 2**53")
                 yield pa.RecordBatch.from_arrays([pa.array(b.ids[row]), pa.array(b.found[row, rank]), pa.array(b.score[row, rank].astype(np.int64))], ["query_id", "vec_id", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +236,7 @@ def _search_groups(k: int):
                 tree = CoverTree.load(blob.as_py())
                 if is_query:
                     trees.append(tree)
-                    best.append(BestK(tree, k))
+                    best.append(BestK(tree, k, whole))
                 else:
                     for q, b in zip(trees, best, strict=True):
                         search(q, tree, b)
@@ -248,7 +253,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 6
 
     A row's vector takes no part if it is null or holds a null or non-finite component, or if vec_id is null. Rows that
     repeat a vec_id and its vector count once; rows of the query's own vec_id are never among its answers. Vectors of
-    different lengths do not meet. Products beyond 2**53 raise OverflowError. Other columns are ignored.
+    different lengths do not meet. Components are doubles; vectors whose norms' product is beyond 2**62 raise
+    OverflowError. Other columns are ignored.
     """
     spark = vectors.sparkSession
     vec = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor(x * scale).cast("double"))
@@ -256,23 +262,28 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 6
     given = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
     given = given.select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     given = _shared.cut(given.groupBy("vec_id", "vec").agg(F.max("is_query").alias("is_query")).withColumn("dims", F.size("vec")))
-    sizes = {r["dims"]: (r["n"], r["q"]) for r in given.groupBy("dims").agg(F.count("*").alias("n"), F.sum(F.col("is_query").cast("long")).alias("q")).collect()}
-    if not sizes:
+    by_length = _shared.cut(given.groupBy("dims").agg(F.count("*").alias("n"), F.sum(F.col("is_query").cast("long")).alias("q")))
+    rows, n_queries = by_length.agg(F.sum("n"), F.sum("q")).first()
+    if not rows:
         return spark.createDataFrame([], "query_id long, `rank` int, vec_id long, score long")
-    rows, n_queries = sum(n for n, _ in sizes.values()), sum(q for _, q in sizes.values())
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+    largest, asking = given.agg(F.max(norm), F.max(F.when(F.col("is_query"), norm))).first()
+    if largest * (asking or 0.0) > LARGEST:
+        raise OverflowError("an inner product may be beyond 2**62")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows * n_queries // (1 << 34))
     most = min(BLOCK_ROWS, max(LEAF_ROWS, rows // (4 * tasks)))
     # Pivots are a sample by hash, of a size that does not depend on the number of rows.
     part = int((1 << 30) * min(1.0, PIVOT_SAMPLE / rows))
-    sample = given.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < part).orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_PIVOTS).select("dims", "vec").collect()
+    drawn = given.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < part).join(by_length, "dims")
+    turn = F.row_number().over(Window.partitionBy("dims").orderBy(F.xxhash64("vec_id"), "vec_id"))
+    drawn = drawn.select("dims", "vec", F.xxhash64("vec_id").alias("h"), turn.alias("k"), F.greatest(F.lit(1), F.floor(F.col("n") / most)).alias("wanted"))
     pivots: dict[int, list] = {}
-    for r in sample:
-        if len(pivots.setdefault(r["dims"], [])) < max(1, sizes[r["dims"]][0] // most):
-            pivots[r["dims"]].append(r["vec"])
+    for r in drawn.where("k <= wanted").orderBy("h", "vec").limit(MOST_PIVOTS).select("dims", "vec").collect():
+        pivots.setdefault(r["dims"], []).append(r["vec"])
     placed = _shared.cut(given.select("vec_id", "dims", "vec", "is_query").mapInArrow(_cells({d: np.array(p, np.float64).reshape(len(p), d) for d, p in pivots.items()}), "vec_id long, dims int, vec array<double>, is_query boolean, cell int"))
-    # One row for each pivot, 1024 and one for each length at most: proven to be small.
-    salts = placed.groupBy("dims", "cell").count().select("dims", "cell", F.ceil(F.col("count") / most).cast("int").alias("salts"))
-    salted = placed.join(F.broadcast(salts), ["dims", "cell"]).withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("salts")).cast("int")).drop("salts")
+    # Cells of more than ``most`` rows: no more than rows / most, some hundred bytes for each block.
+    salts = placed.groupBy("dims", "cell").count().where(F.col("count") > most).select("dims", "cell", F.ceil(F.col("count") / most).cast("int").alias("salts"))
+    salted = placed.join(salts, ["dims", "cell"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
     blocks = _shared.cut(salted.select("dims", "cell", "salt", "vec_id", "vec", "is_query").groupBy("dims", "cell", "salt").applyInArrow(_trees, "dims int, cell int, salt int, data binary, queries binary"))
     across = max(math.ceil(n_queries / GROUP_QUERIES), math.ceil(math.sqrt(tasks)))
     along = math.ceil(tasks / across)
@@ -280,7 +291,7 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 20, scale: float = 6
     ask = blocks.where("queries is not null").select((F.pmod(mark, F.lit(across)) * along).alias("base"), "dims", "queries").select(F.explode(F.sequence(F.col("base"), F.col("base") + (along - 1))).alias("group"), "dims", F.lit(True).alias("is_query"), F.col("queries").alias("tree"))
     hold = blocks.select(F.pmod(F.xxhash64("cell", "salt", "dims"), F.lit(along)).alias("at"), "dims", "data").select(F.explode(F.sequence(F.col("at"), F.col("at") + (across - 1) * along, F.lit(along))).alias("group"), "dims", F.lit(False).alias("is_query"), F.col("data").alias("tree"))
     grid = ask.union(hold).repartition(tasks, "group").sortWithinPartitions("group", "dims", F.desc("is_query"))
-    partial = grid.select("group", "dims", "is_query", "tree").mapInArrow(_search_groups(k), "query_id long, vec_id long, score long")
+    partial = grid.select("group", "dims", "is_query", "tree").mapInArrow(_search_groups(k, largest * (asking or 0.0) > EXACT), "query_id long, vec_id long, score long")
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = partial.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", F.row_number().over(by_query))
     return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
