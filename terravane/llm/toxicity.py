@@ -19,16 +19,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _shared
-from .language_id import count_words, keys_of, keys_of_pieces, split_words
+from .language_id import counted_grams, gram_counts, keys_of_pieces, portions, split_words
 
 #: Bytes of context in the class-conditional order.
 ORDER = 5
 #: Labelled documents of a class, about, on which models are counted, and on which the curve is fitted (whole texts).
 FIT_DOCUMENTS = 1500
 CURVE_DOCUMENTS = 1500
-#: Distinct words whose counts are fitted, the most frequent first; long ones by pieces, as in language identification.
-FIT_WORDS = 250_000
 DISCOUNT = 0.75
+#: A word's log-likelihood ratio counts up to here among the most toxic ones, so that none outweighs all labels.
+WORD_GAIN = 30.0
+#: Bytes of words that are scored at once.
+_PORTION = 1 << 16
+#: The space before a word, as the oldest byte of a key: only keys that begin at a word's start have it.
+_START = np.uint64(ord(" ") + 1)
 
 
 def _discounted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -47,38 +51,56 @@ class ToxicityModels:
 
     def __init__(self, words: list[bytes], counts: np.ndarray, order: int = ORDER):
         """``counts``: a row for each word or piece, of its counts in ordinary and in toxic documents."""
-        self.order, self.id = order, uuid.uuid4().hex
-        at, keys, depth = keys_of_pieces(words, order)
-        weight = np.asarray(counts, np.float64)[at]
-        grams, number = np.unique(self._longest(keys, depth), return_inverse=True)
-        by_class = [_discounted(grams, np.bincount(number, weight[:, c], len(grams))) for c in range(2)]
+        parts = [gram_counts(words, counts[:, c], order) for c in (0, 1)]
+        self._build(np.concatenate([g for g, _ in parts]), np.repeat(np.arange(2), [len(g) for g, _ in parts]), np.concatenate([n for _, n in parts]), order)
+
+    @classmethod
+    def of_grams(cls, grams: np.ndarray, toxic: np.ndarray, n: np.ndarray, order: int = ORDER) -> ToxicityModels:
+        """From the counts of grams of all orders, a row for each gram and class that has it."""
+        self = cls.__new__(cls)
+        self._build(grams, toxic, n, order)
+        return self
+
+    def _build(self, grams: np.ndarray, toxic: np.ndarray, n: np.ndarray, order: int) -> None:
+        self.order, self.id, self.curve = order, uuid.uuid4().hex, np.zeros(4)
         #: By order: grams, contexts, discounted shares and backoff weights (a column for all or for each class).
         self.tables = []
+        of_order = lambda k: (grams >> np.uint64(9 * k) != 0) & (grams >> np.uint64(9 * (k + 1)) == 0)
         for k in range(order):
             # Continuation count of a gram: how many different bytes, a word's first space included, stand before it.
-            longer = np.unique(keys[k + 1])
-            lower, n = np.unique(longer[longer != 0] & np.uint64((1 << 9 * (k + 1)) - 1), return_counts=True)
-            contexts, _, share, back = _discounted(lower, n.astype(np.float64))
+            longer = np.unique(grams[of_order(k + 1)])
+            lower, before = np.unique(longer & np.uint64((1 << 9 * (k + 1)) - 1), return_counts=True)
+            contexts, _, share, back = _discounted(lower, before.astype(np.float64))
             self.tables.append((lower, contexts, share[:, None], back[:, None]))
-        self.tables.append((grams, by_class[0][0], np.stack([x[2] for x in by_class], axis=1), np.stack([x[3] for x in by_class], axis=1)))
-        self.curve = np.zeros(4)
-
-    def _longest(self, keys: list[np.ndarray], depth: np.ndarray) -> np.ndarray:
-        """The class-conditional gram of each byte: with ``order`` bytes before it, or all back to the word's space."""
-        return np.choose(np.minimum(depth, self.order), keys)
+        # The class-conditional gram of a byte has ``order`` bytes before it, or all back to the word's space.
+        longest = of_order(order)
+        for k in range(1, order):
+            longest |= of_order(k) & (grams >> np.uint64(9 * k) == _START)
+        known, row = np.unique(grams[longest], return_inverse=True)
+        by_class = [_discounted(known, np.bincount(row[toxic[longest] == c], n[longest][toxic[longest] == c], len(known))) for c in (0, 1)]
+        self.tables.append((known, by_class[0][0], np.stack([x[2] for x in by_class], axis=1), np.stack([x[3] for x in by_class], axis=1)))
 
     def difference(self, words: list[bytes]) -> np.ndarray:
-        at, keys, depth = keys_of(words, self.order)
-        chance = np.full((len(at), 2), 1 / 257)
+        out = np.zeros(len(words))
+        for owners, pieces in portions(words, self.order, _PORTION):
+            at, keys, depth = keys_of_pieces(pieces, self.order)
+            chance = self._chances(keys, depth)
+            out += np.bincount(owners[at], np.log(chance[:, 1]) - np.log(chance[:, 0]), len(words))
+        return out[:, None].astype(np.float32)
+
+    def _chances(self, keys: list[np.ndarray], depth: np.ndarray) -> np.ndarray:
+        """Each byte's probability in ordinary and in toxic words."""
+        chance = np.full((len(depth), 2), 1 / 257)
         for k, (grams, contexts, share, back) in enumerate(self.tables):
-            key = np.where(depth > k, keys[k], 0) if k < self.order else self._longest(keys, depth)
+            key = np.where(depth > k, keys[k], 0) if k < self.order else np.choose(np.minimum(depth, self.order), keys)
+            if not len(grams):
+                continue
             row = np.minimum(np.searchsorted(grams, key), len(grams) - 1)
             known = (grams[row] == key) & (key != 0)
             above = np.minimum(np.searchsorted(contexts, key >> np.uint64(9)), len(contexts) - 1)
             here = (contexts[above] == key >> np.uint64(9)) & (key != 0)
             chance = np.where(here[:, None], np.where(known[:, None], share[row], 0) + back[above] * chance, chance)
-        gain = np.log(chance[:, 1]) - np.log(chance[:, 0])
-        return np.bincount(at, gain, len(words))[:, None].astype(np.float32)
+        return chance
 
     def features(self, texts: list[bytes], seen: _shared.WordTable) -> np.ndarray:
         """For each text: 1, the mean difference a word, the mean of its two and of its one most toxic words."""
@@ -91,7 +113,7 @@ class ToxicityModels:
         for i in np.flatnonzero(n).tolist():
             own = gain[starts[i] : starts[i] + n[i]]
             best = np.partition(own, -2)[-2:] if n[i] > 1 else np.array([0.0, own[0]])
-            out[i, 1:] = own.mean(), np.minimum(best, 30).mean(), min(best.max(), 30)
+            out[i, 1:] = own.mean(), np.minimum(best, WORD_GAIN).mean(), min(best.max(), WORD_GAIN)
         return out
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -115,11 +137,14 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModels | None:
     """Models from documents (doc_id, text) and labels (doc_id, toxic: 0 or 1). None if a class has no label.
 
-    Labels that are null or neither 0 nor 1 teach nothing. By a hash of doc_id a quarter of the labels is left for the
-    curve; the models count on the others.
+    Labels that are null or neither 0 nor 1 teach nothing, nor do those of a doc_id that has both; a label that repeats
+    counts once. Documents of the same doc_id are each taken with its label. By a hash of doc_id a quarter of the labels
+    is left for the curve; the models count on the others.
     """
-    marks = labels.where("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("hash"))
-    marks = marks.select("of", "toxic", "hash", (F.pmod(F.col("hash"), F.lit(4)) == 0).alias("curve"))
+    spark = docs.sparkSession
+    marks = labels.where("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").alias("of")).agg(F.min(F.col("toxic").cast("int")).alias("toxic"), F.max(F.col("toxic").cast("int")).alias("other"))
+    hashed = F.xxhash64("of")
+    marks = marks.where("toxic = other").select("of", "toxic", hashed.alias("hash"), (F.pmod(hashed, F.lit(4)) == 0).alias("curve"))
     sizes = {(r["toxic"], r["curve"]): r["count"] for r in marks.groupBy("toxic", "curve").count().collect()}
     if any((toxic, False) not in sizes for toxic in (0, 1)):
         return None
@@ -132,17 +157,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModels | None:
     marks = F.broadcast(marks.where(chosen).select("of", "toxic", "curve"))
     given = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sample = _shared.cut(given.join(marks, given["doc_id"] == marks["of"]).select("text", "toxic", "curve"))
-    counted = sample.where("not curve").select("toxic", "text").mapInArrow(count_words("toxic", "text", ORDER), "toxic int, word binary, n long")
-    by_word = counted.groupBy("word").agg(*(F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)))
-    words = by_word.orderBy(F.desc(F.col("n0") + F.col("n1")), F.xxhash64("word"), "word").limit(FIT_WORDS).toArrow()
-    if not words.num_rows:
+    # Numbers only, as many as the sample has distinct grams.
+    rows = counted_grams(sample.where("not curve"), "toxic", ORDER).toArrow()
+    if not rows.num_rows:
         return None
-    model = ToxicityModels(words["word"].to_pylist(), np.stack([words["n0"].to_numpy(), words["n1"].to_numpy()], axis=1))
-    del words
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model = ToxicityModels.of_grams(rows["gram"].to_numpy().view(np.uint64), rows["toxic"].to_numpy(), rows["n"].to_numpy())
+    del rows
     # At most two times CURVE_DOCUMENTS rows of five numbers, about.
-    rows = sample.where("curve" if any(c for _, c in sizes) else "true").mapInArrow(_features(shared), "toxic int, mean double, two double, one double").toPandas()
-    model.curve = _logistic(np.column_stack([np.ones(len(rows)), rows[["mean", "two", "one"]].to_numpy()]), rows["toxic"].to_numpy(np.float64))
+    found = sample.where("curve" if any(c for _, c in sizes) else "true").mapInArrow(_features(_shared.share(spark, model)), "toxic int, mean double, two double, one double").toArrow()
+    found = found.sort_by([(c, "ascending") for c in found.column_names])  # sums do not depend on the tasks' order
+    x = np.column_stack([np.ones(found.num_rows), *(found[c].to_numpy() for c in ("mean", "two", "one"))])
+    model.curve = _logistic(x, found["toxic"].to_numpy().astype(np.float64))
     return model
 
 
@@ -151,8 +176,10 @@ def _features(model):
         m = model.value
         seen = _shared.per_worker(f"toxic:{m.id}", lambda: _shared.WordTable(m.difference, 1))
         for batch in batches:
-            f = m.features(_shared.texts(batch["text"]), seen)
-            yield pa.RecordBatch.from_arrays([batch["toxic"], *(pa.array(f[:, k]) for k in (1, 2, 3))], ["toxic", "mean", "two", "one"])
+            docs = _shared.texts(batch["text"])
+            for i, j in _shared.by_bytes(docs):
+                f = m.features(docs[i:j], seen)
+                yield pa.RecordBatch.from_arrays([batch["toxic"].slice(i, j - i), *(pa.array(f[:, k]) for k in (1, 2, 3))], ["toxic", "mean", "two", "one"])
 
     return run
 
@@ -183,7 +210,7 @@ def score(docs: DataFrame, model: ToxicityModels | None) -> DataFrame:
     """
     given = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = dict(given.dtypes)["doc_id"]
-    run = _scores(docs.sparkSession.sparkContext.broadcast(model)) if model else _undecided
+    run = _scores(_shared.share(docs.sparkSession, model)) if model else _undecided
     return given.mapInArrow(run, f"doc_id {kind}, score double, predicted int")
 
 
@@ -202,4 +229,4 @@ def _kept(model):
 
 def keep(docs: DataFrame, model: ToxicityModels | None) -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic; all of them without a model."""
-    return docs.mapInArrow(_kept(docs.sparkSession.sparkContext.broadcast(model)), docs.schema) if model else docs
+    return docs.mapInArrow(_kept(_shared.share(docs.sparkSession, model)), docs.schema) if model else docs
