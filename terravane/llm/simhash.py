@@ -7,9 +7,10 @@ home of the one lies within R + t of the other in each block, over all blocks wi
 fingerprint goes once to its home anchor and as a replica to every anchor within covering radius plus threshold, and
 is compared per anchor, homes against replicas. No linked pair is missed, whatever the bits.
 
-No distance of fingerprints says that two texts share 0.8 of their word shingles, so ``similar`` does not ask them: it
-joins the texts' sets of shingle hashes. If all sets are put in one order, here the rarest first, then two so similar
-have a hash in common within the first fifth of each: texts that meet there are candidates, each decided by its sets.
+Which texts share 0.8 of their five-word shingles, no distance of 64 bits can say, so ``similar`` goes on from there. Texts
+whose fingerprints meet at an anchor are candidates, and their whole sets of shingles decide. That finds most links; the
+others are found by the sets alone. If all sets are put in one order, here the rarest shingle first, two so similar have
+one in common within the first fifth of each. What meets there and is not yet linked is decided by the sets, too.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _shared
-from .components import connected_components
+from .components import component_labels, connected_components
 
 _LANES = np.uint64(0x0101010101010101)
 #: Fingerprints of one anchor that are compared at once, a side; larger anchors are compared by parts.
@@ -35,8 +36,10 @@ BLOCK = 2048
 HOMES = 128
 #: Entries that one reducing task takes, as planned from their number.
 TASK_ROWS = 2_000_000
-#: An anchor that is home to more fingerprints is dealt out by bands of bits, so that no task takes it whole.
+#: An anchor that is home to more fingerprints is dealt out by bands of bits, so that no task takes it whole. It has
+#: a ``MOST_HOT``-th of all as well, so no more than so many anchors are listed.
 HOT_HOMES = 20_000
+MOST_HOT = 4096
 
 # The two perfect binary codes in use, as length, covering radius and generator polynomial.
 GOLAY = (23, 3, 0b101011100011)
@@ -359,26 +362,23 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     a, b = a[keep], b[keep]
     if not len(a):
         return a, b
-    nodes, number = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = number[: len(a)], number[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[x], label[y])
-        new = label.copy()
-        np.minimum.at(new, label[x], low)
-        np.minimum.at(new, label[y], low)
-        new = new[new]
-        new = np.minimum(new, new[label])
-        if (new == label).all():
-            break
-        label = new
-    while (label[label] != label).any():
-        label = label[label]
+    nodes, label = component_labels(a, b)
     order = np.lexsort((nodes, label))
     same = label[order][1:] == label[order][:-1]
     return nodes[order][:-1][same], nodes[order][1:][same]
 
 
+def links_by_anchors(fingerprints: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): links that connect distinct fingerprints (bits) exactly as all pairs within the threshold do."""
+    rows = fingerprints.count()
+    anchors = Anchors.for_rows(rows, threshold)
+    homes = fingerprints.mapInArrow(_home_of(anchors), "anchor long").groupBy("anchor").count()
+    hot = np.array([r["anchor"] for r in homes.where(F.col("count") > max(HOT_HOMES, rows // MOST_HOT)).collect()], np.int64)
+    tasks = max(int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows * 64 // TASK_ROWS)
+    entries = fingerprints.mapInArrow(_replicate(anchors, hot, 16 * tasks), "part int, entries binary")
+    return entries.repartition(tasks, "part").mapInArrow(_links(anchors, threshold), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, *, threshold: int = 2, shingle: int = 3) -> DataFrame:
     """A row for each document: doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id that links
     of at most ``threshold`` differing bits reach.
@@ -389,26 +389,16 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 2, shingle: int = 3) ->
     """
     marked = _shared.cut(simhash(docs, shingle))
     classes = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id")))
-    rows = classes.count()
-    anchors = Anchors.for_rows(rows, threshold)
-    hot = _hot(classes.select("bits").mapInArrow(_home_of(anchors), "anchor long"))
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows * 64 // TASK_ROWS)
-    entries = classes.select("bits").mapInArrow(_replicate(anchors, hot, 16 * tasks), "part int, entries binary")
-    placed = _components(classes, entries.repartition(tasks, "part").mapInArrow(_links(anchors, threshold), "a long, b long"))
-    return marked.join(placed, marked["bits"] == placed["of_bits"]).select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def _hot(homes: DataFrame) -> np.ndarray:
-    """Anchors that are home to more than HOT_HOMES fingerprints: a HOT_HOMES-th of the fingerprints at most."""
-    return np.array([r[0] for r in homes.groupBy("anchor").count().where(F.col("count") > HOT_HOMES).select("anchor").collect()], np.int64)
+    placed = _components(classes, links_by_anchors(classes.select("bits"), threshold))
+    return _shared.join_crowded(marked, placed, "bits").select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """(of_bits, component_id) of each class (bits, first_id)."""
+    """(bits, component_id) of each class (bits, first_id)."""
     roots = connected_components(_shared.cut(links.distinct()))
-    placed = classes.join(roots, classes["bits"] == roots["node"], "left").select("bits", "first_id", F.coalesce("root", "bits").alias("root"))
-    smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return placed.join(smallest, "root").select(F.col("bits").alias("of_bits"), "component_id")
+    placed = _shared.cut(classes.join(roots, classes["bits"] == roots["node"], "left").select("bits", "first_id", F.coalesce("root", "bits").alias("root")))
+    smallest = _shared.cut(placed.groupBy("root").agg(F.min("first_id").alias("component_id")))
+    return _shared.cut(_shared.join_crowded(placed, smallest, "root").select("bits", "component_id"))
 
 
 # --- similar texts ----------------------------------------------------------------------------------------------------
@@ -417,6 +407,10 @@ def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
 ALIKE = (4, 5)
 #: Sets that meet at a key up to which all of them are compared at once.
 FEW = 8
+#: Sets of one key that are compared in one task; more are compared by pairs of parts.
+KEY_SETS = 20_000
+#: Keys that one task takes, as planned from their number.
+TASK_KEYS = 1_000_000
 #: Texts whose shingles are counted to tell frequent ones, and frequent shingles that are told at most. Neither changes
 #: what is found: a frequent shingle that is taken for a rare one makes more candidates.
 COUNTED_TEXTS = 4000
@@ -424,13 +418,19 @@ FREQUENT = 500_000
 
 _KEYED = np.dtype([("key", "<u8"), ("bits", "<u8"), ("n", "<u4"), ("at", "<u2")])
 _PARITIES = [f"p{i}" for i in range(8)]
+_MARKED = ["doc_id long", "bits long", "fingerprint long", "n long", *(f"{c} long" for c in _PARITIES), "packed binary", "first binary"]
 _MET = "key long, bits long, n long, at long, beside long"
 
 
+def _hashes(texts: list[bytes], shingle: int) -> list[np.ndarray]:
+    """The hash of each shingle of each text, repeats included."""
+    hash_of = xxhash.xxh64_intdigest
+    return [np.array([hash_of(g, 42) for g in grams_of(x, shingle)], np.uint64) for x in texts]
+
+
 def _sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
     """The hashes of each text's shingles, in order and once each."""
-    hash_of = xxhash.xxh64_intdigest
-    return [np.unique(np.array([hash_of(g, 42) for g in grams_of(x, shingle)], np.uint64)) for x in texts]
+    return [np.unique(x) for x in _hashes(texts, shingle)]
 
 
 def _parities(keys: np.ndarray) -> np.ndarray:
@@ -445,55 +445,75 @@ def _unpacked(packed: list[bytes]) -> list[bytes]:
     return list(map(zstandard.ZstdDecompressor().decompress, packed))
 
 
-def _shingle_batches(shingle: int):
-    """Texts go on packed: their sets would take more room, and are soon made again."""
-
+def _key_counts(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _shared.forget()
-        press = zstandard.ZstdCompressor(3).compress
         for batch in batches:
             docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs, 1 << 20):
-                sets = _sets(docs[i:j], shingle)
-                bits = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64)
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), pa.array(bits.view(np.int64)), pa.array(map(len, sets), pa.int64()), pa.array(map(press, docs[i:j]), pa.binary()), *(pa.array(x) for x in np.array([_parities(x) for x in sets]).T.copy())], ["doc_id", "bits", "n", "packed", *_PARITIES])
+            for i, j in _shared.by_bytes(docs):
+                key, n = np.unique(np.concatenate(_sets(docs[i:j], shingle)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
     return run
 
 
-def _key_counts(shingle: int):
+def _frequent(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that several of ``COUNTED_TEXTS`` texts have, chosen by a hash of the text, and how many have them."""
+    mark = F.xxhash64("text")
+    drawn = docs.where(F.pmod(mark, F.lit(1 << 30)) < int((1 << 30) * min(1.0, COUNTED_TEXTS / max(docs.count(), 1))))
+    counts = drawn.withColumn("mark", mark).dropDuplicates(["mark"]).select("text").mapInArrow(_key_counts(shingle), "key long, n long")
+    often = counts.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    known, count = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
+    order = np.argsort(known)
+    return known[order], count[order]
+
+
+def _first_fifth(keys: np.ndarray, known: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A set's first keys in the common order, so many that one so similar has one of them among its own first ones."""
+    if len(known) and len(keys):
+        row = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        keys = keys[np.argsort(np.where(known[row] == keys, count[row], 0), kind="stable")]
+    return keys[: len(keys) - -(-ALIKE[0] * len(keys) // ALIKE[1]) + 1]
+
+
+def _shingle_batches(shingle: int, frequent):
+    """Texts go on packed: their sets would take more room, and are soon made again."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
+        (known, count), press = frequent.value, zstandard.ZstdCompressor(3).compress
         for batch in batches:
-            packed = batch["packed"].to_pylist()
-            for i, j in _shared.by_bytes(packed, 1 << 18):
-                key, n = np.unique(np.concatenate(_sets(_unpacked(packed[i:j]), shingle)), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+            docs = _shared.texts(batch["text"])
+            for i, j in _shared.by_bytes(docs):
+                lists = _hashes(docs[i:j], shingle)
+                sets, votes = [np.unique(x) for x in lists], np.array([len(x) for x in lists])
+                prints = np.zeros(len(lists), np.uint64)
+                if votes.any():
+                    prints[votes > 0] = majorities(np.concatenate(lists), votes[votes > 0])
+                del lists
+                columns = [np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64), prints.view(np.int64), np.array([len(x) for x in sets], np.int64), *np.array([_parities(x) for x in sets]).T.copy()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(i, j - i), *map(pa.array, columns), pa.array(map(press, docs[i:j]), pa.binary()), pa.array([_first_fifth(x, known, count).tobytes() for x in sets], pa.binary())], [x.split()[0] for x in _MARKED]
+                )
 
     return run
 
 
-def _first_keys(frequent, shingle: int, parts: int):
-    """Each set's first fifth in the common order, as blobs by the key's part."""
+def _first_keys(parts: int):
+    """Each set's first keys, as blobs by the key's part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, count = frequent.value
+        _shared.forget()
         for batch in batches:
-            all_bits, packed = batch["bits"].to_numpy().view(np.uint64), batch["packed"].to_pylist()
-            for i, j in _shared.by_bytes(packed, 1 << 18):
-                found = []
-                for bits, keys in zip(all_bits[i:j], _sets(_unpacked(packed[i:j]), shingle), strict=True):
-                    if not len(keys):
-                        continue
-                    if len(known):
-                        row = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                        keys = keys[np.argsort(np.where(known[row] == keys, count[row], 0), kind="stable")]
-                    first = len(keys) - -(-ALIKE[0] * len(keys) // ALIKE[1]) + 1
-                    entry = np.empty(first, _KEYED)
-                    entry["key"], entry["bits"], entry["n"], entry["at"] = keys[:first], bits, len(keys), np.minimum(np.arange(first), 65535)
-                    found.append(entry)
-                if found:
-                    entry = np.concatenate(found)
-                    yield _blobs(entry, _part(entry["key"], parts))
+            bits, n, first = batch["bits"].to_numpy().view(np.uint64), batch["n"].to_numpy(), batch["first"].to_pylist()
+            for i, j in _shared.by_bytes(first):
+                times = np.array([len(x) // 8 for x in first[i:j]])
+                entry = np.empty(times.sum(), _KEYED)
+                if not len(entry):
+                    continue
+                entry["key"], entry["bits"], entry["n"] = np.frombuffer(b"".join(first[i:j]), "<u8"), np.repeat(bits[i:j], times), np.repeat(n[i:j], times)
+                entry["at"] = np.minimum(np.arange(len(entry)) - np.repeat(np.cumsum(times) - times, times), 65535)
+                yield _blobs(entry, _part(entry["key"], parts))
 
     return run
 
@@ -513,13 +533,11 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     entry = np.frombuffer(b"".join(blobs), _KEYED)
     del blobs
     entry = entry[np.lexsort((entry["bits"], entry["key"]))]
-    new = np.concatenate([[True], (entry["key"][1:] != entry["key"][:-1]) | (entry["bits"][1:] != entry["bits"][:-1])])
-    entry = entry[new]  # equal sets are one
     same = entry["key"][1:] == entry["key"][:-1]
     met = np.concatenate([same, [False]]) | np.concatenate([[False], same])
     n, at = entry["n"].astype(np.int64), entry["at"].astype(np.int64)
-    many = np.bincount(np.cumsum(np.append(True, ~same)) - 1)[np.cumsum(np.append(True, ~same)) - 1] > FEW
-    chained = many & np.concatenate([same & _can_be(n[:-1], at[:-1], n[1:], at[1:]), [False]])
+    group = np.cumsum(np.append(True, ~same)) - 1
+    chained = (np.bincount(group)[group] > FEW) & np.concatenate([same & _can_be(n[:-1], at[:-1], n[1:], at[1:]), [False]])
     beside = np.concatenate([entry["bits"][1:], entry["bits"][:1]]).view(np.int64)
     for i in range(0, len(entry), 100_000):
         k = np.flatnonzero(met[i : i + 100_000]) + i
@@ -527,16 +545,19 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of sets that meet at a key, can be similar and have different roots."""
+    """Pairs of sets that meet at a key, have different roots, and can be similar by their sizes and parities. A crowded
+    key comes as pairs (lo, hi) of parts: sets of both are compared with each other, or within the part if it is one."""
     rows = [pa.Table.from_batches([b]) for b in batches]
     if not rows:
         return
     table = pa.concat_tables(rows)
     del rows
-    key, bits, n, at, root = (table[c].to_numpy() for c in ("key", "bits", "n", "at", "root"))
-    order = np.lexsort((bits, key))
-    key, bits, n, at, root = key[order], bits[order], n[order], at[order], root[order]
-    starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+    key, lo, hi, chunk, bits, n, at, root = (table[c].to_numpy() for c in ("key", "lo", "hi", "chunk", "bits", "n", "at", "root"))
+    parity = np.stack([table[c].to_numpy().view(np.uint64) for c in _PARITIES], axis=1)
+    order = np.lexsort((bits, hi, lo, key))
+    key, lo, hi, chunk, bits, n, at, root, parity = (x[order] for x in (key, lo, hi, chunk, bits, n, at, root, parity))
+    new = np.flatnonzero((np.diff(key) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)) + 1
+    starts, (up, down) = np.concatenate([[0], new, [len(key)]]), ALIKE
     left, right, held = [], [], 0
 
     def distinct() -> pa.RecordBatch:
@@ -546,14 +567,17 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
         if (root[s:e] == root[s]).all():
             continue
-        for x in range(s, e, BLOCK):
+        for x in range(s, e, 256):
             for y in range(x, e, BLOCK):
-                u, v = np.arange(x, min(x + BLOCK, e))[:, None], np.arange(y, min(y + BLOCK, e))[None, :]
-                i, j = np.nonzero((u < v) & (root[u] != root[v]) & _can_be(n[u], at[u], n[v], at[v]))
-                left.append(bits[x + i])
-                right.append(bits[y + j])
-                held += len(i)
-                if held >= 1_000_000:
+                u, v = np.arange(x, min(x + 256, e))[:, None], np.arange(y, min(y + BLOCK, e))[None, :]
+                i, j = np.nonzero((u < v) & (root[u] != root[v]) & ((chunk[u] != chunk[v]) | (lo[s] == hi[s])) & _can_be(n[u], at[u], n[v], at[v]))
+                i, j = x + i, y + j
+                apart = np.bitwise_count(parity[i] ^ parity[j]).sum(axis=1, dtype=np.int64)
+                near = (up + down) * apart <= (down - up) * (n[i] + n[j])
+                left.append(bits[i[near]])
+                right.append(bits[j[near]])
+                held += int(near.sum())
+                if held >= 500_000:
                     yield distinct()
                     left, right, held = [], [], 0
     if held:
@@ -562,10 +586,11 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _decide(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         up, down = ALIKE
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part, similar, held = batch.slice(i, 1000), [], {}
+            for i in range(0, batch.num_rows, 500):
+                part, similar, held = batch.slice(i, 500), [], {}
                 for a, b, one, two in zip(*(part[c].to_pylist() for c in ("a", "b", "one", "two")), strict=True):
                     for bits, packed in ((a, one), (b, two)):
                         if bits not in held:
@@ -577,47 +602,81 @@ def _decide(shingle: int):
     return run
 
 
-def _similar_pairs(marked: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar; parities first tell most of the others."""
+def _similar_pairs(texts: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose sets are similar. Each text is sent once for each of its pairs, so
+    ``pairs`` are few: links that a spanning forest needs, or candidates that little else rules out."""
+    pairs = _shared.cut(pairs)
+    if pairs.isEmpty():
+        return pairs
+    asked = pairs.select(F.col("a").alias("bits")).union(pairs.select(F.col("b").alias("bits"))).distinct()
+    held = _shared.cut(texts.select("bits", "packed").join(asked, "bits", "left_semi"))
+    one, two = held.select(F.col("bits").alias("a"), F.col("packed").alias("one")), held.select(F.col("bits").alias("b"), F.col("packed").alias("two"))
+    return _shared.cut(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_decide(shingle), "a long, b long"))
+
+
+def _near_parities(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and parities let be similar, once each."""
     up, down = ALIKE
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     one, two = (classes.select(F.col("bits").alias(x), F.col("n").alias(f"{x}_n"), *(F.col(c).alias(f"{x}_{c}") for c in _PARITIES)) for x in ("a", "b"))
     apart = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in _PARITIES), F.lit(0))
-    pairs = _shared.cut(pairs.join(one, "a").join(two, "b").where((up + down) * apart <= (down - up) * (F.col("a_n") + F.col("b_n"))).select("a", "b"))
-    asked = pairs.select(F.col("a").alias("bits")).union(pairs.select(F.col("b").alias("bits"))).distinct()
-    texts = _shared.cut(marked.select("bits", "packed").join(asked, "bits", "left_semi").dropDuplicates(["bits"]))
-    one, two = texts.select(F.col("bits").alias("a"), F.col("packed").alias("one")), texts.select(F.col("bits").alias("b"), F.col("packed").alias("two"))
-    return _shared.cut(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_decide(shingle), "a long, b long"))
+    sizes = down * F.least("a_n", "b_n") >= up * F.greatest("a_n", "b_n")
+    return pairs.join(one, "a").join(two, "b").where(sizes & ((up + down) * apart <= (down - up) * (F.col("a_n") + F.col("b_n")))).select("a", "b")
+
+
+def _pairs_by_anchors(classes: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): sets whose fingerprints are equal or meet at an anchor, as a spanning forest. Of the sets of a fingerprint
+    one stands for all."""
+    first = _shared.cut(classes.groupBy("fingerprint").agg(F.min("bits").alias("bits")))
+    links = links_by_anchors(first.select(F.col("fingerprint").alias("bits")), threshold).distinct()
+    one, two = (first.select(F.col("fingerprint").alias(x), F.col("bits").alias(f"{x}_bits")) for x in ("a", "b"))
+    met = links.join(one, "a").join(two, "b").select(F.col("a_bits").alias("a"), F.col("b_bits").alias("b"))
+    equal = _shared.join_crowded(classes.select("fingerprint", F.col("bits").alias("b")), first, "fingerprint").where("bits != b").select(F.col("bits").alias("a"), "b")
+    return met.union(equal)
+
 
+def _rooted(rows: DataFrame, roots: DataFrame, key: str, root: str) -> DataFrame:
+    """``rows`` with the root of ``key``, itself if it has no link."""
+    of = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    return rows.join(of, rows[key] == of["_node"], "left").withColumn(root, F.coalesce("_root", key)).drop("_node", "_root")
 
-def similar(docs: DataFrame, *, shingle: int = 5) -> DataFrame:
+
+def _remaining(met: DataFrame, roots: DataFrame, classes: DataFrame, tasks: int) -> DataFrame:
+    """(a, b): pairs of sets that meet at a key, are not linked yet and can be similar."""
+    rooted = _shared.cut(_rooted(met.select("key", "bits", "n", "at"), roots, "bits", "root"))
+    several = rooted.groupBy("key").agg(F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high"))
+    several = several.where("low != high").select("key", F.ceil(F.col("sets") / KEY_SETS).cast("int").alias("chunks"))
+    open_ = rooted.join(several, "key").join(classes.select("bits", *_PARITIES), "bits").withColumn("chunk", F.pmod(F.xxhash64("bits"), F.col("chunks")).cast("int"))
+    dealt = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
+    return dealt.drop("chunks", "other").repartition(tasks, "key", "lo", "hi").mapInArrow(_candidates, "a long, b long").distinct()
+
+
+def similar(docs: DataFrame, *, shingle: int = 5, threshold: int = 2) -> DataFrame:
     """(doc_id, component_id) for each document: what links between texts of similar sets of word shingles reach, as of
     ``ALIKE`` of the shingles that either has; component_id is the smallest doc_id there.
 
-    No pair is missed and none is linked below. Sets are of 64-bit hashes, and equal ones one. Where many sets
-    meet at a key, neighbours are decided first; then only those are compared each with each that are not linked yet, so
-    large groups of copies take no more than their size. Nulls, empty texts and repeats fare as in ``near_duplicates``.
+    Candidates come from anchors (fingerprints within ``threshold`` bits), then from keys in common; every link is decided
+    by the whole sets, no pair is missed and none is linked below. Sets are of 64-bit hashes, and equal ones one. Where
+    many sets meet at a key, neighbours are decided first; then only those are compared each with each that are not linked
+    yet. Nulls, empty texts and repeats fare as in ``near_duplicates``.
     """
     spark = docs.sparkSession
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = _shared.cut(given.mapInArrow(_shingle_batches(shingle), "doc_id long, bits long, n long, packed binary, " + ", ".join(f"{c} long" for c in _PARITIES)))
-    classes = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), *(F.max(c).alias(c) for c in _PARITIES)))
-    number, size = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    counted = F.pmod(F.xxhash64("bits"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, COUNTED_TEXTS / max(number, 1)))
-    often = marked.where(counted).dropDuplicates(["bits"]).select("packed").mapInArrow(_key_counts(shingle), "key long, n long")
-    often = often.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
-    known, count = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
-    order = np.argsort(known)
-    frequent = spark.sparkContext.broadcast((known[order], count[order]))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 5 // TASK_ROWS)  # a fifth of the keys
-    entries = marked.select("bits", "packed").mapInArrow(_first_keys(frequent, shingle, 16 * tasks), "part int, entries binary")
+    frequent = _shared.share(spark, _frequent(given.select("text"), shingle))
+    marked = _shared.cut(given.mapInArrow(_shingle_batches(shingle, frequent), ", ".join(_MARKED)))
+    same = [F.first(c).alias(c) for c in ("n", *_PARITIES, "packed", "first")]  # one value for all equal sets, texts but for their spelling
+    whole = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.min("fingerprint").alias("fingerprint"), *same))
+    classes = _shared.cut(whole.drop("packed", "first"))
+    links = _similar_pairs(whole, _near_parities(_pairs_by_anchors(classes, threshold), classes), shingle)
+    size = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 5 // TASK_KEYS)  # a fifth of the keys
+    entries = whole.select("bits", "n", "first").mapInArrow(_first_keys(16 * tasks), "part int, entries binary")
     met = _shared.cut(entries.repartition(tasks, "part").mapInArrow(_meetings, _MET))
-    _shared.release(spark)
-    links = _similar_pairs(marked, classes, _shared.cut(met.where("beside is not null").select(F.col("bits").alias("a"), F.col("beside").alias("b")).distinct()), shingle)
     roots = connected_components(links)
-    rooted = met.join(roots, met["bits"] == roots["node"], "left").select("key", "bits", "n", "at", F.coalesce("root", "bits").alias("root"))
-    pairs = _shared.cut(rooted.repartition(tasks, "key").mapInArrow(_candidates, "a long, b long").distinct())
-    placed = _components(classes.select("bits", "first_id"), links.union(_similar_pairs(marked, classes, pairs, shingle)))
-    return marked.select("doc_id", "bits").join(placed, marked["bits"] == placed["of_bits"]).select("doc_id", "component_id")
+    beside = _rooted(_rooted(met.where("beside is not null").select(F.col("bits").alias("a"), F.col("beside").alias("b")).distinct(), roots, "a", "ra"), roots, "b", "rb").where("ra != rb").select("a", "b")
+    links = links.union(_similar_pairs(whole, _near_parities(beside, classes), shingle))
+    links = links.union(_similar_pairs(whole, _remaining(met, connected_components(links), classes, tasks), shingle))
+    return _shared.join_crowded(marked.select("doc_id", "bits"), _components(classes.select("bits", "first_id"), links), "bits").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
