@@ -1,24 +1,36 @@
-"""What the operators of this subpackage share: table access, lineage cuts and worker-local word caches."""
+"""What the operators of this subpackage share: table access, lineage cuts, joins on crowded keys and workers' state."""
 
 from __future__ import annotations
 
-import gc
-import tempfile
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Entries a worker's word cache may hold before it is emptied (about 150 bytes each). A cache is only a
-#: shortcut: an emptied one is filled again and results do not change. Wider rows than ``CACHE_WIDTH`` are fewer.
-CACHE_ENTRIES = 500_000
-CACHE_WIDTH = 64
+from ..operators._lineage import checkpoint_folder, remove
+from ..operators._lineage import settle as cut
+
+__all__ = ["by_bytes", "checkpoint_folder", "cut", "forget", "join_crowded", "own_broadcasts", "per_worker", "remove", "share", "spread", "table", "texts", "WordTable"]
+
+#: Bytes a worker's word cache may hold before it is emptied, and what an entry takes beside its values. A cache is
+#: only a shortcut: an emptied one is filled again and results do not change.
+CACHE_BYTES = 48 << 20
+CACHE_ENTRY = 170
 #: Words longer than this many bytes are computed each time rather than cached.
 CACHE_WORD_BYTES = 48
+#: Rows of a key from which its partner is broadcast rather than shuffled, and the number of such keys at most. Further
+#: crowded keys are joined like all others.
+CROWDED_ROWS = 50_000
+CROWDED_KEYS = 4096
 
 #: Per-worker state by model key. Workers are reused between tasks, so caches and loaded vocabularies stay warm.
 _WORKER: dict[str, object] = {}
+_BROADCASTS: list[list[Broadcast]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,33 +39,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` in as many partitions as the cluster has cores, if its files gave fewer; larger inputs stay as they are."""
+    """``df`` in as many partitions as the cluster has cores, if its files gave fewer. Results do not depend on it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back, so that a lost executor costs a reread.
-
-    The folder is the one that spark.checkpoint.dir names. Only where that is unset (tests on one machine) a
-    temporary folder is made for the session.
-    """
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """``value`` as a broadcast variable; within ``own_broadcasts`` it is destroyed at the block's end."""
+    out = spark.sparkContext.broadcast(value)
+    if _BROADCASTS:
+        _BROADCASTS[-1].append(out)
+    return out
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder, set if it is not."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="terravane-"))
-    return context._jsc.sc().getCheckpointDir().get()
+@contextmanager
+def own_broadcasts() -> Iterator[None]:
+    """Destroys at its end the broadcast variables that were made within: what they serve must be written by then."""
+    _BROADCASTS.append([])
+    try:
+        yield
+    finally:
+        for held in _BROADCASTS.pop():
+            held.destroy()
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of steps that are over: it keeps them until the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def join_crowded(rows: DataFrame, partner: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``partner``, which has one row for each ``key`` (never null). Rows of a crowded key stay where
+    they are and meet a broadcast of that key's partner; all others are shuffled."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > CROWDED_ROWS)
+    crowded = cut(counts.orderBy(F.desc("_n"), key).limit(CROWDED_KEYS).select(key))
+    if crowded.isEmpty():
+        return rows.join(partner, key)
+    few = F.broadcast(crowded)
+    rest = rows.join(few, key, "left_anti").join(partner, key)
+    return rest.unionByName(rows.join(F.broadcast(partner.join(few, key, "left_semi")), key))
 
 
 def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
@@ -64,14 +83,21 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 def per_worker(key: str, make: Callable[[], object]) -> object:
     """The worker's object under ``key``, made on first use. A worker keeps one object only, as tasks of an operator use one."""
     if key not in _WORKER:
-        _WORKER.clear()
+        forget()
         _WORKER[key] = make()
     return _WORKER[key]
 
 
 def forget() -> None:
-    """Drops what an earlier operator left in this worker."""
+    """Drops what an earlier operator left in this worker, and gives its memory back to the system."""
+    if not _WORKER:
+        return
     _WORKER.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: its memory is reused, if not returned
+        pass
 
 
 class WordTable:
@@ -87,7 +113,7 @@ class WordTable:
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
         """A row of values for each word, in order."""
-        if len(self.rows) * max(self.width, CACHE_WIDTH) > CACHE_ENTRIES * CACHE_WIDTH:
+        if len(self.rows) * (CACHE_ENTRY + 4 * self.width) > CACHE_BYTES:
             self.clear()
         rows = self.rows
         at = list(map(rows.get, words))
@@ -99,9 +125,7 @@ class WordTable:
             rows.update(zip(new, range(first, first + len(new)), strict=True))
             if len(rows) > len(self.values):
                 self.values = np.concatenate([self.values, np.zeros((len(rows), self.width), np.float32)])
-            for i in range(0, len(new), 50_000):
-                part = new[i : i + 50_000]
-                self.values[first + i : first + i + len(part)] = self.score(part)
+            self.values[first : len(rows)] = self.score(new)
             for i in gaps:
                 at[i] = rows[words[i]]
         out = self.values[np.array(at, np.int64)] if words else self.values[:0]

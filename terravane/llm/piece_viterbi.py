@@ -159,7 +159,7 @@ class PieceModel:
                         if len(s) <= _shared.CACHE_WORD_BYTES:
                             known[s] = x
                     out[k] = x
-        if len(known) > _shared.CACHE_ENTRIES:
+        if len(known) * _shared.CACHE_ENTRY > _shared.CACHE_BYTES:
             known.clear()
         return b"".join(out)
 

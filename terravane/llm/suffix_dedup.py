@@ -592,8 +592,11 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, keep: tuple[str, ...] =
 
     Null text is the empty text; shorter texts than ``width`` stay whole. A row without doc_id comes after all that
     have one; rows of the same doc_id do not take from each other, so repeated rows fare alike. Other columns are
-    ignored, an empty table gives no rows.
+    ignored, an empty table gives no rows. A kept column that has the name of a result raises ValueError.
     """
+    results = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text]
+    if set(results) & set(keep):
+        raise ValueError(f"kept columns must not be named {results}")
     given = docs.select(*dict.fromkeys(["doc_id", *keep, "text"])).withColumn("text", F.col("text").cast("string")).withColumn("doc_id", F.col("doc_id").cast("long"))
     kinds = dict(given.dtypes)
     shards = _shared.cut(given.mapInArrow(_shard, "shard long, bytes long, rows binary"))
@@ -604,11 +607,9 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, keep: tuple[str, ...] =
     answers = _shared.cut(shards.select("shard", "rows").mapInArrow(_list_grams(width, parts), "part int, shard long, grams binary").repartition(tasks, "part").mapInArrow(_shared_grams(hot_from), "shard long, grams binary"))
     often = [_unpack(bytes(r[0]))[0] for r in answers.where("shard is null").select("grams").collect()]  # some thousand at most
     hot = np.concatenate(often) if often else np.zeros(0, np.uint64)
-    _shared.release(docs.sparkSession)
     by_shard = answers.where("shard is not null").groupBy("shard").agg(F.collect_list("grams").alias("answers"))
     asked = shards.select("shard", "rows").join(by_shard, "shard", "left")
     repeats = _shared.cut(asked.mapInArrow(_send_contexts(hot, width, parts), "part int, shard long, numbers binary, texts binary").repartition(tasks, "part").mapInArrow(_find_repeats(width), "shard long, repeats binary"))
-    _shared.release(docs.sparkSession)
     told = asked.join(repeats.groupBy("shard").agg(F.collect_list("repeats").alias("repeats")), "shard", "left")
     kept = [f"`{c}` {kinds[c]}" for c in keep]
     schema = ", ".join([*kept, "n_bytes long, n_removed long, n_spans long, kept_sha256 string", *["kept binary"] * with_text])

@@ -138,7 +138,7 @@ def _count_fields(path: str, rule: str, fields: list[str], join: str):
                 if len(full):
                     counts[full] = attribute(first, stop, (np.cumsum(sizes) - sizes)[full], int(sizes.sum()), rule)[0]
                 rows.append(counts)
-            out = np.array(rows).reshape(-1, len(fields))
+            out = np.array(rows).reshape(batch.num_rows, len(fields))
             yield pa.RecordBatch.from_arrays([batch["key"], *(pa.array(out[:, k]) for k in range(len(fields)))], ["key", *(f"field{k}" for k in range(len(fields)))])
 
     return run
@@ -146,7 +146,10 @@ def _count_fields(path: str, rule: str, fields: list[str], join: str):
 
 def count_by_field(table: DataFrame, key: str, fields: list[str], *, join: str = "\n", rule: str = "majority", tokenizer: str | None = None) -> DataFrame:
     """``key`` and, for each field, the tokens it has in the row's fields joined by ``join``; the joint belongs to the
-    field before it. Null fields are empty ones."""
+    field before it. Null fields are empty ones. Rows that repeat, or without a key, are counted as they come; without
+    fields only the key is given, and an empty table gives no rows. Other columns are ignored."""
+    if key in [f"{f}_tokens" for f in fields]:
+        raise ValueError("a field's count would have the key's name")
     given = table.select(F.col(key).alias("key"), *(F.col(f).cast("string").alias(f"field{k}") for k, f in enumerate(fields)))
     kind = dict(given.dtypes)["key"]
     out = given.mapInArrow(_count_fields(tokenizer or vocabulary(), rule, fields, join), ", ".join([f"key {kind}", *(f"field{k} double" for k in range(len(fields)))]))

@@ -85,7 +85,7 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, as bytes; equal to the library's, special tokens not added."""
-        if len(self.chunks) > 2 * _shared.CACHE_ENTRIES:
+        if len(self.chunks) * _shared.CACHE_ENTRY > _shared.CACHE_BYTES:
             self.chunks.clear()
         known, found, new = self.chunks, [], {}
         for text in texts:

@@ -72,11 +72,91 @@ def test_mixture_packing(docs, ids_of):
         assert at == (64 if k < max(by_window) else total - 64 * max(by_window))
 
 
-def test_schedule_keeps_each_queue_near_its_share():
-    s = mixture_packing.Schedule(np.array([5000, 300, 7]), np.array([2.0, 1.0, 1.0]), 100)
-    served = s.served(np.arange(s.windows + 1))
-    assert (np.diff(served, axis=0) >= 0).all() and (served.sum(axis=1) == np.minimum(np.arange(s.windows + 1) * 100, 5307)).all()
-    assert served[1].tolist() == [62, 31, 7] and served[-1].tolist() == [5000, 300, 7]
+def _round_robin(totals, quanta, packets):
+    """Deficit round-robin, literally: (queue, first token, tokens) of every visit that takes any."""
+    left, deficit, out = list(totals), [0] * len(totals), []
+    while any(left):
+        for q in range(len(totals)):
+            if not left[q]:
+                continue
+            deficit[q] += quanta[q]
+            taken = min(left[q], (deficit[q] >> 16) // packets[q] * packets[q])
+            if taken:
+                out.append((q, totals[q] - left[q], taken))
+                deficit[q] -= taken << 16
+                left[q] -= taken
+    return out
+
+
+@pytest.mark.parametrize(("totals", "shares", "packets"), [([5000, 300, 7], [50, 25, 25], [1, 1, 1]), ([900, 900, 900], [99.3, 0.5, 0.2], [1, 1, 1]), ([700, 3000], [1.7, 60.1], [256, 1]), ([1], [64], [1]), ([40, 0, 3], [10, 10, 44], [1, 1, 1])])
+def test_schedule_is_deficit_round_robin(totals, shares, packets):
+    quanta = [max(1, int(x * 65536)) for x in shares]
+    s = mixture_packing.Schedule(totals, quanta, packets)
+    at, expected = 0, []
+    for q, first, n in _round_robin(totals, quanta, packets):
+        expected += [(q, first + i, at + i) for i in range(n)]
+        at += n
+    got = []
+    for q, n in enumerate(totals):
+        if n:
+            first = np.arange(0, n, 13)
+            _, begin, length, place = s.stretches(q, first, np.minimum(13, n - first))
+            got += [(q, b + i, p + i) for b, m, p in zip(begin.tolist(), length.tolist(), place.tolist(), strict=True) for i in range(m)]
+    assert sorted(got) == sorted(expected)
+
+
+def test_windows_hold_the_target_shares():
+    s = mixture_packing.Schedule([60_000, 30_000, 10_000], [mixture_packing.quantum(w, 10, 4096) for w in (6, 3, 1)])
+    for q, share in enumerate((0.6, 0.3, 0.1)):
+        n = int(s.n[q])
+        parts = s.stretches(q, np.array([0]), np.array([n]))
+        _, _, length, number, _ = mixture_packing._cut_into_windows(*parts, 4096)
+        per_window = np.bincount(number, length)[:-1]
+        assert abs(per_window - share * 4096).max() <= 3
+
+
+def _pieces(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_packing_does_not_depend_on_the_layout(docs):
+    one = _pieces(mixture_packing.pack_by_mixture(docs.repartition(1), window=64))
+    best = _pieces(bfd_packing.pack_best_fit(docs.repartition(1), width=64))
+    for n in (3, 16):
+        assert _pieces(mixture_packing.pack_by_mixture(docs.repartition(n), window=64)) == one
+        assert _pieces(bfd_packing.pack_best_fit(docs.repartition(n), width=64)) == best
+
+
+def test_many_weighted_sources(spark, ids_of):
+    """1100 sources, each owed too little of a window for a queue of its own, take turns; a large one has its queue."""
+    r, turn, window = random.Random(7), mixture_packing.TURN, 4096
+    rows = [(i, f"s{i % 1100:04}", " ".join(r.choice(["alpha", "beta", "gamma"]) for _ in range(r.randint(1, 700)))) for i in range(2200)]
+    rows += [(5000 + i, "big", "delta " * 5000) for i in range(40)]
+    weights = {"big": 3000.0} | {f"s{i:04}": 1.0 + i % 3 for i in range(1100)}
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = mixture_packing.pack_by_mixture(df, weights=weights, window=window).collect()
+    total = {}
+    for i, source, text in rows:
+        total[source] = total.get(source, 0) + len(ids_of(text))
+    units = {k: max(1, round(w / 3000.0 * mixture_packing.WEIGHT_UNITS)) for k, w in weights.items()}
+    everything, tail = sum(units.values()), sorted(k for k in units if k != "big")
+    quanta = [mixture_packing.quantum(units["big"], everything, window), mixture_packing.quantum(sum(units[k] for k in tail), everything, window)]
+    turns = sorted(((j + 1) * turn / units[k], k, j) for k in tail for j in range(-(-total[k] // turn)))
+    order = [(k, j * turn + i) for _, k, j in turns for i in range(min(turn, total[k] - j * turn))]
+    place, at = {}, 0
+    for q, first, n in _round_robin([total["big"], len(order)], quanta, [1, 1]):
+        for i in range(n):
+            place[("big", first + i) if q == 0 else order[first + i]] = at + i
+        at += n
+    assert sorted(r["sequence_id"] * window + r["offset"] + i for r in out for i in range(r["length"])) == list(range(at))
+    by_source = {}
+    for r in out:
+        source = "big" if r.doc_id >= 5000 else f"s{r.doc_id % 1100:04}"
+        by_source.setdefault(source, []).extend(r["sequence_id"] * window + r["offset"] + i for i in range(r["length"]))
+    for source, got in by_source.items():
+        assert sorted(got) == sorted(v for (k, _), v in place.items() if k == source) if source in ("big", "s0000", "s0517", "s1099") else len(got) == total[source]
+    early = [r for r in out if r.sequence_id < 0.9 * total["big"] * everything / units["big"] // window]  # as long as it lasts
+    assert abs(sum(r["length"] for r in early if r.doc_id >= 5000) / sum(r["length"] for r in early) - units["big"] / everything) < 0.01
 
 
 def test_mixture_by_weights(docs):
@@ -146,6 +226,27 @@ def test_cover_tree(spark):
     assert cover_tree.top_k(df.where("false"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e3, 1e5, 3e7, 1e9])
+def test_large_and_negative_products_keep_their_ties(spark, size):
+    from pyspark.sql import functions as F
+
+    r = random.Random(int(size))
+    rows = [(20, [size, 0.0, size])] + [(i, [-size, float(r.randint(-3, 3)), -size]) for i in (9, 3, 7, 5)] + [(30 + i, [float(r.choice([-1, 1])) * size, size, -size + r.randint(0, 1)]) for i in range(60) if i != 10]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(v["rank"], v.vec_id, v.score) for v in cover_tree.top_k(df, F.col("vec_id") == 20, k=64, scale=1.0).orderBy("rank").collect()]
+    q = [int(x) for x in rows[0][1]]
+    scores = sorted((-sum(int(a) * b for a, b in zip(v, q, strict=True)), i) for i, v in rows[1:])
+    assert got == [(k + 1, i, -s) for k, (s, i) in enumerate(scores[:64])]
+
+
+def test_products_beyond_whole_numbers(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, [1e12]), (2, [1e12])], "vec_id long, embedding array<double>")
+    with pytest.raises(OverflowError):
+        cover_tree.top_k(df, F.lit(True), scale=1.0)
+
+
 def test_cover_tree_prunes():
     x = np.repeat(np.random.default_rng(1).normal(size=(8, 16)) * 50, 1000, axis=0) + np.random.default_rng(2).normal(size=(8000, 16))
     ids = np.arange(8000)
@@ -268,6 +369,66 @@ def test_toxicity(spark):
     assert {x.doc_id for x in toxicity.keep(docs, model).collect()} == {k for k, x in found.items() if not x.predicted}
 
 
+def test_kneser_ney_is_exact():
+    """Likelihoods are those of the definition, counted and smoothed by plain loops."""
+    words, counts, order = [b"abab", b"abc", b"b", b"cab"], np.array([[3, 0], [1, 2], [0, 5], [2, 2]]), 3
+    model = toxicity.ToxicityModels(words, counts, order=order)
+    coded = [b" " + w + b" " for w in words]
+    grams = {t[j - k : j + 1] for t in coded for j in range(1, len(t)) for k in range(0, min(j, order) + 1)}
+
+    def longest(c):
+        out = {}
+        for t, n in zip(coded, counts[:, c].tolist(), strict=True):
+            for j in range(1, len(t)):
+                g = t[j - min(j, order) : j + 1]
+                out[g] = out.get(g, 0) + n
+        return out
+
+    def chance(context, byte, c, k):
+        """Of a byte after its last k bytes of context, by the tables of order k and below."""
+        lower = chance(context, byte, c, k - 1) if k else 1 / 257
+        if k < order:  # bytes that stand before each gram of k bytes and one
+            seen = {g: len({h[:1] for h in grams if len(h) == k + 2 and h[1:] == g}) for g in grams if len(g) == k + 1}
+            seen = {g: n for g, n in seen.items() if n}
+            here = context[len(context) - k :] if len(context) > k else None
+        else:
+            seen, here = longest(c), context[max(0, len(context) - order) :]
+        if here is None:
+            return lower
+        own = {g: n for g, n in seen.items() if g[:-1] == here}
+        total = sum(own.values())
+        if not total:
+            return lower
+        n = own.get(here + byte, 0)
+        return max(n - toxicity.DISCOUNT * min(n, 1), 0) / total + toxicity.DISCOUNT * sum(x > 0 for x in own.values()) / total * lower
+
+    for word in [b"abab", b"zz", b"abcb", b"ccc", b"b", b"cabab"]:
+        t = b" " + word + b" "
+        expected = sum(np.log(chance(t[:j], t[j : j + 1], 1, order)) - np.log(chance(t[:j], t[j : j + 1], 0, order)) for j in range(1, len(t)))
+        assert np.isclose(model.difference([word])[0, 0], expected, atol=1e-4), word
+
+
+def test_labels_that_repeat_or_contradict(spark):
+    docs = spark.createDataFrame([(i, f"{'snarf' if i % 2 else 'lorem'} w{i % 7} x{i % 5}") for i in range(60)], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(60)]
+    plain = toxicity.fit(docs, spark.createDataFrame(labels[:-2], "doc_id long, toxic int"))
+    other = toxicity.fit(docs, spark.createDataFrame([*labels, *labels[:20], (58, 1), (59, 0), (58, 0)], "doc_id long, toxic int"))
+    words = [b"snarf", b"lorem", b"w3", b"zz"]
+    assert np.allclose(plain.difference(words), other.difference(words))
+
+
+def test_classifiers_take_clashing_columns_and_repeats(spark):
+    docs = _languages(spark)
+    wide = docs.union(docs).selectExpr("doc_id", "text", "lang", "1 as score", "'x' as lang_pred", "2 as predicted", "3 as language", "4 as gram", "5 as n")
+    model = language_id.fit(docs)
+    plain = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs, model).collect()}
+    out = language_id.identify(wide, language_id.fit(wide)).collect()
+    assert len(out) == 2 * len(plain) and all(plain[r.doc_id][0] == r.lang_pred for r in out)
+    labels = docs.selectExpr("doc_id", "cast(lang = 'bb' as int) as toxic", "7 as curve", "8 as hash")
+    found = toxicity.score(wide, toxicity.fit(docs, labels)).collect()
+    assert len(found) == 2 * len(plain) and {(r.doc_id, r.score) for r in found} == {(r.doc_id, r.score) for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+
+
 def test_pieces_take_the_best_path():
     model = piece_viterbi.PieceModel(piece_viterbi.vocabulary())
     score = {w: v for w, v in ((k, model.automaton.get(k)[1]) for k in model.automaton.keys())}
@@ -442,7 +603,36 @@ def test_no_similar_pair_is_missed_among_many(spark):
     assert got == expected | {d: d for d, _ in rows[160:]}
 
 
-def test_components(spark):
+def test_similar_takes_empty_tables_and_crowded_keys(spark, nothing, monkeypatch):
+    assert simhash.similar(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
+    monkeypatch.setattr(simhash, "KEY_SETS", 7)
+    monkeypatch.setattr(simhash._shared, "CROWDED_ROWS", 3)
+    r = random.Random(11)
+    common = [f"c{i}" for i in range(30)]
+    rows = []
+    for i in range(40):
+        words = common + [f"w{r.randrange(10**6)}" for _ in range(r.choice([3, 5, 60]))]
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, " ".join([*words, f"t{i}"])), (3 * i + 2, " ".join(words))]
+    got = {x.doc_id: x.component_id for x in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == _similar_groups(rows)
+
+
+def test_kept_columns_must_not_clash(docs, nothing):
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(docs.withColumn("n_spans", docs["bits"]), keep=("doc_id", "n_spans"))
+    assert suffix_dedup.remove_repeats(nothing, keep=("doc_id", "source"), with_text=True).count() == 0
+
+
+def test_matrices_are_written(docs, tmp_path, spark):
+    packed = bfd_packing.pack_best_fit(docs, width=256)
+    bfd_packing.write_matrices(packed, f"{tmp_path}/packed")
+    back = spark.read.parquet(f"{tmp_path}/packed")
+    assert back.count() == packed.count() and all(len(x.input_ids) == 512 for x in back.select("input_ids").collect())
+
+
+@pytest.mark.parametrize("few", [1_000_000, 3])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW_LINKS", few)
     links = [(1, 2), (2, 3), (9, 3), (5, 6), (6, 5), (7, 7), (None, 1), *((i, i + 1) for i in range(20, 60))]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 9: 1, 5: 5, 6: 5, 7: 7} | {i: 20 for i in range(20, 61)}
@@ -475,6 +665,23 @@ def test_token_counts_by_field(spark):
     assert got[2] == (1.0, 0.0) and sum(got[3]) == 2.0 and got[1][0] == 2.0
     with pytest.raises(ValueError):
         token_counts.count_by_line(df.selectExpr("k as doc_id", "t as text"), rule="other")
+    assert token_counts.count_by_field(df.where("false"), "k", ["t"]).count() == 0
+    assert token_counts.count_by_field(df.union(df), "k", []).columns == ["k"] and token_counts.count_by_field(df.union(df), "k", ["t"]).count() == 6
+    with pytest.raises(ValueError):
+        token_counts.count_by_field(df.withColumnRenamed("k", "t_tokens"), "t_tokens", ["t"])
+
+
+def test_token_spans_by_decoding():
+    """Each token's span is that of the characters its bytes touch, found from the tokens' own bytes."""
+    e = token_counts.SpanEncoder(token_counts.vocabulary())
+    for text in ("plain words, 1234", "é\U0001f600\U0001f44d日本", "a\n\n b\tc  ", "naïve—“quotes”"):
+        pieces = [e.encoding.decode_single_token_bytes(t) for t in e.encoding.encode_ordinary(text)]
+        character = [k for k, c in enumerate(text) for _ in c.encode()]
+        at, expected = 0, []
+        for p in pieces:
+            expected.append((character[at], character[at + len(p) - 1] + 1))
+            at += len(p)
+        assert list(zip(*(x.tolist() for x in e.spans(text.encode())), strict=True)) == expected
 
 
 def test_transport_streams(docs):
@@ -488,6 +695,64 @@ def test_transport_streams(docs):
         assert bytes(back.payload) == payload and back.counter_errors == 0 and back.timestamps == r.timestamps and r.random_access[0] == 0
 
 
+def _plain_reading(media):
+    """A transport stream read byte by byte: payload, timestamps, clock references, and units that can be joined at."""
+    packets = [media[i : i + 188] for i in range(0, len(media), 188)]
+    pid = lambda p: (p[1] & 31) << 8 | p[2]
+    last, tables, units, clocks, joins = {}, set(), [], [], []
+    for p in packets:
+        assert p[0] == 0x47 and p[3] & 0xC0 == 0
+        assert pid(p) not in last or (last[pid(p)] + 1) % 16 == p[3] & 15
+        last[pid(p)] = p[3] & 15
+        at, flags = 4, 0
+        if p[3] & 0x20:
+            flags = p[5] if p[4] else 0
+            at = 5 + p[4]
+        if pid(p) in (0, 0x1000):
+            tables.add(pid(p))
+            continue
+        if flags & 0x10:
+            clocks.append(int.from_bytes(p[6:10], "big") << 1 | p[10] >> 7)
+        if p[1] & 0x40:
+            if flags & 0x40:
+                joins.append((len(units), tables == {0, 0x1000}))
+                tables = set()
+            units.append(b"")
+        units[-1] += p[at:]
+    stamps, payload = [], b""
+    for u in units:
+        assert u[:4] == b"\0\0\1\xbd" and int.from_bytes(u[4:6], "big") == len(u) - 6
+        s = int.from_bytes(u[9:14], "big")
+        stamps.append((s >> 33 & 7) << 30 | (s >> 17 & 0x7FFF) << 15 | s >> 1 & 0x7FFF)
+        payload += u[9 + u[8] :]
+    return payload, stamps, clocks, joins
+
+
+def test_streams_by_an_independent_reader():
+    payload = media.pad(bytes(i * 37 % 251 for i in range(300_000)))
+    got, stamps, clocks, joins = _plain_reading(media.write_stream(payload))
+    stream = media.Stream(media.write_stream(payload))
+    assert got == payload == stream.payload and stamps == stream.timestamps and clocks == stream.clock
+    assert [k for k, _ in joins] == stream.random_access == list(range(0, stream.units, 8)) and all(sound for _, sound in joins)
+    assert all(s - c == media.DELAY for s, c in zip(stamps, clocks, strict=True)) and max(np.diff(clocks)) <= 9000
+
+
+def test_joining_repeats_and_discontinuities():
+    payload = media.pad(bytes(i % 256 for i in range(200_000)))
+    whole = media.write_stream(payload)
+    packets = [whole[i : i + 188] for i in range(0, len(whole), 188)]
+    assert media.Stream(b"".join(packets[:5] + packets[4:5] + packets[5:])).counter_errors == 0  # a repeated packet
+    assert media.Stream(b"".join(packets[:5] + packets[4:5] + packets[5:])).payload == payload
+    second = [i for i, p in enumerate(packets) if p[1:3] == b"\x40\0"][1]  # the tables before the second point of access
+    joined = media.Stream(b"".join(packets[second:]))
+    assert joined.payload == payload[8 * media.UNIT :] and joined.random_access[0] == 0
+    third = [i for i, p in enumerate(packets) if p[1:3] == b"\x40\0"][2]
+    marked = [bytes([*p[:5], p[5] | 0x80, *p[6:]]) if i == third + 2 else p for i, p in enumerate(packets)]
+    cut = lambda ps: media.Stream(b"".join(ps[:second] + ps[third:]))
+    assert cut(packets).payload == cut(marked).payload == payload[: 8 * media.UNIT] + payload[16 * media.UNIT :]
+    assert cut(packets).counter_errors == 3 and cut(marked).counter_errors == 2  # both tables and the stream
+
+
 @pytest.mark.parametrize("n", [0, 1, 575, 576, 577, 9216, 9217, 200_000])
 def test_streams_of_all_sizes(n):
     payload = media.pad(bytes(i * 31 % 256 for i in range(n)))

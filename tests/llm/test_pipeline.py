@@ -69,3 +69,49 @@ def test_all_that_is_left_is_packed(stages):
 
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
     assert corpus_pipeline.run(spark, sf_dir).count() == stages["packing"][1].count()
+
+
+def test_toxicity_by_plain_scores(spark, sf_dir, stages):
+    """Of each text the word by word differences, their curve, and nothing else decide."""
+    import numpy as np
+
+    from terravane.llm import toxicity
+
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    before, after = map(_rows, stages["toxicity"])
+    for k, r in before.items():
+        gain = sorted((float(model.difference([w])[0, 0]) for w in r.text.lower().encode().split()), reverse=True)
+        best = [min(g, toxicity.WORD_GAIN) for g in (gain[:2] if len(gain) > 1 else [*gain, 0.0][:2])]
+        x = np.dot([1, np.mean(gain), sum(best) / 2, best[0] if len(gain) > 1 else max(0.0, best[0])], model.curve) if gain else model.curve[0]
+        assert abs(x) < 1e-3 or (k in after) == (x < 0)
+    marked = {r.doc_id: r.toxic for r in labels.collect()}
+    assert np.mean([(k in after) != bool(t) for k, t in marked.items() if k in before]) > 0.95
+
+
+def test_language_by_plain_costs(spark, sf_dir, stages):
+    import numpy as np
+
+    from terravane.llm import language_id
+
+    model = language_id.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    before, after = map(_rows, stages["language"])
+    for k, r in before.items():
+        words = r.text.lower().encode().split()
+        bits = sum((model.cost([w])[0].astype(float) for w in words), np.zeros(len(model.languages)))
+        share = 1 / sum(2.0 ** -min(1000, (b - bits.min()) / max(len(words), 1) * min(8, max(1, len(words)))) for b in bits)
+        assert abs(share - corpus_pipeline.LEAST_SHARE) < 1e-3 or (k in after) == (any(c.isalpha() for c in r.text) and share >= corpus_pipeline.LEAST_SHARE)
+
+
+def test_odd_rows_go_through_all_stages(spark, sf_dir, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows, clashing columns, and no rows at all."""
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, bits long, queue int, score double, kept string"
+    rows = [(1, None, None, None, None, 1, 2, 0.5, "x"), (2, "", "en", "s", 0, 1, 2, 0.5, "x"), (None, "the house is large and old", "en", None, 26, 1, 2, 0.5, "x"), (3, "the house is large and old", None, "s", 26, 1, 2, 0.5, "x"), (4, "word and house " * 40_000, "en", "t", 600_000, 1, 2, 0.5, "x"), (5, "\u0000 … 123", "en", "s", 7, 1, 2, 0.5, "x")]
+    for n, given in enumerate((rows + rows[:4], [])):
+        docs = spark.createDataFrame(given, kinds)
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, sf_dir).write.parquet(f"{tmp_path}/{n}-{name}")
+            out = spark.read.parquet(f"{tmp_path}/{n}-{name}")
+            assert out.columns == COLUMNS or name == "packing"
+            assert given or out.count() == 0
+            docs = out.selectExpr("*", "1L as bits", "2 as queue", "0.5D as score", "'x' as kept") if name != "packing" else out
