@@ -411,6 +411,8 @@ FEW = 8
 KEY_SETS = 20_000
 #: Keys that one task takes, as planned from their number.
 TASK_KEYS = 1_000_000
+#: Rounds in which each set is compared with the nearest one it meets, before all that are still apart are compared.
+NEAREST_ROUNDS = 2
 #: Texts whose shingles are counted to tell frequent ones, and frequent shingles that are told at most. Neither changes
 #: what is found: a frequent shingle that is taken for a rare one makes more candidates.
 COUNTED_TEXTS = 4000
@@ -544,44 +546,66 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(entry[c][k]).view(np.int64)) for c in ("key", "bits")), pa.array(n[k]), pa.array(at[k]), pa.array(beside[k], mask=~chained[k])], ["key", "bits", "n", "at", "beside"])
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets that meet at a key, have different roots, and can be similar by their sizes and parities. A crowded
-    key comes as pairs (lo, hi) of parts: sets of both are compared with each other, or within the part if it is one."""
-    rows = [pa.Table.from_batches([b]) for b in batches]
-    if not rows:
-        return
-    table = pa.concat_tables(rows)
-    del rows
-    key, lo, hi, chunk, bits, n, at, root = (table[c].to_numpy() for c in ("key", "lo", "hi", "chunk", "bits", "n", "at", "root"))
-    parity = np.stack([table[c].to_numpy().view(np.uint64) for c in _PARITIES], axis=1)
-    order = np.lexsort((bits, hi, lo, key))
-    key, lo, hi, chunk, bits, n, at, root, parity = (x[order] for x in (key, lo, hi, chunk, bits, n, at, root, parity))
-    new = np.flatnonzero((np.diff(key) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)) + 1
-    starts, (up, down) = np.concatenate([[0], new, [len(key)]]), ALIKE
-    left, right, held = [], [], 0
-
-    def distinct() -> pa.RecordBatch:
-        pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
-
-    for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-        if (root[s:e] == root[s]).all():
-            continue
-        for x in range(s, e, 256):
-            for y in range(x, e, BLOCK):
-                u, v = np.arange(x, min(x + 256, e))[:, None], np.arange(y, min(y + BLOCK, e))[None, :]
-                i, j = np.nonzero((u < v) & (root[u] != root[v]) & ((chunk[u] != chunk[v]) | (lo[s] == hi[s])) & _can_be(n[u], at[u], n[v], at[v]))
-                i, j = x + i, y + j
-                apart = np.bitwise_count(parity[i] ^ parity[j]).sum(axis=1, dtype=np.int64)
-                near = (up + down) * apart <= (down - up) * (n[i] + n[j])
-                left.append(bits[i[near]])
-                right.append(bits[j[near]])
-                held += int(near.sum())
-                if held >= 500_000:
-                    yield distinct()
-                    left, right, held = [], [], 0
-    if held:
-        yield distinct()
+def _candidates(best: bool):
+    """Pairs of sets that meet at a key, have different roots, and can be similar by their sizes and parities: all of them, or
+    for each set the one with the nearest parities. A crowded key comes as pairs (lo, hi) of parts: sets of both are
+    compared with each other, or within the part if it is one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [pa.Table.from_batches([b]) for b in batches]
+        if not rows:
+            return
+        table = pa.concat_tables(rows)
+        del rows
+        key, lo, hi, chunk, bits, n, at, root = (table[c].to_numpy() for c in ("key", "lo", "hi", "chunk", "bits", "n", "at", "root"))
+        parity = np.stack([table[c].to_numpy().view(np.uint64) for c in _PARITIES], axis=1)
+        order = np.lexsort((bits, hi, lo, key))
+        key, lo, hi, chunk, bits, n, at, root, parity = (x[order] for x in (key, lo, hi, chunk, bits, n, at, root, parity))
+        new = np.flatnonzero((np.diff(key) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)) + 1
+        starts, (up, down) = np.concatenate([[0], new, [len(key)]]), ALIKE
+        nearest, beside = np.full(len(key), np.inf), np.full(len(key), -1)
+        left, right, held = [], [], 0
+
+        def near_pairs_of(s: int, e: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for x in range(s, e, 256):
+                for y in range(x, e, BLOCK):
+                    u, v = np.arange(x, min(x + 256, e))[:, None], np.arange(y, min(y + BLOCK, e))[None, :]
+                    i, j = np.nonzero((u < v) & (root[u] != root[v]) & ((chunk[u] != chunk[v]) | (lo[s] == hi[s])) & _can_be(n[u], at[u], n[v], at[v]))
+                    i, j = x + i, y + j
+                    apart = np.bitwise_count(parity[i] ^ parity[j]).sum(axis=1, dtype=np.int64)
+                    near = (up + down) * apart <= (down - up) * (n[i] + n[j])
+                    yield i[near], j[near], (apart[near] / (n[i] + n[j])[near])
+
+        def distinct() -> pa.RecordBatch:
+            a, b = bits[np.concatenate(left)], bits[np.concatenate(right)]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+
+        for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            if (root[s:e] == root[s]).all():
+                continue
+            for i, j, share in near_pairs_of(s, e):
+                if best:
+                    for one, two in ((i, j), (j, i)):
+                        closer = np.flatnonzero(share < nearest[one])
+                        closer = closer[np.argsort(-share[closer], kind="stable")]  # of several the least is written last
+                        nearest[one[closer]], beside[one[closer]] = share[closer], two[closer]
+                else:
+                    left.append(i)
+                    right.append(j)
+                    held += len(i)
+            if best:
+                found = np.flatnonzero(beside[s:e] >= 0) + s
+                left.append(found)
+                right.append(beside[found])
+                held += len(found)
+            if held >= 500_000:
+                yield distinct()
+                left, right, held = [], [], 0
+        if held:
+            yield distinct()
+
+    return run
 
 
 def _decide(shingle: int):
@@ -603,9 +627,8 @@ def _decide(shingle: int):
 
 
 def _similar_pairs(texts: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose sets are similar. Each text is sent once for each of its pairs, so
-    ``pairs`` are few: links that a spanning forest needs, or candidates that little else rules out."""
-    pairs = _shared.cut(pairs)
+    """Those of the distinct pairs (a, b) whose sets are similar. Each text is sent once for each of its pairs, so ``pairs``
+    are few and on disk: links that a spanning forest needs, or candidates that little else rules out."""
     if pairs.isEmpty():
         return pairs
     asked = pairs.select(F.col("a").alias("bits")).union(pairs.select(F.col("b").alias("bits"))).distinct()
@@ -641,14 +664,14 @@ def _rooted(rows: DataFrame, roots: DataFrame, key: str, root: str) -> DataFrame
     return rows.join(of, rows[key] == of["_node"], "left").withColumn(root, F.coalesce("_root", key)).drop("_node", "_root")
 
 
-def _remaining(met: DataFrame, roots: DataFrame, classes: DataFrame, tasks: int) -> DataFrame:
-    """(a, b): pairs of sets that meet at a key, are not linked yet and can be similar."""
+def _remaining(met: DataFrame, roots: DataFrame, classes: DataFrame, tasks: int, best: bool) -> DataFrame:
+    """(a, b): pairs of sets that meet at a key, are not linked yet and can be similar; or the nearest one of each set."""
     rooted = _shared.cut(_rooted(met.select("key", "bits", "n", "at"), roots, "bits", "root"))
     several = rooted.groupBy("key").agg(F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high"))
     several = several.where("low != high").select("key", F.ceil(F.col("sets") / KEY_SETS).cast("int").alias("chunks"))
     open_ = rooted.join(several, "key").join(classes.select("bits", *_PARITIES), "bits").withColumn("chunk", F.pmod(F.xxhash64("bits"), F.col("chunks")).cast("int"))
     dealt = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
-    return dealt.drop("chunks", "other").repartition(tasks, "key", "lo", "hi").mapInArrow(_candidates, "a long, b long").distinct()
+    return dealt.drop("chunks", "other").repartition(tasks, "key", "lo", "hi").mapInArrow(_candidates(best), "a long, b long").distinct()
 
 
 def similar(docs: DataFrame, *, shingle: int = 5, threshold: int = 2) -> DataFrame:
@@ -657,8 +680,8 @@ def similar(docs: DataFrame, *, shingle: int = 5, threshold: int = 2) -> DataFra
 
     Candidates come from anchors (fingerprints within ``threshold`` bits), then from keys in common; every link is decided
     by the whole sets, no pair is missed and none is linked below. Sets are of 64-bit hashes, and equal ones one. Where
-    many sets meet at a key, neighbours are decided first; then only those are compared each with each that are not linked
-    yet. Nulls, empty texts and repeats fare as in ``near_duplicates``.
+    many sets meet at a key, neighbours and then the nearest of each set are decided first; only those are compared each with
+    each that are not linked yet. Nulls, empty texts and repeats fare as in ``near_duplicates``.
     """
     spark = docs.sparkSession
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -667,15 +690,20 @@ def similar(docs: DataFrame, *, shingle: int = 5, threshold: int = 2) -> DataFra
     same = [F.first(c).alias(c) for c in ("n", *_PARITIES, "packed", "first")]  # one value for all equal sets, texts but for their spelling
     whole = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.min("fingerprint").alias("fingerprint"), *same))
     classes = _shared.cut(whole.drop("packed", "first"))
-    links = _similar_pairs(whole, _near_parities(_pairs_by_anchors(classes, threshold), classes), shingle)
+    seen = _shared.cut(_near_parities(_pairs_by_anchors(classes, threshold), classes))
+    links = _similar_pairs(whole, seen, shingle)
     size = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 5 // TASK_KEYS)  # a fifth of the keys
     entries = whole.select("bits", "n", "first").mapInArrow(_first_keys(16 * tasks), "part int, entries binary")
     met = _shared.cut(entries.repartition(tasks, "part").mapInArrow(_meetings, _MET))
     roots = connected_components(links)
     beside = _rooted(_rooted(met.where("beside is not null").select(F.col("bits").alias("a"), F.col("beside").alias("b")).distinct(), roots, "a", "ra"), roots, "b", "rb").where("ra != rb").select("a", "b")
-    links = links.union(_similar_pairs(whole, _near_parities(beside, classes), shingle))
-    links = links.union(_similar_pairs(whole, _remaining(met, connected_components(links), classes, tasks), shingle))
+    steps = [_near_parities(beside, classes), *[None] * (NEAREST_ROUNDS + 1)]
+    for k, pairs in enumerate(steps):
+        if pairs is None:
+            pairs = _remaining(met, connected_components(links), classes, tasks, k <= NEAREST_ROUNDS)
+        new = _shared.cut(pairs.join(seen, ["a", "b"], "left_anti"))
+        links, seen = links.union(_similar_pairs(whole, new, shingle)), seen.union(new)
     return _shared.join_crowded(marked.select("doc_id", "bits"), _components(classes.select("bits", "first_id"), links), "bits").select("doc_id", "component_id")
 
 
