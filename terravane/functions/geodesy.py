@@ -104,11 +104,20 @@ UTM_FALSE_EAST = 500000.0
 WGS84_FLATTENING = 1 / 298.257223563
 
 
+def _krueger() -> tuple[float, tuple, tuple, tuple]:
+    """The meridian's radius and the coefficients of the series to the plane, back, and to the latitude."""
+    n = WGS84_FLATTENING / (2 - WGS84_FLATTENING)
+    radius = EQUATOR_RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    there = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+    back = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    latitude = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    return radius, there, back, latitude
+
+
 def to_utm(lat: Column, lon: Column, zone: int) -> tuple[Column, Column]:
     """East and north metres in a northern UTM zone, by Krueger's series; good to a millimetre inside the zone."""
+    radius, alpha, _, _ = _krueger()
     n = WGS84_FLATTENING / (2 - WGS84_FLATTENING)
-    radius = EQUATOR_RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
-    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
     e = 2 * math.sqrt(n) / (1 + n)
     phi, away = F.radians(lat), F.radians(lon - (6 * zone - 183))
     t = F.sinh(F.atanh(F.sin(phi)) - e * F.atanh(e * F.sin(phi)))
@@ -120,6 +129,47 @@ def to_utm(lat: Column, lon: Column, zone: int) -> tuple[Column, Column]:
     return UTM_FALSE_EAST + UTM_SCALE * radius * east, UTM_SCALE * radius * north
 
 
+def from_utm(east: Column, north: Column, zone: int) -> tuple[Column, Column]:
+    """Latitude and longitude of a northern UTM zone's metres, by the same series turned round."""
+    radius, _, back, latitude = _krueger()
+    xi0, eta0 = north / (UTM_SCALE * radius), (east - UTM_FALSE_EAST) / (UTM_SCALE * radius)
+    xi, eta = xi0, eta0
+    for k, b in enumerate(back, 1):
+        xi = xi - b * F.sin(2 * k * xi0) * F.cosh(2 * k * eta0)
+        eta = eta - b * F.cos(2 * k * xi0) * F.sinh(2 * k * eta0)
+    conformal = F.asin(F.sin(xi) / F.cosh(eta))
+    lat = conformal
+    for k, d in enumerate(latitude, 1):
+        lat = lat + d * F.sin(2 * k * conformal)
+    return F.degrees(lat), 6 * zone - 183 + F.degrees(F.atan2(F.sinh(eta), F.cos(xi)))
+
+
+def reproject(x: Column, y: Column, source: int, target: int) -> tuple[Column, Column]:
+    """A place (x east or longitude, y north or latitude) from one coordinate system to another: EPSG 4326, 3857 and the
+    UTM zones 32601 to 32660 and 32701 to 32760; any other one raises ValueError."""
+    def utm(epsg: int) -> tuple[int, float]:
+        if not (32601 <= epsg <= 32660 or 32701 <= epsg <= 32760):
+            raise ValueError(f"EPSG:{epsg} is not known")
+        return epsg % 100, 10_000_000.0 if epsg > 32700 else 0.0
+
+    if source == target:
+        return x, y
+    if source == 4326:
+        lat, lon = y, x
+    elif source == 3857:
+        lat, lon = from_mercator(x, y)
+    else:
+        zone, south = utm(source)
+        lat, lon = from_utm(x, y - south, zone)
+    if target == 4326:
+        return lon, lat
+    if target == 3857:
+        return to_mercator(lat, lon)
+    zone, south = utm(target)
+    east, north = to_utm(lat, lon, zone)
+    return east, north + south
+
+
 def _signed(value: Column, digits: int) -> Column:
     whole = F.floor(value).cast("int")
     return F.concat(F.when(whole < 0, "-").otherwise("+"), F.lpad(F.abs(whole).cast("string"), digits, "0"))

@@ -84,10 +84,10 @@ def segment_distance(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.nda
 
 
 def hausdorff(a: np.ndarray, b: np.ndarray) -> float:
-    """Greatest distance of a corner of either ring from the other's corners, in blocks of rows."""
+    """Greatest distance of a corner of either ring from the nearest point of the other's edges."""
 
     def one_way(p: np.ndarray, q: np.ndarray) -> float:
-        return max(float(np.hypot(p[i : i + 512, None, 0] - q[None, :, 0], p[i : i + 512, None, 1] - q[None, :, 1]).min(axis=1).max()) for i in range(0, len(p), 512))
+        return float(np.minimum.reduce([segment_distance(p, u, v) for u, v in zip(q, np.roll(q, -1, axis=0), strict=True)]).max())
 
     return max(one_way(a, b), one_way(b, a)) if len(a) and len(b) else math.nan
 

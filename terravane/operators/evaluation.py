@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.features import ratio
+from ._order import percentiles, running
 from .spatial import box_area, box_join, intersection_area
 
 
@@ -43,36 +44,49 @@ def area_metrics(tp: Column, fp: Column, fn: Column, total: Column) -> dict[str,
     return {"tn": tn, "precision": ratio(tp, tp + fp), "recall": ratio(tp, tp + fn), "f1": ratio(2 * tp, 2 * tp + fp + fn), "iou": iou, "accuracy": ratio(tp + tn, total), "miou": (iou + background) / 2}
 
 
+def precision_curve(matches: DataFrame, n_gt: int, threshold: float) -> DataFrame:
+    """(gt_idx, iou, tp, fp, precision, recall) along the accepted matches by falling IoU: hits so far, and misses."""
+    marked = matches.select("gt_idx", "iou", (-F.col("iou")).alias("_down"), (F.col("iou") >= threshold).cast("long").alias("_hit"), F.lit(1).cast("long").alias("_one"))
+    counted = running(running(marked, ["_down", "gt_idx"], "_hit", "_hits"), ["_down", "gt_idx"], "_one", "_rows")
+    tp, n = F.col("_hits") + F.col("_hit"), F.col("_rows") + 1
+    return counted.select("gt_idx", "iou", tp.alias("tp"), (n - tp).alias("fp"), (tp / (n + 1e-9)).alias("precision"), (tp / n_gt if n_gt else F.lit(0.0)).alias("recall"))
+
+
 def average_precision(matches: DataFrame, n_gt: int, thresholds: list[float]) -> DataFrame:
     """(threshold, ap): mean over 101 recalls of the best precision at that recall or more, for accepted matches in
     order of falling IoU. Predictions without a match are not in the list, so they never count against it.
 
-    Matches are one row for each found object, which a single ordered window can hold; precision is counted as
-    tp / (tp + fp + 1e-9).
+    In that order all matches that reach a threshold come first. Up to the last of these, precision n / (n + 1e-9) and recall
+    both rise, and then only precision changes, and falls: so the last hit is the best point for every recall up to its own, and
+    a count for each threshold says all.
     """
-    steps = matches.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
-    order = Window.partitionBy("threshold").orderBy(F.desc("iou"), "gt_idx")
-    hit = (F.col("iou") >= F.col("threshold")).cast("long")
-    curve = matches.crossJoin(F.broadcast(steps)).select("threshold", "iou", "gt_idx", F.sum(hit).over(order).alias("tp"), F.row_number().over(order).alias("n"))
-    curve = curve.select("threshold", (F.col("tp") / n_gt if n_gt else F.lit(0.0)).alias("recall"), (F.col("tp") / (F.col("n") + 1e-9)).alias("precision"))
-    # A point serves every recall up to its own: the best point from a hundredth on follows from a running maximum.
-    point = curve.groupBy("threshold", F.least(F.floor(F.col("recall") * 100 + 1e-9), F.lit(100)).alias("step")).agg(F.max("precision").alias("precision"))
-    grid = steps.select("threshold", F.explode(F.sequence(F.lit(0), F.lit(100))).alias("step"))
-    above = Window.partitionBy("threshold").orderBy(F.desc("step"))
-    full = grid.join(point, ["threshold", "step"], "left").select("threshold", F.coalesce(F.max("precision").over(above), F.lit(0.0)).alias("best"))
-    return full.groupBy("threshold").agg((F.sum("best") / 101).alias("ap"))
+    counts = matches.agg(*(F.count(F.when(F.col("iou") >= t, 1)).alias(f"t{k}") for k, t in enumerate(thresholds)))
+    rows = F.explode(F.array(*(F.struct(F.lit(float(t)).alias("threshold"), F.col(f"t{k}").alias("n")) for k, t in enumerate(thresholds))))
+    hits = counts.select(rows.alias("r")).select("r.threshold", "r.n")
+    steps = F.least(F.floor(F.col("n") / F.lit(max(n_gt, 1)) * 100 + 1e-9), F.lit(100)) + 1
+    return hits.select("threshold", (F.when(F.col("n") > 0, steps * (F.col("n") / (F.col("n") + 1e-9))).otherwise(0.0) / 101).alias("ap"))
 
 
 def stats_summary(df: DataFrame, value: str, distance: bool = False, keys: tuple[str, ...] = ()) -> DataFrame:
     """Mean, median, population deviation, quartile range, variation, extremes and worst value; NaN and null are left out."""
     x = F.when(~F.isnan(value), F.col(value).cast("double"))
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = df.groupBy(*keys).agg(F.avg(x).alias("mean"), q.alias("q"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    out = df.groupBy(*keys).agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    quartiles = percentiles(df, value, [0.25, 0.5, 0.75], keys)
     safe = F.when(F.col("mean") != 0, F.col("mean"))
-    return out.select(*keys, "mean", F.col("q")[1].alias("median"), "std", (F.col("q")[2] - F.col("q")[0]).alias("iqr"), (F.col("std") / safe).alias("cv"), "min", "max", F.col("max" if distance else "min").alias("worst"))
+    both = out.join(quartiles, list(keys), "left") if keys else out.crossJoin(F.broadcast(quartiles.select(F.collect_list("q")[0].alias("q"))))  # one row each
+    return both.select(*keys, "mean", F.col("q")[1].alias("median"), "std", (F.col("q")[2] - F.col("q")[0]).alias("iqr"), (F.col("std") / safe).alias("cv"), "min", "max", F.col("max" if distance else "min").alias("worst"))
 
 
 def area_errors(matches: DataFrame) -> DataFrame:
     """Mean, median, spread and mean relative size of the matches' errors of area."""
     e = F.abs(F.col("pred_area") - F.col("gt_area"))
-    return matches.agg(F.avg(e).alias("mean_abs"), F.percentile(e, 0.5).alias("median_abs"), F.avg(e / (F.col("gt_area") + 1e-9)).alias("mean_rel"), F.stddev_pop(F.col("pred_area") - F.col("gt_area")).alias("std"))
+    out = matches.agg(F.avg(e).alias("mean_abs"), F.avg(e / (F.col("gt_area") + 1e-9)).alias("mean_rel"), F.stddev_pop(F.col("pred_area") - F.col("gt_area")).alias("std"))
+    middle = percentiles(matches.select(e.alias("e")), "e", [0.5]).agg(F.max(F.col("q")[0]).alias("median_abs"))
+    return out.crossJoin(F.broadcast(middle)).select("mean_abs", "median_abs", "mean_rel", "std")  # one row each
+
+
+def false_objects(truth: DataFrame, found: DataFrame, matches: DataFrame) -> DataFrame:
+    """(kind, id): what was found without a match (fp), and truths without one (fn)."""
+    fp = found.select("id").join(matches.select(F.col("pred_idx").alias("id")), "id", "left_anti")
+    fn = truth.select("id").join(matches.select(F.col("gt_idx").alias("id")), "id", "left_anti")
+    return fp.select(F.lit("fp").alias("kind"), "id").unionByName(fn.select(F.lit("fn").alias("kind"), "id"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import to_byte
+from ._order import percentiles
 
 
 def pixels(tiles: DataFrame, px: str, width: int) -> DataFrame:
@@ -49,8 +50,8 @@ def either(a: Column, b: Column) -> Column:
 def band_stretch(long: DataFrame, band: str, value: str, nodata: float) -> DataFrame:
     """2nd and 98th percentile of a band's samples that are neither 0 nor nodata; (0, 255) where none is left, and one
     unit apart where they are equal."""
-    x = F.when((F.col(value) != 0) & (F.col(value) != nodata), F.col(value))
-    out = long.groupBy(band).agg(F.percentile(x, F.array(F.lit(0.02), F.lit(0.98))).alias("q"))
+    found = percentiles(long.where((F.col(value) != 0) & (F.col(value) != nodata)), value, [0.02, 0.98], (band,))
+    out = long.select(band).distinct().join(found, band, "left")
     lo, hi = F.coalesce(F.col("q")[0], F.lit(0.0)), F.coalesce(F.col("q")[1], F.lit(255.0))
     return out.select(band, lo.alias("lo"), F.when(hi <= lo, lo + 1).otherwise(hi).alias("hi"))
 
@@ -65,25 +66,6 @@ def to_uint16(px: Column, low: Column, span: Column) -> Column:
     return F.transform(px, lambda z: F.when(F.isnan(z), 0).otherwise(F.least(F.lit(65535.0), F.greatest(F.lit(0.0), F.coalesce(F.rint((z - low) / safe * 65535), F.lit(0.0))))).cast("int"))
 
 
-def box_blur(long: DataFrame, keys: list[str], size: tuple[int, int]) -> DataFrame:
-    """Mean of each pixel's 3 by 3 neighbours, edges repeated: each pixel is sent to those that read it."""
-    height, width = size
-    step = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a in (-1, 0, 1) for b in (-1, 0, 1)))
-    reads = long.withColumn("d", F.explode(step)).select(*keys, "row", "col", F.least(F.greatest(F.col("row") + F.col("d.dr"), F.lit(0)), F.lit(height - 1)).alias("r2"), F.least(F.greatest(F.col("col") + F.col("d.dc"), F.lit(0)), F.lit(width - 1)).alias("c2"))
-    source = long.select(*keys, F.col("row").alias("r2"), F.col("col").alias("c2"), "v")
-    return reads.join(source, [*keys, "r2", "c2"]).groupBy(*keys, "row", "col").agg((F.sum("v") / 9).alias("v"))
-
-
-def slopes(long: DataFrame, keys: list[str]) -> DataFrame:
-    """Central differences along both axes, one-sided at edges."""
-    def along(axis: str, other: str) -> Column:
-        w = Window.partitionBy(*keys, other).orderBy(axis)
-        back, on = F.lag("v").over(w), F.lead("v").over(w)
-        return F.coalesce((on - back) / 2, on - F.col("v"), F.col("v") - back, F.lit(0.0))
-
-    return long.select(*keys, "row", "col", along("col", "row").alias("dx"), along("row", "col").alias("dy"))
-
-
 def sample(points: DataFrame, long: DataFrame, keys: list[str]) -> DataFrame:
     """Values between pixels at (x, y) by the triangle that holds the place: of the two over each cell the lower right
     one where the fraction along x is at least that along y."""
@@ -96,3 +78,24 @@ def sample(points: DataFrame, long: DataFrame, keys: list[str]) -> DataFrame:
     fx, fy = F.col("fx"), F.col("fy")
     value = F.when(fx >= fy, v00 + fx * (v01 - v00) + fy * (v11 - v01)).otherwise(v00 + fy * (v10 - v00) + fx * (v11 - v10))
     return got.select(*points.columns, value.alias("value"))
+
+
+def sample_nearest(points: DataFrame, long: DataFrame, keys: list[str], nodata: float | None = None) -> DataFrame:
+    """Values of the pixels nearest to (x, y), half to even; nodata as null."""
+    near = points.withColumns({"col": F.rint("x").cast("int"), "row": F.rint("y").cast("int")})
+    got = near.join(long.select(*keys, "row", "col", F.col("v").alias("value")), [*keys, "row", "col"], "left").select(*points.columns, "value")
+    return got if nodata is None else got.withColumn("value", F.nullif("value", F.lit(nodata)))
+
+
+def composite(layers: list[DataFrame], base: DataFrame, keys: list[str], value: str, nodata: float) -> DataFrame:
+    """A value for each row of ``base`` (keys, value): the last layer's that has one beside nodata, else the base's."""
+    out = base.select(*keys, F.col(value).alias("_0"))
+    for k, layer in enumerate(layers, 1):
+        out = out.join(layer.select(*keys, F.nullif(value, F.lit(nodata)).alias(f"_{k}")), keys, "left")
+    return out.select(*keys, F.coalesce(*(F.col(f"_{k}") for k in range(len(layers), -1, -1))).alias(value))
+
+
+def overlapped(width: Column, height: Column, size: int) -> Column:
+    """Places and sizes of the height tiles that go with an image's tiles: one row and column more, shared with the next."""
+    rows, cols = (F.sequence(F.lit(0).cast("long"), F.ceil(n / size) - 1) for n in (height, width))
+    return F.flatten(F.transform(rows, lambda r: F.transform(cols, lambda c: F.struct((r * size).alias("row"), (c * size).alias("col"), (F.least(F.lit(size).cast("long"), height - r * size) + 1).alias("height"), (F.least(F.lit(size).cast("long"), width - c * size) + 1).alias("width")))))

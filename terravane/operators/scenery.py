@@ -2,45 +2,77 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _lineage
+from ._order import by_ranges, running
+from .spatial import box_join, connected, intersection_area
 
 
 def nearest(values: DataFrame, value: str, nodes: DataFrame, node: str) -> DataFrame:
-    """Each value with the place (from 0) of the nearest of sorted distinct nodes, the lower of two as near.
-
-    Values and nodes are merged in one order and each value looks at the node before and after it, so no value meets all
-    nodes. One ordered window holds both: nodes are the coordinates of a grid's side, of bounded number.
-    """
-    ranked = nodes.select(F.col(node).cast("double").alias("at")).distinct().withColumn("idx", F.row_number().over(Window.orderBy("at")) - 1)
-    both = values.select(F.col(value).cast("double").alias("at"), F.lit(None).cast("int").alias("idx"), F.lit(True).alias("asks")).distinct().unionByName(ranked.withColumn("asks", F.lit(False)))
-    w = Window.orderBy("at", "asks")
-    near = lambda f, span: f(F.when(~F.col("asks"), F.struct("at", "idx")), True).over(w.rowsBetween(*span))
-    seen = both.select("at", "asks", near(F.last, (Window.unboundedPreceding, 0)).alias("a"), near(F.first, (0, Window.unboundedFollowing)).alias("b")).where("asks")
-    low, high = F.col("at") - F.col("a.at"), F.col("b.at") - F.col("at")
-    pick = F.when(F.col("a").isNull() | (high < low), F.col("b.idx")).otherwise(F.col("a.idx"))
-    return seen.select(F.col("at").alias(value), pick.alias("idx"))
+    """Each value with the place (from 0) of the nearest of sorted distinct nodes, the lower of two as near; null without
+    nodes. Values and nodes are sorted together by ranges; a range looks at its own nodes and the ones beside it."""
+    ranked = running(nodes.select(F.col(node).cast("double").alias("at")).distinct().withColumn("one", F.lit(1).cast("long")), ["at"], "one", "idx").select("at", "idx")
+    both = values.select(F.col(value).cast("double").alias("at"), F.lit(None).cast("long").alias("idx")).distinct().unionByName(ranked)
+    ranged = by_ranges(both, ["at"])
+    held = ranged.where("idx is not null").groupBy(F.spark_partition_id().alias("p")).agg(F.min("idx").alias("i0"), F.min("at").alias("a0"), F.max("idx").alias("i1"), F.max("at").alias("a1")).orderBy("p").collect()  # a row for each task
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches) if (batches := list(batches)) else None
+        if table is None or not table.num_rows:
+            return
+        own = TaskContext.get().partitionId()
+        before = [(r["a1"], r["i1"]) for r in held if r["p"] < own][-1:]
+        after = [(r["a0"], r["i0"]) for r in held if r["p"] > own][:1]
+        is_node = table["idx"].is_valid().to_numpy()
+        at = table["at"].to_numpy()
+        places = np.array([*(a for a, _ in before), *at[is_node], *(a for a, _ in after)])
+        numbers = np.array([*(i for _, i in before), *table["idx"].drop_null().to_numpy(), *(i for _, i in after)], np.int64)
+        order = np.argsort(places, kind="stable")
+        places, numbers, asked = places[order], numbers[order], at[~is_node]
+        if len(places):
+            high = np.minimum(np.searchsorted(places, asked), len(places) - 1)
+            low = np.maximum(high - 1, 0)
+            found = pa.array(np.where(np.abs(asked - places[low]) <= np.abs(places[high] - asked), numbers[low], numbers[high]))
+        else:
+            found = pa.nulls(len(asked), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(asked), found], [value, "idx"])
+
+    return ranged.mapInArrow(run, f"`{value}` double, idx long")
 
 
 def quadtree(points: DataFrame, x: str, y: str, capacity: int, depth: int = 24) -> tuple[DataFrame, DataFrame]:
-    """(points with their cell, cells with depth and size): cells are split in four while they hold more points than the
-    capacity. Each round counts the cells of the points that are still in too large ones, so work shrinks with depth."""
+    """(points with their cell and depth, cells with depth and size): cells are split in four while they hold more points
+    than the capacity. Points are counted at the finest cells first; rounds then work on these counts alone, so a crowded
+    upper cell is a sum and never a task's rows."""
     from ..functions.features import quad_string
 
-    open_ = points.withColumns({"_x": quad_string(F.col(x)), "_y": quad_string(F.col(y))})
+    marked = points.withColumns({"_x": quad_string(F.col(x)), "_y": quad_string(F.col(y))})
+    open_ = _lineage.settle(marked.groupBy("_x", "_y").agg(F.count("*").alias("_n")))
     done = None
     for level in range(depth + 1):
-        cell = F.concat_ws("/", F.substring("_x", 1, level), F.substring("_y", 1, level))
-        counted = open_.withColumn("cell", cell).withColumn("_n", F.count("*").over(Window.partitionBy("cell")))
-        full = (F.col("_n") > capacity) & F.lit(level < depth)
-        here = counted.where(~full).drop("_n", "_x", "_y").withColumn("depth", F.lit(level))
+        named = open_.withColumn("cell", F.concat_ws("/", F.substring("_x", 1, level), F.substring("_y", 1, level)))
+        sizes = named.groupBy("cell").agg(F.sum("_n").alias("size"))
+        full = (F.col("size") > capacity) & F.lit(level < depth)
+        placed = named.join(sizes, "cell")
+        here = placed.where(~full).select("_x", "_y", "_n", "cell", F.lit(level).alias("depth"), "size")
         done = here if done is None else done.unionByName(here)
-        open_ = _lineage.settle(counted.where(full).drop("_n", "cell"))
+        open_ = _lineage.settle(placed.where(full).select("_x", "_y", "_n"))
         if open_.isEmpty():
             break
-    return done, done.groupBy("cell", "depth").agg(F.count("*").alias("size"))
+    done = _lineage.settle(done)
+    return marked.join(done.select("_x", "_y", "cell", "depth"), ["_x", "_y"]).drop("_x", "_y"), done.select("cell", "depth", "size").distinct()
+
+
+def quadtree_figures(cells: DataFrame) -> DataFrame:
+    """One row: buckets, their mean depth and size, and the greatest depth."""
+    return cells.agg(F.count("*").alias("buckets"), F.avg("depth").alias("mean_depth"), F.avg("size").alias("mean_size"), F.max("depth").alias("max_depth"))
 
 
 def neighbours(tiles: DataFrame, x: str, y: str) -> DataFrame:
@@ -138,8 +170,8 @@ def densify(lines: DataFrame, keys: list[str], order: str, step: float) -> DataF
 
 
 def recut(triangles: DataFrame, coast: DataFrame) -> DataFrame:
-    """Water triangles (id, a, b, c) cut where edges have land on both ends' markers: 1, 2, 3 or 6 parts for 0 to 3 coast
-    edges. ``coast`` has the ends (u < v) of coast edges. Returns id, the cut edges' number, and parts."""
+    """Water triangles (id, a, b, c) against coast edges (u < v): id, the number of the triangle's coast edges (cuts), and the
+    parts it is cut into: 1, 2, 3 or 6."""
     edge = lambda p, q: F.struct(F.least(p, q).alias("u"), F.greatest(p, q).alias("v"))
     edges = triangles.select("id", F.explode(F.array(edge("a", "b"), edge("b", "c"), edge("c", "a"))).alias("e")).select("id", "e.u", "e.v")
     hit = edges.join(coast.select("u", "v").distinct(), ["u", "v"]).groupBy("id").agg(F.count("*").alias("cuts"))
@@ -147,21 +179,33 @@ def recut(triangles: DataFrame, coast: DataFrame) -> DataFrame:
     return out.withColumn("parts", F.element_at(F.array(*map(F.lit, (1, 2, 3, 6))), (F.col("cuts") + 1).cast("int")))
 
 
+def recut_triangles(triangles: DataFrame, coast: DataFrame) -> DataFrame:
+    """(id, part, corners) of the triangles that ``recut`` counts. Corners are arrays of node ids: one id is the node, two the
+    middle of an edge, three the barycentre. One coast edge is halved; of two, the corner between them is cut off by both
+    middles and the rest is halved; three make six parts around the barycentre."""
+    flag = lambda p, q: F.exists("coast", lambda e: (e["u"] == F.least(p, q)) & (e["v"] == F.greatest(p, q)))
+    near = triangles.select("id", "a", "b", "c", F.explode(F.array(F.struct(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")), F.struct(F.least("b", "c").alias("u"), F.greatest("b", "c").alias("v")), F.struct(F.least("a", "c").alias("u"), F.greatest("a", "c").alias("v")))).alias("e")).select("id", "e.u", "e.v")
+    hits = near.join(coast.select("u", "v").distinct(), ["u", "v"]).groupBy("id").agg(F.collect_list(F.struct("u", "v")).alias("coast"))
+    all_ = triangles.join(hits, "id", "left").withColumn("coast", F.coalesce("coast", F.array().cast("array<struct<u: bigint, v: bigint>>")))
+    ab, bc, ca = flag(F.col("a"), F.col("b")), flag(F.col("b"), F.col("c")), flag(F.col("c"), F.col("a"))
+    # Turned so that a single coast edge is the first one, and of two coast edges the first two are meant.
+    turn = F.when((~ab & bc & ~ca) | (bc & ca & ~ab), 1).when((~ab & ~bc & ca) | (ca & ab & ~bc), 2).otherwise(0)
+    p, q, r = (F.element_at(F.array("a", "b", "c"), F.pmod(turn + k, F.lit(3)) + 1) for k in range(3))
+    node = lambda *xs: F.array_sort(F.array(*xs))
+    tri = lambda *xs: F.array(*xs)
+    n = ab.cast("int") + bc.cast("int") + ca.cast("int")
+    P, Q, R, PQ, QR, RP, M = node(p), node(q), node(r), node(p, q), node(q, r), node(r, p), node(p, q, r)
+    whole, halves = F.array(tri(P, Q, R)), F.array(tri(P, PQ, R), tri(PQ, Q, R))
+    three = F.array(tri(PQ, Q, QR), tri(P, PQ, QR), tri(P, QR, R))
+    six = F.array(tri(P, PQ, M), tri(PQ, Q, M), tri(Q, QR, M), tri(QR, R, M), tri(R, RP, M), tri(RP, P, M))
+    parts = F.when(n == 0, whole).when(n == 1, halves).when(n == 2, three).otherwise(six)
+    return all_.select("id", F.posexplode(parts).alias("part", "corners"))
+
+
 def merge_overlapping(boxes: DataFrame, cell: float) -> DataFrame:
     """(id, root) of boxes that overlap directly or through others; root is the smallest id of the group."""
-    from .spatial import box_join, intersection_area
-
-    pairs = _lineage.settle(box_join(boxes, boxes, cell).where((F.col("id") < F.col("r_id")) & (intersection_area() > 0)).select(F.col("id").alias("a"), F.col("r_id").alias("b")))
-    both = _lineage.settle(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    root = boxes.select("id", F.col("id").alias("root"))
-    while True:
-        low = both.join(root.select(F.col("id").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        new = root.join(low, root["id"] == low["a"], "left").select("id", F.col("root").alias("old"), F.least("root", F.coalesce("near", "root")).alias("to"))
-        hop = new.select(F.col("id").alias("mid"), F.col("to").alias("far"))
-        new = _lineage.settle(new.join(hop, new["to"] == hop["mid"], "left").select("id", "old", F.least("to", "far").alias("root")))
-        root = new.select("id", "root")
-        if new.where("old != root").isEmpty():
-            return root
+    pairs = box_join(boxes, boxes, cell).where((F.col("id") < F.col("r_id")) & (intersection_area() > 0))
+    return connected(boxes, pairs.select(F.col("id").alias("a"), F.col("r_id").alias("b")))
 
 
 def weight_map(rectangles: DataFrame, side: int, base: float) -> DataFrame:
@@ -189,22 +233,46 @@ def ortho_lines(tiles: DataFrame, zoom: int) -> DataFrame:
 
 def stitch_rings(ways: DataFrame) -> DataFrame:
     """(relation, ring, closed) of ways (relation, way, first, last: node ids): ways that share end nodes form rings. A
-    ring is closed if every end node in it is met twice; relations whose ends do not pair have open rings."""
+    ring is closed if every end node in it is met twice; relations whose ends do not pair have open rings. At each node
+    ways are linked to the smallest one there, so a node of many ways makes no more links than it has ways."""
     ends = ways.select("relation", "way", F.explode(F.array("first", "last")).alias("node"))
-    pairs = ends.alias("p").join(ends.alias("q"), (F.col("p.relation") == F.col("q.relation")) & (F.col("p.node") == F.col("q.node")) & (F.col("p.way") < F.col("q.way")))
-    links = _lineage.settle(pairs.select(F.col("p.relation").alias("relation"), F.col("p.way").alias("a"), F.col("q.way").alias("b")).distinct())
-    both = _lineage.settle(links.unionByName(links.select("relation", F.col("b").alias("a"), F.col("a").alias("b"))))
-    root = ways.select("relation", "way", F.col("way").alias("ring"))
-    while True:
-        near = both.join(root.select("relation", F.col("way").alias("b"), "ring"), ["relation", "b"]).groupBy("relation", F.col("a").alias("way")).agg(F.min("ring").alias("near"))
-        new = _lineage.settle(root.join(near, ["relation", "way"], "left").select("relation", "way", F.col("ring").alias("old"), F.least("ring", F.coalesce("near", "ring")).alias("ring")))
-        root = new.select("relation", "way", "ring")
-        if new.where("old != ring").isEmpty():
-            break
+    least = ends.groupBy("relation", "node").agg(F.min("way").alias("a"))
+    links = ends.join(least, ["relation", "node"]).select("relation", "a", F.col("way").alias("b")).where("a != b").distinct()
+    root = connected(ways.select("relation", F.col("way").alias("id")), links, ("relation",)).select("relation", F.col("id").alias("way"), F.col("root").alias("ring"))
     met = ends.join(root, ["relation", "way"]).groupBy("relation", "ring", "node").agg(F.count("*").alias("n"))
     return met.groupBy("relation", "ring").agg(F.bool_and(F.col("n") % 2 == 0).alias("closed"))
 
 
+def ring_points(ways: DataFrame, points: DataFrame) -> DataFrame:
+    """(relation, ring, points) of the closed rings of ways (relation, way, first, last) whose points (way, seq, lon, lat) are
+    known: each ring's ways one after the other, turned where needed. A ring is one value by its nature."""
+    closed = stitch_rings(ways).where("closed")
+    ends = ways.select("relation", "way", F.explode(F.array("first", "last")).alias("node"))
+    least = ends.groupBy("relation", "node").agg(F.min("way").alias("a"))
+    links = ends.join(least, ["relation", "node"]).select("relation", "a", F.col("way").alias("b")).where("a != b").distinct()
+    root = connected(ways.select("relation", F.col("way").alias("id")), links, ("relation",)).select("relation", F.col("id").alias("way"), F.col("root").alias("ring"))
+    lines = points.groupBy("way").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "lon", "lat"))), lambda p: F.array(p["lon"], p["lat"])).alias("line"))
+    parts = ways.join(root, ["relation", "way"]).join(closed, ["relation", "ring"], "left_semi").join(lines, "way")
+    rings = parts.groupBy("relation", "ring").agg(F.array_sort(F.collect_list(F.struct("way", "first", "last", "line"))).alias("parts"))
+
+    def kernel(held: list) -> tuple:
+        left, out = [dict(p.items()) if isinstance(p, dict) else p for p in held], []
+        at = left[0]["first"]
+        while left:
+            pick = next((p for p in left if at in (p["first"], p["last"])), None)
+            if pick is None:
+                return (None,)
+            left.remove(pick)
+            line = pick["line"] if pick["first"] == at else pick["line"][::-1]
+            at = pick["last"] if pick["first"] == at else pick["first"]
+            out.extend(line if not out else line[1:])
+        return (out,)
+
+    from .tile_kernels import map_rows
+
+    return map_rows(rings, ["parts"], kernel, "points array<array<double>>", ["relation", "ring"]).where("points is not null")
+
+
 def node_levels(nodes: DataFrame, water: str, sea: str, mode: str = "zero") -> DataFrame:
     """Altitudes after class: sea nodes at 0, at the sea's mean, or no lower than 0, by mode; inland water at the mean of
     its body. ``nodes`` has body, kind and z."""

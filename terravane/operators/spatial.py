@@ -1,19 +1,34 @@
 """Joins in space as equi-joins on grid cells.
 
 A box goes to every cell that it touches. A pair that meets in several cells counts in one of them only, that of the
-lower left corner of the two boxes' intersection, so no distinct is needed. Cells are ordinary join keys: Spark plans them
-by size, and AQE splits crowded ones.
+lower left corner of the two boxes' intersection, so no distinct is needed. Boxes much longer than a cell are dealt to
+cells of a coarser level, so that no box goes to more than a few cells; levels meet each other pairwise. Cells are ordinary
+join keys: Spark plans them by size, and AQE splits crowded ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import _lineage
+
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
-def _cells(df: DataFrame, box: tuple[str, ...], size: float, prefix: str) -> DataFrame:
+#: Cells along a side of a box at most, and what a level's cells are longer than the one's below by.
+_REACH = 4
+_COARSER = 8
+
+
+def _leveled(df: DataFrame, box: tuple[str, ...], cell: float, prefix: str) -> DataFrame:
+    """Rows with the level whose cells their box spans a few of."""
+    side = F.greatest(F.col(box[2]) - F.col(box[0]), F.col(box[3]) - F.col(box[1]))
+    level = F.ceil(F.log(F.greatest(side / (cell * _REACH), F.lit(1.0))) / F.log(F.lit(float(_COARSER))) - 1e-9)
+    return df.where(side.isNotNull()).withColumn(f"{prefix}level", level.cast("int"))
+
+
+def _dealt(df: DataFrame, box: tuple[str, ...], size: Column, prefix: str) -> DataFrame:
     x0, y0, x1, y1 = (F.floor(F.col(c) / size) for c in box)
     return df.withColumn(f"{prefix}cx", F.explode(F.sequence(x0, x1))).withColumn(f"{prefix}cy", F.explode(F.sequence(y0, y1)))
 
@@ -21,11 +36,36 @@ def _cells(df: DataFrame, box: tuple[str, ...], size: float, prefix: str) -> Dat
 def box_join(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
     """Pairs of rows whose boxes touch. Columns: the left's, and the right's after ``r_``. Null boxes meet nothing."""
     right = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
-    l, r = _cells(left, BOX, cell, "l"), _cells(right, tuple(f"r_{c}" for c in BOX), cell, "r")
-    pairs = l.join(r, (F.col("lcx") == F.col("rcx")) & (F.col("lcy") == F.col("rcy")))
+    r_box = tuple(f"r_{c}" for c in BOX)
+    l, r = _leveled(left, BOX, cell, "l"), _leveled(right, r_box, cell, "r")
+    # Each side goes to the cells of its own level and of those coarser ones that the other side has.
+    levels = lambda df, c: sorted(x[0] for x in df.select(c).distinct().collect())  # some ten at most: sizes are doubles
+    ours, theirs = levels(l, "llevel"), levels(r, "rlevel")
+    size = F.lit(cell) * F.pow(F.lit(float(_COARSER)), F.col("level"))
+    at = lambda df, own, others: df.withColumn("level", F.explode(F.filter(F.array(*map(F.lit, others)) if others else F.array().cast("array<int>"), lambda v: v >= F.col(own))))
+    both = sorted({*ours, *theirs})
+    l, r = _dealt(at(l, "llevel", both), BOX, size, "l").withColumnRenamed("level", "lat"), _dealt(at(r, "rlevel", both), r_box, size, "r").withColumnRenamed("level", "rat")
+    pairs = l.join(r, (F.col("lat") == F.col("rat")) & (F.col("lcx") == F.col("rcx")) & (F.col("lcy") == F.col("rcy")) & (F.col("lat") == F.greatest("llevel", "rlevel")))
     meets = (F.col("xmin") <= F.col("r_xmax")) & (F.col("r_xmin") <= F.col("xmax")) & (F.col("ymin") <= F.col("r_ymax")) & (F.col("r_ymin") <= F.col("ymax"))
-    once = (F.col("lcx") == F.floor(F.greatest("xmin", "r_xmin") / cell)) & (F.col("lcy") == F.floor(F.greatest("ymin", "r_ymin") / cell))
-    return pairs.where(meets & once).drop("lcx", "lcy", "rcx", "rcy")
+    across = F.lit(cell) * F.pow(F.lit(float(_COARSER)), F.col("lat"))
+    once = (F.col("lcx") == F.floor(F.greatest("xmin", "r_xmin") / across)) & (F.col("lcy") == F.floor(F.greatest("ymin", "r_ymin") / across))
+    return pairs.where(meets & once).drop("lcx", "lcy", "rcx", "rcy", "llevel", "rlevel", "lat", "rat")
+
+
+def connected(nodes: DataFrame, links: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, id, root): the smallest id that links (keys, a, b) reach from each node (keys, id). In each round a node takes
+    the smallest root of its neighbours, and then that of its root, so chains shorten by halves."""
+    links = _lineage.settle(links.select(*keys, "a", "b").where("a != b"))
+    both = _lineage.settle(links.unionByName(links.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    root = nodes.select(*keys, "id", F.col("id").alias("root"))
+    while True:
+        near = both.join(root.select(*keys, F.col("id").alias("b"), "root"), [*keys, "b"]).groupBy(*keys, F.col("a").alias("id")).agg(F.min("root").alias("near"))
+        new = root.join(near, [*keys, "id"], "left").select(*keys, "id", F.col("root").alias("old"), F.least("root", F.coalesce("near", "root")).alias("to"))
+        hop = new.select(*keys, F.col("id").alias("to"), F.col("to").alias("far"))
+        new = _lineage.settle(new.join(hop, [*keys, "to"], "left").select(*keys, "id", "old", F.least("to", F.coalesce("far", "to")).alias("root")))
+        root = new.select(*keys, "id", "root")
+        if new.where("old != root").isEmpty():
+            return root
 
 
 def intersection_area() -> Column:
@@ -50,10 +90,15 @@ def without_collisions(boxes: DataFrame, blockers: DataFrame, key: str, cell: fl
 
 def clip_segments(segments: DataFrame, tile: float) -> DataFrame:
     """Segments (x1, y1, x2, y2) cut into the square tiles they cross, by Liang and Barsky's limits; parts shorter than
-    1e-9 go. Adds tile_x, tile_y and the cut ends ax, ay, bx, by."""
+    1e-9 go. Adds tile_x, tile_y and the cut ends ax, ay, bx, by. Of each column of tiles only those rows are asked that the
+    segment has in it, so long slanted segments make no more tiles than they cross."""
     x0, x1 = F.least("x1", "x2"), F.greatest("x1", "x2")
-    y0, y1 = F.least("y1", "y2"), F.greatest("y1", "y2")
-    cut = segments.withColumn("tile_x", F.explode(F.sequence(F.floor(x0 / tile), F.floor(x1 / tile)))).withColumn("tile_y", F.explode(F.sequence(F.floor(y0 / tile), F.floor(y1 / tile))))
+    by_column = segments.withColumn("tile_x", F.explode(F.sequence(F.floor(x0 / tile), F.floor(x1 / tile))))
+    slope = (F.col("y2") - F.col("y1")) / F.when(F.col("x2") != F.col("x1"), F.col("x2") - F.col("x1"))
+    at = lambda x: F.coalesce(F.col("y1") + slope * (x - F.col("x1")), F.col("y1"))
+    left, right = at(F.greatest(x0, F.col("tile_x") * tile)), F.when(F.col("x1") == F.col("x2"), F.col("y2")).otherwise(at(F.least(x1, (F.col("tile_x") + 1) * tile)))
+    near = lambda y, edge: F.floor(y / tile + edge * 1e-9)  # noqa: E731  a hair more, as the limits below decide
+    cut = by_column.withColumn("tile_y", F.explode(F.sequence(near(F.least(left, right), -1), near(F.greatest(left, right), 1))))
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
 
     def limits(start: Column, step: Column, low: Column, high: Column) -> tuple[Column, Column]:
@@ -82,7 +127,29 @@ def band_weighted(points: DataFrame, samples: DataFrame, width: float, fallback:
 
 
 def merge_junctions(points: DataFrame, tolerance: float = 5e-6) -> DataFrame:
-    """(id, junction): the smallest id of the grid cell of side ``tolerance`` that holds the point (lon, lat). A grid in
-    place of first-come centres: points closer than the tolerance on two sides of a cell's edge stay apart."""
-    cell = Window.partitionBy(F.floor(F.col("lon") / tolerance), F.floor(F.col("lat") / tolerance))
-    return points.select("id", F.min("id").over(cell).alias("junction"))
+    """(id, junction): in order of id, a point joins the first junction within the tolerance along both axes, else it is a
+    junction itself; so junctions are the points with no earlier junction near.
+
+    Whether a point is a junction is known once all earlier points near it are decided. Each round decides those for which
+    this is so, in all places at once; rounds are as many as the longest chain of near points with rising ids.
+    """
+    size = F.lit(tolerance)
+    own = points.select("id", "lon", "lat", F.floor(F.col("lon") / size).alias("cx"), F.floor(F.col("lat") / size).alias("cy"))
+    step = F.explode(F.sequence(F.lit(-1), F.lit(1)))
+    spread = own.withColumn("dx", step).withColumn("dy", step).select(F.col("id").alias("to"), F.col("lon").alias("u"), F.col("lat").alias("v"), (F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy"))
+    near = (F.abs(F.col("lon") - F.col("u")) < size) & (F.abs(F.col("lat") - F.col("v")) < size) & (F.col("to") < F.col("id"))
+    pairs = _lineage.settle(own.join(spread, ["cx", "cy"]).where(near).select("id", "to"))
+    junctions, rest = None, _lineage.settle(points.select("id"))
+    open_ = pairs
+    while True:
+        # Without an undecided or accepted point before it, a point is a junction; near one, it is not.
+        blocked = open_.select("id").distinct()
+        new = _lineage.settle(rest.join(blocked, "id", "left_anti"))
+        junctions = new if junctions is None else _lineage.settle(junctions.unionByName(new))
+        taken = _lineage.settle(open_.join(new.select(F.col("id").alias("to")), "to", "left_semi").select("id").distinct())
+        rest = _lineage.settle(rest.join(new, "id", "left_anti").join(taken, "id", "left_anti"))
+        if rest.isEmpty():
+            break
+        open_ = _lineage.settle(open_.join(rest, "id", "left_semi").join(rest.select(F.col("id").alias("to")), "to", "left_semi"))
+    first = pairs.join(junctions.select(F.col("id").alias("to")), "to", "left_semi").groupBy("id").agg(F.min("to").alias("first"))
+    return points.select("id").join(junctions.withColumn("own", F.col("id")), "id", "left").join(first, "id", "left").select("id", F.coalesce("own", "first").alias("junction"))

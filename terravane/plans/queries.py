@@ -2,43 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import colours, features, geodesy
-from ..operators import evaluation, frames, raster, scenery, spatial, tile_kernels, tiles
+from ..operators import evaluation, frames, raster, scenery, shapes, spatial, tile_kernels, tiles
 from ..sources import writers
 from ..streaming import frames as stream_frames
 from . import adapters
 from .adapters import table, with_tables
-
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def _query(sql: str | None = None):
-    def register(f: Callable[[SparkSession, str], DataFrame]):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-def _r(c: Column, digits: int = 6) -> Column:
-    return F.round(c, digits) + F.lit(0.0)
-
+from .registry import oracle_sql, queries  # noqa: F401  the registered ones, for the driver's entry
+from .registry import register as _query
+from .registry import rounded as _r
 
 KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 _K = ", ".join(KEY)
@@ -114,11 +89,32 @@ def f10_mercator(spark: SparkSession, d: str) -> DataFrame:
     return p.select(*KEY, _r(x, 3).alias("x"), _r(y, 3).alias("y"), _r(lat).alias("lat"), _r(lon).alias("lon"))
 
 
-@_query()
+_A1, _A2, _A3 = "(n / 2 - 2 * n * n / 3 + 5 * n * n * n / 16)", "(13 * n * n / 48 - 3 * n * n * n / 5)", "(61 * n * n * n / 240)"
+_UTM = f"""
+    select {_K}, lat, lon,
+        round(500000 + k * (eta + {_A1} * cos(2 * xi) * sinh(2 * eta) + {_A2} * cos(4 * xi) * sinh(4 * eta) + {_A3} * cos(6 * xi) * sinh(6 * eta)), 2) + 0.0 as east,
+        round(k * (xi + {_A1} * sin(2 * xi) * cosh(2 * eta) + {_A2} * sin(4 * xi) * cosh(4 * eta) + {_A3} * sin(6 * xi) * cosh(6 * eta)), 2) + 0.0 as north
+    from (
+        select *, atan2(t, cos(away)) as xi, atanh(sin(away) / sqrt(1 + t * t)) as eta
+        from (
+            select *, sinh(atanh(sin(radians(lat))) - e * atanh(e * sin(radians(lat)))) as t, radians(lon - 39) as away
+            from (
+                select {_K}, lat, 36 + l_linenumber / 8.0 as lon, 2 * sqrt(n) / (1 + n) as e, n,
+                    0.9996 * {_R} / (1 + n) * (1 + n * n / 4 + n * n * n * n / 64) as k
+                from places, (select 1 / (2 * 298.257223563 - 1) as n)
+            )
+        )
+    )
+"""
+
+
+@_query(with_tables(_UTM, "places"))
 def f10_utm(spark: SparkSession, d: str) -> DataFrame:
-    p = adapters.places(spark, d).where("lat between 0 and 80 and lon between 34 and 44")
+    """Every place's latitude in zone 37."""
+    p = adapters.places(spark, d).withColumn("lon", 36 + F.col("l_linenumber") / 8.0)
     e, n = geodesy.to_utm(F.col("lat"), F.col("lon"), 37)
-    return p.select(*KEY, "lat", "lon", _r(e, 3).alias("east"), _r(n, 3).alias("north"))
+    return p.select(*KEY, "lat", "lon", _r(e, 2).alias("east"), _r(n, 2).alias("north"))
+
 
 
 _SIGNED = lambda v, n: f"(case when {v} < 0 then '-' else '+' end || lpad(abs({v})::int::varchar, {n}, '0'))"
@@ -207,23 +203,37 @@ def a6_area_errors(spark: SparkSession, d: str) -> DataFrame:
     return s.select(*(_r(F.col(c)).alias(c) for c in s.columns))
 
 
-@_query(with_tables("", "truth", "found").rstrip() + ", " + _PAIRS + ", a as (select (select sum(iou * (gt_area + pred_area) / (1 + iou)) from pairs) as tp, (select sum((xmax - xmin) * (ymax - ymin)) from found) as p, (select sum((xmax - xmin) * (ymax - ymin)) from truth) as g, 1e6 as total), b as (select tp, p - tp as fp, g - tp as fn, total, total - tp - (p - tp) - (g - tp) as tn from a) select round(tp, 4) as tp, round(fp, 4) as fp, round(fn, 4) as fn, round(tn, 4) as tn, round(tp / (tp + fp), 6) as \"precision\", round(tp / (tp + fn), 6) as recall, round(2 * tp / (2 * tp + fp + fn), 6) as f1, round(tp / (tp + fp + fn), 6) as iou, round((tp + tn) / total, 6) as accuracy, round((tp / (tp + fp + fn) + tn / (tn + fn + fp)) / 2, 6) as miou from b")
+_CELLS = """
+    wide as (select id, xmin, ymin, xmax + 9 as xmax, ymax from truth),
+    t as (select distinct x, y from wide, lateral (select unnest(range(xmin::bigint, xmax::bigint)) as x), lateral (select unnest(range(ymin::bigint, ymax::bigint)) as y)),
+    p as (select distinct x, y from roads, lateral (select unnest(range(xmin::bigint, xmax::bigint)) as x), lateral (select unnest(range(ymin::bigint, ymax::bigint)) as y))
+"""
+
+
+@_query(
+    with_tables("", "truth", "roads").rstrip() + "," + _CELLS + """
+    , c as (select (select count(*) from t join p using (x, y))::double as tp, (select count(*) from p)::double as p, (select count(*) from t)::double as g),
+    b as (select tp, p - tp as fp, g - tp as fn, 1e9 - p - g + tp as tn from c)
+    select tp, fp, fn, tn, round(tp / (tp + fp), 6) as "precision", round(tp / (tp + fn), 6) as recall, round(2 * tp / (2 * tp + fp + fn), 6) as f1, round(tp / (tp + fp + fn), 6) as iou,
+        round((tp + tn) / 1e9, 6) as accuracy, round((tp / (tp + fp + fn) + tn / (tn + fn + fp)) / 2, 6) as miou
+    from b
+    """
+)
 def a1_a7_area_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """Boxes of one kind do not overlap on the lattice, so the area of their union is the sum of their areas."""
-    truth, found = adapters.truth_boxes(spark, d), adapters.found_boxes(spark, d)
-    both = _pairs(spark, d).agg(F.sum(F.col("iou") * (F.col("gt_area") + F.col("pred_area")) / (1 + F.col("iou"))).alias("tp"))
-    sums = both.crossJoin(found.agg(F.sum(spatial.box_area()).alias("p"))).crossJoin(truth.agg(F.sum(spatial.box_area()).alias("g")))
-    tp, fp, fn = F.col("tp"), F.col("p") - F.col("tp"), F.col("g") - F.col("tp")
-    metrics = evaluation.area_metrics(tp, fp, fn, F.lit(1e6))
-    return sums.select(_r(tp, 4).alias("tp"), _r(fp, 4).alias("fp"), _r(fn, 4).alias("fn"), _r(metrics.pop("tn"), 4).alias("tn"), *(_r(c).alias(n) for n, c in metrics.items()))
+    """Areas of the unions of boxes that overlap among themselves, against each other."""
+    wide = adapters.truth_boxes(spark, d).withColumn("xmax", F.col("xmax") + 9)
+    truth, found = (x.select(shapes.box_shape(*(F.col(c) for c in spatial.BOX)).alias("shape")) for x in (wide, adapters.road_boxes(spark, d)))
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    metrics = evaluation.area_metrics(tp, fp, fn, F.lit(1e9))
+    a = shapes.area_confusion(truth, found, 96.0)
+    return a.select(*(_r(c, 4).alias(n) for n, c in (("tp", tp), ("fp", fp), ("fn", fn), ("tn", metrics.pop("tn")))), *(_r(c).alias(n) for n, c in metrics.items()))
+
 
 
 @_query(with_tables("", "truth", "found").rstrip() + ", " + _MATCHES + " select 'fp' as kind, id from found where id not in (select pred_idx from matches) union all select 'fn', id from truth where id not in (select gt_idx from matches)")
 def x2_false_objects(spark: SparkSession, d: str) -> DataFrame:
     m = _matches(spark, d)
-    fp = adapters.found_boxes(spark, d).select("id").join(m.select(F.col("pred_idx").alias("id")), "id", "left_anti")
-    fn = adapters.truth_boxes(spark, d).select("id").join(m.select(F.col("gt_idx").alias("id")), "id", "left_anti")
-    return fp.select(F.lit("fp").alias("kind"), "id").unionByName(fn.select(F.lit("fn").alias("kind"), "id"))
+    return evaluation.false_objects(adapters.truth_boxes(spark, d), adapters.found_boxes(spark, d), m)
 
 
 @_query(with_tables("select id, xmin, ymin, xmax, ymax from truth t where not exists (select 1 from roads r where least(t.xmax, r.xmax) > greatest(t.xmin, r.xmin) and least(t.ymax, r.ymax) > greatest(t.ymin, r.ymin))", "truth", "roads"))
@@ -264,7 +274,7 @@ def a13_p14_fps_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(with_tables("select event_type, count(*) as frames, round(count(*) / sum(dt), 6) as average_fps, round(1 / avg(case when k <= ceil(n * 0.01) then dt end), 6) as one_percent_low_fps, round(1 / max(dt), 6) as min_fps, round(1 / min(dt), 6) as max_fps from (select event_type, dt, row_number() over (partition by event_type order by dt desc, ts, event_id) as k, count(*) over (partition by event_type) as n from frames where dt > 0) group by 1", "frames"))
 def a14_o2_recorder(spark: SparkSession, d: str) -> DataFrame:
-    s = frames.recorder_summary(adapters.frames(spark, d), "dt", ("ts", "event_id"), ("event_type",))
+    s = frames.recorder_summary(adapters.frames(spark, d), "dt", ("event_type",))
     return s.select("event_type", "frames", *(_r(F.col(c)).alias(c) for c in ("average_fps", "one_percent_low_fps", "min_fps", "max_fps")))
 
 
@@ -328,20 +338,18 @@ def a12_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(with_tables("select floor(lat)::bigint as lat, floor(lon)::bigint as lon, count(*) as n from places group by 1, 2", "places"))
 def a15_degree_groups(spark: SparkSession, d: str) -> DataFrame:
-    p = adapters.places(spark, d)
-    return p.groupBy(F.floor("lat").alias("lat"), F.floor("lon").alias("lon")).agg(F.count("*").alias("n"))
+    return tiles.groups_of_features(adapters.places(spark, d), "lat", "lon")
 
 
 @_query("select p_size as tile, p_brand as facade, dense_rank() over (partition by p_size order by p_brand) - 1 as idx from (select distinct p_size, p_brand from part)")
 def a16_facade_index(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").select("p_size", "p_brand").distinct()
-    return p.select(F.col("p_size").alias("tile"), F.col("p_brand").alias("facade"), (F.dense_rank().over(Window.partitionBy("p_size").orderBy("p_brand")) - 1).cast("long").alias("idx"))
+    return tiles.facade_indices(table(spark, d, "part"), "p_size", "p_brand")
 
 
 @_query(with_tables("select round((min(lat) + max(lat)) / 2, 6) as lat, round((min(lon) + max(lon)) / 2, 6) as lon, round(min(lat) - 0.001, 6) as south, round(max(lat) + 0.001, 6) as north, round(min(lon) - 0.001, 6) as west, round(max(lon) + 0.001, 6) as east from places", "places"))
 def a8_a17_exclusion(spark: SparkSession, d: str) -> DataFrame:
-    p = adapters.places(spark, d).agg(F.min("lat").alias("a"), F.max("lat").alias("b"), F.min("lon").alias("c"), F.max("lon").alias("e"))
-    return p.select(_r((F.col("a") + F.col("b")) / 2).alias("lat"), _r((F.col("c") + F.col("e")) / 2).alias("lon"), _r(F.col("a") - 0.001).alias("south"), _r(F.col("b") + 0.001).alias("north"), _r(F.col("c") - 0.001).alias("west"), _r(F.col("e") + 0.001).alias("east"))
+    out = tiles.exclusion(adapters.places(spark, d), "lat", "lon")
+    return out.select(*(_r(F.col(c)).alias(c) for c in out.columns))
 
 
 @_query("select p_partkey, case when p_size * 100 <= 512 then [0::bigint] else list_sort(list_distinct(list_transform(range(ceil((p_size * 100 - 512) / 487.0)::bigint + 1), lambda k: least(k * 487, p_size * 100 - 512)))) end as starts from part")
@@ -357,10 +365,21 @@ def f63_degree_tiles(spark: SparkSession, d: str) -> DataFrame:
     return tiles.degree_tiles(boxes).select("c_custkey", "lon", "lat")
 
 
-@_query("select p_retailprice as v, (sum(new) over (order by p_retailprice) - 1)::bigint as grp from (select p_retailprice, case when p_retailprice - lag(p_retailprice) over (order by p_retailprice) > 0.5 or lag(p_retailprice) over (order by p_retailprice) is null then 1 else 0 end as new from (select distinct p_retailprice from part))")
+@_query(
+    """
+    with recursive vs as (select distinct p_retailprice as v from part),
+    heads as (
+        select min(v) as h, 0 as grp from vs
+        union all
+        select (select min(v) from vs where v - heads.h > 2.5), grp + 1 from heads where exists (select 1 from vs where v - heads.h > 2.5)
+    )
+    select v, (select max(grp) from heads where h <= v)::bigint as grp from vs
+    """
+)
 def w4_dedupe_coordinates(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select(F.col("p_retailprice").alias("v"))
-    return tiles.dedupe_coordinates(p, "v", 0.5).select("v", F.col("group").alias("grp"))
+    return tiles.dedupe_coordinates(p, "v", 2.5).select("v", F.col("group").alias("grp"))
+
 
 
 @_query("select b.building, count(*) as pixels, count(k.x) as blocked, case when count(k.x) = count(*) then 'removed' when count(k.x) > 0 then 'mask_only' else 'kept' end as fate from (select l_orderkey % 500 as building, l_partkey as x, l_suppkey as y from lineitem) b left join (select distinct l_partkey as x, l_suppkey as y from lineitem where l_returnflag = 'R') k using (x, y) group by 1")
@@ -370,16 +389,19 @@ def a22_a23_clean_buildings(spark: SparkSession, d: str) -> DataFrame:
     return tiles.clean_buildings(px, li.where("l_returnflag = 'R'").select(F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y")))
 
 
-@_query()
+@_query(with_tables("select vec_id, greatest(1, floor(count(*) * 0.3))::bigint as n, count(*) as candidates from pixels where v >= 0.05 group by 1", "rasters", "pixels"))
 def o4_density_sample(spark: SparkSession, d: str) -> DataFrame:
+    """How many of each tile's pixels are drawn, and of how many; only such pixels are, each once."""
     px = raster.pixels(adapters.rasters(spark, d), "px", 8).where("v >= 0.05").select("vec_id", "row", "col")
-    return tiles.density_sample(px, ["vec_id"], ["row", "col"], 0.3, 42)
+    drawn = tiles.density_sample(px, ["vec_id"], ["row", "col"], 0.3, 42).join(px, ["vec_id", "row", "col"], "left_semi").distinct()
+    return drawn.groupBy("vec_id").agg(F.count("*").alias("n")).join(px.groupBy("vec_id").agg(F.count("*").alias("candidates")), "vec_id")
+
 
 
 @_query(with_tables("select vec_id, \"row\", col from pixels where v >= 0.05 and \"row\" % 2 = 0 and col % 2 = 0", "rasters", "pixels"))
 def o5_grid_sample(spark: SparkSession, d: str) -> DataFrame:
     px = raster.pixels(adapters.rasters(spark, d), "px", 8)
-    return px.where("v >= 0.05 and row % 2 = 0 and col % 2 = 0").select("vec_id", "row", "col")
+    return tiles.grid_sample(px, "v", 2, 0.05).select("vec_id", "row", "col")
 
 
 # --- rasters ----------------------------------------------------------------------------------------------------------
@@ -426,17 +448,29 @@ def f42_f45_f54_stretch(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(with_tables("select vec_id, \"row\", col, round((select sum(q.v) from (select unnest([-1, 0, 1]) as a), (select unnest([-1, 0, 1]) as b), pixels q where q.vec_id = p.vec_id and q.\"row\" = least(greatest(p.\"row\" + a, 0), 7) and q.col = least(greatest(p.col + b, 0), 7)) / 9, 6) + 0.0 as v from pixels p", "rasters", "pixels"))
 def w6_box_blur(spark: SparkSession, d: str) -> DataFrame:
-    out = raster.box_blur(raster.pixels(adapters.rasters(spark, d), "px", 8), ["vec_id"], (8, 8))
+    out = raster.pixels(tile_kernels.blur(adapters.rasters(spark, d), ["vec_id"], "px", 8), "px", 8)
     return out.select("vec_id", "row", "col", _r(F.col("v")).alias("v"))
 
 
 @_query(with_tables("select vec_id, \"row\", col, round(coalesce((lead(v) over x - lag(v) over x) / 2, lead(v) over x - v, v - lag(v) over x, 0), 6) + 0.0 as dx, round(coalesce((lead(v) over y - lag(v) over y) / 2, lead(v) over y - v, v - lag(v) over y, 0), 6) + 0.0 as dy from pixels window x as (partition by vec_id, \"row\" order by col), y as (partition by vec_id, col order by \"row\")", "rasters", "pixels"))
 def f48_slopes(spark: SparkSession, d: str) -> DataFrame:
-    out = raster.slopes(raster.pixels(adapters.rasters(spark, d), "px", 8), ["vec_id"])
-    return out.select("vec_id", "row", "col", _r(F.col("dx")).alias("dx"), _r(F.col("dy")).alias("dy"))
-
-
-@_query(with_tables("select p.vec_id, p.k, round(case when fx >= fy then a.v + fx * (b.v - a.v) + fy * (e.v - b.v) else a.v + fy * (c.v - a.v) + fx * (e.v - c.v) end, 6) + 0.0 as value from (select vec_id, k, 0.5 + k * 0.75 as x, 0.25 + k * 0.7 as y, floor(0.5 + k * 0.75)::int as c0, floor(0.25 + k * 0.7)::int as r0, 0.5 + k * 0.75 - floor(0.5 + k * 0.75) as fx, 0.25 + k * 0.7 - floor(0.25 + k * 0.7) as fy from rasters, range(8) r(k)) p join pixels a on a.vec_id = p.vec_id and a.\"row\" = r0 and a.col = c0 join pixels b on b.vec_id = p.vec_id and b.\"row\" = r0 and b.col = c0 + 1 join pixels c on c.vec_id = p.vec_id and c.\"row\" = r0 + 1 and c.col = c0 join pixels e on e.vec_id = p.vec_id and e.\"row\" = r0 + 1 and e.col = c0 + 1", "rasters", "pixels"))
+    out = tile_kernels.slopes(adapters.rasters(spark, d), ["vec_id"], "px", 8).withColumn("d", F.arrays_zip("dx", "dy")).select("vec_id", "d")
+    long = raster.pixels(out, "d", 8)
+    return long.select("vec_id", "row", "col", _r(F.col("v.dx")).alias("dx"), _r(F.col("v.dy")).alias("dy"))
+
+
+@_query(
+    with_tables(
+        """
+        select vec_id, k, round(case when fx >= fy then a + fx * (b - a) + fy * (e - b) else a + fy * (c - a) + fx * (e - c) end, 6) + 0.0 as value
+        from (
+            select vec_id, k, x - floor(x) as fx, y - floor(y) as fy, px[i] as a, px[i + 1] as b, px[i + 8] as c, px[i + 9] as e
+            from (select *, (floor(y) * 8 + floor(x) + 1)::int as i from (select vec_id, k, 0.5 + k * 0.75 as x, 0.25 + k * 0.7 as y, px from rasters, range(8) r(k)))
+        )
+        """,
+        "rasters",
+    )
+)
 def f46_sample(spark: SparkSession, d: str) -> DataFrame:
     t = adapters.rasters(spark, d)
     pts = t.select("vec_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("k")).withColumns({"x": F.lit(0.5) + F.col("k") * 0.75, "y": F.lit(0.25) + F.col("k") * 0.7})
@@ -444,15 +478,30 @@ def f46_sample(spark: SparkSession, d: str) -> DataFrame:
     return got.select("vec_id", "k", _r(F.col("value")).alias("value"))
 
 
+
 # --- roads, graphs, colours -------------------------------------------------------------------------------------------
 
 
-@_query()
+_CLIPPED = f"""
+    select {_K}, tile_x, tile_y, round(x1 + t0 * dx, 6) + 0.0 as ax, round(y1 + t0 * dy, 6) + 0.0 as ay, round(x1 + t1 * dx, 6) + 0.0 as bx, round(y1 + t1 * dy, 6) + 0.0 as by
+    from (
+        select *, greatest(0.0, case when dx = 0 then 0 when dx > 0 then (tile_x * 10 - x1) / dx else (tile_x * 10 + 10 - x1) / dx end, case when dy = 0 then 0 when dy > 0 then (tile_y * 10 - y1) / dy else (tile_y * 10 + 10 - y1) / dy end) as t0,
+            least(1.0, case when dx = 0 then 1 when dx > 0 then (tile_x * 10 + 10 - x1) / dx else (tile_x * 10 - x1) / dx end, case when dy = 0 then 1 when dy > 0 then (tile_y * 10 + 10 - y1) / dy else (tile_y * 10 - y1) / dy end) as t1
+        from (select *, x2 - x1 as dx, y2 - y1 as dy from segments where x1 <> x2 or y1 <> y2),
+            lateral (select unnest(range(floor(least(x1, x2) / 10)::bigint, floor(greatest(x1, x2) / 10)::bigint + 1)) as tile_x),
+            lateral (select unnest(range(floor(least(y1, y2) / 10)::bigint, floor(greatest(y1, y2) / 10)::bigint + 1)) as tile_y)
+    )
+    where t1 > t0 and sqrt(pow((t1 - t0) * dx, 2) + pow((t1 - t0) * dy, 2)) >= 1e-9
+"""
+
+
+@_query(with_tables(_CLIPPED, "segments"))
 def j3_clip_segments(spark: SparkSession, d: str) -> DataFrame:
     s = spatial.clip_segments(adapters.segments(spark, d).where("x1 != x2 or y1 != y2"), 10.0)
     return s.select(*KEY, "tile_x", "tile_y", *(_r(F.col(c)).alias(c) for c in ("ax", "ay", "bx", "by")))
 
 
+
 @_query(with_tables(f"select {_K}, seq, round(step, 6) as step from (select *, row_number() over w as seq, sqrt(pow(x1 - lag(x1) over w, 2) + pow(y1 - lag(y1) over w, 2)) as step from segments window w as (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, x2)) where step is null or step > 0", "segments"))
 def w5_w7_vertex_steps(spark: SparkSession, d: str) -> DataFrame:
     """Vertices of an order's line without those that repeat the one before, with the length of the step to each."""
@@ -504,24 +553,26 @@ def j10_band_weighted(spark: SparkSession, d: str) -> DataFrame:
     return spatial.band_weighted(points, samples, 3.0, F.lit(-1.0)).withColumn("altitude", F.round("altitude", 6))
 
 
-@_query("select id, min(id) over (partition by floor(lon / 0.05), floor(lat / 0.05)) as junction from (select p_partkey as id, p_retailprice / 1000.0 as lon, p_size / 100.0 as lat from part)")
+@_query()
 def j11_junctions(spark: SparkSession, d: str) -> DataFrame:
+    """Tests hold the rule against a plain loop: it goes from point to point, which SQL does not."""
     p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), (F.col("p_retailprice") / 1000.0).alias("lon"), (F.col("p_size") / 100.0).alias("lat"))
-    return spatial.merge_junctions(p, 0.05)
+    return spatial.merge_junctions(p, 0.005)
+
 
 
 @_query("select distinct p_brand || '.dds' as texture from part where p_brand || '.dds' not in (select distinct p_brand || '.dds' from part where p_size > 48)")
 def j19_unused_textures(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select(F.concat("p_brand", F.lit(".dds")).alias("texture"), "p_size")
-    return p.select("texture").distinct().join(p.where("p_size > 48").select("texture").distinct(), "texture", "left_anti")
+    return tiles.unused(p, p.where("p_size > 48"), "texture")
 
 
 @_query("select l_partkey, l_suppkey, l_linenumber, l_orderkey from lineitem where l_returnflag = 'N' and (l_partkey % 64, l_suppkey % 64) in (select (l_partkey % 64, l_suppkey % 64) from lineitem where l_returnflag = 'R' and l_quantity > 45)")
 def j20_inland_water(spark: SparkSession, d: str) -> DataFrame:
     m = F.call_function("mod", F.col("l_partkey"), F.lit(64)), F.call_function("mod", F.col("l_suppkey"), F.lit(64))
     li = table(spark, d, "lineitem").withColumns({"til_x": m[0], "til_y": m[1]})
-    sea = li.where("l_returnflag = 'R' and l_quantity > 45").select("til_x", "til_y").distinct()
-    return li.where("l_returnflag = 'N'").join(sea, ["til_x", "til_y"], "left_semi").select("l_partkey", "l_suppkey", "l_linenumber", "l_orderkey")
+    sea = li.where("l_returnflag = 'R' and l_quantity > 45")
+    return tiles.on_tiles_of(li.where("l_returnflag = 'N'"), sea, ["til_x", "til_y"]).select("l_partkey", "l_suppkey", "l_linenumber", "l_orderkey")
 
 
 @_query("select c_custkey as id, c_acctbal as value from customer where c_mktsegment = 'BUILDING' union select c_custkey, c_acctbal from customer where c_acctbal > 5000")
@@ -533,7 +584,8 @@ def x1_union_distinct(spark: SparkSession, d: str) -> DataFrame:
 @_query("select o_orderkey, coalesce(nullif(o_totalprice, 100000.0), nullif(c_acctbal, 0.0), -1.0) as altitude from orders left join customer on c_custkey = o_custkey")
 def j16_f66_priority(spark: SparkSession, d: str) -> DataFrame:
     o, c = table(spark, d, "orders"), table(spark, d, "customer")
-    return o.join(c, o["o_custkey"] == c["c_custkey"], "left").select("o_orderkey", F.coalesce(F.nullif("o_totalprice", F.lit(100000.0)), F.nullif("c_acctbal", F.lit(0.0)), F.lit(-1.0)).alias("altitude"))
+    base, layer = o.select("o_orderkey", F.lit(-1.0).alias("altitude")), o.join(c, o["o_custkey"] == c["c_custkey"]).select("o_orderkey", F.coalesce(F.nullif("c_acctbal", F.lit(0.0)), F.lit(100000.0)).alias("altitude"))
+    return raster.composite([layer, o.select("o_orderkey", F.col("o_totalprice").alias("altitude"))], base, ["o_orderkey"], "altitude", 100000.0)
 
 
 # --- kernels, files and streams ---------------------------------------------------------------------------------------
@@ -585,7 +637,14 @@ def s5_s8_k5_nested_json(spark: SparkSession, d: str) -> DataFrame:
     return back.select("l_orderkey", "total", F.explode("items").alias("i")).groupBy("l_orderkey", "total").agg(F.sum("i.l_quantity").alias("quantity"), F.min("i.l_partkey").alias("first_part"))
 
 
-@_query()
+@_query(
+    with_tables("", "segments").rstrip() + """
+    , v as (select l_orderkey, row_number() over w as seq, count(*) over (partition by l_orderkey) as n, printf('%.9f %.9f 0.0', 29 + x1 / 100, 41 + y1 / 100) as xyz from segments window w as (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, x2)),
+    m as (select *, sum((seq = 1 or seq = n)::int) over (partition by l_orderkey // 100 order by l_orderkey, seq rows unbounded preceding) as node from v where n > 1)
+    select (l_orderkey // 100)::bigint as tile, string_agg(case when seq = 1 then 'BEGIN_SEGMENT 0 50 ' || node::bigint || ' ' || xyz when seq = n then 'END_SEGMENT ' || node::bigint || ' ' || xyz else 'SHAPE_POINT ' || xyz end, chr(10) order by l_orderkey, seq) as text
+    from m group by 1
+    """
+)
 def k9_network_text(spark: SparkSession, d: str) -> DataFrame:
     s = adapters.segments(spark, d)
     seq = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "x2"))
@@ -593,7 +652,19 @@ def k9_network_text(spark: SparkSession, d: str) -> DataFrame:
     return writers.network_text(roads, ["tile"])
 
 
-@_query()
+@_query(
+    with_tables("", "truth").rstrip() + """
+    , b as (select *, (ymin // 120)::bigint as tile, 'facades/' || case when a < 100 then 'small' when a < 800 then 'medium' else 'large' end || '.fac' as facade, round_even(least(12.0, greatest(1.0, round_even((xmax - xmin) / 10, 0))) * 3.5, 0)::int as h from (select *, (xmax - xmin) * (ymax - ymin) * 20 as a from truth)),
+    n as (select *, dense_rank() over (partition by tile order by facade) - 1 as k from b),
+    p as (select *, printf('%.8f', 29 + xmin / 1e4) as l, printf('%.8f', 29 + xmax / 1e4) as r, printf('%.8f', 41 + ymin / 1e4) as s, printf('%.8f', 41 + ymax / 1e4) as t, 'POLYGON_POINT ' as o from n),
+    lines as (
+        select distinct tile, 0 as kind, k::bigint as place, 'POLYGON_DEF ' || facade as line from n
+        union all
+        select tile, 1, id, 'BEGIN_POLYGON ' || k || ' ' || h || ' 2' || chr(10) || 'BEGIN_WINDING' || chr(10) || o || l || ' ' || s || chr(10) || o || r || ' ' || s || chr(10) || o || r || ' ' || t || chr(10) || o || l || ' ' || t || chr(10) || 'END_WINDING' || chr(10) || 'END_POLYGON' from p
+    )
+    select tile, string_agg(line, chr(10) order by kind, place, line) as text from lines group by 1
+    """
+)
 def k9_facade_text(spark: SparkSession, d: str) -> DataFrame:
     b = adapters.truth_boxes(spark, d)
     point = lambda x, y: F.struct((29 + F.col(x) / 1e4).alias("lon"), (41 + F.col(y) / 1e4).alias("lat"))
@@ -633,11 +704,19 @@ def k2_k3_s4_s17_images(spark: SparkSession, d: str) -> DataFrame:
 # --- scenery ----------------------------------------------------------------------------------------------------------
 
 
-@_query("select v, i as idx from (select distinct o_totalprice as v from orders where o_orderkey % 20 = 0), (select n, row_number() over (order by n) - 1 as i from (select distinct c_acctbal * 40 as n from customer where c_custkey % 5 = 0)) qualify row_number() over (partition by v order by abs(v - n), i) = 1")
+@_query(
+    """
+    with n as (select p, row_number() over (order by p) - 1 as i from (select distinct c_acctbal * 40 as p from customer)),
+    v as (select distinct o_totalprice as v from orders),
+    low as (select v.v, n.p, n.i from v asof left join n on v.v >= n.p),
+    pair as (select low.v, low.p as a, low.i, n.p as b, n.i as j from low asof left join n on low.v < n.p)
+    select v, case when a is null or b - v < v - a then j else i end as idx from pair
+    """
+)
 def j9_nearest(spark: SparkSession, d: str) -> DataFrame:
-    values = table(spark, d, "orders").where("o_orderkey % 20 = 0").select(F.col("o_totalprice").alias("v"))
-    nodes = table(spark, d, "customer").where("c_custkey % 5 = 0").select((F.col("c_acctbal") * 40).alias("at"))
-    return scenery.nearest(values, "v", nodes, "at").withColumn("idx", F.col("idx").cast("long"))
+    values, nodes = table(spark, d, "orders").select(F.col("o_totalprice").alias("v")), table(spark, d, "customer").select((F.col("c_acctbal") * 40).alias("at"))
+    return scenery.nearest(values, "v", nodes, "at")
+
 
 
 @_query(with_tables("", "truth").rstrip() + ", grid as (select distinct p_size as x, p_partkey % 10 as y from part) select g.x, g.y, n.x as near_x, n.y as near_y from grid g join grid n on abs(g.x - n.x) <= 1 and abs(g.y - n.y) <= 1 and (g.x <> n.x or g.y <> n.y)")
@@ -646,11 +725,29 @@ def j17_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return scenery.neighbours(grid, "x", "y")
 
 
-@_query()
+_POINTS = "select l_orderkey, (l_partkey * 7919 % 10007) / 10007.0 as x, ((l_suppkey * 104729 + l_orderkey) % 10009) / 10009.0 as y from lineitem"
+_CELLS_OF = f"""
+    with c as (select l, floor(x * (1 << l))::bigint as cx, floor(y * (1 << l))::bigint as cy, count(*) as size from ({_POINTS}), range(16) t(l) group by 1, 2, 3)
+    select case when l = 0 then '' else lpad(bin(cx), l::int, '0') end || '/' || case when l = 0 then '' else lpad(bin(cy), l::int, '0') end as cell, l::int as depth, size
+    from c where size <= 200 and (l = 0 or (l - 1, cx // 2, cy // 2) in (select (l, cx, cy) from c where size > 200))
+"""
+
+
+@_query(_CELLS_OF)
 def a21_quadtree(spark: SparkSession, d: str) -> DataFrame:
     """Cells of at most 200 places each."""
-    p = table(spark, d, "lineitem").select(F.col("l_orderkey"), (F.call_function("mod", F.col("l_partkey") * 7919, F.lit(10007)) / 10007).alias("x"), (F.call_function("mod", F.col("l_suppkey") * 104729 + F.col("l_orderkey"), F.lit(10009)) / 10009).alias("y"))
-    return scenery.quadtree(p, "x", "y", 200)[1]
+    return scenery.quadtree(_tree_points(spark, d), "x", "y", 200)[1]
+
+
+def _tree_points(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select(F.col("l_orderkey"), (F.call_function("mod", F.col("l_partkey") * 7919, F.lit(10007)) / 10007).alias("x"), (F.call_function("mod", F.col("l_suppkey") * 104729 + F.col("l_orderkey"), F.lit(10009)) / 10009).alias("y"))
+
+
+@_query(f"select count(*) as buckets, round(avg(depth), 6) as mean_depth, round(avg(size), 6) as mean_size, max(depth) as max_depth from ({_CELLS_OF})")
+def a21_quadtree_figures(spark: SparkSession, d: str) -> DataFrame:
+    f = scenery.quadtree_figures(scenery.quadtree(_tree_points(spark, d), "x", "y", 200)[1])
+    return f.select("buckets", _r(F.col("mean_depth")).alias("mean_depth"), _r(F.col("mean_size")).alias("mean_size"), "max_depth")
+
 
 
 @_query("select p_partkey, sum(h * w)::bigint as tiles, max((h - 1) * 512)::bigint as last_row, max((w - 1) * 512)::bigint as last_col from (select p_partkey, ceil(p_size * 100 / 512.0)::bigint as w, ceil((p_size * 70 + 1) / 512.0)::bigint as h from part) group by 1")
@@ -686,7 +783,7 @@ def p16_large_lakes(spark: SparkSession, d: str) -> DataFrame:
     return scenery.large_lakes(table(spark, d, "part"), "p_brand", "p_retailprice", 1500.0, ["Brand#1", "Brand#2"]).select("p_partkey", "masked")
 
 
-@_query("select s_suppkey, s_suppkey * 7 % 400 - 200 between -90 and 90 and s_suppkey * 11 % 500 - 250 between -180 and 180 as good, s_suppkey * 7 % 400 - 200 between -90 and 89 and s_suppkey * 11 % 500 - 250 between -180 and 179 as tile, s_suppkey in (1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048) as power from supplier where s_suppkey < 4096")
+@_query("select s_suppkey, s_suppkey * 7 % 400 - 200 between -90 and 90 and s_suppkey * 11 % 500 - 250 between -180 and 180 as good, s_suppkey * 7 % 400 - 200 between -90 and 89 and s_suppkey * 11 % 500 - 250 between -180 and 179 as tile, s_suppkey > 0 and (s_suppkey & (s_suppkey - 1)) = 0 as power from supplier")
 def p19_p22_validation(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
     lat, lon = F.call_function("mod", k * 7, F.lit(400)) - 200, F.call_function("mod", k * 11, F.lit(500)) - 250
@@ -721,16 +818,39 @@ def j14_triangle_textures(spark: SparkSession, d: str) -> DataFrame:
     return scenery.triangle_textures(t, named, 10.0).select("id", "cell_x", "cell_y", "texture")
 
 
-@_query()
+_GROUPS = """
+    , hit as (select a.id as a, b.id as b from roads a join roads b on a.id <> b.id and a.xmin < b.xmax and b.xmin < a.xmax and a.ymin < b.ymax and b.ymin < a.ymax),
+    reach(id, other) as (select id, id from roads union select reach.id, hit.b from reach join hit on hit.a = reach.other),
+    roots as (select id, min(other) as root from reach group by 1)
+"""
+
+
+def _over_groups(query: str) -> str:
+    return with_tables("", "roads").rstrip().replace("with ", "with recursive ", 1) + _GROUPS + query
+
+
+@_query(_over_groups("select id, root from roots"))
 def j8_merge_overlapping(spark: SparkSession, d: str) -> DataFrame:
     return scenery.merge_overlapping(adapters.road_boxes(spark, d), 16.0)
 
 
-@_query()
+
+_DENSE = """
+    select l_orderkey, seq, part, round(x1 + coalesce(part / (n + 1.0) * (nx - x1), 0), 6) + 0.0 as x, round(y1 + coalesce(part / (n + 1.0) * (ny - y1), 0), 6) + 0.0 as y
+    from (
+        select *, greatest(coalesce(ceil(sqrt(pow(nx - x1, 2) + pow(ny - y1, 2)) / 20) - 1, 0), 0)::bigint as n
+        from (select l_orderkey, row_number() over w as seq, x1, y1, lead(x1) over w as nx, lead(y1) over w as ny from segments window w as (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, x2))
+    ), lateral (select unnest(range(n + 1)) as part)
+"""
+
+
+@_query(with_tables(_DENSE, "segments"))
 def f38_w7_densify(spark: SparkSession, d: str) -> DataFrame:
     s = adapters.segments(spark, d)
-    seq = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "x2"))
-    return scenery.densify(s.select("l_orderkey", seq.alias("seq"), F.col("x1").alias("x"), F.col("y1").alias("y")), ["l_orderkey"], "seq", 20.0)
+    seq = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "x2")).cast("long")
+    out = scenery.densify(s.select("l_orderkey", seq.alias("seq"), F.col("x1").alias("x"), F.col("y1").alias("y")), ["l_orderkey"], "seq", 20.0)
+    return out.select("l_orderkey", "seq", "part", _r(F.col("x")).alias("x"), _r(F.col("y")).alias("y"))
+
 
 
 @_query(with_tables("select vec_id, k, x, y from (select vec_id, k::int as k, (vec_id * 7 + k * 13) % 100 / 100.0 as x, (vec_id * 11 + k * 17) % 100 / 100.0 as y, px from rasters, range(5) t(k)) where px[(floor(y * 8) * 8 + floor(x * 8))::int + 1] >= 0.02", "rasters"))
@@ -771,12 +891,24 @@ def f55_weight_map(spark: SparkSession, d: str) -> DataFrame:
     return scenery.weight_map(boxes, 1001, 0.5)
 
 
-@_query()
+_LINES = """
+    with t as (select n_nationkey - 10 as lat, n_nationkey * 7 - 80 as lon from nation),
+    lines as (
+        select lat, lon, 'x' as axis, n * 16 as n, n * 16 / 8192.0 * 360 - 180 - lon as place from t, range(512) r(n)
+        union all
+        select lat, lon, 'y', n * 16, degrees(2 * atan(exp(pi() * (1 - 2 * n * 16 / 8192.0))) - pi() / 2) - lat from t, range(512) r(n)
+    )
+    select lat, lon, axis, n, round_even(place, 9) + 0.0 as "at" from lines where round_even(place, 9) between 0 and 1
+"""
+
+
+@_query(_LINES)
 def f64_ortho_lines(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("n_nationkey")
     return scenery.ortho_lines(table(spark, d, "nation").select((k - 10).alias("lat"), (k * 7 - 80).alias("lon")), 13)
 
 
+
 @_query("select p_size as relation, min(p_partkey) as ring, true as closed from part group by 1, p_partkey % 3")
 def j12_rings(spark: SparkSession, d: str) -> DataFrame:
     """Ways of a size and remainder in a circle: each ends where the next begins."""

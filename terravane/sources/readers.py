@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BUILDINGS = "tileBuildingsList array<struct<tile_x: int, tile_y: int, image_width: int, image_height: int, total_buildings: int, buildings: array<struct<id: int, center_x: double, center_y: double, width: double, height: double, rotation_degrees: double, confidence: double, class: string, corner_points: array<array<double>>>>>>"
@@ -52,17 +52,14 @@ def tile_metadata(spark: SparkSession, path: str) -> DataFrame:
     return m.select("global_min_elevation", "global_max_elevation", F.explode("tiles").alias("t")).select("global_min_elevation", "global_max_elevation", "t.*", F.concat_ws("_", "t.tile_x", "t.tile_y").alias("name"))
 
 
-def frame_data(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
-    """Headers and rows (file, line, values) of pipe-separated samples. The first line of a file names its columns;
-    rows of another length or with a cell that is no number go."""
-    lines = spark.read.text(path).where("trim(value) != ''").select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"), F.filter(F.transform(F.split("value", r"\|"), lambda x: F.trim(x)), lambda x: x != "").alias("cells"))
-    first = lines.orderBy("line").first()
-    if first is None:
-        raise ValueError(f"no rows in {path}")
-    headers = list(first["cells"])
-    numbers = F.transform("cells", lambda x: x.try_cast("double"))
-    rows = lines.where(F.size("cells") == len(headers)).select("file", "line", numbers.alias("values")).where(~F.exists("values", lambda x: x.isNull()))
-    return headers, rows
+def frame_data(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, headers, values) of pipe-separated samples. The first line of each file names its columns; rows of another
+    length or with a cell that is no number go. A file without lines has no rows."""
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
+    cells = whole.where("trim(text) != ''").select("file", "line", F.filter(F.transform(F.split("text", r"\|"), lambda x: F.trim(x)), lambda x: x != "").alias("cells"))
+    first = cells.groupBy("file").agg(F.min_by("cells", "line").alias("headers"), F.min("line").alias("top"))
+    rows = cells.join(first, "file").where((F.col("line") > F.col("top")) & (F.size("cells") == F.size("headers")))
+    return rows.select("file", "line", "headers", F.transform("cells", lambda x: x.try_cast("double")).alias("values")).where(~F.exists("values", lambda x: x.isNull()))
 
 
 def osm(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -86,25 +83,91 @@ def way_points(ways: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def without_tags(ways: DataFrame, keys: list[str]) -> DataFrame:
     """Ways that have none of the keys."""
-    return ways.where(~F.arrays_overlap(F.map_keys("tags"), F.array(*map(F.lit, keys)))) if keys else ways
+    return ways.where(~F.coalesce(F.arrays_overlap(F.map_keys("tags"), F.array(*map(F.lit, keys))), F.lit(False))) if keys else ways
 
 
 def mesh(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes (id from 1, five numbers) and triangles (id, three node ids, type) of a mesh text file: a version line, the
-    number of nodes, their lines, the number of triangles, their lines. A mesh describes one tile, of bounded size."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("at", "line"))
-    lines = lines.where("trim(line) != ''").withColumn("n", F.row_number().over(Window.orderBy("at")))
-    count = lines.where("n = 2").select(F.trim("line").cast("long").alias("nodes"))
-    placed = lines.crossJoin(F.broadcast(count)).withColumn("cells", F.split(F.trim("line"), r"\s+"))
-    nodes = placed.where("n > 2 and n <= nodes + 2").select((F.col("n") - 2).alias("id"), F.transform("cells", lambda x: x.cast("double")).alias("values"))
-    triangles = placed.where("n > nodes + 3").select((F.col("n") - F.col("nodes") - 3).alias("id"), F.transform("cells", lambda x: x.cast("long")).alias("values"))
-    return nodes, triangles.select("id", F.slice("values", 1, 3).alias("nodes"), F.element_at("values", 4).alias("type"))
-
-
-def _decode(kind: str):
+    """Nodes (file, id from 1, values: five numbers) and triangles (file, id, nodes, type) of mesh text files: a version line,
+    the number of nodes, their lines, the number of triangles, their lines."""
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "").alias("lines"))
+    counted = lines.withColumn("n", F.trim(F.col("lines")[1]).cast("int"))
+    cells = lambda x: F.split(F.trim(x), r"\s+")
+    nodes = counted.select("file", F.posexplode(F.slice("lines", F.lit(3), F.col("n"))).alias("at", "line"))
+    faces = counted.select("file", F.posexplode(F.slice("lines", F.col("n") + 4, F.greatest(F.size("lines") - F.col("n") - 3, F.lit(0)))).alias("at", "line"))
+    numbers = lambda t: F.transform(cells(F.col("line")), lambda x: x.cast(t))
+    triangles = faces.select("file", (F.col("at") + 1).cast("long").alias("id"), numbers("long").alias("values"))
+    return nodes.select("file", (F.col("at") + 1).cast("long").alias("id"), numbers("double").alias("values")), triangles.select("file", "id", F.slice("values", 1, 3).alias("nodes"), F.element_at("values", 4).alias("type"))
+
+
+def node_table(spark: SparkSession, path: str) -> DataFrame:
+    """(file, id, values) of .node and .ele files: a line of counts, and a numbered line for each row; # begins a comment."""
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"))
+    cells = lines.withColumn("cells", F.filter(F.split(F.trim(F.regexp_replace("line", "#.*$", "")), r"\s+"), lambda x: x != "")).where(F.size("cells") > 0)
+    first = cells.groupBy("file").agg(F.min("at").alias("top"))
+    rows = cells.join(first, "file").where("at > top")
+    return rows.select("file", F.col("cells")[0].cast("long").alias("id"), F.transform(F.slice("cells", F.lit(2), F.size("cells") - 1), lambda x: x.cast("double")).alias("values"))
+
+
+def heights(spark: SparkSession, path: str, kind: str, side: int | None = None, fine: bool = False) -> DataFrame:
+    """(path, lat, lon, height, width, px) of height files: hgt (big-endian, the first row in the north; ``fine`` brings 1201 a
+    side to 3601), raw (little-endian, the last row first) or bytes (unsigned, the last row first, 0 to 1). A degree's name in
+    the path, such as N37E036, gives its place; files that are no square are all 0, as is a missing tile."""
     from . import codecs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        from ..functions import kernels
+
+        for batch in batches:
+            for file, data in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
+                n = side or int(round((len(data) // 2) ** 0.5))
+                try:
+                    if kind == "hgt":
+                        grid = codecs.read_hgt(data, side)
+                    elif kind == "raw":
+                        grid = np.flipud(np.frombuffer(data, "<i2").reshape(n, n)).astype(np.float32)
+                    else:
+                        grid = codecs.read_heights(data, n, n)
+                except ValueError:
+                    grid = np.zeros((n, n))
+                if fine and len(grid) == 1201:
+                    grid = kernels.upsample(grid, 3)
+                values = pa.array(np.ravel(grid).astype(np.float64))
+                yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([grid.shape[0]], pa.int32()), pa.array([grid.shape[1]], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)], ["path", "height", "width", "px"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    out = files.mapInArrow(run, "path string, height int, width int, px array<double>")
+    name = F.regexp_extract(F.upper("path"), r"([NS]\d{2}[EW]\d{3})", 1)
+    degree = lambda a, b, minus: F.substring(name, a, b).try_cast("int") * F.when(F.substring(name, a - 1, 1) == minus, -1).otherwise(1)
+    return out.select("path", degree(2, 2, "S").alias("lat"), degree(5, 3, "W").alias("lon"), "height", "width", "px")
+
+
+def catalogue(spark: SparkSession, root: str) -> DataFrame:
+    """(path, lat, lon, layer, suffix) of a tree of local data: root/<lat>/<lon>/<layer>.<suffix>; other files are left out."""
+    pattern = r"/([+-]?\d+)/([+-]?\d+)/([a-z_]+)\.([a-z]+)$"
+    part = lambda k: F.regexp_extract("path", pattern, k)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path").where(F.col("path").rlike(pattern))
+    return files.select("path", part(1).cast("int").alias("lat"), part(2).cast("int").alias("lon"), part(3).alias("layer"), part(4).alias("suffix"))
+
+
+def local_heights(px: Column, scale: Column, offset: Column, nodata: Column) -> Column:
+    """A local elevation tile's pixels scaled and moved; nodata and the three values that often stand for it are -32768."""
+    # What elevation files use for no data.
+    void = lambda v: (v == nodata) | v.isin(32767.0, 65535.0, -9999.0)
+    return F.transform(px, lambda v: F.when(F.coalesce(void(v), F.lit(False)), F.lit(-32768.0)).otherwise(v * scale + offset))
+
+
+IMAGE = "path string, band int, row int, col int, height int, width int, transform array<double>, epsg int, nodata double, px array<double>"
+
+
+def _decode(kind: str, tile: int | None, overlap: int, fill: float, decimate: int, bands: int | None):
+    from . import codecs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        names = [x.split()[0] for x in IMAGE.split(", ")]
         for batch in batches:
             for path, data in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
                 if kind == "png":
@@ -113,15 +176,55 @@ def _decode(kind: str):
                 else:
                     tiff = codecs.Tiff(data)
                     planes, where, epsg, nodata = tiff.pixels, tiff.transform(), tiff.epsg, tiff.nodata
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(planes)), pa.array(range(len(planes)), pa.int32()), pa.array([planes.shape[1]] * len(planes), pa.int32()), pa.array([planes.shape[2]] * len(planes), pa.int32()), pa.array([where and list(where)] * len(planes), pa.list_(pa.float64())), pa.array([epsg] * len(planes), pa.int32()), pa.array([nodata] * len(planes), pa.float64()), pa.array([p.astype(float).ravel().tolist() for p in planes], pa.list_(pa.float64()))],
-                    ["path", "band", "height", "width", "transform", "epsg", "nodata", "px"],
-                )
+                if bands == 3:
+                    if len(planes) not in (1,) and len(planes) < 3:
+                        raise ValueError(f"{path}: {len(planes)} bands are neither one nor three")
+                    planes = planes[2::-1] if len(planes) >= 3 else planes  # blue first
+                if decimate > 1:
+                    planes = planes[:, ::decimate, ::decimate]
+                    where = where and (*where[:2], where[2] * decimate, where[3] * decimate)
+                height, width = planes.shape[1:]
+                step = tile or max(height, width)
+                for r in range(0, height, step):
+                    for c in range(0, width, step):
+                        h, w = (step + overlap,) * 2 if tile else (height, width)
+                        at = where and [where[0] + c * where[2], where[1] - r * where[3], where[2], where[3]]
+                        for k, p in enumerate(planes):
+                            part = np.full((h, w), fill, float)
+                            cut = p[r : r + h, c : c + w]
+                            part[: cut.shape[0], : cut.shape[1]] = cut
+                            values = pa.array(part.ravel())
+                            columns = [[path], [k], [r], [c], [h], [w], [at], [epsg], [nodata]]
+                            kinds = (pa.string(), *[pa.int32()] * 5, pa.list_(pa.float64()), pa.int32(), pa.float64())
+                            yield pa.RecordBatch.from_arrays([*(pa.array(v, t) for v, t in zip(columns, kinds, strict=True)), pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)], names)
 
     return run
 
 
-def images(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """A row for each band of PNG or GeoTIFF files (kind: png, tiff)."""
+def images(spark: SparkSession, path: str, kind: str, *, tile: int | None = None, overlap: int = 0, fill: float = 0.0, decimate: int = 1, bands: int | None = None) -> DataFrame:
+    """A row for each band of PNG or GeoTIFF files (kind: png, tiff), or for each of their windows of ``tile`` pixels, which take
+    ``overlap`` more to the right and below and hold ``fill`` beyond the image. ``decimate`` takes each so-manieth pixel.
+    ``bands`` 3 asks for a colour image (blue first) or a single band, and raises ValueError for any other."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(_decode(kind), "path string, band int, height int, width int, transform array<double>, epsg int, nodata double, px array<double>")
+    return files.mapInArrow(_decode(kind, tile, overlap, fill, decimate, bands), IMAGE)
+
+
+def image_bounds(df: DataFrame) -> DataFrame:
+    """``df`` with west, south, east and north of each row's window."""
+    t = F.col("transform")
+    return df.withColumns({"west": t[0], "north": t[1], "east": t[0] + F.col("width") * t[2], "south": t[1] - F.col("height") * t[3]})
+
+
+def occupancy(tiles: DataFrame, images_: DataFrame, keys: list[str], width: int, height: int) -> DataFrame:
+    """(keys, mask): whether any channel of a tile's image (keys, content) is set, 0 or 1 a pixel, by nearest pixels where sizes
+    differ; all 0 where there is no image."""
+    from . import codecs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            masks = [codecs.occupancy(x, width, height).astype("int32").ravel() for x in batch["content"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch[k] for k in keys), pa.array([m.tolist() for m in masks], pa.list_(pa.int32()))], [*keys, "mask"])
+
+    both = tiles.select(*keys).distinct().join(images_.select(*keys, "content"), keys, "left")
+    kinds = dict(both.dtypes)
+    return both.mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "mask array<int>"]))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import codecs
@@ -47,6 +47,14 @@ def join_overlays(definitions: DataFrame, keys: list[str]) -> DataFrame:
     return definitions.join(offset, [*keys, "layer"]).withColumn("joined", F.col("number") + F.col("offset")).drop("offset")
 
 
+def drop_named(definitions: DataFrame, rules: list[str]) -> DataFrame:
+    """Definitions (number, name) whose polygons are to go: a rule is a part of a name, or, after !, one that names must have."""
+    hit = F.lit(False)
+    for rule in rules:
+        hit = hit | (~F.col("name").contains(rule[1:]) if rule.startswith("!") else F.col("name").contains(rule))
+    return definitions.where(hit)
+
+
 def drop_blocks(lines: DataFrame, begin: str, kinds: list[int]) -> DataFrame:
     """Lines (file, n, line) of scenery text without the blocks whose begin command has one of these types."""
     block = F.sum(F.col("line").startswith(begin).cast("int")).over(Window.partitionBy("file").orderBy("n"))
@@ -77,13 +85,60 @@ def number_text(c: Column, decimals: int = 4) -> Column:
     return F.when(c.isNull() | F.isnan(c), "N/A").otherwise(F.format_string(f"%.{decimals}f", c))
 
 
+def plain_number(value: float | None, decimals: int = 4) -> str:
+    """The same for one number."""
+    return "N/A" if value is None or value != value else str(value) if isinstance(value, int) else f"{value:.{decimals}f}"
+
+
+def stamp(time: Column, file: bool = False) -> Column:
+    """A time as reports show it, or as file names carry it."""
+    return F.date_format(time, "yyyyMMdd_HHmmss" if file else "yyyy-MM-dd HH:mm:ss")
+
+
 def write_csv(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("errorifexists").option("header", True).csv(path)
 
 
-def write_osm(ways: DataFrame, path: str) -> None:
-    """Rows as XML elements."""
-    ways.write.format("xml").option("rowTag", "way").option("rootTag", "osm").save(path)
+def write_rows_csv(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """A report's rows as one CSV file, made by the driver; N/A where there is no number."""
+    import csv
+    import io
+
+    from .vectors import write_text
+
+    out = io.StringIO()
+    table = csv.writer(out, lineterminator="\n")
+    table.writerow(rows.columns)
+    for r in rows.collect():
+        table.writerow(["N/A" if v is None or v != v else v for v in r])
+    write_text(spark, path, out.getvalue().encode())
+
+
+def osm_rows(nodes: DataFrame, ways: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes (id, lon, lat) and ways (id, refs, tags) as rows of XML elements, coordinates to seven places."""
+    place = lambda c: F.format_string("%.7f", F.col(c).cast("double"))
+    tags = F.transform(F.array_sort(F.map_entries("tags")), lambda t: F.struct(t["key"].alias("_k"), t["value"].alias("_v")))
+    return nodes.select(F.col("id").alias("_id"), place("lat").alias("_lat"), place("lon").alias("_lon")), ways.select(F.col("id").alias("_id"), F.transform("refs", lambda r: F.struct(r.alias("_ref"))).alias("nd"), tags.alias("tag"))
+
+
+def write_osm(nodes: DataFrame, ways: DataFrame, path: str) -> None:
+    """Nodes and ways as XML elements, in folders of their names."""
+    for name, rows in zip(("node", "way"), osm_rows(nodes, ways), strict=True):
+        rows.write.format("xml").option("rowTag", name).option("rootTag", "osm").save(f"{path}/{name}")
+
+
+def forest_text(forests: DataFrame, keys: list[str]) -> DataFrame:
+    """A tile's forests: definitions in the order of their names, then each forest's shape (polygons of rings of lon, lat) with
+    its definition's number and density (0 to 255); a winding for each ring."""
+    number = F.dense_rank().over(Window.partitionBy(*keys).orderBy("forest")) - 1
+    point = lambda p: F.format_string("POLYGON_POINT %.8f %.8f", p[0], p[1])
+    winding = lambda ring: F.concat(F.lit("BEGIN_WINDING\n"), F.array_join(F.transform(F.slice(ring, F.lit(1), F.size(ring) - 1), point), "\n"), F.lit("\nEND_WINDING"))
+    one = lambda polygon: F.array_join(F.transform(polygon, winding), "\n")
+    named = forests.withColumn("n", number)
+    body = F.array_join(F.transform("shape", lambda p: F.concat(F.format_string("BEGIN_POLYGON %d %d 2\n", F.col("n"), F.col("density").cast("int")), one(p), F.lit("\nEND_POLYGON"))), "\n")
+    rows = named.select(*keys, F.struct(F.lit(0).alias("kind"), F.col("n").cast("long").alias("at"), F.concat(F.lit("POLYGON_DEF "), "forest").alias("text")).alias("r")).distinct()
+    rows = rows.unionByName(named.select(*keys, F.struct(F.lit(1).alias("kind"), F.col("id").cast("long").alias("at"), body.alias("text")).alias("r")))
+    return rows.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["text"]), "\n").alias("text"))
 
 
 def _images(kind: str, width: int):
