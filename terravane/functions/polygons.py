@@ -274,7 +274,7 @@ def _moved(ring: np.ndarray, by: float, quarter: int) -> np.ndarray | None:
     normal = np.column_stack([d[:, 1], -d[:, 0]])
     out = []
     for p, m, n in zip(ring, np.roll(normal, 1, axis=0), normal, strict=True):
-        turn = math.atan2(m[0] * n[1] - m[1] * n[0], m @ n)
+        turn = math.pi if m @ n < -1 + 1e-12 else math.atan2(m[0] * n[1] - m[1] * n[0], m @ n)  # back again: around the end
         if turn >= 0:
             t = math.atan2(m[1], m[0]) + turn * np.linspace(0, 1, max(1, math.ceil(turn / (math.pi / 2) * quarter - 1e-9)) + 1)
             out.append(p + by * np.column_stack([np.cos(t), np.sin(t)]))
@@ -297,8 +297,7 @@ def buffer(shape: Shape, by: float, quarter: int = QUARTER) -> Shape:
 
 def buffer_line(line: np.ndarray, by: float, quarter: int = QUARTER) -> Shape:
     """All places within a distance of a line with round ends."""
-    there_and_back = np.concatenate([line, line[-2:0:-1]]) if len(line) > 1 else line
-    if len(there_and_back) < 2 or not (there_and_back != there_and_back[0]).any():
+    if not (line != line[0]).any():
         t = np.arange(4 * quarter) * math.pi / 2 / quarter
         return [[line[0] + by * np.column_stack([np.cos(t), np.sin(t)])]]
     parts = []

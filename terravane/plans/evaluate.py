@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geodesy, polygons
@@ -58,15 +58,19 @@ class Evaluation:
         return "\n".join([*lines, "", "=" * 70, "  END OF REPORT", "=" * 70, ""])
 
 
+def _moved(shape: str, source: int, target: int) -> Column:
+    point = lambda p: F.array(*geodesy.reproject(p[0], p[1], source, target))
+    return F.transform(shape, lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, point)))
+
+
 def reprojected(features: DataFrame, epsg: int) -> DataFrame:
     """Feature rows in another coordinate system; rows of unknown systems raise ValueError."""
     known = [r["epsg"] for r in features.select("epsg").distinct().collect()]  # a row for each coordinate system
     if None in known:
         raise ValueError("a layer has no coordinate system")
-    point = lambda p, code: F.array(*geodesy.reproject(p[0], p[1], code, epsg))
     moved = F.lit(None).cast(shapes.SHAPE)
     for code in known:
-        moved = F.when(F.col("epsg") == code, F.transform("shape", lambda s, c=code: F.transform(s, lambda r: F.transform(r, lambda p: point(p, c))))).otherwise(moved)
+        moved = F.when(F.col("epsg") == code, _moved("shape", code, epsg)).otherwise(moved)
     return features.withColumns({"shape": moved, "epsg": F.lit(epsg)})
 
 

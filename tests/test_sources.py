@@ -36,12 +36,17 @@ def test_json_sources(spark, tmp_path):
 
 def test_frame_data(spark, tmp_path):
     path = _write(tmp_path / "Data.txt", "f-act,_/sec | _time |\n\n 30.0 | 1 |\n bad | 2 |\n 40 | 3 | 4 |\n 50 | 5 |\n0|6|\n")
-    headers, rows = readers.frame_data(spark, path)
+    rows = readers.frame_data(spark, path)
+    headers = rows.first().headers
     assert headers == ["f-act,_/sec", "_time"] and frames.fps_column(headers) == headers[0]
-    s = frames.fps_summary(rows.select(F.element_at("values", 1).alias("fps")), "fps").first()
+    s = frames.fps_summary(frames.positive_rates(rows, headers), "fps").first()
     assert (s.sample_count, s.average_fps, s.one_percent_low_fps, s.min_fps, s.max_fps) == (2, 40.0, 30.0, 30.0, 50.0)
     with pytest.raises(ValueError):
         frames.fps_column(["time"])
+    assert frames.fps_column(["disk,_KB/sec", "f-act,_/sec"]) == "f-act,_/sec" and frames.fps_column(["fpsx", "Frame  time rate"]) == "Frame  time rate" and frames.fps_column(["my_FPS"]) == "my_FPS"
+    _write(tmp_path / "Data2.txt", "_time | frame rate |\n1 | 20 |\n")
+    both = readers.frame_data(spark, str(tmp_path / "Data*.txt")).select("headers").distinct().collect()
+    assert sorted(r.headers for r in both) == [["_time", "frame rate"], ["f-act,_/sec", "_time"]]
 
 
 def test_osm(spark, tmp_path):
@@ -57,7 +62,12 @@ def test_mesh(spark, tmp_path):
     path = _write(tmp_path / "t.mesh", "1.3\n3\n0 0 0 0 0\n1 0 0 0 0\n0 1 0.5 0 0\n1\n1 2 3 6\n")
     nodes, triangles = readers.mesh(spark, path)
     assert [r["values"][2] for r in nodes.orderBy("id").collect()] == [0.0, 0.0, 0.5]
-    assert [tuple(r) for r in triangles.collect()] == [(1, [1, 2, 3], 6)]
+    assert [tuple(r)[1:] for r in triangles.collect()] == [(1, [1, 2, 3], 6)]
+    _write(tmp_path / "u.mesh", "1.3\n2\n5 5 1 0 0\n6 6 2 0 0\n1\n1 2 1 7\n")
+    nodes, triangles = readers.mesh(spark, str(tmp_path / "*.mesh"))
+    assert sorted((r.file[-6:], r.id, r["values"][2]) for r in nodes.collect()) == [("t.mesh", 1, 0.0), ("t.mesh", 2, 0.0), ("t.mesh", 3, 0.5), ("u.mesh", 1, 1.0), ("u.mesh", 2, 2.0)]
+    path = _write(tmp_path / "t.1.ele", "# made\n2 3 0\n1 7 8 9\n2 8 9 10 # end\n")
+    assert [(r.id, r["values"]) for r in readers.node_table(spark, path).orderBy("id").collect()] == [(1, [7.0, 8.0, 9.0]), (2, [8.0, 9.0, 10.0])]
 
 
 def test_images(spark, tmp_path):
@@ -68,6 +78,35 @@ def test_images(spark, tmp_path):
         r = readers.images(spark, str(tmp_path / f"a.{kind[:3]}"), kind).first()
         assert (r.height, r.width, r.px) == (3, 4, list(map(float, range(12))))
     assert r.epsg == 4326 and r.transform == [1.0, 2.0, 0.5, 0.5]
+    windows = readers.images(spark, str(tmp_path / "a.tif"), "tiff", tile=2, overlap=1, fill=-1.0).orderBy("row", "col").collect()
+    assert [(w.row, w.col, w.height, w.width) for w in windows] == [(0, 0, 3, 3), (0, 2, 3, 3), (2, 0, 3, 3), (2, 2, 3, 3)]
+    assert windows[0].px == [0, 1, 2, 4, 5, 6, 8, 9, 10] and windows[3].px == [10, 11, -1, -1, -1, -1, -1, -1, -1] and windows[3].transform == [2.0, 1.0, 0.5, 0.5]
+    few = readers.images(spark, str(tmp_path / "a.tif"), "tiff", decimate=2).first()
+    assert few.px == [0, 2, 8, 10] and few.transform[2] == 1.0
+    b = readers.image_bounds(readers.images(spark, str(tmp_path / "a.tif"), "tiff", bands=3)).first()
+    assert (b.west, b.north, b.east, b.south) == (1.0, 2.0, 3.0, 0.5)
+    (tmp_path / "two.tif").write_bytes(codecs.write_tiff(np.zeros((2, 2, 2), np.uint8)))
+    with pytest.raises(Exception, match="neither one nor three"):
+        readers.images(spark, str(tmp_path / "two.tif"), "tiff", bands=3).collect()
+    tiles_ = spark.createDataFrame([(0,), (1,)], "tile int")
+    masks = readers.occupancy(tiles_, spark.createDataFrame([(0, codecs.write_png(image))], "tile int, content binary"), ["tile"], 4, 3).orderBy("tile").collect()
+    assert [m.mask for m in masks] == [[0] + [1] * 11, [0] * 12]
+
+
+def test_heights_and_catalogue(spark, tmp_path):
+    grid = np.arange(9, dtype=">i2").reshape(3, 3)
+    (tmp_path / "N37E036.hgt").write_bytes(grid.tobytes())
+    (tmp_path / "S01W002.hgt").write_bytes(b"123")
+    rows = {(r.lat, r.lon): r.px for r in readers.heights(spark, str(tmp_path / "*.hgt"), "hgt").collect()}
+    assert rows[(37, 36)] == list(map(float, range(9))) and set(rows[(-1, -2)]) <= {0.0}
+    (tmp_path / "a.raw").write_bytes(grid.astype("<i2").tobytes())
+    assert readers.heights(spark, str(tmp_path / "a.raw"), "raw").first().px == [6, 7, 8, 3, 4, 5, 0, 1, 2]
+    for layer in ("dem.tif", "water.shp", "notes"):
+        (tmp_path / "root" / "37" / "-36").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "root" / "37" / "-36" / layer).write_bytes(b"x")
+    assert sorted(tuple(r)[1:] for r in readers.catalogue(spark, str(tmp_path / "root")).collect()) == [(37, -36, "dem", "tif"), (37, -36, "water", "shp")]
+    px = spark.createDataFrame([([1.0, -9999.0, 32767.0, 5.0],)], "px array<double>")
+    assert px.select(readers.local_heights(F.col("px"), F.lit(2.0), F.lit(1.0), F.lit(5.0)).alias("h")).first().h == [3.0, -32768.0, -32768.0, -32768.0]
 
 
 def test_scenery_text(spark):
