@@ -22,7 +22,11 @@ _R = 6378137.0
 # --- geodesy and names ------------------------------------------------------------------------------------------------
 
 
-@_query(with_tables(f"select {_K}, round(0.5 * pi() * {_R} / 180 * cos(radians(lat)), 4) + 0.0 as east, round(0.25 * pi() * {_R} / 180, 4) + 0.0 as north, round(0.5 * 111320.0 * cos(radians(lat)), 4) + 0.0 as road_east, (round(0.25 * 110540.0, 4) + 0.0)::double as road_north from places", "places"))
+@_query(with_tables(f"""
+    select {_K}, round(0.5 * pi() * {_R} / 180 * cos(radians(lat)), 4) + 0.0 as east, round(0.25 * pi() * {_R} / 180, 4) + 0.0 as north, round(0.5 *
+    111320.0 * cos(radians(lat)), 4) + 0.0 as road_east, (round(0.25 * 110540.0, 4) + 0.0)::double as road_north
+    from places
+    """, "places"))
 def f1_f2_metres(spark: SparkSession, d: str) -> DataFrame:
     p = adapters.places(spark, d)
     e, n = geodesy.degrees_to_metres(F.col("lat"), F.lit(0.5), F.lit(0.25))
@@ -30,7 +34,11 @@ def f1_f2_metres(spark: SparkSession, d: str) -> DataFrame:
     return p.select(*KEY, _r(e, 4).alias("east"), _r(n, 4).alias("north"), _r(re, 4).alias("road_east"), _r(rn, 4).alias("road_north"))
 
 
-@_query(with_tables(f"select {_K}, round(2 * {_R} * atan2(sqrt(a), sqrt(greatest(1 - a, 0.0))), 3) + 0.0 as metres from (select *, pow(sin(radians(41.0 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(41.0)) * pow(sin(radians(29.0 - lon) / 2), 2) as a from places)", "places"))
+@_query(with_tables(f"""
+    select {_K}, round(2 * {_R} * atan2(sqrt(a), sqrt(greatest(1 - a, 0.0))), 3) + 0.0 as metres
+    from (select *, pow(sin(radians(41.0 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(41.0)) * pow(sin(radians(29.0 - lon) / 2), 2) as a
+    from places)
+    """, "places"))
 def f3_haversine(spark: SparkSession, d: str) -> DataFrame:
     p = adapters.places(spark, d)
     return p.select(*KEY, _r(geodesy.haversine(F.col("lat"), F.col("lon"), F.lit(41.0), F.lit(29.0)), 3).alias("metres"))
@@ -42,7 +50,11 @@ def f4_pixel_size(spark: SparkSession, d: str) -> DataFrame:
     return p.select(*KEY, _r(geodesy.mercator_pixel_size(F.col("lat"), F.col("l_linenumber") + 10)).alias("metres"))
 
 
-@_query(with_tables(f"select {_K}, l_partkey % 4096 as x, l_suppkey % 4096 as y, round(degrees(2 * atan(exp(pi() * (1 - 2 * (l_suppkey % 4096) / 4096.0))) - pi() / 2), 7) + 0.0 as lat, round((l_partkey % 4096) / 4096.0 * 360 - 180, 7) + 0.0 as lon from places", "places"))
+@_query(with_tables(f"""
+    select {_K}, l_partkey % 4096 as x, l_suppkey % 4096 as y, round(degrees(2 * atan(exp(pi() * (1 - 2 * (l_suppkey % 4096) / 4096.0))) - pi() / 2), 7) +
+    0.0 as lat, round((l_partkey % 4096) / 4096.0 * 360 - 180, 7) + 0.0 as lon
+    from places
+    """, "places"))
 def f5_tile_to_lat_lon(spark: SparkSession, d: str) -> DataFrame:
     p = adapters.places(spark, d).withColumns({"x": F.call_function("mod", F.col("l_partkey"), F.lit(4096)), "y": F.call_function("mod", F.col("l_suppkey"), F.lit(4096))})
     lat, lon = geodesy.tile_to_lat_lon(F.col("x"), F.col("y"), F.lit(12))
@@ -52,7 +64,11 @@ def f5_tile_to_lat_lon(spark: SparkSession, d: str) -> DataFrame:
 _UY = "(1 - ln(tan(radians(lat)) + 1 / cos(radians(lat))) / pi()) / 2"
 
 
-@_query(with_tables(f"select {_K}, px as pixel_x, py as pixel_y, px // 256 as tile_x, py // 256 as tile_y, trunc((lon + 180) / 360 * pow(2, 10))::bigint * 16 as ortho_x, trunc(uy * pow(2, 10))::bigint * 16 as ortho_y from (select *, round_even((lon + 180) / 360 * pow(2, 22), 0)::bigint as px, round_even(uy * pow(2, 22), 0)::bigint as py from (select *, {_UY} as uy from places))", "places"))
+@_query(with_tables(f"""
+    select {_K}, px as pixel_x, py as pixel_y, px // 256 as tile_x, py // 256 as tile_y, trunc((lon + 180) / 360 * pow(2, 10))::bigint * 16 as ortho_x,
+    trunc(uy * pow(2, 10))::bigint * 16 as ortho_y from (select *, round_even((lon + 180) / 360 * pow(2, 22), 0)::bigint as px, round_even(uy * pow(2,
+    22), 0)::bigint as py from (select *, {_UY} as uy from places))
+    """, "places"))
 def f6_lat_lon_to_tile(spark: SparkSession, d: str) -> DataFrame:
     p, z = adapters.places(spark, d), F.lit(14)
     px, py = geodesy.lat_lon_to_pixel(F.col("lat"), F.col("lon"), z)
@@ -67,21 +83,30 @@ def f7_quadkey(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", geodesy.quadkey(F.col("p_partkey"), F.call_function("mod", F.col("p_partkey") * 7, F.lit(1024)), F.lit(10)).alias("quadkey"))
 
 
-@_query(with_tables(f"select {_K}, round(least(1.0, greatest(0.0, ((lon + 180) / 360 * 16384 - 8192) / 16)), 6) + 0.0 as s, round(least(1.0, greatest(0.0, 1 - ({_UY} * 16384 - 8192) / 16)), 6) + 0.0 as t from places", "places"))
+@_query(with_tables(f"""
+    select {_K}, round(least(1.0, greatest(0.0, ((lon + 180) / 360 * 16384 - 8192) / 16)), 6) + 0.0 as s, round(least(1.0, greatest(0.0, 1 - ({_UY} *
+    16384 - 8192) / 16)), 6) + 0.0 as t from places
+    """, "places"))
 def f8_texture_coordinate(spark: SparkSession, d: str) -> DataFrame:
     p = adapters.places(spark, d)
     s, t = geodesy.texture_coordinate(F.col("lat"), F.col("lon"), F.lit(8192), F.lit(8192), F.lit(14))
     return p.select(*KEY, _r(s).alias("s"), _r(t).alias("t"))
 
 
-@_query("select p_partkey, round_even(41.5::double - 0.0005::double * p_size, 8) + 0.0 as lat, round_even(29.25::double + 0.0005::double * (p_partkey % 1000), 8) + 0.0 as lon from part")
+@_query("""
+    select p_partkey, round_even(41.5::double - 0.0005::double * p_size, 8) + 0.0 as lat, round_even(29.25::double + 0.0005::double * (p_partkey % 1000),
+    8) + 0.0 as lon from part
+    """)
 def f9_affine(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
     lat, lon = geodesy.affine_to_world(F.call_function("mod", F.col("p_partkey"), F.lit(1000)), F.col("p_size"), F.lit(0.0005), F.lit(0.0), F.lit(29.25), F.lit(0.0), F.lit(-0.0005), F.lit(41.5))
     return p.select("p_partkey", (lat + 0.0).alias("lat"), (lon + 0.0).alias("lon"))
 
 
-@_query(with_tables(f"select {_K}, round(radians(lon) * {_R}, 3) + 0.0 as x, round(ln(tan(radians(lat)) + 1 / cos(radians(lat))) * {_R}, 3) + 0.0 as y, round(lat, 6) + 0.0 as lat, round(lon, 6) + 0.0 as lon from places", "places"))
+@_query(with_tables(f"""
+    select {_K}, round(radians(lon) * {_R}, 3) + 0.0 as x, round(ln(tan(radians(lat)) + 1 / cos(radians(lat))) * {_R}, 3) + 0.0 as y, round(lat, 6) + 0.0
+    as lat, round(lon, 6) + 0.0 as lon from places
+    """, "places"))
 def f10_mercator(spark: SparkSession, d: str) -> DataFrame:
     p = adapters.places(spark, d)
     x, y = geodesy.to_mercator(F.col("lat"), F.col("lon"))
@@ -120,13 +145,22 @@ def f10_utm(spark: SparkSession, d: str) -> DataFrame:
 _SIGNED = lambda v, n: f"(case when {v} < 0 then '-' else '+' end || lpad(abs({v})::int::varchar, {n}, '0'))"
 
 
-@_query(with_tables(f"select {_K}, {_SIGNED('floor(lat)', 2)} || {_SIGNED('floor(lon)', 3)} as tile, {_SIGNED('floor(lat / 10) * 10', 2)} || {_SIGNED('floor(lon / 10) * 10', 3)} as folder, (case when floor(lat) < 0 then 'S' else 'N' end) || lpad(abs(floor(lat))::int::varchar, 2, '0') || (case when floor(lon) < 0 then 'W' else 'E' end) || lpad(abs(floor(lon))::int::varchar, 3, '0') as hemisphere, {_SIGNED('floor(lat / 10) * 10', 2)} || {_SIGNED('floor(lon / 10) * 10', 3)} || '/' || {_SIGNED('floor(lat)', 2)} || {_SIGNED('floor(lon)', 3)} || '.dsf' as path from places", "places"))
+@_query(with_tables(f"""
+    select {_K}, {_SIGNED('floor(lat)', 2)} || {_SIGNED('floor(lon)', 3)} as tile, {_SIGNED('floor(lat / 10) * 10', 2)} ||
+    {_SIGNED('floor(lon / 10) * 10', 3)} as folder, (case when floor(lat) < 0 then 'S' else 'N' end) || lpad(abs(floor(lat))::int::varchar, 2, '0') ||
+    (case when floor(lon) < 0 then 'W' else 'E' end) || lpad(abs(floor(lon))::int::varchar, 3, '0') as hemisphere, {_SIGNED('floor(lat / 10) * 10', 2)} ||
+    {_SIGNED('floor(lon / 10) * 10', 3)} || '/' || {_SIGNED('floor(lat)', 2)} || {_SIGNED('floor(lon)', 3)} || '.dsf' as path
+    from places
+    """, "places"))
 def f11_f12_names(spark: SparkSession, d: str) -> DataFrame:
     p, lat, lon = adapters.places(spark, d), F.col("lat"), F.col("lon")
     return p.select(*KEY, geodesy.tile_name(lat, lon).alias("tile"), geodesy.folder_name(lat, lon).alias("folder"), geodesy.hemisphere_name(lat, lon).alias("hemisphere"), geodesy.tile_path(lat, lon).alias("path"))
 
 
-@_query("select p_partkey, least(12.0, greatest(1.0, round_even(p_size / 1.5 / 10, 0))) * 3.5 as height, case when p_retailprice < 100 then 'small' when p_retailprice < 800 then 'medium' else 'large' end as bucket from part")
+@_query("""
+    select p_partkey, least(12.0, greatest(1.0, round_even(p_size / 1.5 / 10, 0))) * 3.5 as height, case when p_retailprice < 100 then 'small' when
+    p_retailprice < 800 then 'medium' else 'large' end as bucket from part
+    """)
 def f14_p3_buildings(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
     return p.select("p_partkey", geodesy.building_height(F.col("p_size") / 1.5, F.lit(None).cast("double")).alias("height"), features.size_bucket(F.col("p_retailprice")).alias("bucket"))
@@ -178,26 +212,45 @@ def j1_w1_matches(spark: SparkSession, d: str) -> DataFrame:
     return _matches(spark, d).select("gt_idx", "pred_idx", F.round("iou", 9).alias("iou"), "gt_area", "pred_area")
 
 
-@_query(_over_boxes("select g as n_gt, p as n_pred, m as tp, p - m as fp, g - m as fn, round(m / g, 9) as completeness, round(m / p, 9) as correctness, round(m / (g + p - m), 9) as quality from (select (select count(*) from truth) as g, (select count(*) from found) as p, (select count(*) from matches) as m)"))
+@_query(_over_boxes("""
+    select g as n_gt, p as n_pred, m as tp, p - m as fp, g - m as fn, round(m / g, 9) as completeness, round(m / p, 9) as correctness, round(m / (g + p -
+    m), 9) as quality from (select (select count(*) from truth) as g, (select count(*)
+    from found) as p, (select count(*) from matches) as m)
+    """))
 def a3_object_metrics(spark: SparkSession, d: str) -> DataFrame:
     m = evaluation.object_metrics(adapters.truth_boxes(spark, d), adapters.found_boxes(spark, d), _matches(spark, d))
     return m.select("n_gt", "n_pred", "tp", "fp", "fn", *(F.round(c, 9).alias(c) for c in ("completeness", "correctness", "quality")))
 
 
-@_query(_over_boxes("select round(th, 2) as threshold, round(sum(best) / 101, 6) as ap from (select th, s, coalesce((select max(pr) from (select tp / g as rc, tp / (n + 1e-9) as pr from (select sum((m.iou >= th)::int) over (order by iou desc, gt_idx) as tp, row_number() over (order by iou desc, gt_idx) as n, (select count(*) from truth)::double as g from matches m)) where rc * 100 + 1e-9 >= s), 0) as best from (select unnest([0.3, 0.4, 0.5, 0.6, 0.7, 0.8])::double as th), (select unnest(range(101)) as s)) group by th"))
+@_query(_over_boxes("""
+    select round(th, 2) as threshold, round(sum(best) / 101, 6) as ap
+    from (select th, s, coalesce((select max(pr) from (select tp / g as rc, tp / (n + 1e-9) as pr
+    from (select sum((m.iou >= th)::int) over (order by iou desc, gt_idx) as tp, row_number() over (order by iou desc, gt_idx) as n, (select count(*)
+    from truth)::double as g from matches m)) where rc * 100 + 1e-9 >= s), 0) as best
+    from (select unnest([0.3, 0.4, 0.5, 0.6, 0.7, 0.8])::double as th), (select unnest(range(101)) as s))
+    group by th
+    """))
 def a4_w2_w3_average_precision(spark: SparkSession, d: str) -> DataFrame:
     n = adapters.truth_boxes(spark, d).count()
     ap = evaluation.average_precision(_matches(spark, d), n, [0.3, 0.4, 0.5, 0.6, 0.7, 0.8])
     return ap.select(F.round("threshold", 2).alias("threshold"), _r(F.col("ap")).alias("ap"))
 
 
-@_query(_over_boxes("select round(avg(iou), 6) as mean, round(quantile_cont(iou, 0.5), 6) as median, round(stddev_pop(iou), 6) as std, round(quantile_cont(iou, 0.75) - quantile_cont(iou, 0.25), 6) as iqr, round(stddev_pop(iou) / avg(iou), 6) as cv, round(min(iou), 6) as min, round(max(iou), 6) as max, round(min(iou), 6) as worst from matches"))
+@_query(_over_boxes("""
+    select round(avg(iou), 6) as mean, round(quantile_cont(iou, 0.5), 6) as median, round(stddev_pop(iou), 6) as std, round(quantile_cont(iou, 0.75) -
+    quantile_cont(iou, 0.25), 6) as iqr, round(stddev_pop(iou) / avg(iou), 6) as cv, round(min(iou), 6) as min, round(max(iou), 6) as max, round(min(iou),
+    6) as worst from matches
+    """))
 def a5_stats_summary(spark: SparkSession, d: str) -> DataFrame:
     s = evaluation.stats_summary(_matches(spark, d), "iou")
     return s.select(*(_r(F.col(c)).alias(c) for c in s.columns))
 
 
-@_query(_over_boxes("select round(avg(e), 6) as mean_abs, round(quantile_cont(e, 0.5), 6) as median_abs, round(avg(e / (gt_area + 1e-9)), 6) as mean_rel, round(stddev_pop(s), 6) as std from (select abs(pred_area - gt_area) as e, pred_area - gt_area as s, gt_area from matches)"))
+@_query(_over_boxes("""
+    select round(avg(e), 6) as mean_abs, round(quantile_cont(e, 0.5), 6) as median_abs, round(avg(e / (gt_area + 1e-9)), 6) as mean_rel,
+    round(stddev_pop(s), 6) as std from (select abs(pred_area - gt_area) as e, pred_area - gt_area as s, gt_area
+    from matches)
+    """))
 def a6_area_errors(spark: SparkSession, d: str) -> DataFrame:
     s = evaluation.area_errors(_matches(spark, d))
     return s.select(*(_r(F.col(c)).alias(c) for c in s.columns))
@@ -236,12 +289,18 @@ def x2_false_objects(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.false_objects(adapters.truth_boxes(spark, d), adapters.found_boxes(spark, d), m)
 
 
-@_query(with_tables("select id, xmin, ymin, xmax, ymax from truth t where not exists (select 1 from roads r where least(t.xmax, r.xmax) > greatest(t.xmin, r.xmin) and least(t.ymax, r.ymax) > greatest(t.ymin, r.ymin))", "truth", "roads"))
+@_query(with_tables("""
+    select id, xmin, ymin, xmax, ymax from truth t where not exists (select 1
+    from roads r where least(t.xmax, r.xmax) > greatest(t.xmin, r.xmin) and least(t.ymax, r.ymax) > greatest(t.ymin, r.ymin))
+    """, "truth", "roads"))
 def j2_without_collisions(spark: SparkSession, d: str) -> DataFrame:
     return spatial.without_collisions(adapters.truth_boxes(spark, d), adapters.road_boxes(spark, d), "id", 16.0)
 
 
-@_query(with_tables("select id, greatest(xmin, 30.0) as xmin, greatest(ymin, 20.0) as ymin, least(xmax, 300.0) as xmax, least(ymax, 200.0) as ymax from truth where least(xmax, 300.0) > greatest(xmin, 30.0) and least(ymax, 200.0) > greatest(ymin, 20.0)", "truth"))
+@_query(with_tables("""
+    select id, greatest(xmin, 30.0) as xmin, greatest(ymin, 20.0) as ymin, least(xmax, 300.0) as xmax, least(ymax, 200.0) as ymax
+    from truth where least(xmax, 300.0) > greatest(xmin, 30.0) and least(ymax, 200.0) > greatest(ymin, 20.0)
+    """, "truth"))
 def x4_p13_clip(spark: SparkSession, d: str) -> DataFrame:
     b = adapters.truth_boxes(spark, d)
     cut = b.select("id", F.greatest("xmin", F.lit(30.0)).alias("xmin"), F.greatest("ymin", F.lit(20.0)).alias("ymin"), F.least("xmax", F.lit(300.0)).alias("xmax"), F.least("ymax", F.lit(200.0)).alias("ymax"))
@@ -266,19 +325,32 @@ def p12_inside_tile(spark: SparkSession, d: str) -> DataFrame:
 # --- frames -----------------------------------------------------------------------------------------------------------
 
 
-@_query(with_tables("select event_type, count(*) as sample_count, round(avg(fps), 6) as average_fps, list_sort(list(fps))[greatest(0, least(count(*) - 1, floor(count(*) * 0.01::double)))::int + 1] as one_percent_low_fps, min(fps) as min_fps, max(fps) as max_fps from frames where fps > 0 group by 1", "frames"))
+@_query(with_tables("""
+    select event_type, count(*) as sample_count, round(avg(fps), 6) as average_fps, list_sort(list(fps))[greatest(0, least(count(*) - 1, floor(count(*) *
+    0.01::double)))::int + 1] as one_percent_low_fps, min(fps) as min_fps, max(fps) as max_fps
+    from frames where fps > 0 group by 1
+    """, "frames"))
 def a13_p14_fps_summary(spark: SparkSession, d: str) -> DataFrame:
     s = frames.fps_summary(adapters.frames(spark, d), "fps", ("event_type",))
     return s.withColumn("average_fps", _r(F.col("average_fps")))
 
 
-@_query(with_tables("select event_type, count(*) as frames, round(count(*) / sum(dt), 6) as average_fps, round(1 / avg(case when k <= ceil(n * 0.01) then dt end), 6) as one_percent_low_fps, round(1 / max(dt), 6) as min_fps, round(1 / min(dt), 6) as max_fps from (select event_type, dt, row_number() over (partition by event_type order by dt desc, ts, event_id) as k, count(*) over (partition by event_type) as n from frames where dt > 0) group by 1", "frames"))
+@_query(with_tables("""
+    select event_type, count(*) as frames, round(count(*) / sum(dt), 6) as average_fps, round(1 / avg(case when k <= ceil(n * 0.01) then dt end), 6) as
+    one_percent_low_fps, round(1 / max(dt), 6) as min_fps, round(1 / min(dt), 6) as max_fps
+    from (select event_type, dt, row_number() over (partition by event_type order by dt desc, ts, event_id) as k, count(*) over (partition by event_type)
+    as n from frames where dt > 0) group by 1
+    """, "frames"))
 def a14_o2_recorder(spark: SparkSession, d: str) -> DataFrame:
     s = frames.recorder_summary(adapters.frames(spark, d), "dt", ("event_type",))
     return s.select("event_type", "frames", *(_r(F.col(c)).alias(c) for c in ("average_fps", "one_percent_low_fps", "min_fps", "max_fps")))
 
 
-@_query(with_tables("select event_type, count(*) as frames, round(sum(fps), 4) as total from (select *, sum(dt) over (partition by event_type order by ts, event_id rows unbounded preceding) as elapsed from frames) where elapsed >= 3 and elapsed < 13 group by 1", "frames"))
+@_query(with_tables("""
+    select event_type, count(*) as frames, round(sum(fps), 4) as total
+    from (select *, sum(dt) over (partition by event_type order by ts, event_id rows unbounded preceding) as elapsed
+    from frames) where elapsed >= 3 and elapsed < 13 group by 1
+    """, "frames"))
 def t2_t3_after_warm_up(spark: SparkSession, d: str) -> DataFrame:
     kept = frames.after_warm_up(adapters.frames(spark, d), "dt", ("ts", "event_id"), 3.0, 10.0, ("event_type",))
     return kept.groupBy("event_type").agg(F.count("*").alias("frames"), _r(F.sum("fps"), 4).alias("total"))
@@ -310,13 +382,21 @@ def p8_tile_names(spark: SparkSession, d: str) -> DataFrame:
 _GRID = "select p_partkey, p_size as r, p_partkey % 50 as c from part"
 
 
-@_query(f"select p_partkey, r, c from ({_GRID}), (select min(p_size) as r0, max(p_size) as r1, min(p_partkey % 50) as c0, max(p_partkey % 50) as c1 from part) where c < c0 + (c1 - c0 + 1) / 2 and r >= r0 + (r1 - r0 + 1) / 2")
+@_query(f"""
+    select p_partkey, r, c from ({_GRID}), (select min(p_size) as r0, max(p_size) as r1, min(p_partkey % 50) as c0, max(p_partkey % 50) as c1
+    from part) where c < c0 + (c1 - c0 + 1) / 2 and r >= r0 + (r1 - r0 + 1) / 2
+    """)
 def p9_south_west(spark: SparkSession, d: str) -> DataFrame:
     grid = table(spark, d, "part").select("p_partkey", F.col("p_size").alias("r"), F.call_function("mod", F.col("p_partkey"), F.lit(50)).alias("c"))
     return tiles.south_west(grid, "r", "c")
 
 
-@_query("select g.tile_x, g.tile_y, coalesce(n, 0) as buildings, coalesce(q, 0.0) as pixels from (select distinct p_size::bigint as tile_x, p_partkey % 10 as tile_y from part) g left join (select l_partkey % 60 as tile_x, l_suppkey % 12 as tile_y, count(*) as n, sum(l_quantity) as q from lineitem where l_returnflag = 'R' group by 1, 2) e using (tile_x, tile_y)")
+@_query("""
+    select g.tile_x, g.tile_y, coalesce(n, 0) as buildings, coalesce(q, 0.0) as pixels
+    from (select distinct p_size::bigint as tile_x, p_partkey % 10 as tile_y
+    from part) g left join (select l_partkey % 60 as tile_x, l_suppkey % 12 as tile_y, count(*) as n, sum(l_quantity) as q
+    from lineitem where l_returnflag = 'R' group by 1, 2) e using (tile_x, tile_y)
+    """)
 def j4_f65_complete(spark: SparkSession, d: str) -> DataFrame:
     grid = table(spark, d, "part").select(F.col("p_size").cast("long").alias("tile_x"), F.call_function("mod", F.col("p_partkey"), F.lit(10)).alias("tile_y"))
     li = table(spark, d, "lineitem").where("l_returnflag = 'R'")
@@ -330,7 +410,12 @@ def j18_grid_indices(spark: SparkSession, d: str) -> DataFrame:
     return tiles.grid_indices(raw, "raw_row", "raw_col").select("p_partkey", F.col("tile_x").cast("long").alias("tile_x"), F.col("tile_y").cast("long").alias("tile_y"))
 
 
-@_query("select b::int as bin, count(x) as n from (select unnest(range(6)) as b) left join (select case when v < 0 then null when v < .5 then 0 when v < .6 then 1 when v < .7 then 2 when v < .8 then 3 when v < .9 then 4 when v < 1.01 then 5 end as x from (select l_quantity / 50.0 as v from lineitem)) on x = b group by 1")
+@_query("""
+    select b::int as bin, count(x) as n from (select unnest(range(6)) as b)
+    left join (select case when v < 0 then null when v < .5 then 0 when v < .6 then 1 when v < .7 then 2 when v < .8 then 3 when v < .9 then 4 when v <
+    1.01 then 5 end as x from (select l_quantity / 50.0 as v from lineitem)) on x = b
+    group by 1
+    """)
 def a12_histogram(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select((F.col("l_quantity") / 50.0).alias("confidence"))
     return tiles.histogram(li, "confidence", [0, 0.5, 0.6, 0.7, 0.8, 0.9, 1.01])
@@ -341,23 +426,38 @@ def a15_degree_groups(spark: SparkSession, d: str) -> DataFrame:
     return tiles.groups_of_features(adapters.places(spark, d), "lat", "lon")
 
 
-@_query("select p_size as tile, p_brand as facade, dense_rank() over (partition by p_size order by p_brand) - 1 as idx from (select distinct p_size, p_brand from part)")
+@_query("""
+    select p_size as tile, p_brand as facade, dense_rank() over (partition by p_size order by p_brand) - 1 as idx
+    from (select distinct p_size, p_brand from part)
+    """)
 def a16_facade_index(spark: SparkSession, d: str) -> DataFrame:
     return tiles.facade_indices(table(spark, d, "part"), "p_size", "p_brand")
 
 
-@_query(with_tables("select round((min(lat) + max(lat)) / 2, 6) as lat, round((min(lon) + max(lon)) / 2, 6) as lon, round(min(lat) - 0.001, 6) as south, round(max(lat) + 0.001, 6) as north, round(min(lon) - 0.001, 6) as west, round(max(lon) + 0.001, 6) as east from places", "places"))
+@_query(with_tables("""
+    select round((min(lat) + max(lat)) / 2, 6) as lat, round((min(lon) + max(lon)) / 2, 6) as lon, round(min(lat) - 0.001, 6) as south, round(max(lat) +
+    0.001, 6) as north, round(min(lon) - 0.001, 6) as west, round(max(lon) + 0.001, 6) as east
+    from places
+    """, "places"))
 def a8_a17_exclusion(spark: SparkSession, d: str) -> DataFrame:
     out = tiles.exclusion(adapters.places(spark, d), "lat", "lon")
     return out.select(*(_r(F.col(c)).alias(c) for c in out.columns))
 
 
-@_query("select p_partkey, case when p_size * 100 <= 512 then [0::bigint] else list_sort(list_distinct(list_transform(range(ceil((p_size * 100 - 512) / 487.0)::bigint + 1), lambda k: least(k * 487, p_size * 100 - 512)))) end as starts from part")
+@_query("""
+    select p_partkey, case when p_size * 100 <= 512 then [0::bigint] else list_sort(list_distinct(list_transform(range(ceil((p_size * 100 - 512) /
+    487.0)::bigint + 1), lambda k: least(k * 487, p_size * 100 - 512)))) end as starts
+    from part
+    """)
 def f58_inference_starts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", tiles.inference_starts((F.col("p_size") * 100).cast("long"), 512, 25).alias("starts"))
 
 
-@_query("select c_custkey, lon, lat from (select c_custkey, c_custkey % 300 - 150 + 0.3 as l, c_custkey % 100 - 50 + 0.6 as b from customer), lateral (select unnest(range(floor(l)::bigint, ceil(l + 2.5)::bigint)) as lon), lateral (select unnest(range(floor(b)::bigint, ceil(b + 1.5)::bigint)) as lat)")
+@_query("""
+    select c_custkey, lon, lat from (select c_custkey, c_custkey % 300 - 150 + 0.3 as l, c_custkey % 100 - 50 + 0.6 as b
+    from customer), lateral (select unnest(range(floor(l)::bigint, ceil(l + 2.5)::bigint)) as lon), lateral (select unnest(range(floor(b)::bigint, ceil(b
+    + 1.5)::bigint)) as lat)
+    """)
 def f63_degree_tiles(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     left, bottom = F.call_function("mod", k, F.lit(300)) - 150 + 0.3, F.call_function("mod", k, F.lit(100)) - 50 + 0.6
@@ -382,7 +482,12 @@ def w4_dedupe_coordinates(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@_query("select b.building, count(*) as pixels, count(k.x) as blocked, case when count(k.x) = count(*) then 'removed' when count(k.x) > 0 then 'mask_only' else 'kept' end as fate from (select l_orderkey % 500 as building, l_partkey as x, l_suppkey as y from lineitem) b left join (select distinct l_partkey as x, l_suppkey as y from lineitem where l_returnflag = 'R') k using (x, y) group by 1")
+@_query("""
+    select b.building, count(*) as pixels, count(k.x) as blocked, case when count(k.x) = count(*) then 'removed' when count(k.x) > 0 then 'mask_only' else
+    'kept' end as fate from (select l_orderkey % 500 as building, l_partkey as x, l_suppkey as y
+    from lineitem) b left join (select distinct l_partkey as x, l_suppkey as y
+    from lineitem where l_returnflag = 'R') k using (x, y) group by 1
+    """)
 def a22_a23_clean_buildings(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     px = li.select(F.call_function("mod", F.col("l_orderkey"), F.lit(500)).alias("building"), F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y"))
@@ -419,7 +524,11 @@ def a9_global_stats(spark: SparkSession, d: str) -> DataFrame:
     return s.select(*(_r(F.col(c)).alias(c) for c in s.columns))
 
 
-@_query(with_tables("select vec_id, list_transform(px, lambda x: (x >= 0.05)::int) as mask, list_transform(px, lambda x: (x > -0.02)::int) as low, list_sum(list_transform(px, lambda x: (x >= 0.05)::int))::bigint as n, 100.0 * list_sum(list_transform(px, lambda x: (x >= 0.05)::int)) / 64 as share from rasters", "rasters"))
+@_query(with_tables("""
+    select vec_id, list_transform(px, lambda x: (x >= 0.05)::int) as mask, list_transform(px, lambda x: (x > -0.02)::int) as low,
+    list_sum(list_transform(px, lambda x: (x >= 0.05)::int))::bigint as n, 100.0 * list_sum(list_transform(px, lambda x: (x >= 0.05)::int)) / 64 as share
+    from rasters
+    """, "rasters"))
 def p10_a11_masks(spark: SparkSession, d: str) -> DataFrame:
     t = adapters.rasters(spark, d)
     mask = raster.threshold_mask(F.col("px"), 0.05)
@@ -427,7 +536,10 @@ def p10_a11_masks(spark: SparkSession, d: str) -> DataFrame:
     return t.select("vec_id", mask.alias("mask"), raster.threshold_mask(F.col("px"), -0.02, low_is_set=True, invert=True).alias("low"), n.cast("long").alias("n"), share.cast("double").alias("share"))
 
 
-@_query(with_tables("select vec_id, list_transform(px, lambda x: (x >= 0.05 and not x >= 0.1)::int) as trees, list_transform(px, lambda x: (x >= 0.1 or x <= -0.1)::int) as blocked from rasters", "rasters"))
+@_query(with_tables("""
+    select vec_id, list_transform(px, lambda x: (x >= 0.05 and not x >= 0.1)::int) as trees, list_transform(px, lambda x: (x >= 0.1 or x <= -0.1)::int) as
+    blocked from rasters
+    """, "rasters"))
 def x3_mask_algebra(spark: SparkSession, d: str) -> DataFrame:
     px = F.col("px")
     tree, road, low = raster.threshold_mask(px, 0.05), raster.threshold_mask(px, 0.1), raster.threshold_mask(px, -0.1, low_is_set=True)
@@ -440,19 +552,31 @@ def a18_band_stretch(spark: SparkSession, d: str) -> DataFrame:
     return s.select("label", _r(F.col("lo")).alias("lo"), _r(F.col("hi")).alias("hi"))
 
 
-@_query(with_tables("select vec_id, list_transform(px, lambda x: trunc(least(1.0, greatest(0.0, (x + 0.25) / 0.5)) * 255)::int) as bytes, list_transform(px, lambda x: least(65535.0, greatest(0.0, round_even((x + 0.6) / 1.2 * 65535, 0)))::int) as heights from rasters", "rasters"))
+@_query(with_tables("""
+    select vec_id, list_transform(px, lambda x: trunc(least(1.0, greatest(0.0, (x + 0.25) / 0.5)) * 255)::int) as bytes, list_transform(px, lambda x:
+    least(65535.0, greatest(0.0, round_even((x + 0.6) / 1.2 * 65535, 0)))::int) as heights
+    from rasters
+    """, "rasters"))
 def f42_f45_f54_stretch(spark: SparkSession, d: str) -> DataFrame:
     px = F.col("px")
     return adapters.rasters(spark, d).select("vec_id", raster.stretch(px, F.lit(-0.25), F.lit(0.25)).alias("bytes"), raster.to_uint16(px, F.lit(-0.6), F.lit(1.2)).alias("heights"))
 
 
-@_query(with_tables("select vec_id, \"row\", col, round((select sum(q.v) from (select unnest([-1, 0, 1]) as a), (select unnest([-1, 0, 1]) as b), pixels q where q.vec_id = p.vec_id and q.\"row\" = least(greatest(p.\"row\" + a, 0), 7) and q.col = least(greatest(p.col + b, 0), 7)) / 9, 6) + 0.0 as v from pixels p", "rasters", "pixels"))
+@_query(with_tables("""
+    select vec_id, "row", col, round((select sum(q.v) from (select unnest([-1, 0, 1]) as a), (select unnest([-1, 0, 1]) as b), pixels q
+    where q.vec_id = p.vec_id and q."row" = least(greatest(p."row" + a, 0), 7) and q.col = least(greatest(p.col + b, 0), 7)) / 9, 6) + 0.0 as v
+    from pixels p
+    """, "rasters", "pixels"))
 def w6_box_blur(spark: SparkSession, d: str) -> DataFrame:
     out = raster.pixels(tile_kernels.blur(adapters.rasters(spark, d), ["vec_id"], "px", 8), "px", 8)
     return out.select("vec_id", "row", "col", _r(F.col("v")).alias("v"))
 
 
-@_query(with_tables("select vec_id, \"row\", col, round(coalesce((lead(v) over x - lag(v) over x) / 2, lead(v) over x - v, v - lag(v) over x, 0), 6) + 0.0 as dx, round(coalesce((lead(v) over y - lag(v) over y) / 2, lead(v) over y - v, v - lag(v) over y, 0), 6) + 0.0 as dy from pixels window x as (partition by vec_id, \"row\" order by col), y as (partition by vec_id, col order by \"row\")", "rasters", "pixels"))
+@_query(with_tables("""
+    select vec_id, "row", col, round(coalesce((lead(v) over x - lag(v) over x) / 2, lead(v) over x - v, v - lag(v) over x, 0), 6) + 0.0 as dx,
+    round(coalesce((lead(v) over y - lag(v) over y) / 2, lead(v) over y - v, v - lag(v) over y, 0), 6) + 0.0 as dy
+    from pixels window x as (partition by vec_id, "row" order by col), y as (partition by vec_id, col order by "row")
+    """, "rasters", "pixels"))
 def f48_slopes(spark: SparkSession, d: str) -> DataFrame:
     out = tile_kernels.slopes(adapters.rasters(spark, d), ["vec_id"], "px", 8).withColumn("d", F.arrays_zip("dx", "dy")).select("vec_id", "d")
     long = raster.pixels(out, "d", 8)
@@ -502,7 +626,11 @@ def j3_clip_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@_query(with_tables(f"select {_K}, seq, round(step, 6) as step from (select *, row_number() over w as seq, sqrt(pow(x1 - lag(x1) over w, 2) + pow(y1 - lag(y1) over w, 2)) as step from segments window w as (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, x2)) where step is null or step > 0", "segments"))
+@_query(with_tables(f"""
+    select {_K}, seq, round(step, 6) as step from (select *, row_number() over w as seq, sqrt(pow(x1 - lag(x1) over w, 2) + pow(y1 - lag(y1) over w, 2))
+    as step from segments window w as (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, x2))
+    where step is null or step > 0
+    """, "segments"))
 def w5_w7_vertex_steps(spark: SparkSession, d: str) -> DataFrame:
     """Vertices of an order's line without those that repeat the one before, with the length of the step to each."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "x2")
@@ -511,21 +639,37 @@ def w5_w7_vertex_steps(spark: SparkSession, d: str) -> DataFrame:
     return out.where("step is null or step > 0").withColumn("step", F.round("step", 6))
 
 
-@_query("select least(l_partkey % 50, l_suppkey % 50) as a, greatest(l_partkey % 50, l_suppkey % 50) as b, bit_or(1 << (l_linenumber % 6)::int)::bigint as marker from lineitem where l_partkey % 50 <> l_suppkey % 50 group by 1, 2")
+@_query("""
+    select least(l_partkey % 50, l_suppkey % 50) as a, greatest(l_partkey % 50, l_suppkey % 50) as b, bit_or(1 << (l_linenumber % 6)::int)::bigint as
+    marker from lineitem where l_partkey % 50 <> l_suppkey % 50 group by 1, 2
+    """)
 def a19_f30_edge_markers(spark: SparkSession, d: str) -> DataFrame:
     a, b = F.call_function("mod", F.col("l_partkey"), F.lit(50)), F.call_function("mod", F.col("l_suppkey"), F.lit(50))
     li = table(spark, d, "lineitem").where(a != b)
     return li.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(F.bit_or(F.expr("shiftleft(1L, cast(l_linenumber % 6 as int))")).alias("marker"))
 
 
-@_query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(h, 6) + 0.0 as h, round(case when m > 0 then (m - n) / m else 0 end, 6) + 0.0 as s, round(m, 6) + 0.0 as v from (select *, case when m = n then 0 else x - floor(x) end as h from (select *, case when m = n then 0 when m = r then (g - b) / (m - n) when m = g then (b - r) / (m - n) + 2 else (r - g) / (m - n) + 4 end / 6 as x from (select *, greatest(r, g, b) as m, least(r, g, b) as n from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 50.0 as r, (l_partkey % 256) / 255.0 as g, (l_suppkey % 256) / 255.0 as b from lineitem))))")
+@_query("""
+    select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(h, 6) + 0.0 as h, round(case when m > 0 then (m - n) / m else 0 end, 6) + 0.0 as s,
+    round(m, 6) + 0.0 as v from (select *, case when m = n then 0 else x - floor(x) end as h
+    from (select *, case when m = n then 0 when m = r then (g - b) / (m - n) when m = g then (b - r) / (m - n) + 2 else (r - g) / (m - n) + 4 end / 6 as x
+    from (select *, greatest(r, g, b) as m, least(r, g, b) as n from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 50.0 as r,
+    (l_partkey % 256) / 255.0 as g, (l_suppkey % 256) / 255.0 as b
+    from lineitem))))
+    """)
 def f53_hsv(spark: SparkSession, d: str) -> DataFrame:
     r, g, b = F.col("l_quantity") / 50.0, F.call_function("mod", F.col("l_partkey"), F.lit(256)) / 255.0, F.call_function("mod", F.col("l_suppkey"), F.lit(256)) / 255.0
     h, s, v = features.hue_saturation_value(r, g, b)
     return table(spark, d, "lineitem").select(*KEY, _r(h).alias("h"), _r(s).alias("s"), _r(v).alias("v"))
 
 
-@_query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(case when t > 0 then a / t else 0 end, 6) + 0.0 as grass, round(case when t > 0 then b / t else 0 end, 6) + 0.0 as rock from (select *, a + b as t from (select *, greatest(0.0, 1 - greatest(0.2 - x, x - 0.5, 0) / 0.1) * greatest(0.0, 1 - greatest(least(abs(y - 0.33), 1 - abs(y - 0.33)) - 0.1, 0 - least(abs(y - 0.33), 1 - abs(y - 0.33)), 0) / 0.2) as a, 0.1 as b from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 50.0 as x, (l_partkey % 100) / 100.0 as y from lineitem)))")
+@_query("""
+    select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(case when t > 0 then a / t else 0 end, 6) + 0.0 as grass, round(case when t > 0 then b /
+    t else 0 end, 6) + 0.0 as rock from (select *, a + b as t from (select *, greatest(0.0, 1 - greatest(0.2 - x, x - 0.5, 0) / 0.1) * greatest(0.0, 1 -
+    greatest(least(abs(y - 0.33), 1 - abs(y - 0.33)) - 0.1, 0 - least(abs(y - 0.33), 1 - abs(y - 0.33)), 0) / 0.2) as a, 0.1 as b
+    from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 50.0 as x, (l_partkey % 100) / 100.0 as y
+    from lineitem)))
+    """)
 def f53_splat_weights(spark: SparkSession, d: str) -> DataFrame:
     x, y = F.col("l_quantity") / 50.0, F.call_function("mod", F.col("l_partkey"), F.lit(100)) / 100.0
     a = features.soft_range(x, F.lit(0.2), F.lit(0.5), F.lit(0.1)) * features.soft_hue(y, F.lit(0.33), F.lit(0.1), F.lit(0.2))
@@ -533,19 +677,33 @@ def f53_splat_weights(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select(*KEY, _r(features.ratio(a, total)).alias("grass"), _r(features.ratio(F.lit(0.1), total)).alias("rock"))
 
 
-@_query("select p_partkey, lpad(bin((p_size / 64.0 * 16777216)::bigint), 24, '0') as quad, (case when p_retailprice < 771 then 771 when p_retailprice < 1285 then 1285 when p_retailprice < 4369 then 4369 else 13107 end)::int as scale, case when p_size % 7 = 0 then 0.0 else least(1.0, greatest(0.1, 10 * 0.02 * p_size / 255)) end as depth from part")
+@_query("""
+    select p_partkey, lpad(bin((p_size / 64.0 * 16777216)::bigint), 24, '0') as quad, (case when p_retailprice < 771 then 771 when p_retailprice < 1285
+    then 1285 when p_retailprice < 4369 then 4369 else 13107 end)::int as scale, case when p_size % 7 = 0 then 0.0 else least(1.0, greatest(0.1, 10 * 0.02
+    * p_size / 255)) end as depth from part
+    """)
 def f35_f37_depth_and_quads(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
     return p.select("p_partkey", features.quad_string(F.col("p_size") / 64.0).alias("quad"), features.altitude_scale(F.col("p_retailprice")).alias("scale"), features.depth_ratio(F.col("p_size") % 7 == 0, F.lit(0.02), F.col("p_size")).alias("depth"))
 
 
-@_query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(1 / (1 + exp(-(l_quantity - 25) / 10)), 6) as p, round(1 / (1 + exp(l_quantity / 10 - 2.5)), 6) as q from lineitem")
+@_query("""
+    select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(1 / (1 + exp(-(l_quantity - 25) / 10)), 6) as p, round(1 / (1 + exp(l_quantity / 10 -
+    2.5)), 6) as q from lineitem
+    """)
 def f56_sigmoid(spark: SparkSession, d: str) -> DataFrame:
     x = F.col("l_quantity")
     return table(spark, d, "lineitem").select(*KEY, F.round(features.sigmoid((x - 25) / 10), 6).alias("p"), F.round(features.second_of_two(x / 10, F.lit(2.5)), 6).alias("q"))
 
 
-@_query("select id, round(case when w > 1e-6 then v / w else -1.0 end, 6) as altitude from (select p.id, coalesce(sum(exp(-sqrt(pow(p.x - s.sx, 2) + pow(p.y - s.sy, 2)) / 6.0)), 0) as w, coalesce(sum(s.value * exp(-sqrt(pow(p.x - s.sx, 2) + pow(p.y - s.sy, 2)) / 6.0)), 0) as v from (select p_partkey as id, (p_partkey % 200)::double as x, (p_partkey % 150)::double as y from part) p left join (select (s_suppkey * 3 % 200)::double as sx, (s_suppkey * 7 % 150)::double as sy, s_acctbal as value from supplier) s on abs(p.x - s.sx) <= 3 and abs(p.y - s.sy) <= 3 group by p.id)")
+@_query("""
+    select id, round(case when w > 1e-6 then v / w else -1.0 end, 6) as altitude
+    from (select p.id, coalesce(sum(exp(-sqrt(pow(p.x - s.sx, 2) + pow(p.y - s.sy, 2)) / 6.0)), 0) as w, coalesce(sum(s.value * exp(-sqrt(pow(p.x - s.sx,
+    2) + pow(p.y - s.sy, 2)) / 6.0)), 0) as v from (select p_partkey as id, (p_partkey % 200)::double as x, (p_partkey % 150)::double as y
+    from part) p left join (select (s_suppkey * 3 % 200)::double as sx, (s_suppkey * 7 % 150)::double as sy, s_acctbal as value
+    from supplier) s on abs(p.x - s.sx) <= 3 and abs(p.y - s.sy) <= 3
+    group by p.id)
+    """)
 def j10_band_weighted(spark: SparkSession, d: str) -> DataFrame:
     k, s = F.col("p_partkey"), F.col("s_suppkey")
     points = table(spark, d, "part").select(k.alias("id"), F.call_function("mod", k, F.lit(200)).cast("double").alias("x"), F.call_function("mod", k, F.lit(150)).cast("double").alias("y"))
@@ -567,7 +725,11 @@ def j19_unused_textures(spark: SparkSession, d: str) -> DataFrame:
     return tiles.unused(p, p.where("p_size > 48"), "texture")
 
 
-@_query("select l_partkey, l_suppkey, l_linenumber, l_orderkey from lineitem where l_returnflag = 'N' and (l_partkey % 64, l_suppkey % 64) in (select (l_partkey % 64, l_suppkey % 64) from lineitem where l_returnflag = 'R' and l_quantity > 45)")
+@_query("""
+    select l_partkey, l_suppkey, l_linenumber, l_orderkey from lineitem
+    where l_returnflag = 'N' and (l_partkey % 64, l_suppkey % 64) in (select (l_partkey % 64, l_suppkey % 64)
+    from lineitem where l_returnflag = 'R' and l_quantity > 45)
+    """)
 def j20_inland_water(spark: SparkSession, d: str) -> DataFrame:
     m = F.call_function("mod", F.col("l_partkey"), F.lit(64)), F.call_function("mod", F.col("l_suppkey"), F.lit(64))
     li = table(spark, d, "lineitem").withColumns({"til_x": m[0], "til_y": m[1]})
@@ -575,13 +737,19 @@ def j20_inland_water(spark: SparkSession, d: str) -> DataFrame:
     return tiles.on_tiles_of(li.where("l_returnflag = 'N'"), sea, ["til_x", "til_y"]).select("l_partkey", "l_suppkey", "l_linenumber", "l_orderkey")
 
 
-@_query("select c_custkey as id, c_acctbal as value from customer where c_mktsegment = 'BUILDING' union select c_custkey, c_acctbal from customer where c_acctbal > 5000")
+@_query("""
+    select c_custkey as id, c_acctbal as value from customer where c_mktsegment = 'BUILDING'
+    union select c_custkey, c_acctbal from customer where c_acctbal > 5000
+    """)
 def x1_union_distinct(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("value"), "c_mktsegment")
     return c.where("c_mktsegment = 'BUILDING'").drop("c_mktsegment").unionByName(c.where("value > 5000").drop("c_mktsegment")).dropDuplicates(["id", "value"])
 
 
-@_query("select o_orderkey, coalesce(nullif(o_totalprice, 100000.0), nullif(c_acctbal, 0.0), -1.0) as altitude from orders left join customer on c_custkey = o_custkey")
+@_query("""
+    select o_orderkey, coalesce(nullif(o_totalprice, 100000.0), nullif(c_acctbal, 0.0), -1.0) as altitude
+    from orders left join customer on c_custkey = o_custkey
+    """)
 def j16_f66_priority(spark: SparkSession, d: str) -> DataFrame:
     o, c = table(spark, d, "orders"), table(spark, d, "customer")
     base, layer = o.select("o_orderkey", F.lit(-1.0).alias("altitude")), o.join(c, o["o_custkey"] == c["c_custkey"]).select("o_orderkey", F.coalesce(F.nullif("c_acctbal", F.lit(0.0)), F.lit(100000.0)).alias("altitude"))
@@ -598,7 +766,12 @@ def _rings(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("id", ring("").alias("truth"), ring("r_").alias("found"))
 
 
-@_query(with_tables("select id, (xmax - xmin) * (ymax - ymin) as area, round((xmin + xmax) / 2, 6) as cx, round((ymin + ymax) / 2, 6) as cy, round(sqrt(pow(dx, 2) + pow(dy, 2)), 6) as hausdorff, round(sqrt(pow(dx, 2) + pow(dy, 2)), 6) as centroid_distance, round((xmax - xmin - dx) * (ymax - ymin - dy), 6) as common_area from (select t.*, f.xmin - t.xmin as dx, f.ymin - t.ymin as dy from truth t join found f using (id)) where dx <= xmax - xmin and dy <= ymax - ymin", "truth", "found"))
+@_query(with_tables("""
+    select id, (xmax - xmin) * (ymax - ymin) as area, round((xmin + xmax) / 2, 6) as cx, round((ymin + ymax) / 2, 6) as cy, round(sqrt(pow(dx, 2) +
+    pow(dy, 2)), 6) as hausdorff, round(sqrt(pow(dx, 2) + pow(dy, 2)), 6) as centroid_distance, round((xmax - xmin - dx) * (ymax - ymin - dy), 6) as
+    common_area from (select t.*, f.xmin - t.xmin as dx, f.ymin - t.ymin as dy
+    from truth t join found f using (id)) where dx <= xmax - xmin and dy <= ymax - ymin
+    """, "truth", "found"))
 def f13_f19_ring_measures(spark: SparkSession, d: str) -> DataFrame:
     out = tile_kernels.ring_measures(_rings(spark, d), ["id"], "truth", "found")
     return out.select("id", "area", *(_r(F.col(c)).alias(c) for c in ("cx", "cy", "hausdorff", "centroid_distance", "common_area")))
@@ -674,7 +847,10 @@ def k9_facade_text(spark: SparkSession, d: str) -> DataFrame:
     return writers.facade_text(b.select(F.floor(F.col("ymin") / 120).alias("tile"), "id", facade.alias("facade"), ring.alias("ring"), height.alias("height")), ["tile"])
 
 
-@_query("select p_size, p_brand as layer, rank() over (partition by p_size, p_brand order by p_partkey) - 1 as number, rank() over (partition by p_size order by p_brand, p_partkey) - 1 as joined, p_partkey from part")
+@_query("""
+    select p_size, p_brand as layer, rank() over (partition by p_size, p_brand order by p_partkey) - 1 as number, rank() over (partition by p_size order
+    by p_brand, p_partkey) - 1 as joined, p_partkey from part
+    """)
 def x5_join_overlays(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select("p_size", F.col("p_brand").alias("layer"), (F.row_number().over(Window.partitionBy("p_size", "p_brand").orderBy("p_partkey")) - 1).cast("long").alias("number"), "p_partkey")
     return writers.join_overlays(p, ["p_size"])
@@ -686,7 +862,10 @@ def k6_metric_rows(spark: SparkSession, d: str) -> DataFrame:
     return writers.metric_rows(m.select(*(F.col(c).cast("double").alias(c) for c in ("n_gt", "n_pred", "tp"))), "Objects", {"tp": "accepted"})
 
 
-@_query("select time_bucket(interval '1 hour', ts) as start, count(*) as samples, round(avg(value), 6) as average_fps, min(value) as min_fps, max(value) as max_fps from events where value > 0 group by 1")
+@_query("""
+    select time_bucket(interval '1 hour', ts) as start, count(*) as samples, round(avg(value), 6) as average_fps, min(value) as min_fps, max(value) as
+    max_fps from events where value > 0 group by 1
+    """)
 def t2_windowed_rates(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     out = stream_frames.windowed_rates(e, "ts", "value", "1 hour")
@@ -750,20 +929,36 @@ def a21_quadtree_figures(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@_query("select p_partkey, sum(h * w)::bigint as tiles, max((h - 1) * 512)::bigint as last_row, max((w - 1) * 512)::bigint as last_col from (select p_partkey, ceil(p_size * 100 / 512.0)::bigint as w, ceil((p_size * 70 + 1) / 512.0)::bigint as h from part) group by 1")
+@_query("""
+    select p_partkey, sum(h * w)::bigint as tiles, max((h - 1) * 512)::bigint as last_row, max((w - 1) * 512)::bigint as last_col
+    from (select p_partkey, ceil(p_size * 100 / 512.0)::bigint as w, ceil((p_size * 70 + 1) / 512.0)::bigint as h
+    from part) group by 1
+    """)
 def f41_slices(spark: SparkSession, d: str) -> DataFrame:
     s = scenery.slices(F.col("p_size") * 100, F.col("p_size") * 70 + 1, 512)
     return table(spark, d, "part").select("p_partkey", s.alias("s")).select("p_partkey", F.size("s").cast("long").alias("tiles"), F.array_max(F.transform("s", lambda t: t["row"])).alias("last_row"), F.array_max(F.transform("s", lambda t: t["col"])).alias("last_col"))
 
 
-@_query("select a as asked, max(z) as zoom from (select distinct p_size / 4.0 as a from part), (select z, 156543.0 / pow(2, z) as r from range(31) t(z)) where r <= 1.1 * a and r = (select max(156543.0 / pow(2, q)) from range(31) u(q) where 156543.0 / pow(2, q) <= 1.1 * a) group by a")
+@_query("""
+    select a as asked, max(z) as zoom from (select distinct p_size / 4.0 as a
+    from part), (select z, 156543.0 / pow(2, z) as r from range(31) t(z))
+    where r <= 1.1 * a and r = (select max(156543.0 / pow(2, q)) from range(31) u(q)
+    where 156543.0 / pow(2, q) <= 1.1 * a) group by a
+    """)
 def f67_finest_level(spark: SparkSession, d: str) -> DataFrame:
     asked = table(spark, d, "part").select((F.col("p_size") / 4.0).alias("asked")).distinct()
     levels = spark.range(31).select(F.col("id").alias("zoom"), (156543.0 / F.pow(F.lit(2.0), F.col("id"))).alias("resolution"))
     return scenery.finest(levels, asked)
 
 
-@_query("select a.x, a.y, a.zoom, m.l as levels, a.x - (a.x // (1 << m.l)) * (1 << m.l) as qx, a.y - (a.y // (1 << m.l)) * (1 << m.l) as qy from (select p_partkey as x, p_partkey * 3 % 512 as y, 12::bigint as zoom from part) a join (select p.p_partkey as x, min(l)::int as l from part p, range(6) t(l) where (p.p_partkey // (1 << l), (p.p_partkey * 3 % 512) // (1 << l), 12 - l) in (select (s_suppkey // (1 << (s_suppkey % 5 + 1)), (s_suppkey * 3 % 512) // (1 << (s_suppkey % 5 + 1)), 11 - s_suppkey % 5) from supplier) group by 1) m on m.x = a.x")
+@_query("""
+    select a.x, a.y, a.zoom, m.l as levels, a.x - (a.x // (1 << m.l)) * (1 << m.l) as qx, a.y - (a.y // (1 << m.l)) * (1 << m.l) as qy
+    from (select p_partkey as x, p_partkey * 3 % 512 as y, 12::bigint as zoom
+    from part) a join (select p.p_partkey as x, min(l)::int as l from part p, range(6) t(l)
+    where (p.p_partkey // (1 << l), (p.p_partkey * 3 % 512) // (1 << l), 12 - l) in (select (s_suppkey // (1 << (s_suppkey % 5 + 1)), (s_suppkey * 3 %
+    512) // (1 << (s_suppkey % 5 + 1)), 11 - s_suppkey % 5) from supplier)
+    group by 1) m on m.x = a.x
+    """)
 def f67_parent_tiles(spark: SparkSession, d: str) -> DataFrame:
     k, s = F.col("p_partkey"), F.col("s_suppkey")
     tiles_ = table(spark, d, "part").select(k.alias("x"), F.call_function("mod", k * 3, F.lit(512)).alias("y"), F.lit(12).cast("long").alias("zoom"))
@@ -772,7 +967,10 @@ def f67_parent_tiles(spark: SparkSession, d: str) -> DataFrame:
     return scenery.with_parents(tiles_, held).where("levels is not null")
 
 
-@_query("select l_partkey, l_suppkey, avg(v) as v from (select l_partkey % 100 as l_partkey, l_suppkey % 10 as l_suppkey, l_quantity as v from lineitem) group by 1, 2")
+@_query("""
+    select l_partkey, l_suppkey, avg(v) as v from (select l_partkey % 100 as l_partkey, l_suppkey % 10 as l_suppkey, l_quantity as v
+    from lineitem) group by 1, 2
+    """)
 def a20_blend(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select(F.call_function("mod", F.col("l_partkey"), F.lit(100)).alias("l_partkey"), F.call_function("mod", F.col("l_suppkey"), F.lit(10)).alias("l_suppkey"), F.col("l_quantity").alias("v"))
     return scenery.blend(li, ["l_partkey", "l_suppkey"], "v")
@@ -783,7 +981,11 @@ def p16_large_lakes(spark: SparkSession, d: str) -> DataFrame:
     return scenery.large_lakes(table(spark, d, "part"), "p_brand", "p_retailprice", 1500.0, ["Brand#1", "Brand#2"]).select("p_partkey", "masked")
 
 
-@_query("select s_suppkey, s_suppkey * 7 % 400 - 200 between -90 and 90 and s_suppkey * 11 % 500 - 250 between -180 and 180 as good, s_suppkey * 7 % 400 - 200 between -90 and 89 and s_suppkey * 11 % 500 - 250 between -180 and 179 as tile, s_suppkey > 0 and (s_suppkey & (s_suppkey - 1)) = 0 as power from supplier")
+@_query("""
+    select s_suppkey, s_suppkey * 7 % 400 - 200 between -90 and 90 and s_suppkey * 11 % 500 - 250 between -180 and 180 as good, s_suppkey * 7 % 400 - 200
+    between -90 and 89 and s_suppkey * 11 % 500 - 250 between -180 and 179 as tile, s_suppkey > 0 and (s_suppkey & (s_suppkey - 1)) = 0 as power
+    from supplier
+    """)
 def p19_p22_validation(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
     lat, lon = F.call_function("mod", k * 7, F.lit(400)) - 200, F.call_function("mod", k * 11, F.lit(500)) - 250
@@ -802,14 +1004,24 @@ def p11_fill_ratio(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").where(scenery.fill_ratio(F.col("p_retailprice"), F.col("p_size"), F.lit(40.0), 0.8)).select("p_partkey")
 
 
-@_query("select t.id, coalesce(c.n, 0)::bigint as cuts, (case coalesce(c.n, 0) when 0 then 1 when 1 then 2 when 2 then 3 else 6 end)::int as parts from (select p_partkey as id from part) t left join (select id, count(*) as n from (select p_partkey as id, unnest([[p_partkey, p_partkey + 1], [p_partkey + 1, p_partkey + 2], [p_partkey, p_partkey + 2]]) as e from part) where (e[1], e[2]) in (select (s_suppkey * 2, s_suppkey * 2 + 1 + s_suppkey % 2) from supplier) group by 1) c using (id)")
+@_query("""
+    select t.id, coalesce(c.n, 0)::bigint as cuts, (case coalesce(c.n, 0) when 0 then 1 when 1 then 2 when 2 then 3 else 6 end)::int as parts
+    from (select p_partkey as id from part) t left join (select id, count(*) as n
+    from (select p_partkey as id, unnest([[p_partkey, p_partkey + 1], [p_partkey + 1, p_partkey + 2], [p_partkey, p_partkey + 2]]) as e
+    from part) where (e[1], e[2]) in (select (s_suppkey * 2, s_suppkey * 2 + 1 + s_suppkey % 2)
+    from supplier) group by 1) c using (id)
+    """)
 def f34_recut(spark: SparkSession, d: str) -> DataFrame:
     k, s = F.col("p_partkey"), F.col("s_suppkey")
     triangles = table(spark, d, "part").select(k.alias("id"), k.alias("a"), (k + 1).alias("b"), (k + 2).alias("c"))
     return scenery.recut(triangles, table(spark, d, "supplier").select((s * 2).alias("u"), (s * 2 + 1 + F.call_function("mod", s, F.lit(2))).alias("v")))
 
 
-@_query(with_tables("select id, cx as cell_x, cy as cell_y, 'tex' || cx || '_' || cy as texture from (select id, floor((xmin * 2 + xmax) / 3 / 10)::bigint as cx, floor((ymin * 2 + ymax) / 3 / 10)::bigint as cy from truth)", "truth"))
+@_query(with_tables("""
+    select id, cx as cell_x, cy as cell_y, 'tex' || cx || '_' || cy as texture
+    from (select id, floor((xmin * 2 + xmax) / 3 / 10)::bigint as cx, floor((ymin * 2 + ymax) / 3 / 10)::bigint as cy
+    from truth)
+    """, "truth"))
 def j14_triangle_textures(spark: SparkSession, d: str) -> DataFrame:
     b = adapters.truth_boxes(spark, d)
     t = b.select("id", F.col("xmin").alias("x1"), F.col("ymin").alias("y1"), F.col("xmax").alias("x2"), F.col("ymin").alias("y2"), F.col("xmin").alias("x3"), F.col("ymax").alias("y3"))
@@ -853,7 +1065,10 @@ def f38_w7_densify(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@_query(with_tables("select vec_id, k, x, y from (select vec_id, k::int as k, (vec_id * 7 + k * 13) % 100 / 100.0 as x, (vec_id * 11 + k * 17) % 100 / 100.0 as y, px from rasters, range(5) t(k)) where px[(floor(y * 8) * 8 + floor(x * 8))::int + 1] >= 0.02", "rasters"))
+@_query(with_tables("""
+    select vec_id, k, x, y from (select vec_id, k::int as k, (vec_id * 7 + k * 13) % 100 / 100.0 as x, (vec_id * 11 + k * 17) % 100 / 100.0 as y, px
+    from rasters, range(5) t(k)) where px[(floor(y * 8) * 8 + floor(x * 8))::int + 1] >= 0.02
+    """, "rasters"))
 def j6_j15_positions_on_mask(spark: SparkSession, d: str) -> DataFrame:
     t = adapters.rasters(spark, d)
     place = lambda a, b: F.call_function("mod", F.col("vec_id") * a + F.col("k") * b, F.lit(100)) / 100.0
@@ -874,7 +1089,13 @@ def f43_eight_bits(spark: SparkSession, d: str) -> DataFrame:
     return adapters.rasters(spark, d).select("vec_id", colours.to_eight_bits(F.col("px")).alias("bytes"))
 
 
-@_query(f"select {_K}, trunc((1 - s) * 255)::int as red, trunc(s * 255)::int as green, (l_partkey * 37 % 65536 // 256)::int as upper, round(least(255.0, greatest(0.0, (l_quantity * 5 + 10 - 128) * 1.5 + 128)), 6) as c, round(20 + pow(least(1.0, greatest(0.0, (l_quantity - 5) / 40)), 1 / 2.2) * 200, 6) as level, round(3 * s * s - 2 * s * s * s, 6) as spline, round(2 * s - s * s, 6) as parabola from (select *, least(1.0, greatest(0.0, (l_quantity - 1) / 49)) as s from lineitem)")
+@_query(f"""
+    select {_K}, trunc((1 - s) * 255)::int as red, trunc(s * 255)::int as green, (l_partkey * 37 % 65536 // 256)::int as upper, round(least(255.0,
+    greatest(0.0, (l_quantity * 5 + 10 - 128) * 1.5 + 128)), 6) as c, round(20 + pow(least(1.0, greatest(0.0, (l_quantity - 5) / 40)), 1 / 2.2) * 200, 6)
+    as level, round(3 * s * s - 2 * s * s * s, 6) as spline, round(2 * s - s * s, 6) as parabola
+    from (select *, least(1.0, greatest(0.0, (l_quantity - 1) / 49)) as s
+    from lineitem)
+    """)
 def f49_f52_f54_colours(spark: SparkSession, d: str) -> DataFrame:
     q = F.col("l_quantity")
     red, green = colours.red_green(q, F.lit(1.0), F.lit(50.0))
@@ -883,7 +1104,12 @@ def f49_f52_f54_colours(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select(*KEY, red.alias("red"), green.alias("green"), upper.alias("upper"), F.round(colours.contrast(q * 5, 10, 1.5), 6).alias("c"), F.round(colours.levels(q, 5, 2.2, 45, 20, 220), 6).alias("level"), F.round(colours.transition(share, "spline"), 6).alias("spline"), F.round(colours.transition(share, "parabolic"), 6).alias("parabola"))
 
 
-@_query("select r as \"row\", c as col, greatest(max(w), 0.5::double) as weight from (select s_suppkey * 37 % 990 as r0, s_suppkey * 53 % 990 as c0, (1.0 + s_suppkey % 3)::double as w, s_suppkey % 6 as n from supplier), range(1001) a(r), range(1001) b(c) where r between r0 and least(r0 + n, 1000) and c between c0 and least(c0 + 4, 1000) group by 1, 2")
+@_query("""
+    select r as "row", c as col, greatest(max(w), 0.5::double) as weight
+    from (select s_suppkey * 37 % 990 as r0, s_suppkey * 53 % 990 as c0, (1.0 + s_suppkey % 3)::double as w, s_suppkey % 6 as n
+    from supplier), range(1001) a(r), range(1001) b(c) where r between r0 and least(r0 + n, 1000) and c between c0 and least(c0 + 4, 1000)
+    group by 1, 2
+    """)
 def f55_weight_map(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
     m = lambda a, n: F.call_function("mod", k * a, F.lit(n))
@@ -918,7 +1144,10 @@ def j12_rings(spark: SparkSession, d: str) -> DataFrame:
     return scenery.stitch_rings(ways)
 
 
-@_query("select p_partkey, round(case p_size % 3 when 0 then 0.0 when 1 then avg(p_retailprice) over (partition by p_brand, p_size % 3) else p_retailprice end, 6) as level from part")
+@_query("""
+    select p_partkey, round(case p_size % 3 when 0 then 0.0 when 1 then avg(p_retailprice) over (partition by p_brand, p_size % 3) else p_retailprice end,
+    6) as level from part
+    """)
 def f33_node_levels(spark: SparkSession, d: str) -> DataFrame:
     kind = F.element_at(F.array(F.lit("sea"), F.lit("water"), F.lit("land")), F.col("p_size") % 3 + 1)
     nodes = table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("body"), kind.alias("kind"), F.col("p_retailprice").alias("z"))

@@ -46,7 +46,11 @@ def x4_clip_to_region(spark: SparkSession, d: str) -> DataFrame:
     return _areas(shapes.clip(_as_shapes(adapters.truth_boxes(spark, d)), _REGION))
 
 
-@_query(with_tables(f"select id, count(*)::double as area from ({_cells('truth')}) c where not exists (select 1 from roads r where c.x >= r.xmin and c.x < r.xmax and c.y >= r.ymin and c.y < r.ymax) group by 1", "truth", "roads"))
+@_query(with_tables(f"""
+    select id, count(*)::double as area from ({_cells('truth')}) c
+    where not exists (select 1 from roads r where c.x >= r.xmin and c.x < r.xmax and c.y >= r.ymin and c.y < r.ymax)
+    group by 1
+    """, "truth", "roads"))
 def j7_difference(spark: SparkSession, d: str) -> DataFrame:
     return _areas(shapes.minus(_as_shapes(adapters.truth_boxes(spark, d)), _as_shapes(adapters.road_boxes(spark, d)).select("shape"), 16.0))
 
@@ -62,13 +66,19 @@ def j1_polygon_matches(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.match_objects(pairs, 0.3).select("gt_idx", "pred_idx", F.round("iou", 9).alias("iou"), _r(F.col("gt_area")).alias("gt_area"), _r(F.col("pred_area")).alias("pred_area"))
 
 
-@_query(with_tables("select id, pow(2, greatest(0, ceil(log2((xmax - xmin) / 2.5))) + greatest(0, ceil(log2((ymax - ymin) / 2.5))))::bigint as parts, (xmax - xmin) * (ymax - ymin) as area from truth", "truth"))
+@_query(with_tables("""
+    select id, pow(2, greatest(0, ceil(log2((xmax - xmin) / 2.5))) + greatest(0, ceil(log2((ymax - ymin) / 2.5))))::bigint as parts, (xmax - xmin) * (ymax
+    - ymin) as area from truth
+    """, "truth"))
 def f28_split(spark: SparkSession, d: str) -> DataFrame:
     parts = shapes.split(_as_shapes(adapters.truth_boxes(spark, d)), 2.5)
     return shapes.measures(parts).groupBy("id").agg(F.count("*").alias("parts"), _r(F.sum("area"), 4).alias("area"))
 
 
-@_query(with_tables("select id, round((xmax - xmin) * (ymax - ymin) + 2 * (xmax - xmin + ymax - ymin) + 32 * sin(pi() / 32), 4) + 0.0 as grown, round(greatest(xmax - xmin - 2, 0) * greatest(ymax - ymin - 2, 0), 4) + 0.0 as shrunk from truth", "truth"))
+@_query(with_tables("""
+    select id, round((xmax - xmin) * (ymax - ymin) + 2 * (xmax - xmin + ymax - ymin) + 32 * sin(pi() / 32), 4) + 0.0 as grown, round(greatest(xmax - xmin
+    - 2, 0) * greatest(ymax - ymin - 2, 0), 4) + 0.0 as shrunk from truth
+    """, "truth"))
 def f20_buffers(spark: SparkSession, d: str) -> DataFrame:
     """Areas of boxes grown by 1, with corners of sixteen pieces, and shrunk by 1."""
     b = _as_shapes(adapters.truth_boxes(spark, d))
@@ -110,7 +120,11 @@ def s3_k8_vector_files(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-@_query("select id, round(lat, 7) + 0.0 as lat, round(lon, 7) + 0.0 as lon from (select p_partkey as id, (30 + p_partkey % 30)::double as lat, (36 + p_partkey % 6)::double as lon from part)")
+@_query("""
+    select id, round(lat, 7) + 0.0 as lat, round(lon, 7) + 0.0 as lon
+    from (select p_partkey as id, (30 + p_partkey % 30)::double as lat, (36 + p_partkey % 6)::double as lon
+    from part)
+    """)
 def f10_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Places to a zone's metres, to mercator's, and back to degrees."""
     from ..functions import geodesy
@@ -129,7 +143,11 @@ def f10_round_trip(spark: SparkSession, d: str) -> DataFrame:
 _TRANSFORM = (0.0001, 0.0, 29.0, 0.0, -0.0001, 41.0)
 
 
-@_query("select p_partkey as id, round_even(41.0::double - 0.0001 * r, 8) + 0.0 as center_lat, round_even(29.0::double + 0.0001 * c, 8) + 0.0 as center_lon, corners from (select p_partkey, least(greatest(p_size % 4 * 512 + p_partkey % 600 + 0.5, 0), 1999) as c, least(greatest(p_partkey % 3 * 512 + p_size * 9 + 0.25, 0), 1499) as r, 4::int as corners from part)")
+@_query("""
+    select p_partkey as id, round_even(41.0::double - 0.0001 * r, 8) + 0.0 as center_lat, round_even(29.0::double + 0.0001 * c, 8) + 0.0 as center_lon,
+    corners from (select p_partkey, least(greatest(p_size % 4 * 512 + p_partkey % 600 + 0.5, 0), 1999) as c, least(greatest(p_partkey % 3 * 512 + p_size *
+    9 + 0.25, 0), 1499) as r, 4::int as corners from part)
+    """)
 def f17_to_world(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
     x, y = _mod("p_partkey", 600) + 0.5, F.col("p_size") * 9 + 0.25
@@ -139,7 +157,11 @@ def f17_to_world(spark: SparkSession, d: str) -> DataFrame:
     return out.select("id", (F.col("center_lat") + 0.0).alias("center_lat"), (F.col("center_lon") + 0.0).alias("center_lon"), F.size("corner_points_wgs84").alias("corners"))
 
 
-@_query("select p_partkey as id, (ty * 4 + tx)::bigint as tile_index, round(tx * 100 + x * 100 / 512.0, 6) + 0.0 as world_x, round(ty * -90 + (512 - y) * 90 / 512.0, 6) + 0.0 as world_z from (select p_partkey, p_size % 6 as tx, p_partkey % 5 as ty, p_partkey % 512 as x, p_size * 10 as y from part) where tx < 4 and ty < 3")
+@_query("""
+    select p_partkey as id, (ty * 4 + tx)::bigint as tile_index, round(tx * 100 + x * 100 / 512.0, 6) + 0.0 as world_x, round(ty * -90 + (512 - y) * 90 /
+    512.0, 6) + 0.0 as world_z from (select p_partkey, p_size % 6 as tx, p_partkey % 5 as ty, p_partkey % 512 as x, p_size * 10 as y
+    from part) where tx < 4 and ty < 3
+    """)
 def f18_in_scene(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), _mod("p_size", 6).cast("long").alias("tile_x"), _mod("p_partkey", 5).alias("tile_y"), _mod("p_partkey", 512).alias("x"), (F.col("p_size") * 10).alias("y"))
     grid = spark.range(12).select((F.col("id") % 4).alias("tile_x"), F.floor(F.col("id") / 4).alias("tile_y"))
@@ -147,7 +169,12 @@ def f18_in_scene(spark: SparkSession, d: str) -> DataFrame:
     return placement.in_scene(p, held, 4, 12).select("id", "tile_index", _r(F.col("world_x")).alias("world_x"), _r(F.col("world_z")).alias("world_z"))
 
 
-@_query("select tile_x, tile_y, name, case when tile_x > 0 then 't' || (tile_x - 1) || '_' || tile_y end as \"left\", case when tile_y > 0 then 't' || tile_x || '_' || (tile_y - 1) end as top, case when tile_x < 9 then 't' || (tile_x + 1) || '_' || tile_y end as \"right\", case when tile_y < 4 then 't' || tile_x || '_' || (tile_y + 1) end as bottom from (select distinct p_partkey % 10 as tile_x, p_partkey // 10 % 5 as tile_y, 't' || p_partkey % 10 || '_' || p_partkey // 10 % 5 as name from part)")
+@_query("""
+    select tile_x, tile_y, name, case when tile_x > 0 then 't' || (tile_x - 1) || '_' || tile_y end as "left", case when tile_y > 0 then 't' || tile_x ||
+    '_' || (tile_y - 1) end as top, case when tile_x < 9 then 't' || (tile_x + 1) || '_' || tile_y end as "right", case when tile_y < 4 then 't' || tile_x
+    || '_' || (tile_y + 1) end as bottom from (select distinct p_partkey % 10 as tile_x, p_partkey // 10 % 5 as tile_y, 't' || p_partkey % 10 || '_' ||
+    p_partkey // 10 % 5 as name from part)
+    """)
 def f18_scene_neighbours(spark: SparkSession, d: str) -> DataFrame:
     x, y = _mod("p_partkey", 10), _mod(F.floor(F.col("p_partkey") / 10), 5)
     grid = table(spark, d, "part").select(x.alias("tile_x"), y.alias("tile_y"), F.concat(F.lit("t"), x.cast("string"), F.lit("_"), y.cast("string")).alias("name")).distinct()
@@ -162,7 +189,12 @@ def f15_f40_choices(spark: SparkSession, d: str) -> DataFrame:
     return out.select("p_partkey", "facade", placement.material_index(F.col("p_name"), F.col("p_size") / 7.0, F.col("p_partkey") / 3.0, 12).alias("material"))
 
 
-@_query("select p_partkey, n::int as n, confidence, corner_points from (select p_partkey, n, (p_size / 100.0)::double as confidence, case when n = 0 then [[x - 2, y - 1], [x + 2, y - 1], [x + 2, y + 1], [x - 2, y + 1]] else [[x, y], [x + 1, y], [x, y + 1]] end as corner_points from (select p_partkey, p_size, (p_partkey % 50)::double as x, p_size::double as y from part), range(2) r(n))")
+@_query("""
+    select p_partkey, n::int as n, confidence, corner_points from (select p_partkey, n, (p_size / 100.0)::double as confidence, case when n = 0 then [[x -
+    2, y - 1], [x + 2, y - 1], [x + 2, y + 1], [x - 2, y + 1]] else [[x, y], [x + 1, y], [x, y + 1]] end as corner_points
+    from (select p_partkey, p_size, (p_partkey % 50)::double as x, p_size::double as y
+    from part), range(2) r(n))
+    """)
 def f59_predictions(spark: SparkSession, d: str) -> DataFrame:
     """A detector's answers: one prediction by its box, one by its points."""
     x, y = _mod("p_partkey", 50).cast("double"), F.col("p_size").cast("double")
@@ -191,7 +223,11 @@ def u2_detectors(spark: SparkSession, d: str) -> DataFrame:
 _EDGES = "select round_even(x1 / 7, 3) as a, round_even(y1 / 7, 3) as b, round_even(x2 / 7, 3) as c, round_even(y2 / 7, 3) as e, 1 << (l_linenumber % 4)::int as m from segments"
 
 
-@_query(with_tables(f"select case when (a, b) < (c, e) then a else c end + 0.0 as x1, case when (a, b) < (c, e) then b else e end + 0.0 as y1, case when (a, b) < (c, e) then c else a end + 0.0 as x2, case when (a, b) < (c, e) then e else b end + 0.0 as y2, bit_or(m)::bigint as marker from ({_EDGES}) where (a, b) <> (c, e) group by 1, 2, 3, 4", "segments"))
+@_query(with_tables(f"""
+    select case when (a, b) < (c, e) then a else c end + 0.0 as x1, case when (a, b) < (c, e) then b else e end + 0.0 as y1, case when (a, b) < (c, e)
+    then c else a end + 0.0 as x2, case when (a, b) < (c, e) then e else b end + 0.0 as y2, bit_or(m)::bigint as marker
+    from ({_EDGES}) where (a, b) <> (c, e) group by 1, 2, 3, 4
+    """, "segments"))
 def f30_snapped_edges(spark: SparkSession, d: str) -> DataFrame:
     s = adapters.segments(spark, d).select(*((F.col(c) / 7).alias(c) for c in ("x1", "y1", "x2", "y2")), F.expr("shiftleft(1L, cast(l_linenumber % 4 as int))").alias("marker"))
     return graph.snap(s, 3).select(*((F.col(c) + 0.0).alias(c) for c in ("x1", "y1", "x2", "y2")), "marker")
@@ -205,7 +241,13 @@ def j13_f31_noded(spark: SparkSession, d: str) -> DataFrame:
     return cut.agg(F.count("*").alias("edges"), _r(F.sum(F.when(F.col("y1") == F.col("y2"), F.abs(F.col("x2") - F.col("x1")))), 4).alias("across"))
 
 
-@_query("select t.id, (case coalesce(c.n, 0) when 0 then 1 when 1 then 2 when 2 then 3 else 6 end)::bigint as parts from (select p_partkey as id from part) t left join (select id, count(*) as n from (select p_partkey as id, unnest([[p_partkey, p_partkey + 1], [p_partkey + 1, p_partkey + 2], [p_partkey, p_partkey + 2]]) as e from part) where (e[1], e[2]) in (select (s_suppkey * 2, s_suppkey * 2 + 1 + s_suppkey % 2) from supplier) group by 1) c using (id)")
+@_query("""
+    select t.id, (case coalesce(c.n, 0) when 0 then 1 when 1 then 2 when 2 then 3 else 6 end)::bigint as parts
+    from (select p_partkey as id from part) t left join (select id, count(*) as n
+    from (select p_partkey as id, unnest([[p_partkey, p_partkey + 1], [p_partkey + 1, p_partkey + 2], [p_partkey, p_partkey + 2]]) as e
+    from part) where (e[1], e[2]) in (select (s_suppkey * 2, s_suppkey * 2 + 1 + s_suppkey % 2)
+    from supplier) group by 1) c using (id)
+    """)
 def f34_recut_triangles(spark: SparkSession, d: str) -> DataFrame:
     k, s = F.col("p_partkey"), F.col("s_suppkey")
     triangles = table(spark, d, "part").select(k.alias("id"), k.alias("a"), (k + 1).alias("b"), (k + 2).alias("c"))
@@ -225,7 +267,12 @@ def j5_f23_f26_vectorised(spark: SparkSession, d: str) -> DataFrame:
     return _areas(found).withColumnRenamed("id", "vec_id")
 
 
-@_query(with_tables("select id, (select count(*) from range(40) a(x), range(30) c(y) where x + 0.5 > x0 and x + 0.5 < x1 and y + 0.5 > y0 and y + 0.5 < y1)::bigint as n from (select id, id % 30 + 0.25 as x0, id % 30 + 0.25 + (xmax - xmin) as x1, id % 20 + 0.75 as y0, id % 20 + 0.75 + (ymax - ymin) as y1 from truth)", "truth"))
+@_query(with_tables("""
+    select id, (select count(*) from range(40) a(x), range(30) c(y)
+    where x + 0.5 > x0 and x + 0.5 < x1 and y + 0.5 > y0 and y + 0.5 < y1)::bigint as n
+    from (select id, id % 30 + 0.25 as x0, id % 30 + 0.25 + (xmax - xmin) as x1, id % 20 + 0.75 as y0, id % 20 + 0.75 + (ymax - ymin) as y1
+    from truth)
+    """, "truth"))
 def f27_rasterised(spark: SparkSession, d: str) -> DataFrame:
     b = adapters.truth_boxes(spark, d)
     left, low = _mod("id", 30) + 0.25, _mod("id", 20) + 0.75
@@ -238,7 +285,10 @@ def f48_level_sets(spark: SparkSession, d: str) -> DataFrame:
     return tile_kernels.level_sets(adapters.rasters(spark, d), ["vec_id"], "px", 8, 0.04)
 
 
-@_query(with_tables("select vec_id, list_transform(range(64), lambda i: round((px[(i + 63) % 64 + 1] + 2 * px[i + 1] + px[(i + 1) % 64 + 1]) / 4, 6) + 0.0) as smooth from rasters", "rasters"))
+@_query(with_tables("""
+    select vec_id, list_transform(range(64), lambda i: round((px[(i + 63) % 64 + 1] + 2 * px[i + 1] + px[(i + 1) % 64 + 1]) / 4, 6) + 0.0) as smooth
+    from rasters
+    """, "rasters"))
 def w8_smooth_ways(spark: SparkSession, d: str) -> DataFrame:
     out = tile_kernels.smooth_ways(adapters.rasters(spark, d), ["vec_id"], "px", [0.25, 0.5, 0.25])
     return out.select("vec_id", F.transform("smooth", lambda v: _r(v)).alias("smooth"))
@@ -270,7 +320,12 @@ def f57_decoded(spark: SparkSession, d: str) -> DataFrame:
     return tile_kernels.decode_detections(raw, ["l_orderkey"], "raw", 7, (40, 40))
 
 
-@_query(with_tables("select vec_id, k, case when m = 0 then 0.1 else least(1.0, greatest(0.1, round(10 * 0.03 * m / 255, 9))) end as depth from (select vec_id, k::int as k, trunc(least(1.0, greatest(0.0, (px[(floor(y * 8) * 8 + floor(x * 8))::int + 1] + 0.25) / 0.5)) * 255)::int as m from (select vec_id, px, k, (vec_id * 7 + k * 13) % 100 / 100.0 as x, (vec_id * 11 + k * 17) % 100 / 100.0 as y from rasters, range(5) t(k)))", "rasters"))
+@_query(with_tables("""
+    select vec_id, k, case when m = 0 then 0.1 else least(1.0, greatest(0.1, round(10 * 0.03 * m / 255, 9))) end as depth
+    from (select vec_id, k::int as k, trunc(least(1.0, greatest(0.0, (px[(floor(y * 8) * 8 + floor(x * 8))::int + 1] + 0.25) / 0.5)) * 255)::int as m
+    from (select vec_id, px, k, (vec_id * 7 + k * 13) % 100 / 100.0 as x, (vec_id * 11 + k * 17) % 100 / 100.0 as y
+    from rasters, range(5) t(k)))
+    """, "rasters"))
 def f36_depths(spark: SparkSession, d: str) -> DataFrame:
     """Depth ratios of nodes by their mask's value."""
     from ..functions import features
@@ -282,21 +337,32 @@ def f36_depths(spark: SparkSession, d: str) -> DataFrame:
     return tiles.mask_values(nodes, masks, ["vec_id"]).select("vec_id", "k", F.round(features.depth_ratio(F.lit(False), F.lit(0.03), F.col("mask")), 9).alias("depth"))
 
 
-@_query("select p_partkey, coalesce((select s_acctbal from supplier where s_suppkey = p_partkey % 400), (select s_acctbal from supplier where s_suppkey = p_size % 3 + 1)) as balance from part")
+@_query("""
+    select p_partkey, coalesce((select s_acctbal from supplier where s_suppkey = p_partkey % 400), (select s_acctbal
+    from supplier where s_suppkey = p_size % 3 + 1)) as balance from part
+    """)
 def j6_with_fallback(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select("p_partkey", _mod("p_partkey", 400).alias("first"), (_mod("p_size", 3) + 1).cast("long").alias("second"))
     out = tiles.with_fallback(p, table(spark, d, "supplier").select("s_suppkey", "s_acctbal"), ["first", "second"], "s_suppkey")
     return out.select("p_partkey", F.col("asset.s_acctbal").alias("balance"))
 
 
-@_query(with_tables("select id, exists (select 1 from roads r where r.id % 3 = 0 and t.xmin < r.xmax and r.xmin < t.xmax and t.ymin < r.ymax and r.ymin < t.ymax) as has, not exists (select 1 from roads r where r.id % 3 = 1 and t.xmin < r.xmax and r.xmin < t.xmax and t.ymin < r.ymax and r.ymin < t.ymax) as without from truth t", "truth", "roads"))
+@_query(with_tables("""
+    select id, exists (select 1 from roads r where r.id % 3 = 0 and t.xmin < r.xmax and r.xmin < t.xmax and t.ymin < r.ymax and r.ymin < t.ymax) as has,
+    not exists (select 1 from roads r where r.id % 3 = 1 and t.xmin < r.xmax and r.xmin < t.xmax and t.ymin < r.ymax and r.ymin < t.ymax) as without
+    from truth t
+    """, "truth", "roads"))
 def p20_covered(spark: SparkSession, d: str) -> DataFrame:
     extents = adapters.road_boxes(spark, d).withColumn("code", F.concat(F.lit("c"), _mod("id", 3).cast("string"))).drop("id")
     one = tiles.covered(adapters.truth_boxes(spark, d), extents, "c0", 16.0).select("id", "has")
     return one.join(tiles.covered(adapters.truth_boxes(spark, d), extents, "!c1", 16.0).select("id", F.col("has").alias("without")), "id")
 
 
-@_query("select p_partkey, (h * w)::bigint as tiles, (70 * p_size + h + (100 * p_size + w)) as edge from (select p_partkey, p_size, ceil(p_size * 100 / 512.0)::bigint as w, ceil(p_size * 70 / 512.0)::bigint as h from part)")
+@_query("""
+    select p_partkey, (h * w)::bigint as tiles, (70 * p_size + h + (100 * p_size + w)) as edge
+    from (select p_partkey, p_size, ceil(p_size * 100 / 512.0)::bigint as w, ceil(p_size * 70 / 512.0)::bigint as h
+    from part)
+    """)
 def f42_overlapped(spark: SparkSession, d: str) -> DataFrame:
     """Height tiles with a shared row and column: their number, and the lengths along both sides, overlaps counted twice."""
     s = raster.overlapped(F.col("p_size") * 100, F.col("p_size") * 70, 512)
@@ -317,7 +383,10 @@ def k4_tile_metadata(spark: SparkSession, d: str) -> DataFrame:
     return back.select(F.col("global_min_elevation").alias("low"), F.col("global_max_elevation").alias("high"), F.size("tiles").cast("long").alias("tiles"), (F.col("tiles")[0]["tile_y"] * 1000 + F.col("tiles")[0]["tile_x"]).alias("first"))
 
 
-@_query("select p_partkey, coalesce(nullif(substr(regexp_replace(upper(p_name), '[^A-Z]', '', 'g'), 1, 4), ''), 'BLDG') as code, case when p_size % 5 = 0 then 'N/A' else printf('%.4f', p_retailprice / 7) end as shown from part")
+@_query("""
+    select p_partkey, coalesce(nullif(substr(regexp_replace(upper(p_name), '[^A-Z]', '', 'g'), 1, 4), ''), 'BLDG') as code, case when p_size % 5 = 0 then
+    'N/A' else printf('%.4f', p_retailprice / 7) end as shown from part
+    """)
 def k15_f60_texts(spark: SparkSession, d: str) -> DataFrame:
     value = F.when(F.col("p_size") % 5 != 0, F.col("p_retailprice") / 7)
     return table(spark, d, "part").select("p_partkey", scenery_files.airport_code(F.col("p_name")).alias("code"), writers.number_text(value).alias("shown"))

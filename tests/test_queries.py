@@ -38,5 +38,5 @@ def test_query(spark, sf_dir, duck, name):
         columns = [c[0] for c in out.description]
         assert sorted(columns) == sorted(df.columns)
         assert got == _rows(columns, out.fetchall())
-    else:
-        assert df.columns
+    else:  # held against plain versions elsewhere: here every column has values, and rows are what the query's table asks for
+        assert got and all(any(r[k] != "None" for r in got) for k in range(len(df.columns)))
