@@ -196,6 +196,39 @@ def tile_path(lat: Column, lon: Column, suffix: str = ".dsf") -> Column:
     return F.concat(F.concat_ws("/", folder_name(lat, lon), tile_name(lat, lon)), F.lit(suffix))
 
 
+# What kinds of files of a tile are called, after "Data" and the tile's name, or after the grid's name.
+TILE_FILES = {"nodes": ".node", "polygons": ".poly", "triangles": ".ele", "altitudes": ".alt", "airports": ".apt", "weights": ".weight", "mesh": ".mesh"}
+HEIGHT_FILES = {"view": ".hgt", "srtm": "_SRTMv3.hgt", "srtm1": "_SRTM_1sec.hgt", "alos": "_ALOS3W30.tif", "ned1": "_NED1.tif", "ned13": "_NED13.tif", "generic": ".tif"}
+TILE_FOLDER = "zRIDGE4XP_"
+
+
+def build_folder(root: str, lat: Column, lon: Column) -> Column:
+    """Folder in which a degree tile is built."""
+    return F.concat(F.lit(f"{root.rstrip('/')}/{TILE_FOLDER}"), tile_name(lat, lon))
+
+
+def build_file(folder: Column, lat: Column, lon: Column, kind: str, step: int = 0) -> Column:
+    """A tile's file of a kind in its folder; files of later steps carry the step's number."""
+    return F.concat(folder, F.lit("/Data"), tile_name(lat, lon), F.lit((f".{step}" if step else "") + TILE_FILES[kind]))
+
+
+def height_file(root: str, lat: Column, lon: Column, source: str) -> Column:
+    """Path of a source's elevation of a degree, below the folder of ten by ten degrees."""
+    return F.concat(F.lit(root.rstrip("/") + "/"), folder_name(lat, lon), F.lit("/"), hemisphere_name(lat, lon), F.lit(HEIGHT_FILES[source]))
+
+
+def cached_file(root: str, lat: Column, lon: Column, layer: str) -> Column:
+    """Path of a degree's stored features of a layer."""
+    return F.concat(F.lit(root.rstrip("/") + "/"), folder_name(lat, lon), F.lit("/"), tile_name(lat, lon), F.lit("/"), tile_name(lat, lon), F.lit(f"_{layer}.osm.bz2"))
+
+
+def mask_file(x: Column, y: Column, zoom: Column | None = None, distance: bool = False) -> Column:
+    """Name of a mask by its tile's corner, row first; distance masks say so."""
+    name = F.concat_ws("_", y.cast("string"), x.cast("string"))
+    tail = F.concat(F.lit("_ZL"), zoom.cast("string")) if zoom is not None else F.lit("")
+    return F.concat(name, tail, F.lit("_dist.png" if distance else ".png"))
+
+
 def building_height(longest_m: Column, given: Column) -> Column:
     """Given height, or 3.5 m for each storey: one for each ten metres of the longest side, 1 to 12, half to even."""
     return F.coalesce(given, F.least(F.lit(12.0), F.greatest(F.lit(1.0), F.rint(longest_m / 10))) * 3.5)

@@ -289,6 +289,37 @@ def resample(grid: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray
     return (grid[r0, c0] * (1 - fc) + grid[r0, c1] * fc) * (1 - fr) + (grid[r1, c0] * (1 - fc) + grid[r1, c1] * fc) * fr
 
 
+def resample_cubic(grid: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Values by cubic convolution (a = -1/2) at fractional rows and columns, edges repeated."""
+    def weights(t: np.ndarray) -> np.ndarray:
+        d = np.abs(np.stack([t + 1, t, 1 - t, 2 - t]))
+        return np.where(d <= 1, 1.5 * d**3 - 2.5 * d**2 + 1, np.where(d < 2, -0.5 * d**3 + 2.5 * d**2 - 4 * d + 2, 0))
+
+    r, c = np.clip(rows, 0, grid.shape[0] - 1), np.clip(cols, 0, grid.shape[1] - 1)
+    r0, c0 = np.floor(r).astype(int), np.floor(c).astype(int)
+    wr, wc = weights(r - r0), weights(c - c0)
+    out = np.zeros(np.broadcast(r, c).shape)
+    for i in range(4):
+        for j in range(4):
+            out += wr[i] * wc[j] * grid[np.clip(r0 + i - 1, 0, grid.shape[0] - 1), np.clip(c0 + j - 1, 0, grid.shape[1] - 1)]
+    return out
+
+
+def level_triangles(z: np.ndarray, drawn: np.ndarray, triangles: np.ndarray, kinds: list[str], rounds: int, sea: str = "zero") -> np.ndarray:
+    """Altitudes after the triangles' kinds, in their order: inland water's corners take their mean, so many rounds; then the
+    sea's are 0, take their mean or rise to 0; then those of drawn surfaces take the altitude that was drawn."""
+    z = np.array(z, float)
+    of = lambda k: [t for t, kind in zip(triangles.tolist(), kinds, strict=True) if kind == k]
+    for _ in range(rounds):
+        for t in of("water"):
+            z[t] = z[t].mean()
+    for t in of("sea"):
+        z[t] = {"zero": 0.0, "mean": z[t].mean(), "clamp": np.maximum(z[t], 0.0)}[sea]
+    for t in of("drawn"):
+        z[t] = drawn[t]
+    return z
+
+
 def upsample(grid: np.ndarray, factor: int = 3) -> np.ndarray:
     """A grid of (n - 1) * factor + 1 nodes with linear values between."""
     rows, cols = (np.arange((n - 1) * factor + 1) / factor for n in grid.shape)

@@ -126,6 +126,12 @@ def band_weighted(points: DataFrame, samples: DataFrame, width: float, fallback:
     return sums.select("id", F.when(F.col("w") > 1e-6, F.col("v") / F.when(F.col("w") > 1e-6, F.col("w"))).otherwise(fallback).alias("altitude"))
 
 
+def blended_at_border(value: Column, beyond: Column, x: Column, y: Column, width: float = 0.0003) -> Column:
+    """A value inside the unit square that goes over to another one along a border of this width."""
+    near = F.least(x, 1 - x, y, 1 - y) / width
+    return F.when(near < 1, near * value + (1 - near) * beyond).otherwise(value)
+
+
 def merge_junctions(points: DataFrame, tolerance: float = 5e-6) -> DataFrame:
     """(id, junction): in order of id, a point joins the first junction within the tolerance along both axes, else it is a
     junction itself; so junctions are the points with no earlier junction near.

@@ -178,6 +178,27 @@ def warp(tiles: DataFrame, keep: list[str], px: str, width: int, rows: list[list
     return map_grids(tiles, px, width, lambda g: (kernels.resample(g, *mesh),), "warped array<double>", keep)
 
 
+def resampled(tiles: DataFrame, keep: list[str], px: str, width: int, size: tuple[int, int], how: str = "bilinear") -> DataFrame:
+    """``fine``: a tile at another size (height, width), its corners kept: by the nearest pixel, linearly or by cubic convolution."""
+    if how not in ("nearest", "bilinear", "cubic"):
+        raise ValueError("how must be nearest, bilinear or cubic")
+
+    def kernel(grid: np.ndarray) -> tuple:
+        rows, cols = np.meshgrid(*(np.linspace(0, n - 1, m) for n, m in zip(grid.shape, size, strict=True)), indexing="ij")
+        if how == "nearest":
+            return (grid[np.rint(rows).astype(int), np.rint(cols).astype(int)],)
+        return ((kernels.resample if how == "bilinear" else kernels.resample_cubic)(grid, rows, cols),)
+
+    return map_grids(tiles, px, width, kernel, "fine array<double>", keep)
+
+
+def leveled(meshes: DataFrame, keep: list[str], rounds: int, sea: str = "zero") -> DataFrame:
+    """``levels``: a tile's node altitudes (arrays z and drawn, triangles of node numbers from 0, kinds) after its triangles'
+    kinds, in their order. A tile's mesh is one row, as each triangle works on what the one before has left."""
+    run = lambda z, drawn, triangles, kinds: (kernels.level_triangles(np.array(z, float), np.array(drawn, float), np.array(triangles, int).reshape(-1, 3), kinds, rounds, sea).tolist(),)
+    return map_rows(meshes, ["z", "drawn", "triangles", "kinds"], run, "levels array<double>", keep)
+
+
 def decode_detections(rows: DataFrame, keep: list[str], raw: str, fields: int, size: tuple[int, int], least: float = 0.25, limit: float = 0.45) -> DataFrame:
     """Raw detections (a flat array, ``fields`` numbers each: centre x and y, width, height, score, mask factors) to rows
     kept after scores, clipping to (height, width) and suppression: arrays of boxes, scores and factors."""

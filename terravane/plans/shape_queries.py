@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluation, graph, placement, raster, scenery, shapes, spatial, tile_kernels, tiles
 from ..operators._lineage import checkpoint_folder
 from ..sources import scenery_files, vectors, writers
-from . import adapters
+from . import adapters, runs
 from .adapters import table, with_tables
 from .queries import _CELLS_OF, _MATCHES, _over_boxes, _over_groups
 from .registry import register as _query
@@ -407,3 +407,37 @@ def f61_stamps(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     return e.select("event_id", writers.stamp(F.col("ts")).alias("shown"), writers.stamp(F.col("ts"), file=True).alias("file"))
 
+
+
+@_query("select p_partkey, 'osm/' || folder || '/' || tile || '/' || tile || '_water.osm.bz2' as cached, 'Data' || tile || '.2.node' as nodes, p_size || '_' || p_partkey || '_ZL16.png' as mask from (select p_partkey, p_size, '+' || lpad((p_size % 60)::varchar, 2, '0') || '+' || lpad((p_partkey % 170)::varchar, 3, '0') as tile, '+' || lpad((p_size % 60 // 10 * 10)::varchar, 2, '0') || '+' || lpad((p_partkey % 170 // 10 * 10)::varchar, 3, '0') as folder from part)")
+def f12_file_names(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions import geodesy
+
+    lat, lon = _mod("p_size", 60), _mod("p_partkey", 170)
+    folder = geodesy.build_folder("tiles", lat, lon)
+    nodes = F.substring_index(geodesy.build_file(folder, lat, lon, "nodes", 2), "/", -1)
+    return table(spark, d, "part").select("p_partkey", geodesy.cached_file("osm", lat, lon, "water").alias("cached"), nodes.alias("nodes"), geodesy.mask_file(F.col("p_partkey"), F.col("p_size"), F.lit(16)).alias("mask"))
+
+
+@_query(with_tables("select vec_id, list_transform(range(64), lambda i: round(px[i + 1], 6) + 0.0) as fine from rasters", "rasters"))
+def f44_resampled(spark: SparkSession, d: str) -> DataFrame:
+    """Cubic convolution at the pixels' own places gives the pixels."""
+    out = tile_kernels.resampled(adapters.rasters(spark, d), ["vec_id"], "px", 8, (8, 8), "cubic")
+    return out.select("vec_id", F.transform("fine", lambda v: _r(v)).alias("fine"))
+
+
+@_query("select p_partkey, round(case when near < 1 then near * p_retailprice + (1 - near) * 7 else p_retailprice end, 6) as z from (select *, least(x, 1 - x, y, 1 - y) / 0.25 as near from (select p_partkey, p_retailprice, p_size / 50.0::double as x, p_partkey % 100 / 100.0::double as y from part))")
+def j10_border_blend(spark: SparkSession, d: str) -> DataFrame:
+    x, y = F.col("p_size") / 50.0, _mod("p_partkey", 100) / 100.0
+    return table(spark, d, "part").select("p_partkey", F.round(spatial.blended_at_border(F.col("p_retailprice"), F.lit(7.0), x, y, 0.25), 6).alias("z"))
+
+
+@_query(with_tables("""
+    select count(*) as tiles, sum(n)::bigint as tree_pixels, sum(case when n > 0 then greatest(1, floor(n * 0.25)) else 0 end)::bigint as trees
+    from (select vec_id, sum((v >= 0.02 and not (v >= 0.08 and vec_id % 3 <> 0))::int) as n from pixels group by 1)
+    """, "rasters", "pixels"))
+def u4_trees(spark: SparkSession, d: str) -> DataFrame:
+    """A run from green tiles and road masks, of which every third is missing, to trees; its counters."""
+    t = adapters.rasters(spark, d).select(F.col("vec_id").alias("tile"), "px")
+    roads = t.where(_mod("tile", 3) != 0).select("tile", raster.threshold_mask(F.col("px"), 0.08).alias("px"))
+    return runs.plant_trees(t, roads, 8, 8, limit=0.02, density=0.25).counters

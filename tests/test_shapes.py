@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from terravane.functions import kernels, polygons
-from terravane.operators import frames, graph, placement, raster, scenery, shapes, spatial, tile_kernels, tiles
-from terravane.plans import evaluate
+from terravane.operators import _order, frames, graph, placement, raster, scenery, shapes, spatial, tile_kernels, tiles
+from terravane.plans import evaluate, runs
 from terravane.sources import readers, scenery_files, vectors, writers
 
 
@@ -356,3 +356,46 @@ def test_packages_and_texts(spark, tmp_path):
     pts = spark.createDataFrame([(1, 2, 0, "dirt", 3.0, s, s / 2.0, 0.5) for s in (1, 0)], "tile_x int, tile_y int, road int, type string, width_m double, seq int, u double, v double")
     doc = json.loads(scenery_files.road_documents(pts, F.lit(100.0), F.lit(90.0)).first().json)
     assert doc["roads"][0]["points"] == [{"u": 0.0, "v": 0.5}, {"u": 0.5, "v": 0.5}] and doc["width_m"] == 100.0
+
+
+def test_levels_by_triangles(spark):
+    mesh = spark.createDataFrame([(1, [3.0, 6.0, 9.0, -4.0, 5.0], [0.0, 0.0, 0.0, 0.0, 50.0], [[0, 1, 2], [1, 2, 3], [2, 3, 4]], ["water", "sea", "drawn"])], "id int, z array<double>, drawn array<double>, triangles array<array<int>>, kinds array<string>")
+    assert tile_kernels.leveled(mesh, ["id"], 1).first().levels == [6.0, 0.0, 0.0, 0.0, 50.0]
+    assert tile_kernels.leveled(mesh, ["id"], 1, "clamp").first().levels == [6.0, 6.0, 0.0, 0.0, 50.0]
+    assert tile_kernels.leveled(mesh, ["id"], 0, "mean").first().levels == pytest.approx([3.0, 11 / 3, 0.0, 0.0, 50.0])
+
+
+def test_resampling(spark):
+    ramp = spark.createDataFrame([(1, [float(r * 2 + c) for r in range(5) for c in range(5)])], "id int, px array<double>")
+    for how in ("bilinear", "cubic"):
+        fine = np.array(tile_kernels.resampled(ramp, ["id"], "px", 5, (9, 9), how).first().fine).reshape(9, 9)
+        assert np.allclose(fine[2:7, 2:7], [[r + c / 2 for c in range(2, 7)] for r in range(2, 7)])
+    near = np.array(tile_kernels.resampled(ramp, ["id"], "px", 5, (3, 3), "nearest").first().fine).reshape(3, 3)
+    assert near.tolist() == [[0, 2, 4], [4, 6, 8], [8, 10, 12]]
+
+
+def test_running_sums_and_percentiles(spark):
+    r = random.Random(9)
+    rows = [(r.choice(["a", "a", "a", "b", None]), i, r.randint(0, 9), r.random() if i % 11 else float("nan")) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, i int, n int, v double").repartition(5)
+    got = {x.i: x.before for x in _order.running(df, ["i"], "n", "before", ("k",)).collect()}
+    sums: dict = {}
+    for k, i, n, _ in rows:
+        assert got[i] == sums.get(k, 0)
+        sums[k] = sums.get(k, 0) + n
+    for x in _order.percentiles(df, "v", [0.0, 0.3, 0.5, 1.0], ("k",)).collect():
+        own = [v for k, _, _, v in rows if k == x.k and v == v]
+        assert x.n == len(own) and np.allclose(x.q, np.percentile(own, [0, 30, 50, 100]))
+
+
+def test_documents_and_runs(spark, tmp_path):
+    b = spark.createDataFrame([(1, 2, 7, 1.5, "Building"), (1, 2, 3, 2.5, "Building"), (4, 4, 1, 0.5, "Hut")], "tile_x int, tile_y int, id int, center_x double, class string")
+    docs = [json.loads(x.json) for x in scenery_files.building_documents(b, ["tile_x", "tile_y"]).orderBy("tile_x").collect()]
+    (tmp_path / "b.json").write_text(json.dumps({"tileBuildingsList": docs}))
+    assert docs[0]["total_buildings"] == 2 and [x["id"] for x in docs[0]["buildings"]] == [3, 7]
+    assert sorted((x.tile_x, x.id, x.center_x) for x in readers.buildings(spark, f"{tmp_path}/b.json").collect()) == [(1, 3, 2.5), (1, 7, 1.5), (4, 1, 0.5)]
+    green = spark.createDataFrame([("a", [0.9, 0.1, 0.8, 0.7]), ("b", [0.0] * 4)], "tile string, px array<double>")
+    out = runs.plant_trees(green, spark.createDataFrame([("a", [1, 0, 0, 0])], "tile string, px array<int>"), 2, 2, limit=0.5, density=1.0)
+    assert tuple(out.counters.first()) == (2, 2, 2) and sorted((p.x, p.y) for p in out.positions.collect()) == [(0.25, 0.75), (0.75, 0.75)]
+    assert json.loads(out.documents.first().json)["a"][0] == {"x": 0.25, "y": 0.75}
+    assert runs.for_each(green, lambda t: t.select("tile"), 3).count() == 2
