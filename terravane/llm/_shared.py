@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators._lineage import checkpoint_folder, remove
 from ..operators._lineage import settle as cut
 
-__all__ = ["by_bytes", "checkpoint_folder", "cut", "forget", "join_crowded", "own_broadcasts", "per_worker", "remove", "share", "spread", "table", "texts", "WordTable"]
+__all__ = ["by_bytes", "checkpoint_folder", "cut", "forget", "join_crowded", "own_broadcasts", "per_worker", "remove", "share", "slices", "spread", "table", "texts", "WordTable"]
 
 #: Bytes a worker's word cache may hold before it is emptied, and what an entry takes beside its values. A cache is
 #: only a shortcut: an emptied one is filled again and results do not change.
@@ -134,6 +135,20 @@ class WordTable:
         return out
 
 
+def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(start, stop, texts) of stretches of a string column of about ``most`` bytes each: only one of them is held as bytes, as
+    a batch may have very long texts. Null is the empty text."""
+    raw = column.cast(pa.binary())
+    lengths = pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    start = 0
+    while start < len(raw):
+        before = ends[start] - lengths[start]
+        stop = min(int(np.searchsorted(ends, before + most)) + 1, len(raw))
+        yield start, stop, texts(raw.slice(start, stop - start))
+        start = stop
+
+
 def by_bytes(items: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of ``items`` that hold about ``most`` bytes each, so that memory follows the range and not the batch."""
     start = size = 0

@@ -84,9 +84,8 @@ def _encode(path: str, end_id: int | None):
         encode = tokens.encoder(path)
         end = b"" if end_id is None else np.array([end_id], encode.dtype).tobytes()
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
-                ids = [x + end for x in encode.encode(docs[i:j])]
+            for i, j, docs in _shared.slices(batch["text"]):
+                ids = [x + end for x in encode.encode(docs)]
                 yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in ("doc_id", "mark", "grp")), pa.array(ids, pa.binary())], ["doc_id", "mark", "grp", "ids"])
 
     return run

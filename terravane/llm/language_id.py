@@ -119,10 +119,10 @@ def count_grams(key: str, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _shared.forget()
         for batch in batches:
-            docs, labels = _shared.texts(batch["text"]), batch[key].to_pylist()
-            for i, j in _shared.by_bytes(docs):
+            labels = batch[key].to_pylist()
+            for i, j, docs in _shared.slices(batch["text"]):
                 counts: dict[int, Counter] = {}
-                for label, text in zip(labels[i:j], docs[i:j], strict=True):
+                for label, text in zip(labels[i:j], docs, strict=True):
                     counts.setdefault(label, Counter()).update(split_words(text))
                 for label, words in counts.items():
                     n = np.fromiter(words.values(), np.int64, len(words))
@@ -267,17 +267,16 @@ def _judge(trees: Languages, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray
     return names, np.where(und, 0.0, share)
 
 
-def _ranges(model: Languages, docs: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts whose words' values take a bounded room, however many languages there are."""
-    return _shared.by_bytes(docs, (1 << 20) * 8 // max(8, len(model.languages)))
+def _slices(model: Languages, column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Stretches of texts whose words' values take a bounded room, however many languages there are."""
+    return _shared.slices(column, (1 << 20) * 8 // max(8, len(model.languages)))
 
 
 def _classify(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _ranges(model.value, docs):
-                names, share = _judge(model.value, docs[i:j])
+            for i, j, docs in _slices(model.value, batch["text"]):
+                names, share = _judge(model.value, docs)
                 yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in batch.schema.names if c != "text"), pa.array(names, pa.string()), pa.array(share)], [*(c for c in batch.schema.names if c != "text"), "lang_pred", "score"])
 
     return run
@@ -304,9 +303,8 @@ def identify(docs: DataFrame, model: Languages | None) -> DataFrame:
 def _kept(model, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _ranges(model.value, docs):
-                names, share = _judge(model.value, docs[i:j])
+            for i, j, docs in _slices(model.value, batch["text"]):
+                names, share = _judge(model.value, docs)
                 yield batch.slice(i, j - i).filter(pa.array((names != "und") & (share >= least)))
 
     return run

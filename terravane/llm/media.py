@@ -242,10 +242,9 @@ def _store(with_media: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
+            for i, j, docs in _shared.slices(batch["text"]):
                 rows = []
-                for text in docs[i:j]:
+                for text in docs:
                     media = write_stream(pad(text))
                     found = Stream(media)
                     got = found.payload

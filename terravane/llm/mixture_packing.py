@@ -57,9 +57,8 @@ def _encode(path: str, end_id: int | None):
         encode, press = tokens.encoder(path), zstandard.ZstdCompressor(1).compress
         end = b"" if end_id is None else np.array([end_id], encode.dtype).tobytes()
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
-                ids = [x + end for x in encode.encode(docs[i:j])]
+            for i, j, docs in _shared.slices(batch["text"]):
+                ids = [x + end for x in encode.encode(docs)]
                 n = [len(x) // encode.dtype.itemsize for x in ids]
                 yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in ("doc_id", "source", "mark")), pa.array(n, pa.int64()), pa.array(map(press, ids), pa.binary())], _names(_ENCODED))
 

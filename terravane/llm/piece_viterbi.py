@@ -177,10 +177,9 @@ def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
-                ids = [model.encode(x.decode("utf-8", "replace")) for x in docs[i:j]]
-                same = [model.decode(x) == t for x, t in zip(ids, docs[i:j], strict=True)]
+            for i, j, docs in _shared.slices(batch["text"]):
+                ids = [model.encode(x.decode("utf-8", "replace")) for x in docs]
+                same = [model.decode(x) == t for x, t in zip(ids, docs, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(i, j - i), pa.array([len(x) // model.dtype.itemsize for x in ids], pa.int64()), pa.array([zlib.crc32(np.frombuffer(x, model.dtype).astype("<u4").tobytes()) for x in ids], pa.int64()), pa.array(same), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids_crc32", "round_trip", "ids"]
                 )

@@ -105,9 +105,8 @@ def _fingerprint_batches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _shared.forget()
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs, 1 << 20):
-                f = fingerprints(docs[i:j], shingle)
+            for i, j, docs in _shared.slices(batch["text"]):
+                f = fingerprints(docs, shingle)
                 yield pa.RecordBatch.from_arrays([*(batch[c].slice(i, j - i) for c in batch.schema.names if c != "text"), pa.array(f.view(np.int64))], [*(c for c in batch.schema.names if c != "text"), "bits"])
 
     return run
@@ -451,9 +450,8 @@ def _key_counts(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _shared.forget()
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
-                key, n = np.unique(np.concatenate(_sets(docs[i:j], shingle)), return_counts=True)
+            for i, j, docs in _shared.slices(batch["text"]):
+                key, n = np.unique(np.concatenate(_sets(docs, shingle)), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
     return run
@@ -485,9 +483,8 @@ def _shingle_batches(shingle: int, frequent):
         _shared.forget()
         (known, count), press = frequent.value, zstandard.ZstdCompressor(3).compress
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
-                lists = _hashes(docs[i:j], shingle)
+            for i, j, docs in _shared.slices(batch["text"]):
+                lists = _hashes(docs, shingle)
                 sets, votes = [np.unique(x) for x in lists], np.array([len(x) for x in lists])
                 prints = np.zeros(len(lists), np.uint64)
                 if votes.any():
@@ -495,7 +492,7 @@ def _shingle_batches(shingle: int, frequent):
                 del lists
                 columns = [np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64), prints.view(np.int64), np.array([len(x) for x in sets], np.int64), *np.array([_parities(x) for x in sets]).T.copy()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(i, j - i), *map(pa.array, columns), pa.array(map(press, docs[i:j]), pa.binary()), pa.array([_first_fifth(x, known, count).tobytes() for x in sets], pa.binary())], [x.split()[0] for x in _MARKED]
+                    [batch["doc_id"].slice(i, j - i), *map(pa.array, columns), pa.array(map(press, docs), pa.binary()), pa.array([_first_fifth(x, known, count).tobytes() for x in sets], pa.binary())], [x.split()[0] for x in _MARKED]
                 )
 
     return run
@@ -694,7 +691,7 @@ def similar(docs: DataFrame, *, shingle: int = 5, threshold: int = 2) -> DataFra
     links = _similar_pairs(whole, seen, shingle)
     size = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 5 // TASK_KEYS)  # a fifth of the keys
-    entries = whole.select("bits", "n", "first").mapInArrow(_first_keys(16 * tasks), "part int, entries binary")
+    entries = whole.select("bits", "n", "first").mapInArrow(_first_keys(4 * tasks), "part int, entries binary")
     met = _shared.cut(entries.repartition(tasks, "part").mapInArrow(_meetings, _MET))
     roots = connected_components(links)
     beside = _rooted(_rooted(met.where("beside is not null").select(F.col("bits").alias("a"), F.col("beside").alias("b")).distinct(), roots, "a", "ra"), roots, "b", "rb").where("ra != rb").select("a", "b")

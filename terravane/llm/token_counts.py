@@ -89,10 +89,9 @@ def _count_lines(path: str, rule: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(path)
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
+            for i, j, docs in _shared.slices(batch["text"]):
                 n, across, sections, counts = [], [], [], []
-                for text in docs[i:j]:
+                for text in docs:
                     first, stop = encode.spans(text) if text else (np.zeros(0, np.int64),) * 2
                     starts = line_starts(text)
                     count, over = attribute(first, stop, starts, int(stop[-1]) if len(stop) else 0, rule)

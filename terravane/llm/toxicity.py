@@ -176,9 +176,8 @@ def _features(model):
         m = model.value
         seen = _shared.per_worker(f"toxic:{m.id}", lambda: _shared.WordTable(m.difference, 1))
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
-                f = m.features(docs[i:j], seen)
+            for i, j, docs in _shared.slices(batch["text"]):
+                f = m.features(docs, seen)
                 yield pa.RecordBatch.from_arrays([batch["toxic"].slice(i, j - i), *(pa.array(f[:, k]) for k in (1, 2, 3))], ["toxic", "mean", "two", "one"])
 
     return run
@@ -189,9 +188,8 @@ def _scores(model):
         m = model.value
         seen = _shared.per_worker(f"toxic:{m.id}", lambda: _shared.WordTable(m.difference, 1))
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
-                score = m.score(m.features(docs[i:j], seen))
+            for i, j, docs in _shared.slices(batch["text"]):
+                score = m.score(m.features(docs, seen))
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return run
@@ -219,9 +217,8 @@ def _kept(model):
         m = model.value
         seen = _shared.per_worker(f"toxic:{m.id}", lambda: _shared.WordTable(m.difference, 1))
         for batch in batches:
-            docs = _shared.texts(batch["text"])
-            for i, j in _shared.by_bytes(docs):
-                clean = m.score(m.features(docs[i:j], seen)) < 0.5
+            for i, j, docs in _shared.slices(batch["text"]):
+                clean = m.score(m.features(docs, seen)) < 0.5
                 yield batch.slice(i, j - i).filter(pa.array(clean))
 
     return run
