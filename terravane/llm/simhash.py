@@ -544,9 +544,9 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(best: bool):
-    """Pairs of sets that meet at a key, have different roots, and can be similar by their sizes and parities: all of them, or
-    for each set the one with the nearest parities. A crowded key comes as pairs (lo, hi) of parts: sets of both are
-    compared with each other, or within the part if it is one."""
+    """Pairs (a, b) of sets that meet at a key, have different roots, and can be similar by their sizes and parities; or, for
+    each set a that a key holds, the b there with the nearest parities, and how near these are (share). A crowded key comes
+    as pairs (lo, hi) of parts: sets of both are compared with each other, or within the part if it is one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [pa.Table.from_batches([b]) for b in batches]
@@ -591,16 +591,14 @@ def _candidates(best: bool):
                     left.append(i)
                     right.append(j)
                     held += len(i)
-            if best:
-                found = np.flatnonzero(beside[s:e] >= 0) + s
-                left.append(found)
-                right.append(beside[found])
-                held += len(found)
             if held >= 500_000:
                 yield distinct()
                 left, right, held = [], [], 0
         if held:
             yield distinct()
+        if best:
+            found = np.flatnonzero(beside >= 0)
+            yield pa.RecordBatch.from_arrays([pa.array(bits[found]), pa.array(bits[beside[found]]), pa.array(nearest[found])], ["a", "b", "share"])
 
     return run
 
@@ -668,7 +666,11 @@ def _remaining(met: DataFrame, roots: DataFrame, classes: DataFrame, tasks: int,
     several = several.where("low != high").select("key", F.ceil(F.col("sets") / KEY_SETS).cast("int").alias("chunks"))
     open_ = rooted.join(several, "key").join(classes.select("bits", *_PARITIES), "bits").withColumn("chunk", F.pmod(F.xxhash64("bits"), F.col("chunks")).cast("int"))
     dealt = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
-    return dealt.drop("chunks", "other").repartition(tasks, "key", "lo", "hi").mapInArrow(_candidates(best), "a long, b long").distinct()
+    grouped = dealt.drop("chunks", "other").repartition(tasks, "key", "lo", "hi")
+    if not best:
+        return grouped.mapInArrow(_candidates(False), "a long, b long").distinct()
+    nearest = grouped.mapInArrow(_candidates(True), "a long, b long, share double").groupBy("a").agg(F.min(F.struct("share", "b")).alias("n"))
+    return nearest.select(F.least("a", "n.b").alias("a"), F.greatest("a", "n.b").alias("b")).distinct()
 
 
 def similar(docs: DataFrame, *, shingle: int = 5, threshold: int = 2) -> DataFrame:
