@@ -827,7 +827,7 @@ def k9_network_text(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(
     with_tables("", "truth").rstrip() + """
-    , b as (select *, (ymin // 120)::bigint as tile, 'facades/' || case when a < 100 then 'small' when a < 800 then 'medium' else 'large' end || '.fac' as facade, round_even(least(12.0, greatest(1.0, round_even((xmax - xmin) / 10, 0))) * 3.5, 0)::int as h from (select *, (xmax - xmin) * (ymax - ymin) * 20 as a from truth)),
+    , b as (select *, floor(ymin / 120)::bigint as tile, 'facades/' || case when a < 100 then 'small' when a < 800 then 'medium' else 'large' end || '.fac' as facade, round_even(least(12.0, greatest(1.0, round_even((xmax - xmin) / 10, 0))) * 3.5, 0)::int as h from (select *, (xmax - xmin) * (ymax - ymin) * 20 as a from truth)),
     n as (select *, dense_rank() over (partition by tile order by facade) - 1 as k from b),
     p as (select *, printf('%.8f', 29 + xmin / 1e4) as l, printf('%.8f', 29 + xmax / 1e4) as r, printf('%.8f', 41 + ymin / 1e4) as s, printf('%.8f', 41 + ymax / 1e4) as t, 'POLYGON_POINT ' as o from n),
     lines as (
