@@ -23,6 +23,25 @@ def size_bucket(area: Column) -> Column:
     return F.when(area < SMALL_AREA, "small").when(area < MEDIUM_AREA, "medium").otherwise("large")
 
 
+def footprint(width_px: Column, height_px: Column, metres: float) -> Column:
+    """Square metres of a rectangle of pixels of a size."""
+    return width_px * metres * (height_px * metres)
+
+
+def in_one_tile(corners: Column, size: float) -> Column:
+    """Whether all corners (arrays of structs x, y) lie in the tile of the first one."""
+    home = F.struct(F.floor(corners[0]["x"] / size).alias("x"), F.floor(corners[0]["y"] / size).alias("y"))
+    return F.forall(corners, lambda p: (F.floor(p["x"] / size) == home["x"]) & (F.floor(p["y"] / size) == home["y"]))
+
+
+def pixel_window(left: Column, bottom: Column, right: Column, top: Column, west: float, north: float, pixel: float, width: int, height: int) -> Column:
+    """The pixels (col, row, width, height) that a box takes of a raster, cut to it; null where nothing is left."""
+    inside = lambda v, n: F.least(F.greatest(F.rint(v).cast("long"), F.lit(0).cast("long")), F.lit(n).cast("long"))
+    c0, c1 = inside((left - west) / pixel, width), inside((right - west) / pixel, width)
+    r0, r1 = inside((north - top) / pixel, height), inside((north - bottom) / pixel, height)
+    return F.when((c1 > c0) & (r1 > r0), F.struct(c0.alias("col"), r0.alias("row"), (c1 - c0).alias("width"), (r1 - r0).alias("height")))
+
+
 def first_match(value: Column, table: tuple[tuple[str, object], ...]) -> Column:
     """The value beside the first key that occurs in the text; null if none does."""
     out, text = F.lit(None), value

@@ -159,6 +159,20 @@ def fill_ratio(area: Column, width: Column, height: Column, least: float, least_
     return F.coalesce((area >= least_area) & (area / F.when(box > 0, box) >= least), F.lit(False))
 
 
+def vertex_steps(points: DataFrame, line: str, order: list[str]) -> DataFrame:
+    """Vertices (x, y) of lines without those that repeat the one before, with their number from 1 along the line and the
+    length of the step to each (null for the first)."""
+    w = Window.partitionBy(line).orderBy(*order)
+    step = F.sqrt(F.pow(F.col("x") - F.lag("x").over(w), 2) + F.pow(F.col("y") - F.lag("y").over(w), 2))
+    return points.withColumns({"seq": F.row_number().over(w).cast("long"), "step": step}).where("step is null or step > 0")
+
+
+def edge_markers(edges: DataFrame, marker: Column) -> DataFrame:
+    """(a, b, marker) of edges (a, b) between different nodes, each once whichever way it runs, its markers put together."""
+    kept = edges.where("a != b")
+    return kept.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.bit_or(marker).alias("marker"))
+
+
 def densify(lines: DataFrame, keys: list[str], order: str, step: float) -> DataFrame:
     """Points every ``step`` along a line (x, y), corners kept: (keys, order, part, x, y)."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -128,6 +128,17 @@ def blur(tiles: DataFrame, keep: list[str], px: str, width: int, passes: int = 1
     return map_grids(tiles, px, width, kernel, f"{px} array<double>", keep)
 
 
+def sharpen(tiles: DataFrame, keep: list[str], px: str, width: int, factor: float) -> DataFrame:
+    """``px`` with each pixel's distance from its 3 by 3 mean multiplied; 1 leaves it, 0 blurs it."""
+
+    def kernel(grid: np.ndarray) -> tuple:
+        p = np.pad(grid, 1, mode="edge")
+        mean = sum(p[r : r + grid.shape[0], c : c + grid.shape[1]] for r in range(3) for c in range(3)) / 9
+        return (mean + (grid - mean) * factor,)
+
+    return map_grids(tiles, px, width, kernel, f"{px} array<double>", keep)
+
+
 def slopes(tiles: DataFrame, keep: list[str], px: str, width: int) -> DataFrame:
     """``dx`` and ``dy``: central differences along both axes, one-sided at edges."""
 

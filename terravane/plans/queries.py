@@ -310,16 +310,14 @@ def x4_p13_clip(spark: SparkSession, d: str) -> DataFrame:
 @_query(with_tables("select id, (xmax - xmin) * 0.3 * ((ymax - ymin) * 0.3) as area from truth where (xmax - xmin) * 0.3 * ((ymax - ymin) * 0.3) >= 2.0", "truth"))
 def p2_area_filter(spark: SparkSession, d: str) -> DataFrame:
     b = adapters.truth_boxes(spark, d)
-    area = (F.col("xmax") - F.col("xmin")) * 0.3 * ((F.col("ymax") - F.col("ymin")) * 0.3)
-    return b.select("id", area.alias("area")).where("area >= 2.0")
+    return b.select("id", features.footprint(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), 0.3).alias("area")).where("area >= 2.0")
 
 
 @_query(with_tables("select id from truth where floor(xmin / 100) = floor(xmax / 100) and floor(ymin / 100) = floor(ymax / 100)", "truth"))
 def p12_inside_tile(spark: SparkSession, d: str) -> DataFrame:
     b = adapters.truth_boxes(spark, d)
     corners = F.array(F.struct(F.col("xmin").alias("x"), F.col("ymin").alias("y")), F.struct(F.col("xmax").alias("x"), F.col("ymax").alias("y")))
-    home = F.struct(F.floor(F.col("xmin") / 100).alias("x"), F.floor(F.col("ymin") / 100).alias("y"))
-    return b.where(F.forall(corners, lambda p: (F.floor(p["x"] / 100) == home["x"]) & (F.floor(p["y"] / 100) == home["y"]))).select("id")
+    return b.where(features.in_one_tile(corners, 100.0)).select("id")
 
 
 # --- frames -----------------------------------------------------------------------------------------------------------
@@ -633,10 +631,9 @@ def j3_clip_segments(spark: SparkSession, d: str) -> DataFrame:
     """, "segments"))
 def w5_w7_vertex_steps(spark: SparkSession, d: str) -> DataFrame:
     """Vertices of an order's line without those that repeat the one before, with the length of the step to each."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "x2")
-    step = F.sqrt(F.pow(F.col("x1") - F.lag("x1").over(w), 2) + F.pow(F.col("y1") - F.lag("y1").over(w), 2))
-    out = adapters.segments(spark, d).select(*KEY, F.row_number().over(w).cast("long").alias("seq"), step.alias("step"))
-    return out.where("step is null or step > 0").withColumn("step", F.round("step", 6))
+    points = adapters.segments(spark, d).withColumns({"x": F.col("x1"), "y": F.col("y1")})
+    out = scenery.vertex_steps(points, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "x2"])
+    return out.select(*KEY, "seq", F.round("step", 6).alias("step"))
 
 
 @_query("""
@@ -645,8 +642,8 @@ def w5_w7_vertex_steps(spark: SparkSession, d: str) -> DataFrame:
     """)
 def a19_f30_edge_markers(spark: SparkSession, d: str) -> DataFrame:
     a, b = F.call_function("mod", F.col("l_partkey"), F.lit(50)), F.call_function("mod", F.col("l_suppkey"), F.lit(50))
-    li = table(spark, d, "lineitem").where(a != b)
-    return li.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(F.bit_or(F.expr("shiftleft(1L, cast(l_linenumber % 6 as int))")).alias("marker"))
+    edges = table(spark, d, "lineitem").select(a.alias("a"), b.alias("b"), "l_linenumber")
+    return scenery.edge_markers(edges, F.expr("shiftleft(1L, cast(l_linenumber % 6 as int))"))
 
 
 @_query("""

@@ -441,3 +441,25 @@ def u4_trees(spark: SparkSession, d: str) -> DataFrame:
     t = adapters.rasters(spark, d).select(F.col("vec_id").alias("tile"), "px")
     roads = t.where(_mod("tile", 3) != 0).select("tile", raster.threshold_mask(F.col("px"), 0.08).alias("px"))
     return runs.plant_trees(t, roads, 8, 8, limit=0.02, density=0.25).counters
+
+
+@_query(with_tables("""
+    select id, c0 as col, r0 as "row", c1 - c0 as width, r1 - r0 as height
+    from (
+        select id, least(greatest(round_even((xmin - 20) / 0.5, 0)::bigint, 0), 500) as c0, least(greatest(round_even((xmax - 20) / 0.5, 0)::bigint, 0), 500) as c1,
+            least(greatest(round_even((200 - ymax) / 0.5, 0)::bigint, 0), 300) as r0, least(greatest(round_even((200 - ymin) / 0.5, 0)::bigint, 0), 300) as r1
+        from truth
+    )
+    where c1 > c0 and r1 > r0
+    """, "truth"))
+def p13_pixel_windows(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions import features
+
+    window = features.pixel_window(*(F.col(c) for c in spatial.BOX), 20.0, 200.0, 0.5, 500, 300)
+    return adapters.truth_boxes(spark, d).select("id", window.alias("w")).where("w is not null").select("id", "w.*")
+
+
+@_query(with_tables("select vec_id, \"row\", col, round(v + (v - m) * 0.5, 6) + 0.0 as v from (select vec_id, \"row\", col, v, (select sum(q.v) from (select unnest([-1, 0, 1]) as a), (select unnest([-1, 0, 1]) as b), pixels q where q.vec_id = p.vec_id and q.\"row\" = least(greatest(p.\"row\" + a, 0), 7) and q.col = least(greatest(p.col + b, 0), 7)) / 9 as m from pixels p)", "rasters", "pixels"))
+def f52_sharpened(spark: SparkSession, d: str) -> DataFrame:
+    out = raster.pixels(tile_kernels.sharpen(adapters.rasters(spark, d), ["vec_id"], "px", 8, 1.5), "px", 8)
+    return out.select("vec_id", "row", "col", _r(F.col("v")).alias("v"))
