@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators._lineage import checkpoint_folder, remove
 from ..operators._lineage import settle as cut
 
-__all__ = ["by_bytes", "checkpoint_folder", "cut", "forget", "join_crowded", "own_broadcasts", "per_worker", "remove", "share", "slices", "spread", "table", "texts", "WordTable"]
+__all__ = ["by_bytes", "checkpoint_folder", "cut", "cut_few", "forget", "join_crowded", "own_broadcasts", "per_worker", "remove", "share", "slices", "spread", "table", "texts", "WordTable"]
 
 #: Bytes a worker's word cache may hold before it is emptied, and what an entry takes beside its values. A cache is
 #: only a shortcut: an emptied one is filled again and results do not change.
@@ -64,11 +64,16 @@ def own_broadcasts() -> Iterator[None]:
             held.destroy()
 
 
+def cut_few(df: DataFrame) -> DataFrame:
+    """``cut`` for rows of a few numbers each: in no more files than two for each core, whatever the number of partitions."""
+    return cut(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def join_crowded(rows: DataFrame, partner: DataFrame, key: str) -> DataFrame:
     """``rows`` joined with ``partner``, which has one row for each ``key`` (never null). Rows of a crowded key stay where
     they are and meet a broadcast of that key's partner; all others are shuffled."""
     counts = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > CROWDED_ROWS)
-    crowded = cut(counts.orderBy(F.desc("_n"), key).limit(CROWDED_KEYS).select(key))
+    crowded = cut_few(counts.orderBy(F.desc("_n"), key).limit(CROWDED_KEYS).select(key))
     if crowded.isEmpty():
         return rows.join(partner, key)
     few = F.broadcast(crowded)

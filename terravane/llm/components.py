@@ -51,21 +51,21 @@ def connected_components(links: DataFrame) -> DataFrame:
     with every round, and so does the number of rounds needed: about the logarithm of the longest chain.
     Links from a node to itself, repeated and reversed links do no harm; links with a null end are ignored.
     """
-    links = _shared.cut(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null"))
+    links = _shared.cut_few(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null"))
     if links.limit(FEW_LINKS + 1).count() <= FEW_LINKS:
-        return _shared.cut(links.repartition(1).mapInArrow(_in_one_task, "node long, root long"))
+        return _shared.cut_few(links.repartition(1).mapInArrow(_in_one_task, "node long, root long"))
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    root = _shared.cut(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root")))
+    root = _shared.cut_few(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root")))
     root = _followed(root)
     while True:
-        links = _shared.cut(_contracted(links, root).distinct())
+        links = _shared.cut_few(_contracted(links, root).distinct())
         if links.isEmpty():
             return root
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root"))
-        hooks = _followed(_shared.cut(hooks))
+        hooks = _followed(_shared.cut_few(hooks))
         hop = hooks.select(F.col("node").alias("old"), F.col("root").alias("new"))
-        root = _shared.cut(root.join(hop, root["root"] == hop["old"], "left").select("node", F.coalesce("new", "root").alias("root")))
+        root = _shared.cut_few(root.join(hop, root["root"] == hop["old"], "left").select("node", F.coalesce("new", "root").alias("root")))
 
 
 def _contracted(links: DataFrame, root: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def _followed(root: DataFrame) -> DataFrame:
     """Each node with the end of its chain of hooks, by doubling."""
     while True:
         up = root.select(F.col("node").alias("up"), F.col("root").alias("end"))
-        moved = _shared.cut(root.join(up, root["root"] == up["up"], "left").select("node", F.coalesce("end", "root").alias("root"), (F.coalesce("end", "root") != F.col("root")).alias("moved")))
+        moved = _shared.cut_few(root.join(up, root["root"] == up["up"], "left").select("node", F.coalesce("end", "root").alias("root"), (F.coalesce("end", "root") != F.col("root")).alias("moved")))
         root = moved.select("node", "root")
         if moved.where("moved").isEmpty():
             return root

@@ -387,17 +387,17 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 2, shingle: int = 3) ->
     Other columns are ignored; an empty table gives no rows.
     """
     marked = _shared.cut(simhash(docs, shingle))
-    classes = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id")))
+    classes = _shared.cut_few(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id")))
     placed = _components(classes, links_by_anchors(classes.select("bits"), threshold))
     return _shared.join_crowded(marked, placed, "bits").select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
     """(bits, component_id) of each class (bits, first_id)."""
-    roots = connected_components(_shared.cut(links.distinct()))
-    placed = _shared.cut(classes.join(roots, classes["bits"] == roots["node"], "left").select("bits", "first_id", F.coalesce("root", "bits").alias("root")))
-    smallest = _shared.cut(placed.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    return _shared.cut(_shared.join_crowded(placed, smallest, "root").select("bits", "component_id"))
+    roots = connected_components(links.distinct())
+    placed = _shared.cut_few(classes.join(roots, classes["bits"] == roots["node"], "left").select("bits", "first_id", F.coalesce("root", "bits").alias("root")))
+    smallest = _shared.cut_few(placed.groupBy("root").agg(F.min("first_id").alias("component_id")))
+    return _shared.cut_few(_shared.join_crowded(placed, smallest, "root").select("bits", "component_id"))
 
 
 # --- similar texts ----------------------------------------------------------------------------------------------------
@@ -419,7 +419,7 @@ FREQUENT = 500_000
 
 _KEYED = np.dtype([("key", "<u8"), ("bits", "<u8"), ("n", "<u4"), ("at", "<u2")])
 _PARITIES = [f"p{i}" for i in range(8)]
-_MARKED = ["doc_id long", "bits long", "fingerprint long", "n long", *(f"{c} long" for c in _PARITIES), "packed binary", "first binary"]
+_MARKED = ["doc_id long", "bits long", "fingerprint long", "n long", *(f"{c} long" for c in _PARITIES), "packed binary"]
 _MET = "key long, bits long, n long, at long, beside long"
 
 
@@ -476,12 +476,12 @@ def _first_fifth(keys: np.ndarray, known: np.ndarray, count: np.ndarray) -> np.n
     return keys[: len(keys) - -(-ALIKE[0] * len(keys) // ALIKE[1]) + 1]
 
 
-def _shingle_batches(shingle: int, frequent):
+def _shingle_batches(shingle: int):
     """Texts go on packed: their sets would take more room, and are soon made again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _shared.forget()
-        (known, count), press = frequent.value, zstandard.ZstdCompressor(3).compress
+        press = zstandard.ZstdCompressor(3).compress
         for batch in batches:
             for i, j, docs in _shared.slices(batch["text"]):
                 lists = _hashes(docs, shingle)
@@ -491,26 +491,27 @@ def _shingle_batches(shingle: int, frequent):
                     prints[votes > 0] = majorities(np.concatenate(lists), votes[votes > 0])
                 del lists
                 columns = [np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64), prints.view(np.int64), np.array([len(x) for x in sets], np.int64), *np.array([_parities(x) for x in sets]).T.copy()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(i, j - i), *map(pa.array, columns), pa.array(map(press, docs), pa.binary()), pa.array([_first_fifth(x, known, count).tobytes() for x in sets], pa.binary())], [x.split()[0] for x in _MARKED]
-                )
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(i, j - i), *map(pa.array, columns), pa.array(map(press, docs), pa.binary())], [x.split()[0] for x in _MARKED])
 
     return run
 
 
-def _first_keys(parts: int):
+def _first_keys(frequent, shingle: int, parts: int):
     """Each set's first keys, as blobs by the key's part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _shared.forget()
+        known, count = frequent.value
         for batch in batches:
-            bits, n, first = batch["bits"].to_numpy().view(np.uint64), batch["n"].to_numpy(), batch["first"].to_pylist()
-            for i, j in _shared.by_bytes(first):
-                times = np.array([len(x) // 8 for x in first[i:j]])
+            bits, packed = batch["bits"].to_numpy().view(np.uint64), batch["packed"].to_pylist()
+            for i, j in _shared.by_bytes(packed, 1 << 18):
+                sets = _sets(_unpacked(packed[i:j]), shingle)
+                first = [_first_fifth(x, known, count) for x in sets]
+                times = np.array([len(x) for x in first])
                 entry = np.empty(times.sum(), _KEYED)
                 if not len(entry):
                     continue
-                entry["key"], entry["bits"], entry["n"] = np.frombuffer(b"".join(first[i:j]), "<u8"), np.repeat(bits[i:j], times), np.repeat(n[i:j], times)
+                entry["key"], entry["bits"], entry["n"] = np.concatenate(first), np.repeat(bits[i:j], times), np.repeat([len(x) for x in sets], times)
                 entry["at"] = np.minimum(np.arange(len(entry)) - np.repeat(np.cumsum(times) - times, times), 65535)
                 yield _blobs(entry, _part(entry["key"], parts))
 
@@ -629,7 +630,7 @@ def _similar_pairs(texts: DataFrame, pairs: DataFrame, shingle: int) -> DataFram
     asked = pairs.select(F.col("a").alias("bits")).union(pairs.select(F.col("b").alias("bits"))).distinct()
     held = _shared.cut(texts.select("bits", "packed").join(asked, "bits", "left_semi"))
     one, two = held.select(F.col("bits").alias("a"), F.col("packed").alias("one")), held.select(F.col("bits").alias("b"), F.col("packed").alias("two"))
-    return _shared.cut(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_decide(shingle), "a long, b long"))
+    return _shared.cut_few(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_decide(shingle), "a long, b long"))
 
 
 def _near_parities(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -645,7 +646,7 @@ def _near_parities(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _pairs_by_anchors(classes: DataFrame, threshold: int) -> DataFrame:
     """(a, b): sets whose fingerprints are equal or meet at an anchor, as a spanning forest. Of the sets of a fingerprint
     one stands for all."""
-    first = _shared.cut(classes.groupBy("fingerprint").agg(F.min("bits").alias("bits")))
+    first = _shared.cut_few(classes.groupBy("fingerprint").agg(F.min("bits").alias("bits")))
     links = links_by_anchors(first.select(F.col("fingerprint").alias("bits")), threshold).distinct()
     one, two = (first.select(F.col("fingerprint").alias(x), F.col("bits").alias(f"{x}_bits")) for x in ("a", "b"))
     met = links.join(one, "a").join(two, "b").select(F.col("a_bits").alias("a"), F.col("b_bits").alias("b"))
@@ -661,7 +662,7 @@ def _rooted(rows: DataFrame, roots: DataFrame, key: str, root: str) -> DataFrame
 
 def _remaining(met: DataFrame, roots: DataFrame, classes: DataFrame, tasks: int, best: bool) -> DataFrame:
     """(a, b): pairs of sets that meet at a key, are not linked yet and can be similar; or the nearest one of each set."""
-    rooted = _shared.cut(_rooted(met.select("key", "bits", "n", "at"), roots, "bits", "root"))
+    rooted = _shared.cut_few(_rooted(met.select("key", "bits", "n", "at"), roots, "bits", "root"))
     several = rooted.groupBy("key").agg(F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high"))
     several = several.where("low != high").select("key", F.ceil(F.col("sets") / KEY_SETS).cast("int").alias("chunks"))
     open_ = rooted.join(several, "key").join(classes.select("bits", *_PARITIES), "bits").withColumn("chunk", F.pmod(F.xxhash64("bits"), F.col("chunks")).cast("int"))
@@ -685,15 +686,15 @@ def similar(docs: DataFrame, *, shingle: int = 5, threshold: int = 2) -> DataFra
     spark = docs.sparkSession
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     frequent = _shared.share(spark, _frequent(given.select("text"), shingle))
-    marked = _shared.cut(given.mapInArrow(_shingle_batches(shingle, frequent), ", ".join(_MARKED)))
-    same = [F.first(c).alias(c) for c in ("n", *_PARITIES, "packed", "first")]  # one value for all equal sets, texts but for their spelling
+    marked = _shared.cut(given.mapInArrow(_shingle_batches(shingle), ", ".join(_MARKED)))
+    same = [F.first(c).alias(c) for c in ("n", *_PARITIES, "packed")]  # one value for all equal sets, texts but for their spelling
     whole = _shared.cut(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.min("fingerprint").alias("fingerprint"), *same))
-    classes = _shared.cut(whole.drop("packed", "first"))
-    seen = _shared.cut(_near_parities(_pairs_by_anchors(classes, threshold), classes))
+    classes = _shared.cut_few(whole.drop("packed"))
+    seen = _shared.cut_few(_near_parities(_pairs_by_anchors(classes, threshold), classes))
     links = _similar_pairs(whole, seen, shingle)
     size = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 5 // TASK_KEYS)  # a fifth of the keys
-    entries = whole.select("bits", "n", "first").mapInArrow(_first_keys(4 * tasks), "part int, entries binary")
+    entries = whole.select("bits", "packed").mapInArrow(_first_keys(frequent, shingle, 4 * tasks), "part int, entries binary")
     met = _shared.cut(entries.repartition(tasks, "part").mapInArrow(_meetings, _MET))
     roots = connected_components(links)
     beside = _rooted(_rooted(met.where("beside is not null").select(F.col("bits").alias("a"), F.col("beside").alias("b")).distinct(), roots, "a", "ra"), roots, "b", "rb").where("ra != rb").select("a", "b")
@@ -701,7 +702,7 @@ def similar(docs: DataFrame, *, shingle: int = 5, threshold: int = 2) -> DataFra
     for k, pairs in enumerate(steps):
         if pairs is None:
             pairs = _remaining(met, connected_components(links), classes, tasks, k <= NEAREST_ROUNDS)
-        new = _shared.cut(pairs.join(seen, ["a", "b"], "left_anti"))
+        new = _shared.cut_few(pairs.join(seen, ["a", "b"], "left_anti"))
         links, seen = links.union(_similar_pairs(whole, new, shingle)), seen.union(new)
     return _shared.join_crowded(marked.select("doc_id", "bits"), _components(classes.select("bits", "first_id"), links), "bits").select("doc_id", "component_id")
 
