@@ -365,10 +365,12 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, start
     """Kasai: bytes, ``most`` at most, that each suffix shares with the one before it in the array (0 for the first).
 
     The walk along the text, in which a suffix shares at least one byte less than the one before it, goes through all
-    contexts (``starts``, ``lengths``) side by side, so that each step is one over arrays.
+    contexts (``starts``, ``lengths``) side by side, so that each step is one over arrays. It needs that the suffix after the
+    one that was shared with comes first as well; of suffixes that are alike to the array's depth it may not, and then the
+    count begins anew.
     """
     shared = np.zeros(len(text), np.int64)
-    h = np.zeros(len(starts), np.int64)
+    h, with_ = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
     padded = np.concatenate([text, np.zeros(most + 1, np.uint8)])
     active = np.arange(len(starts))
     for step in range(int(lengths.max(initial=0))):
@@ -376,7 +378,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, start
         p = starts[active] + step
         r = rank[p]
         q = order[np.maximum(r - 1, 0)]
-        k = np.where(r > 0, np.maximum(h[active] - 1, 0), 0)
+        after = np.minimum(with_[active] + 1, len(text) - 1)
+        k = np.where((r > 0) & (rank[after] < r), np.maximum(h[active] - 1, 0), 0)
         left = np.minimum(len(text) - np.maximum(p, q), most)
         open_ = np.flatnonzero((r > 0) & (k < left))
         while len(open_):
@@ -385,7 +388,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, start
             k[open_] += 1
             open_ = open_[k[open_] < left[open_]]
         shared[p] = k
-        h[active] = k
+        h[active], with_[active] = k, q
     return shared[order]
 
 

@@ -506,6 +506,27 @@ def test_suffix_array_and_prefixes():
         assert shared[k] == min(50, next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b))))
 
 
+def test_prefixes_of_suffixes_that_are_alike_beyond_the_depth():
+    r = random.Random(0)
+    for _ in range(40):
+        block = bytes(r.choice(b"ab") for _ in range(r.randint(60, 90)))
+        contexts = [block[r.randint(0, 5) :] + bytes(r.choice(b"abc") for _ in range(r.randint(0, 12))) for _ in range(r.randint(2, 7))]
+        raw = b"".join(contexts)
+        lengths = np.array([len(c) for c in contexts])
+        order, rank = suffix_dedup.suffix_array(np.frombuffer(raw, np.uint8), 50)
+        shared = suffix_dedup.common_prefixes(np.frombuffer(raw, np.uint8), order, rank, np.cumsum(lengths) - lengths, lengths, 50)
+        for k in range(1, len(order)):
+            a, b = raw[order[k - 1] :], raw[order[k] :]
+            assert shared[k] == min(50, next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b))))
+
+
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_suffix_dedup_on_any_layout(spark, sf_dir, parts):
+    rows = [(x.doc_id, x.text) for x in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    assert sorted((tuple(x) for x in suffix_dedup.remove_repeats(df).collect()), key=str) == _removed(rows, 50)
+
+
 def _fingerprint(text, n):
     words = [w for w in (text or "").encode().lower().replace(b"\t", b" ").replace(b"\n", b" ").split(b" ") if w]
     grams = [b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)] if len(words) > n else [b" ".join(words)] if words else []
