@@ -399,3 +399,16 @@ def test_documents_and_runs(spark, tmp_path):
     assert tuple(out.counters.first()) == (2, 2, 2) and sorted((p.x, p.y) for p in out.positions.collect()) == [(0.25, 0.75), (0.75, 0.75)]
     assert json.loads(out.documents.first().json)["a"][0] == {"x": 0.25, "y": 0.75}
     assert runs.for_each(green, lambda t: t.select("tile"), 3).count() == 2
+
+
+def test_nearest_over_several_ranges(spark):
+    """Numbers of nodes go on from range to range, also where ranges are read as part of a union."""
+    r = random.Random(3)
+    nodes, values = sorted({r.randint(0, 40_000) / 4 for _ in range(3000)}), sorted({r.randint(0, 40_000) / 4 for _ in range(3000)})
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = scenery.nearest(spark.createDataFrame([(v,) for v in [*values, None]], "v double"), "v", spark.createDataFrame([(v,) for v in [*nodes, None]], "at double"), "at").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert {x.v: x.idx for x in out} == {None: None} | {v: min(range(len(nodes)), key=lambda k: (abs(nodes[k] - v), k)) for v in values}
