@@ -8,6 +8,9 @@ join keys: Spark plans them by size, and AQE splits crowded ones.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,30 +135,62 @@ def blended_at_border(value: Column, beyond: Column, x: Column, y: Column, width
     return F.when(near < 1, near * value + (1 - near) * beyond).otherwise(value)
 
 
+#: Cells along a side of a block, whose places are decided in one task.
+_BLOCK = 32
+_OPEN, _JUNCTION, _NEAR_ONE = 0, 1, 2
+
+
+def _decided(tolerance: float):
+    """Places of blocks and of the cells around them, in order of id: of a block's own open places the state, as far as that of
+    all earlier places near them is known."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches).sort_by("id")
+        asked = table["own"].to_numpy() & (table["state"].to_numpy() == _OPEN)
+        states, seen = table["state"].to_pylist(), {}
+        for k, (tx, ty, cx, cy, x, y) in enumerate(zip(*(table[c].to_pylist() for c in ("tx", "ty", "cx", "cy", "lon", "lat")), strict=True)):
+            if asked[k]:
+                near = [s for i in (-1, 0, 1) for j in (-1, 0, 1) for s, u, v in seen.get((tx, ty, cx + i, cy + j), ()) if abs(x - u) < tolerance and abs(y - v) < tolerance]
+                states[k] = _NEAR_ONE if _JUNCTION in near else _OPEN if near else _JUNCTION
+            if states[k] != _NEAR_ONE:
+                seen.setdefault((tx, ty, cx, cy), []).append((states[k], x, y))
+        out = table.set_column(table.schema.get_field_index("state"), "state", pa.array(states, pa.int32())).filter(pa.array(asked))
+        yield from out.select(["id", "lon", "lat", "cx", "cy", "state"]).combine_chunks().to_batches()
+
+    return run
+
+
 def merge_junctions(points: DataFrame, tolerance: float = 5e-6) -> DataFrame:
     """(id, junction): in order of id, a point joins the first junction within the tolerance along both axes, else it is a
     junction itself; so junctions are the points with no earlier junction near.
 
-    Whether a point is a junction is known once all earlier points near it are decided. Each round decides those for which
-    this is so, in all places at once; rounds are as many as the longest chain of near points with rising ids.
+    Points at one place share their junction, so places are decided, each by its smallest id. Blocks of cells are decided in
+    order of id as far as what lies around them is known; rounds go on for chains of near places that cross blocks. Points
+    without a finite place are near none.
     """
-    size = F.lit(tolerance)
-    own = points.select("id", "lon", "lat", F.floor(F.col("lon") / size).alias("cx"), F.floor(F.col("lat") / size).alias("cy"))
-    step = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    spread = own.withColumn("dx", step).withColumn("dy", step).select(F.col("id").alias("to"), F.col("lon").alias("u"), F.col("lat").alias("v"), (F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy"))
-    near = (F.abs(F.col("lon") - F.col("u")) < size) & (F.abs(F.col("lat") - F.col("v")) < size) & (F.col("to") < F.col("id"))
-    pairs = _lineage.settle(own.join(spread, ["cx", "cy"]).where(near).select("id", "to"))
-    junctions, rest = None, _lineage.settle(points.select("id"))
-    open_ = pairs
+    size, kind = F.lit(tolerance), dict(points.dtypes)["id"]
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    given = points.select("id", F.col("lon").cast("double").alias("lon"), F.col("lat").cast("double").alias("lat")).withColumn("_placed", finite("lon") & finite("lat"))
+    placed = given.where("_placed").groupBy("lon", "lat").agg(F.min("id").alias("id"))
+    open_ = _lineage.settle(placed.select("id", "lon", "lat", F.floor(F.col("lon") / size).alias("cx"), F.floor(F.col("lat") / size).alias("cy"), F.lit(_OPEN).alias("state")))
+    block = lambda c, by: F.floor((F.col(c) + by) / _BLOCK)
+    around = lambda c: F.explode(F.array_distinct(F.array(block(c, -1), block(c, 0), block(c, 1))))
+    places, junctions = open_.drop("state"), None
     while True:
-        # Without an undecided or accepted point before it, a point is a junction; near one, it is not.
-        blocked = open_.select("id").distinct()
-        new = _lineage.settle(rest.join(blocked, "id", "left_anti"))
+        rows = open_ if junctions is None else open_.unionByName(junctions)
+        dealt = rows.withColumn("tx", around("cx")).withColumn("ty", around("cy")).withColumn("own", (F.col("tx") == block("cx", 0)) & (F.col("ty") == block("cy", 0)))
+        done = _lineage.settle(dealt.repartition("tx", "ty").mapInArrow(_decided(tolerance), f"id {kind}, lon double, lat double, cx long, cy long, state int"))
+        new = done.where(F.col("state") == _JUNCTION)
         junctions = new if junctions is None else _lineage.settle(junctions.unionByName(new))
-        taken = _lineage.settle(open_.join(new.select(F.col("id").alias("to")), "to", "left_semi").select("id").distinct())
-        rest = _lineage.settle(rest.join(new, "id", "left_anti").join(taken, "id", "left_anti"))
-        if rest.isEmpty():
+        open_ = done.where(F.col("state") == _OPEN)
+        if open_.isEmpty():
             break
-        open_ = _lineage.settle(open_.join(rest, "id", "left_semi").join(rest.select(F.col("id").alias("to")), "to", "left_semi"))
-    first = pairs.join(junctions.select(F.col("id").alias("to")), "to", "left_semi").groupBy("id").agg(F.min("to").alias("first"))
-    return points.select("id").join(junctions.withColumn("own", F.col("id")), "id", "left").join(first, "id", "left").select("id", F.coalesce("own", "first").alias("junction"))
+    # A cell has one junction at most, so a place meets nine of them at most.
+    step = F.explode(F.sequence(F.lit(-1), F.lit(1)))
+    spread = junctions.withColumn("dx", step).withColumn("dy", step).select(F.col("id").alias("to"), F.col("lon").alias("u"), F.col("lat").alias("v"), (F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy"))
+    near = (F.abs(F.col("lon") - F.col("u")) < size) & (F.abs(F.col("lat") - F.col("v")) < size) & (F.col("to") <= F.col("id"))
+    first = places.join(spread, ["cx", "cy"]).where(near).groupBy("lon", "lat").agg(F.min("to").alias("junction"))
+    return given.where("_placed").join(first, ["lon", "lat"]).select("id", "junction").unionByName(given.where("not _placed").select("id", F.col("id").alias("junction")))

@@ -412,3 +412,24 @@ def test_nearest_over_several_ranges(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert {x.v: x.idx for x in out} == {None: None} | {v: min(range(len(nodes)), key=lambda k: (abs(nodes[k] - v), k)) for v in values}
+
+
+def test_junctions_of_many_points_at_few_places(spark, monkeypatch):
+    """Places that all points share, chains that cross blocks, and points without a place."""
+    monkeypatch.setattr(spatial, "_BLOCK", 2)
+    r = random.Random(5)
+    points = [(i, r.randint(0, 30) / 10, r.randint(0, 3) / 10) for i in range(400)] + [(400 + i, 5 + i / 10, 0.0) for i in range(60)]
+    found, expected = [], {}
+    for i, x, y in points:
+        first = next((j for j, u, v in found if abs(x - u) < 0.15 and abs(y - v) < 0.15), None)
+        if first is None:
+            found.append((i, x, y))
+        expected[i] = i if first is None else first
+    odd = [(900, None, 0.0), (901, float("nan"), 0.0), (902, float("inf"), 0.0), (903, float("inf"), 0.0)]
+    asked = []
+    settle = spatial._lineage.settle
+    monkeypatch.setattr(spatial._lineage, "settle", lambda df: asked.append(df) or settle(df))
+    same = [(1000 + k, *points[k % 460][1:]) for k in range(4600)]
+    got = {p.id: p.junction for p in spatial.merge_junctions(spark.createDataFrame(points + odd + same, "id long, lon double, lat double"), 0.15).collect()}
+    assert got == expected | {i: i for i, *_ in odd} | {i: expected[(i - 1000) % 460] for i, *_ in same}
+    assert all("to" not in df.columns for df in asked)  # pairs of points are never made
