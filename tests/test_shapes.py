@@ -433,3 +433,10 @@ def test_junctions_of_many_points_at_few_places(spark, monkeypatch):
     got = {p.id: p.junction for p in spatial.merge_junctions(spark.createDataFrame(points + odd + same, "id long, lon double, lat double"), 0.15).collect()}
     assert got == expected | {i: i for i, *_ in odd} | {i: expected[(i - 1000) % 460] for i, *_ in same}
     assert all("to" not in df.columns for df in asked)  # pairs of points are never made
+
+
+def test_warp_on_whole_places_is_exact():
+    grid = np.array([[0.0078125, -0.0234375, 3.0000005, 0.1, 0.2, 0.3, 1.0078125, np.inf]] * 2)
+    cols = np.linspace(0, 1, 8)
+    mesh = kernels.resample(np.array([[7.0, 0.0], [7.0, 0.0]]), np.zeros((1, 8)), cols[None])
+    assert (kernels.resample(grid, np.zeros((1, 8)), mesh)[0] == grid[0][::-1]).all()
