@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions import kernels, polygons
+from ..functions import convex, kernels, polygons
 
 
-def map_rows(df: DataFrame, columns: list[str], kernel: Callable[..., tuple], schema: str, keep: list[str]) -> DataFrame:
-    """``keep`` and what ``kernel`` returns for the values of ``columns``; a null value gives nulls."""
+def map_rows(df: DataFrame, columns: list[str], kernel: Callable[..., tuple], schema: str, keep: list[str], many: Callable[..., Iterator[tuple[np.ndarray, list]]] | None = None) -> DataFrame:
+    """``keep`` and what ``kernel`` returns for the values of ``columns``; a null value gives nulls. ``many`` takes whole
+    columns and gives (rows, arrays of what the kernel would return) for rows that it can take at once; the kernel has the
+    others."""
     kinds = dict(df.dtypes)
     names = [x.strip().split()[0] for x in _top_level(schema)]
     types = [f.type for f in to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)]
@@ -22,13 +24,30 @@ def map_rows(df: DataFrame, columns: list[str], kernel: Callable[..., tuple], sc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [nothing if any(v is None for v in values) else kernel(*values) for values in zip(*(batch[c].to_pylist() for c in columns), strict=True)]
+            done = [(at, out) for at, out in many(*(batch[c] for c in columns)) if len(at)] if many else []
+            left = np.setdiff1d(np.arange(batch.num_rows), np.concatenate([at for at, _ in done])) if done else np.arange(batch.num_rows)
+            rest = batch.take(pa.array(left)) if done else batch
+            rows = [nothing if any(v is None for v in values) else kernel(*values) for values in zip(*(rest[c].to_pylist() for c in columns), strict=True)]
             made = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
+            if done:
+                order = pa.array(np.argsort(np.concatenate([*(at for at, _ in done), left])))
+                made = [pa.concat_arrays([*(_as(out[k], t) for _, out in done), made[k]]).take(order) for k, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *made], [*keep, *names])
 
     return df.select(*dict.fromkeys([*keep, *columns])).mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), schema]))
 
 
+def _as(values, kind: pa.DataType) -> pa.Array:
+    out = values if isinstance(values, pa.Array) else pa.array(values)
+    return out if out.type == kind else out.cast(kind)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt to all cores: a few bytes a row make one task of many thousand rows, whose kernels take long."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def map_grids(tiles: DataFrame, px: str, width: int, kernel: Callable[[np.ndarray], tuple], schema: str, keep: list[str]) -> DataFrame:
     """``keep`` and what ``kernel`` returns for each tile's pixels as a grid of ``width`` columns: numbers, or grids and lists
     for array columns. Pixels are views on Arrow's buffers, no object is made for each; null pixels give nulls."""
@@ -284,7 +303,12 @@ def boundary_scores(rings: DataFrame, keep: list[str], truth: str, found: str, w
         precision, recall = tp / (tp + fp) if tp + fp > 0 else 0.0, tp / (tp + fn) if tp + fn > 0 else 0.0
         return both / union if union > 0 else 0.0, precision, recall, 2 * precision * recall / (precision + recall) if precision + recall > 0 else 0.0
 
-    return map_rows(rings, [truth, found], kernel, "boundary_iou double, boundary_precision double, boundary_recall double, boundary_f1 double", keep)
+    def many(first: pa.Array, second: pa.Array) -> Iterator[tuple[np.ndarray, list]]:
+        for rows, p, q in convex.convex_pairs(first, second):
+            scores = convex.band_scores(*(f(r) for r in (p, q) for f in (lambda r: convex.grown(r, width / 2, steps=8), lambda r: convex.shrunk(r, width / 2))), q)
+            yield rows, list(scores)
+
+    return map_rows(dealt(rings), [truth, found], kernel, "boundary_iou double, boundary_precision double, boundary_recall double, boundary_f1 double", keep, many)
 
 
 def keep_best_boxes(detections: DataFrame, keep: list[str], boxes: str, scores: str, limit: float = 0.45) -> DataFrame:

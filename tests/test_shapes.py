@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terravane.functions import kernels, polygons
+from terravane.functions import convex, kernels, polygons
 from terravane.operators import _order, frames, graph, placement, raster, scenery, shapes, spatial, tile_kernels, tiles
 from terravane.plans import evaluate, runs
 from terravane.sources import readers, scenery_files, vectors, writers
@@ -440,3 +440,50 @@ def test_warp_on_whole_places_is_exact():
     cols = np.linspace(0, 1, 8)
     mesh = kernels.resample(np.array([[7.0, 0.0], [7.0, 0.0]]), np.zeros((1, 8)), cols[None])
     assert (kernels.resample(grid, np.zeros((1, 8)), mesh)[0] == grid[0][::-1]).all()
+
+
+def _convex(n, seed):
+    r = np.random.default_rng(seed)
+    out = []
+    for _ in range(n):
+        t = np.sort(r.uniform(0, 2 * np.pi, r.integers(3, 8)))
+        out.append(polygons.shape_of([[np.column_stack([5 * np.cos(t), 3 * np.sin(t)]) + r.uniform(-2, 2, 2)]]))
+    return out + [polygons.box(x, y, x + 4, y + 5) for x, y in r.integers(0, 4, (6, 2)).astype(float)]
+
+
+@pytest.mark.parametrize("name", ["boundary_scores", "match_details", "buffered", "split", "dissolve"])
+def test_convex_shapes_are_worked_on_together(spark, name):
+    """Batches of convex shapes fare as each by itself does; the other shapes go the general way."""
+    one, two = _convex(12, 1), _convex(12, 2)
+    holed = polygons.difference(polygons.box(0, 0, 9, 9), polygons.box(2, 2, 4, 4))
+    if name == "boundary_scores":
+        p, q = (np.array([[0.0, 0], [5, 0], [6, 4], [1, 5]]), np.array([[1.0, 1], [6, 0], [7, 6]]))
+        assert convex.band_scores(convex.grown(p[None], 0.5, steps=8), convex.shrunk(p[None], 0.5), convex.grown(q[None], 0.5, steps=8), convex.shrunk(q[None], 0.5), q[None])[0][0] > 0
+        df = spark.createDataFrame([(1, p.tolist(), q.tolist()), (2, p[::-1].tolist(), q.tolist())], "id long, truth array<array<double>>, found array<array<double>>")
+        a, b = tile_kernels.boundary_scores(df, ["id"], "truth", "found", 1.0).collect()
+        assert tuple(a)[1:] == pytest.approx(tuple(b)[1:]) and 0 < a.boundary_iou < 1
+    elif name == "match_details":
+        rows = [(k, polygons.to_lists(a), polygons.to_lists(b)) for k, (a, b) in enumerate(zip([*one, holed], [*two, holed], strict=True))]
+        got = {r.id: r for r in shapes.match_details(spark.createDataFrame(rows, f"id long, truth {shapes.SHAPE}, found {shapes.SHAPE}"), 1.0).collect()}
+        for k, (a, b) in enumerate(zip([*one, holed], [*two, holed], strict=True)):
+            both, left, right = polygons.shared_areas(polygons.boundary_band(a, 1.0), polygons.boundary_band(b, 1.0))
+            assert got[k].boundary_iou == pytest.approx(both / (both + left + right)) and got[k].hausdorff_m == pytest.approx(polygons.hausdorff(a, b))
+    elif name == "dissolve":
+        import pyarrow as pa
+
+        a, b = (pa.array([polygons.to_lists(s) for s in x], pa.list_(pa.list_(pa.list_(pa.list_(pa.float64()))))) for x in (one, two))
+        hits = {int(k): v for rows, p, q in convex.convex_pairs(a, b) for k, v in zip(rows, convex.shared(p, q), strict=True)}
+        assert hits == {k: pytest.approx(polygons.shared_areas(x, y)[0]) for k, (x, y) in enumerate(zip(one, two, strict=True))}
+        same = _shapes(spark, *[polygons.box(0, 0, 2, 2)] * 40, polygons.box(1, 1, 3, 3), polygons.box(3, 1, 4, 2), [])
+        assert {r.id: polygons.area(polygons.shape_of(r["shape"])) for r in shapes.dissolve(same, 4.0).collect()} == {0: 7.0, 41: 1.0, 42: 0.0}
+    else:
+        df = _shapes(spark, *one, holed, polygons.box(0, 0, 1, 1), [])
+        for by in (1.0, -0.5):
+            if name == "buffered":
+                out = shapes.buffered(df, by).collect()
+                got, expected = {r.id: polygons.area(polygons.shape_of(r["grown"])) for r in out}, [polygons.area(polygons.buffer(s, by)) for s in [*one, holed, polygons.box(0, 0, 1, 1), []]]
+                assert [got[k] for k in range(len(expected))] == pytest.approx(expected)
+        if name == "split":
+            got = [(r.id, polygons.bounds(polygons.shape_of(r["shape"]))) for r in shapes.split(df, 1.5).collect()]
+            for k, s in enumerate([*one, holed]):
+                assert np.array([b for i, b in got if i == k]) == pytest.approx(np.array([polygons.bounds(p) for p in polygons.split(s, 1.5)]))
