@@ -3,16 +3,18 @@ worked on where they lie; joins meet on grid cells by boxes, and only pairs whos
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import polygons
+from ..functions import convex, polygons
 from ..functions.features import ratio
+from . import _lineage
 from .spatial import BOX, box_join, connected
-from .tile_kernels import map_rows
+from .tile_kernels import dealt, map_rows
 
 SHAPE = "array<array<array<array<double>>>>"
 
@@ -52,7 +54,11 @@ def measures(df: DataFrame, shape: str = "shape") -> DataFrame:
         p = polygons.shape_of(s)
         return (polygons.area(p), *polygons.centroid(p)) if p else (0.0, None, None)
 
-    return map_rows(df, [shape], kernel, "area double, cx double, cy double", df.columns)
+    def many(column: pa.Array) -> Iterator[tuple[np.ndarray, list]]:
+        for rows, p in convex.single_rings(column):
+            yield rows, [convex.area(p), *convex.centroid(p).T.copy()]
+
+    return map_rows(df, [shape], kernel, "area double, cx double, cy double", df.columns, many)
 
 
 def clip(df: DataFrame, region, shape: str = "shape") -> DataFrame:
@@ -76,7 +82,12 @@ def overlay(df: DataFrame, first: str, second: str, how: str, out: str = "shape"
 
 def buffered(df: DataFrame, distance: float, shape: str = "shape", out: str = "grown") -> DataFrame:
     """Shapes grown by a distance with round corners, or shrunk by a negative one."""
-    return map_rows(df, [shape], lambda s: (polygons.to_lists(polygons.buffer(polygons.shape_of(s), distance)),), f"{out} {SHAPE}", df.columns)
+
+    def many(column: pa.Array) -> Iterator[tuple[np.ndarray, list]]:
+        for rows, p in convex.convex_rings(column) if distance else ():
+            yield rows, [convex.to_shapes(convex.grown(p, distance, quarter=polygons.QUARTER) if distance > 0 else convex.shrunk(p, -distance))]
+
+    return map_rows(dealt(df), [shape], lambda s: (polygons.to_lists(polygons.buffer(polygons.shape_of(s), distance)),), f"{out} {SHAPE}", df.columns, many)
 
 
 def road_buffers(lines: DataFrame, line: str, width: str, out: str = "shape") -> DataFrame:
@@ -92,7 +103,14 @@ def road_buffers(lines: DataFrame, line: str, width: str, out: str = "shape") ->
 def split(df: DataFrame, most: float, shape: str = "shape") -> DataFrame:
     """A row for each part whose box is no longer than ``most``."""
     kept = [c for c in df.columns if c != shape]
-    out = map_rows(df, [shape], lambda s: ([polygons.to_lists(p) for p in polygons.split(polygons.shape_of(s), most)],), f"_parts array<{SHAPE}>", kept)
+
+    def many(column: pa.Array) -> Iterator[tuple[np.ndarray, list]]:
+        for rows, p in convex.convex_rings(column):
+            row, cut = convex.parts(p, most)
+            stops = np.append(0, np.cumsum(np.bincount(row, minlength=len(rows)))).astype(np.int32)
+            yield rows, [pa.ListArray.from_arrays(pa.array(stops), convex.to_shapes(cut))]
+
+    out = map_rows(dealt(df), [shape], lambda s: ([polygons.to_lists(p) for p in polygons.split(polygons.shape_of(s), most)],), f"_parts array<{SHAPE}>", kept, many)
     return out.select(*kept, F.explode("_parts").alias(shape))
 
 
@@ -108,7 +126,12 @@ def overlaps(truth: DataFrame, found: DataFrame, cell: float) -> DataFrame:
         return both, both + one, both + two
 
     pairs = _touching(truth.select("id", "shape"), found.select("id", "shape"), cell).select("id", "r_id", "shape", "r_shape")
-    areas = map_rows(pairs, ["shape", "r_shape"], kernel, "both double, gt_area double, pred_area double", pairs.columns).where("both > 0")
+
+    def many(first: pa.Array, second: pa.Array) -> Iterator[tuple[np.ndarray, list]]:
+        for rows, p, q in convex.convex_pairs(first, second):
+            yield rows, [convex.shared(p, q), convex.area(p), convex.area(q)]
+
+    areas = map_rows(pairs, ["shape", "r_shape"], kernel, "both double, gt_area double, pred_area double", pairs.columns, many).where("both > 0")
     return areas.select(F.col("id").alias("gt_idx"), F.col("r_id").alias("pred_idx"), ratio(F.col("both"), F.col("gt_area") + F.col("pred_area") - F.col("both")).alias("iou"), "gt_area", "pred_area", F.col("shape").alias("truth"), F.col("r_shape").alias("found"))
 
 
@@ -126,9 +149,14 @@ def match_details(matches: DataFrame, width: float) -> DataFrame:
         (x, y), (u, v) = polygons.centroid(p), polygons.centroid(q)
         return share(both, both + one + two), precision, recall, share(2 * precision * recall, precision + recall), polygons.hausdorff(p, q), ((x - u) ** 2 + (y - v) ** 2) ** 0.5
 
+    def many(first: pa.Array, second: pa.Array) -> Iterator[tuple[np.ndarray, list]]:
+        for rows, p, q in convex.convex_pairs(first, second):
+            (outer, inner), (other, hole) = ((convex.grown(r, width / 2, quarter=polygons.QUARTER), convex.shrunk(r, width / 2)) for r in (p, q))
+            yield rows, [*convex.band_scores(outer, inner, other, hole, q), convex.hausdorff(p, q), np.hypot(*(convex.centroid(p) - convex.centroid(q)).T)]
+
     names = ("boundary_iou", "boundary_precision", "boundary_recall", "boundary_f1", "hausdorff_m", "centroid_dist_m")
     kept = [c for c in matches.columns if c not in ("truth", "found")]
-    return map_rows(matches, ["truth", "found"], kernel, ", ".join(f"{n} double" for n in names), kept)
+    return map_rows(dealt(matches), ["truth", "found"], kernel, ", ".join(f"{n} double" for n in names), kept, many)
 
 
 def without_collisions(objects: DataFrame, blockers: DataFrame, cell: float) -> DataFrame:
@@ -160,10 +188,18 @@ def minus(first: DataFrame, second: DataFrame, cell: float) -> DataFrame:
 def dissolve(shapes: DataFrame, cell: float) -> DataFrame:
     """(id, shape): unions of shapes (id, shape) that share area directly or through others; id is the smallest of a union's.
 
-    Groups are found by joins on boxes and links, so only what hangs together meets in a task.
+    Shapes that are equal and have an area are one before all else. Groups are found by joins on boxes and links, so only what
+    hangs together meets in a task.
     """
-    pairs = _touching(shapes, shapes, cell).where(F.col("id") < F.col("r_id"))
-    links = map_rows(pairs.select("id", "r_id", "shape", "r_shape"), ["shape", "r_shape"], lambda a, b: (polygons.shared_areas(polygons.shape_of(a), polygons.shape_of(b))[0] > 0,), "hit boolean", ["id", "r_id"])
+
+    def many(first: pa.Array, second: pa.Array) -> Iterator[tuple[np.ndarray, list]]:
+        for rows, p, q in convex.convex_pairs(first, second):
+            yield rows, [convex.shared(p, q) > 0]
+
+    sized = measures(shapes.select("id", "shape"))
+    shapes = _lineage.settle(sized.where("area > 0").groupBy("shape").agg(F.min("id").alias("id")).select("id", "shape").unionByName(sized.where("area <= 0 or area is null").select("id", "shape")))
+    pairs = dealt(_touching(shapes, shapes, cell).where(F.col("id") < F.col("r_id")).select("id", "r_id", "shape", "r_shape"))
+    links = map_rows(pairs, ["shape", "r_shape"], lambda a, b: (polygons.shared_areas(polygons.shape_of(a), polygons.shape_of(b))[0] > 0,), "hit boolean", ["id", "r_id"], many)
     roots = connected(shapes.select("id"), links.where("hit").select(F.col("id").alias("a"), F.col("r_id").alias("b")))
     groups = shapes.join(roots, "id").groupBy("root").agg(F.collect_list("shape").alias("shapes"))
     out = map_rows(groups, ["shapes"], lambda s: (polygons.to_lists(polygons.union(*map(polygons.shape_of, s))),), f"shape {SHAPE}", ["root"])
