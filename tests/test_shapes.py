@@ -487,3 +487,57 @@ def test_convex_shapes_are_worked_on_together(spark, name):
             got = [(r.id, polygons.bounds(polygons.shape_of(r["shape"]))) for r in shapes.split(df, 1.5).collect()]
             for k, s in enumerate([*one, holed]):
                 assert np.array([b for i, b in got if i == k]) == pytest.approx(np.array([polygons.bounds(p) for p in polygons.split(s, 1.5)]))
+
+
+def _many_features(n):
+    """Features whose bytes are of all kinds, among them line feeds (10.0 and 2570.0 hold none, whole numbers as 10 do as sizes)."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(n):
+        x, y = rng.integers(0, 5000, 2)
+        shape = polygons.to_lists(polygons.box(float(x), float(y), float(x + 1 + k % 7), float(y + 2))) + (polygons.to_lists(polygons.box(9000.1, 9000.3, 9001.0, 9002.0)) if k % 5 == 0 else [])
+        rows.append(("", k, None, "MultiPolygon" if k % 5 == 0 else "Polygon", shape, None, {"id": str(k), "name": f"é\n{k}"} if k % 3 else {"id": str(k)}) if k % 11 else ("", k, None, None, None, None, {"id": str(k)}))
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["geojson", "gpkg", "shp"])
+def test_vector_files_by_stretches(spark, tmp_path, monkeypatch, kind):
+    rows = _many_features(3000)
+    df = spark.createDataFrame(rows, vectors.FEATURE).repartition(5)
+    monkeypatch.setattr(vectors, "STRETCH", 5000)
+    # No row of the layer may come to the driver by a collect(): only figures of stretches do.
+    collect, most = type(df).collect, []
+    monkeypatch.setattr(type(df), "collect", lambda self: most.append(collect(self)) or most[-1])
+    vectors.write_features(df, f"{tmp_path}/layer.{kind}", 32637)
+    assert max(map(len, most), default=0) < 10
+    whole = vectors.features(spark, f"{tmp_path}/layer.{kind}")
+    held = {r.fid: r for r in collect(whole)}
+    for fid, kept, shape, properties in ((r[1], r[3], r[4], r[6]) for r in rows):
+        got = held[fid]
+        assert (got.kind, got["shape"] and len(got["shape"]), dict(got.properties), got.epsg) == (kept, shape and len(shape), properties, 32637)
+        assert shape is None or polygons.area(polygons.shape_of(got["shape"])) == pytest.approx(polygons.area(polygons.shape_of(shape)))
+    monkeypatch.setattr(vectors, "WHOLE_BYTES", 1000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+    try:
+        assert sorted(map(str, collect(vectors.features(spark, f"{tmp_path}/layer.{kind}")))) == sorted(map(str, held.values()))
+        assert sorted(map(str, collect(vectors.features(spark, str(tmp_path))))) == sorted(map(str, held.values()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_large_geojson_of_other_layouts(spark, tmp_path, monkeypatch):
+    one = lambda k: {"type": "Feature", "properties": {"n": k}, "geometry": {"type": "Point", "coordinates": [k, 1]}}
+    features = [one(0), {"type": "Feature", "geometry": {"type": "Blob", "coordinates": []}}, *map(one, range(2, 300))]
+    doc = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, "features": features}
+    lines = ",\n".join(map(json.dumps, features))
+    texts = {"line": json.dumps(doc), "pretty": json.dumps(doc, indent=1), "rows": '{\n"type": "FeatureCollection",\n"crs": ' + json.dumps(doc["crs"]) + ',\n"features": [\n' + lines.replace("\n", "\n\n", 3) + "\n]\n}\n", "late": '{"type": "FeatureCollection", "features": [\n' + lines + '\n],\n"crs": ' + json.dumps(doc["crs"]) + "}"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.geojson").write_text(text)
+    whole = sorted(map(str, vectors.features(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(vectors, "WHOLE_BYTES", 1000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = vectors.features(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(str, got)) == whole and len(got) == 4 * 299 and {r.epsg for r in got} == {3857}
