@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators._lineage import checkpoint_folder, remove
 from ..operators._lineage import settle as cut
 
-__all__ = ["by_bytes", "checkpoint_folder", "cut", "cut_few", "forget", "join_crowded", "own_broadcasts", "per_worker", "remove", "share", "slices", "spread", "table", "texts", "WordTable"]
+__all__ = ["by_bytes", "checkpoint_folder", "cut", "cut_few", "forget", "join_crowded", "own_broadcasts", "per_worker", "remove", "share", "slices", "small_batches", "spread", "table", "texts", "WordTable"]
 
 #: Bytes a worker's word cache may hold before it is emptied, and what an entry takes beside its values. A cache is
 #: only a shortcut: an emptied one is filled again and results do not change.
@@ -28,6 +28,9 @@ CACHE_WORD_BYTES = 48
 #: crowded keys are joined like all others.
 CROWDED_ROWS = 50_000
 CROWDED_KEYS = 4096
+#: Bytes of rows that go to a Python worker at once; a longer row goes by itself. Spark's own bound of 64 MB is held several
+#: times over by each task: in buffers of the JVM, which double as they grow, and in the worker with what it makes of them.
+BATCH_BYTES = 8 << 20
 
 #: Per-worker state by model key. Workers are reused between tasks, so caches and loaded vocabularies stay warm.
 _WORKER: dict[str, object] = {}
@@ -45,6 +48,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound of Arrow batches to ``BATCH_BYTES``. Results do not depend on it. It stays lowered, as what
+    an operator returns is computed later."""
+    if spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def share(spark: SparkSession, value: object) -> Broadcast:
     """``value`` as a broadcast variable; within ``own_broadcasts`` it is destroyed at the block's end."""
     out = spark.sparkContext.broadcast(value)
@@ -95,9 +105,7 @@ def per_worker(key: str, make: Callable[[], object]) -> object:
 
 
 def forget() -> None:
-    """Drops what an earlier operator left in this worker, and gives its memory back to the system."""
-    if not _WORKER:
-        return
+    """Drops what an earlier operator left in this worker, and gives its memory and that of earlier tasks back to the system."""
     _WORKER.clear()
     pa.default_memory_pool().release_unused()
     try:

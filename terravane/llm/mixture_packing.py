@@ -165,6 +165,7 @@ def _pieces(schedule: Schedule, window: int, dtype: np.dtype):
     """Rows of documents' stretches to pieces in windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         unpress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             queues = batch["queue"].to_numpy()

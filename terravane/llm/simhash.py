@@ -300,6 +300,7 @@ def _links(anchors: Anchors, threshold: int):
     """Entries of whole anchors to links that connect what the anchors' comparisons connect."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         blobs = [x for batch in batches for x in batch["entries"].to_pylist()]
         if not blobs:
             return
@@ -527,6 +528,7 @@ def _can_be(n: np.ndarray, at: np.ndarray, m: np.ndarray, to: np.ndarray) -> np.
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keys that two sets or more have among their first ones, a row for each set; where more than ``FEW`` meet, with the
     next set there if it can be similar."""
+    _shared.forget()
     blobs = [x for batch in batches for x in batch["entries"].to_pylist()]
     if not blobs:
         return
@@ -550,6 +552,7 @@ def _candidates(best: bool):
     as pairs (lo, hi) of parts: sets of both are compared with each other, or within the part if it is one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         rows = [pa.Table.from_batches([b]) for b in batches]
         if not rows:
             return

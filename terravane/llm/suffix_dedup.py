@@ -220,6 +220,7 @@ def _dealt(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def _list_grams(width: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         for batch in batches:
             for shard, blob in zip(batch["shard"].to_pylist(), batch["rows"], strict=True):
                 rows = _rows(blob.as_py())
@@ -237,6 +238,7 @@ def _shared_grams(hot_from: float):
     them. Grams with over ``hot_from`` anchors are listed as well, shard being null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         hashes, owners, flags, counts, names = [], [], [], [], []
         for batch in batches:
             for shard, blob in zip(batch["shard"].to_pylist(), batch["grams"], strict=True):
@@ -307,6 +309,7 @@ class _Contexts:
 
 def _send_contexts(hot: np.ndarray, width: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         for batch in batches:
             for shard, blob, answers in zip(batch["shard"].to_pylist(), batch["rows"], batch["answers"], strict=True):
                 c = _Contexts(_rows(blob.as_py()), answers.as_py() or [], hot, width)
@@ -446,6 +449,7 @@ def _find_repeats(width: int):
     """Contexts of whole parts to (shard, answer): its contexts' windows that a smaller doc_id starts as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         parts: dict[int, list[tuple[int, bytes, bytes]]] = {}
         for batch in batches:
             for part, shard, numbers, texts in zip(*(batch[c].to_pylist() for c in ("part", "shard", "numbers", "texts")), strict=True):
@@ -541,6 +545,7 @@ def _remove(hot: np.ndarray, width: int, kept: tuple[str, ...], with_text: bool)
     names = [*kept, "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _shared.forget()
         for batch in batches:
             for blob, answers, repeats in zip(batch["rows"], batch["answers"], batch["repeats"], strict=True):
                 rows = _rows(blob.as_py())

@@ -1,8 +1,13 @@
 """The stages of the pipeline on the smallest documents, each against what its input asks for."""
 
+from types import SimpleNamespace
+
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
+_shared = pytest.importorskip("terravane.llm._shared")
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -115,3 +120,32 @@ def test_odd_rows_go_through_all_stages(spark, sf_dir, tmp_path):
             assert out.columns == COLUMNS or name == "packing"
             assert given or out.count() == 0
             docs = out.selectExpr("*", "1L as bits", "2 as queue", "0.5D as score", "'x' as kept") if name != "packing" else out
+
+
+def _batch_sizes(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+
+@pytest.mark.parametrize("stage", [k for k, _ in corpus_pipeline.STAGES])
+def test_stages_send_rows_by_small_batches(spark, sf_dir, stage):
+    """An executor's memory must not follow how many rows Spark would put in a batch."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    dict(corpus_pipeline.STAGES)[stage](spark, spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20), sf_dir)
+    sizes = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text")).mapInArrow(_batch_sizes, "size long").collect()
+    assert sum(r["size"] for r in sizes) > 40 << 20
+    assert max(r["size"] for r in sizes) < 10 << 20
+    spark.conf.set(setting, "1m")
+    _shared.small_batches(spark)
+    assert spark.conf.get(setting) == "1m"  # a smaller bound stays
+    spark.conf.unset(setting)
+
+
+def test_workers_give_memory_back(monkeypatch):
+    """What a worker freed goes back to the system also where no operator left anything."""
+    asked = []
+    monkeypatch.setattr(_shared.ctypes, "CDLL", lambda name: SimpleNamespace(malloc_trim=asked.append))
+    _shared.forget()
+    _shared.forget()
+    assert asked == [0, 0]
