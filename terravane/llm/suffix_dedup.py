@@ -5,7 +5,7 @@ window of ``width`` bytes chooses an anchor: the gram in it with the least hash.
 so a window can only repeat if its anchor's gram occurs in two documents, and only such windows go on. They are
 dealt out by anchor as contexts (the runs of windows that share an anchor), once for each shard of documents. A
 reducing task first folds equal contexts. Of those that remain beside others of the same anchor it builds
-suffix arrays, shard by shard of bounded size: ranks of eight bytes refined by doubling (Larsson-Sadakane: only groups
+suffix arrays, each of some whole anchors, or shard by shard of bounded size where an anchor has more: ranks of eight bytes refined by doubling (Larsson-Sadakane: only groups
 that are not yet settled are sorted again), Kasai's common prefixes, and windows with a common prefix of ``width`` or more
 form a group. Groups of different shards are merged by binary search among sorted windows. Back come, for each
 context, the windows that a smaller doc_id starts as well; each shard of documents then takes its bytes out.
@@ -28,15 +28,19 @@ from . import _shared
 GRAM = 20
 #: Bytes of text in a shard of documents, about; a single longer text makes a shard of its own.
 SHARD_BYTES = 8 << 20
-#: Bytes of contexts in one suffix array.
+#: Bytes of contexts in one suffix array, and bytes from which the next anchors get an array of their own, as small ones
+#: stay in a processor's cache.
 ARRAY_BYTES = 4 << 20
+BUNDLE_BYTES = 1 << 18
 #: Grams with more than this share of all anchors are listed (so there are at most that many), and their windows are
 #: dealt out one by one by their own hash rather than by anchor.
 HOT_SHARE = 1 / 2000
 #: Text bytes for a reducing task, and parts (of whole anchors) that a task takes.
 TASK_BYTES = 64 << 20
 PARTS_PER_TASK = 4
-_PIECE = 1 << 20
+#: Windows that are worked on at once, and twice the bytes of text that are: few enough for a processor's cache.
+_WINDOWS = 1 << 18
+_PIECE = 1 << 17
 _NONE = np.iinfo(np.int64).max
 
 
@@ -66,6 +70,14 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+class _Numbers(dict):
+    """Numbers of distinct strings, in the order in which they are first asked for."""
+
+    def __missing__(self, string: bytes) -> int:
+        n = self[string] = len(self)
+        return n
+
+
 # --- shards of documents ----------------------------------------------------------------------------------------------
 
 
@@ -167,19 +179,18 @@ def _runs(group: list[tuple[int, int, bytes]], width: int) -> tuple[np.ndarray,
     place = np.uint64(21)  # below the hash's leading bits stands the position, so that the first of equal grams is least
     key = (h >> place << place) | np.arange(len(h), dtype=np.uint64)
     least = _sliding_min(key, width - GRAM + 1)
-    valid = np.ones(len(least), bool)  # windows that lie in one piece
-    for e in (start + n)[:-1].tolist():
-        valid[max(0, e - width + 1) : e] = False
-    windows = np.flatnonzero(valid)
-    chosen = (least[windows] & np.uint64((1 << 21) - 1)).astype(np.int64)
-    new = np.ones(len(windows), bool)
-    new[1:] = (chosen[1:] != chosen[:-1]) | (windows[1:] != windows[:-1] + 1)
+    new = np.ones(len(least), bool)
+    new[1:] = least[1:] != least[:-1]
+    for e in (start + n)[:-1].tolist():  # windows that lie in no single piece
+        new[max(0, e - width + 1) : e] = False
+    new[start] = True
     first = np.flatnonzero(new)
-    piece = np.searchsorted(start, windows[first], "right") - 1
-    count = np.diff(np.append(first, len(windows)))
+    piece = np.searchsorted(start, first, "right") - 1
+    count = np.minimum(np.append(first[1:], len(least)), (start + n - width + 1)[piece]) - first
+    chosen = (least[first] & np.uint64((1 << 21) - 1)).astype(np.int64)
     doc = np.array([d for d, *_ in group])[piece]
     offset = np.array([a for _, a, _ in group])[piece]
-    return h[chosen[first]], doc, windows[first] - start[piece] + offset, count, chosen[first] - windows[first]
+    return h[chosen], doc, first - start[piece] + offset, count, chosen - first
 
 
 def _ids(rows: pa.Table) -> np.ndarray:
@@ -287,23 +298,16 @@ class _Contexts:
             inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             h, doc, first, windows, offset, alone = (np.repeat(x, times) for x in (h, doc, first, windows, offset, alone))
             first, windows, offset = np.where(alone, first + inner, first), np.where(alone, 1, windows), np.where(alone, offset - inner, offset)
-        numbers: dict[bytes, int] = {}
-        strings, keys, least, count, where = [], [], [], [], []
-        at = np.empty(len(h), np.int64)
-        for i, (d, f, w, g, o, single) in enumerate(zip(doc.tolist(), first.tolist(), windows.tolist(), h.tolist(), offset.tolist(), alone.tolist(), strict=True)):
-            string = texts[d][f : f + w + width - 1]
-            k = numbers.setdefault(string, len(strings))
-            if k == len(strings):
-                strings.append(string)
-                keys.append(int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little") if single else g)
-                count.append(w)
-                where.append(o)
-                least.append(ids[d])
-            elif ids[d] < least[k]:
-                least[k] = ids[d]
-            at[i] = k
-        self.strings, self.keys, self.windows = strings, np.array(keys, np.uint64), np.array(count, np.int64)
-        self.least, self.offset = np.array(least, np.int64), np.array(where, np.int64)
+        numbers = _Numbers()
+        at = np.fromiter((numbers[texts[d][f:e]] for d, f, e in zip(doc.tolist(), first.tolist(), (first + windows + width - 1).tolist(), strict=True)), np.int64, len(h))
+        self.strings = list(numbers)
+        self.least = np.full(len(numbers), _NONE, np.int64)
+        np.minimum.at(self.least, at, ids[doc])
+        once = np.empty(len(numbers), np.int64)
+        once[at[::-1]] = np.arange(len(at))[::-1]  # where each context is met first
+        self.keys, self.windows, self.offset = h[once], windows[once], offset[once]
+        for k in np.flatnonzero(alone[once]).tolist():
+            self.keys[k] = int.from_bytes(hashlib.blake2b(self.strings[k], digest_size=8).digest(), "little")
         self.texts, self.ids, self.doc, self.first, self.at = texts, ids, doc, first, at
 
 
@@ -327,6 +331,15 @@ def _send_contexts(hot: np.ndarray, width: int, parts: int):
 # --- suffix arrays ----------------------------------------------------------------------------------------------------
 
 
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, the first leading; zeros follow the text."""
+    n = len(text)
+    out = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
+    for span in (1, 2, 4):
+        out = out[:-span] << np.uint64(8 * span) | out[span:]
+    return out[:n]
+
+
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, rank) of the text's suffixes, ordered by their first ``depth`` bytes at least; equal ones by place.
 
@@ -334,10 +347,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     are ranked by the rank of the suffix that starts as far on as has been compared, which doubles each time.
     """
     n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = key << np.uint64(8) | padded[i : n + i]
+    key = _words(text)
     order = np.argsort(key, kind="stable")
     new = np.ones(n, bool)
     new[1:] = key[order][1:] != key[order][:-1]
@@ -350,7 +360,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         members = order[loose]
         ahead = members + done
         second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)], -1)
-        sub = np.lexsort((second, rank[members]))
+        sub = np.argsort(rank[members] * (n + 1) + second, kind="stable")  # by rank, then by what comes ahead
         members, second = members[sub], second[sub]
         own = rank[members]
         order[loose] = members
@@ -374,7 +384,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, start
     """
     shared = np.zeros(len(text), np.int64)
     h, with_ = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-    padded = np.concatenate([text, np.zeros(most + 1, np.uint8)])
+    words = _words(np.concatenate([text, np.zeros(most + 8, np.uint8)]))
+    bytes_ = np.uint64(1) << np.arange(8, 64, 8, dtype=np.uint64)  # numbers from which one more byte is not zero
     active = np.arange(len(starts))
     for step in range(int(lengths.max(initial=0))):
         active = active[lengths[active] > step]
@@ -386,10 +397,10 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, start
         left = np.minimum(len(text) - np.maximum(p, q), most)
         open_ = np.flatnonzero((r > 0) & (k < left))
         while len(open_):
-            same = padded[p[open_] + k[open_]] == padded[q[open_] + k[open_]]
-            open_ = open_[same]
-            k[open_] += 1
-            open_ = open_[k[open_] < left[open_]]
+            differ = words[p[open_] + k[open_]] ^ words[q[open_] + k[open_]]
+            k[open_] += np.where(differ == 0, 8, 7 - np.searchsorted(bytes_, differ, "right"))
+            open_ = open_[(differ == 0) & (k[open_] < left[open_])]
+        k = np.minimum(k, left)
         shared[p] = k
         h[active], with_[active] = k, q
     return shared[order]
@@ -419,12 +430,17 @@ def repeated_windows(strings: list[bytes], windows: np.ndarray, least: np.ndarra
     arrays = []
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         context, window, group = _window_groups(strings[lo:hi], windows[lo:hi], width)
-        _, first, number = np.unique(group, return_index=True, return_inverse=True)
-        low = np.full(len(first), _NONE, np.int64)
+        seen = np.zeros(int(group.max(initial=-1)) + 1, bool)  # groups that have a window; others are suffixes between
+        seen[group] = True
+        number = (np.cumsum(seen) - 1)[group]
+        low = np.full(int(seen.sum()), _NONE, np.int64)
         np.minimum.at(low, number, least[lo + context])
-        at = begin[lo + context] + window
-        text = [strings[lo + context[i]][window[i] : window[i] + width] for i in first.tolist()]
-        arrays.append([at, number, low, np.array(text, f"S{width}") if len(bounds) > 2 else None])
+        text = None
+        if len(bounds) > 2:
+            first = np.empty(len(low), np.int64)
+            first[number[::-1]] = np.arange(len(number))[::-1]
+            text = np.array([strings[lo + context[i]][window[i] : window[i] + width] for i in first.tolist()], f"S{width}")
+        arrays.append([begin[lo + context] + window, number, low, text])
     # Windows of an array come in the order of its suffixes: those of another are found among them by binary search.
     # numpy drops trailing zero bytes when it compares; windows that end so differ only in their number, all ``width`` long.
     for i, (_, _, low, text) in enumerate(arrays):
@@ -460,7 +476,7 @@ def _find_repeats(width: int):
     return run
 
 
-def _with_neighbours(beside: np.ndarray, strings: list[bytes], keys: np.ndarray, offsets: list[int], width: int) -> np.ndarray:
+def _with_neighbours(beside: np.ndarray, strings: list[bytes], keys: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
     """Of contexts of the same anchor those that can have a window in common with another.
 
     A window holds ``width - GRAM`` bytes beside the gram, so at least half of them on one side: contexts that agree with
@@ -469,8 +485,8 @@ def _with_neighbours(beside: np.ndarray, strings: list[bytes], keys: np.ndarray,
     half = (width - GRAM) // 2
     sides: tuple[dict, dict] = {}, {}
     found = np.zeros(len(beside), bool)
-    for j, i in enumerate(beside.tolist()):
-        text, at, key = strings[i], offsets[i], keys[i]
+    for j, (i, at, key) in enumerate(zip(beside.tolist(), offsets[beside].tolist(), keys[beside].tolist(), strict=True)):
+        text = strings[i]
         for side, part in zip(sides, (text[at - half : at] if at >= half else b"", text[at + GRAM : at + GRAM + half]), strict=True):
             if len(part) == half:
                 other = side.setdefault((key, part), j)
@@ -480,31 +496,24 @@ def _with_neighbours(beside: np.ndarray, strings: list[bytes], keys: np.ndarray,
 
 
 def _one_part(blobs: list[tuple[int, bytes, bytes]], width: int) -> Iterator[pa.RecordBatch]:
-    known: dict[bytes, int] = {}
-    strings: list[bytes] = []
+    known = _Numbers()
     entry_of, entry_shard, entry_at, entry_least, keys, windows, offsets = [], [], [], [], [], [], []
     for k, (_, numbers, texts) in enumerate(blobs):
         at, steps, count, least, offset = _unpack(numbers)
-        text, stop = _unpress(texts), 0
-        key, offset = np.cumsum(steps, dtype=np.uint64).tolist(), offset.tolist()
-        of = np.empty(len(at), np.int64)
-        for i, w in enumerate(count.tolist()):
-            start, stop = stop, stop + w + width - 1
-            string = text[start:stop]
-            n = known.setdefault(string, len(strings))
-            if n == len(strings):
-                strings.append(string)
-                keys.append(key[i])
-                windows.append(w)
-                offsets.append(offset[i])
-            of[i] = n
+        text, before = _unpress(texts), len(known)
+        stop = np.cumsum(count.astype(np.int64) + width - 1)
+        of = np.fromiter((known[text[a:b]] for a, b in zip([0, *stop[:-1].tolist()], stop.tolist(), strict=True)), np.int64, len(at))
+        new = of >= before  # a shard sends a context once, so these come in the order of their numbers
+        keys.append(np.cumsum(steps, dtype=np.uint64)[new])
+        windows.append(count[new].astype(np.int64))
+        offsets.append(offset[new].astype(np.int64))
         entry_of.append(of)
         entry_shard.append(np.full(len(at), k))
         entry_at.append(at)
         entry_least.append(least)
+    strings = list(known)
     known.clear()
-    of, shard, at, least = map(np.concatenate, (entry_of, entry_shard, entry_at, entry_least))
-    windows, keys = np.array(windows, np.int64), np.array(keys, np.uint64)
+    of, shard, at, least, keys, windows, offsets = map(np.concatenate, (entry_of, entry_shard, entry_at, entry_least, keys, windows, offsets))
     low = np.full(len(strings), _NONE, np.int64)
     np.minimum.at(low, of, least)
     # Contexts alone with their anchor need no array: what repeats in them does so in equal contexts.
@@ -513,29 +522,49 @@ def _one_part(blobs: list[tuple[int, bytes, bytes]], width: int) -> Iterator[pa.
     size = np.diff(np.append(start, len(order)))
     beside = order[np.repeat(size > 1, size)]
     beside = _with_neighbours(beside, strings, keys, offsets, width)
-    window_low = {}
-    if len(beside):
-        begin, value = repeated_windows([strings[i] for i in beside.tolist()], windows[beside], low[beside], width)
-        for j, i in enumerate(beside.tolist()):
-            window_low[i] = value[begin[j] : begin[j] + windows[i]]
-    for k, rows in _dealt(shard.astype(np.int64)):
-        runs, start, length = [], [], []
-        for e in rows.tolist():
-            n = int(of[e])
-            if n in window_low:
-                flags = np.flatnonzero(window_low[n] < least[e])
-                if len(flags):
-                    breaks = np.flatnonzero(np.diff(flags) > 1)
-                    first, last = flags[np.concatenate([[0], breaks + 1])], flags[np.concatenate([breaks, [len(flags) - 1]])]
-                    runs.extend([at[e]] * len(first))
-                    start.extend(first.tolist())
-                    length.extend((last - first + 1).tolist())
-            elif low[n] < least[e]:
-                runs.append(at[e])
-                start.append(0)
-                length.append(int(windows[n]))
-        if runs:
-            yield pa.RecordBatch.from_arrays([pa.array([blobs[k][0]]), pa.array([_pack(np.array(runs, "<i8"), np.array(start, "<u4"), np.array(length, "<u4"))], pa.binary())], ["shard", "repeats"])
+    entry, start, length = _repeats(of, least, low, windows, *_by_anchors(beside, strings, keys, windows, low, width))
+    for k, rows in _dealt(shard[entry].astype(np.int64)):
+        yield pa.RecordBatch.from_arrays([pa.array([blobs[k][0]]), pa.array([_pack(at[entry[rows]].astype("<i8"), start[rows].astype("<u4"), length[rows].astype("<u4"))], pa.binary())], ["shard", "repeats"])
+
+
+def _by_anchors(beside: np.ndarray, strings: list[bytes], keys: np.ndarray, windows: np.ndarray, low: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start of each context's windows among the values, or -1, values): ``repeated_windows`` of the contexts ``beside``,
+    which are in the order of their anchors. Windows of different anchors differ, so arrays of whole anchors need no merging."""
+    begin, values, done = np.full(len(strings), -1, np.int64), [], 0
+    if not len(beside):
+        return begin, np.zeros(0, np.int64)
+    sizes = np.cumsum(windows[beside] + width - 1)
+    ends = np.append(np.flatnonzero(keys[beside][1:] != keys[beside][:-1]) + 1, len(beside))
+    lo = 0
+    while lo < len(beside):
+        enough = np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + BUNDLE_BYTES) + 1
+        hi = int(ends[min(np.searchsorted(ends, enough), len(ends) - 1)])
+        own = beside[lo:hi]
+        first, value = repeated_windows([strings[i] for i in own.tolist()], windows[own], low[own], width)
+        begin[own] = done + first
+        values.append(value)
+        done, lo = done + len(value), hi
+    return begin, np.concatenate(values)
+
+
+def _repeats(of: np.ndarray, least: np.ndarray, low: np.ndarray, windows: np.ndarray, begin: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, first window, windows) of the runs of windows that a smaller doc_id than the entry's own ``least`` starts too."""
+    alone = np.flatnonzero((begin[of] < 0) & (low[of] < least))  # entries without an array repeat as a whole
+    out = [(alone, np.zeros(len(alone), np.int64), windows[of[alone]])]
+    some = np.flatnonzero(begin[of] >= 0)
+    sizes = np.cumsum(windows[of[some]])
+    for part in np.split(some, np.unique(np.searchsorted(sizes, np.arange(_WINDOWS, sizes[-1] if len(some) else 0, _WINDOWS)))):
+        n = windows[of[part]]
+        entry = np.repeat(part, n)
+        window = np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n)
+        hit = np.flatnonzero(values[begin[of[entry]] + window] < least[entry])
+        new = np.ones(len(hit), bool)
+        new[1:] = (hit[1:] != hit[:-1] + 1) | (entry[hit[1:]] != entry[hit[:-1]])
+        first = np.flatnonzero(new)
+        out.append((entry[hit[first]], window[hit[first]], np.diff(np.append(first, len(hit)))))
+    entry, start, length = map(np.concatenate, zip(*out, strict=True))
+    order = np.argsort(entry, kind="stable")
+    return entry[order], start[order], length[order]
 
 
 # --- removal ----------------------------------------------------------------------------------------------------------

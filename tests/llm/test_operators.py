@@ -495,6 +495,44 @@ def test_shards_merge(monkeypatch, size):
     assert suffix_dedup.repeated_windows(strings, windows, least, 50)[1].tolist() == [want[s[i : i + 50]] for s, n in zip(strings, windows, strict=True) for i in range(n)]
 
 
+@pytest.mark.parametrize("bundle", [1, 700, 1 << 18])
+def test_arrays_of_whole_anchors(monkeypatch, bundle):
+    """Contexts of different anchors need no common array, and what shards are told does not depend on how arrays are cut."""
+    monkeypatch.setattr(suffix_dedup, "BUNDLE_BYTES", bundle)
+    monkeypatch.setattr(suffix_dedup, "_WINDOWS", 40)
+    held, plain = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text, depth: held.append(len(text)) or plain(text, depth))
+    r = random.Random(0)
+    anchors = [bytes(r.choice(b"xyz") for _ in range(20)) for _ in range(12)]
+    sent, blobs, by_anchor = [], [], {}
+    for shard in range(3):
+        own = set()
+        while len(own) < 60:
+            k, before = r.randrange(12), r.randint(15, 25)
+            text = (b"ab" * 15)[-before:] + anchors[k] + r.choice([b"ab", b"ba"]) * 8 + bytes(r.choice(b"ab") for _ in range(r.randint(0, 3)))
+            if len(text) >= 50:
+                own.add((k, text, before))
+        own = [(*x, r.randint(0, 9)) for x in sorted(own)]
+        keys = np.array([k for k, *_ in own], np.uint64)
+        blobs.append((shard, suffix_dedup._pack(np.arange(60), np.diff(keys, prepend=np.uint64(0)), np.array([len(t) - 49 for _, t, *_ in own], "<u4"), np.array([d for *_, d in own]), np.array([b for *_, b, _ in own], "<u4")), suffix_dedup._press(b"".join(t for _, t, *_ in own))))
+        sent.append(own)
+        for k, text, *_ in own:
+            by_anchor.setdefault(k, set()).add(text)
+    first = {}
+    for own in sent:
+        for _, text, _, d in own:
+            for i in range(len(text) - 49):
+                first[text[i : i + 50]] = min(d, first.get(text[i : i + 50], 99))
+    want = {(shard, e, i) for shard, own in enumerate(sent) for e, (_, text, _, d) in enumerate(own) for i in range(len(text) - 49) if first[text[i : i + 50]] < d}
+    got = set()
+    for batch in suffix_dedup._one_part(blobs, 50):
+        for shard, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            got |= {(shard, e, s + i) for e, s, n in zip(*(x.tolist() for x in suffix_dedup._unpack(told)), strict=True) for i in range(n)}
+    assert got == want and len(want) > 20
+    most = max(sum(map(len, texts)) for texts in by_anchor.values())
+    assert held and max(held) <= bundle + most
+
+
 def test_suffix_array_and_prefixes():
     text = np.frombuffer(b"abracadabra abracadabra\0ab" * 3, np.uint8)
     order, rank = suffix_dedup.suffix_array(text, 64)
